@@ -33,12 +33,24 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.lm import lm_scores
+
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickloom.llm.simhash import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.quality import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickloom.llm.packing import packed_sequences
 
@@ -57,6 +69,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 _OP1 = """
 with p as (select page_id, encode(coalesce(html, '')) as body from pages),
 q as (select page_id, octet_length(body)::bigint as payload_bytes, sha1(body) as payload_digest from p),
@@ -110,5 +128,5 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op5_simhash, op7_packing, op8_line_rules, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity)}
 ORACLE = {"op1_warc": _OP1, "op3_decontaminate": _OP3, "op8_line_rules": _op8()}
