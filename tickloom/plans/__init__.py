@@ -1,6 +1,6 @@
 """Registered queries; importing this package registers all of them."""
 
-from tickloom.plans import decoding  # noqa: F401
+from tickloom.plans import auditing, decoding, repairing, universe  # noqa: F401
 from tickloom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
