@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 TICK_TABLE = ((500_000, 1_000), (200_000, 500), (50_000, 100), (20_000, 50), (5_000, 10), (2_000, 5), (0, 1))
 
 
+def div(c: Column, n: int) -> Column:
+    """Whole-number division of longs; a double would lose nanoseconds."""
+    return F.call_function("div", c, F.lit(n))
+
+
 def zfill(c: Column, width: int = 6) -> Column:
     """Zeros on the left up to ``width``; longer texts stay whole."""
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
@@ -47,7 +52,7 @@ def hms_of(seconds: Column) -> Column:
 
 def kst_minute(ns: Column) -> Column:
     """Korean wall-clock minute of an epoch in nanoseconds."""
-    return F.date_format(F.timestamp_seconds((F.floor(ns / 60_000_000_000) * 60 + 9 * 3600).cast("long")), "yyyy-MM-dd'T'HH:mm")
+    return F.date_format(F.timestamp_seconds(div(ns, 60_000_000_000) * 60 + 9 * 3600), "yyyy-MM-dd'T'HH:mm")
 
 
 def tick_of(price: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import kst_minute, seconds_of
+from tickloom.functions.scalars import div, kst_minute, seconds_of
 from tickloom.operators import audit as a
 from tickloom.operators import dedup as dd
 from tickloom.operators import intervals as iv
@@ -233,7 +233,7 @@ _SPANS = "sp as (select o_custkey % 100 as k, epoch_us(o_orderdate) // 864000000
 
 
 def _spans(spark, sf_dir):
-    day = F.floor(F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 86_400_000_000).cast("long")
+    day = div(F.unix_micros(F.col("o_orderdate").cast("timestamp")), 86_400_000_000).cast("long")
     return table(spark, sf_dir, "orders").select((F.col("o_custkey") % 100).alias("k"), day.alias("lo"), (day + F.col("o_orderkey") % 6).alias("hi"), F.col("o_orderkey").alias("id"))
 
 
@@ -264,7 +264,7 @@ def o7_clipped_total(spark, sf_dir):
 @register("o5_clusters", f"with {GAPS}, c as (select symbol, recv_prev_ns // 1000000000 as lo, recv_next_ns // 1000000000 + 7200 as hi, cum_prev, missing_trades from gaps), r as (select *, max(hi) over (partition by symbol order by lo, hi, cum_prev rows between unbounded preceding and 1 preceding) as reach from c), i as (select *, sum(case when lo <= reach then 0 else 1 end) over (partition by symbol order by lo, hi, cum_prev rows unbounded preceding) as g from r) select symbol, min(lo) as lo, max(hi) as hi, count(*) as members, cast(sum(missing_trades) as bigint) as missing from i group by symbol, g")
 def o5_clusters(spark, sf_dir):
     gaps = a.counter_gaps(live_ticks(spark, sf_dir))
-    spans = gaps.withColumns({"lo": F.floor(F.col("recv_prev_ns") / 1_000_000_000), "hi": F.floor(F.col("recv_next_ns") / 1_000_000_000) + 7200})
+    spans = gaps.withColumns({"lo": div(F.col("recv_prev_ns"), 1_000_000_000), "hi": div(F.col("recv_next_ns"), 1_000_000_000) + 7200})
     return iv.island_ids(spans, ["symbol"], tie="cum_prev").groupBy("symbol", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("members"), F.sum("missing_trades").alias("missing")).drop("island")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as s
+from tickloom.functions.scalars import div
 from tickloom.operators import decode as d
 from tickloom.operators import phase as p
 from tickloom.plans.registry import COUNTED, register
@@ -180,7 +181,7 @@ def p16_auction_exempt(spark, sf_dir):
 @register("p18_delivery_lag", f"with {COUNTED}, q as (select seq, (recv_wall_ns // 1000000000 + 9 * 3600) % 86400 as r, cast(substr(hms, 1, 2) as int) * 3600 + cast(substr(hms, 3, 2) as int) * 60 + cast(substr(hms, 5, 2) as int) + 32400 - (seq % 200) as e from counted), l as (select seq, r - (e % 86400) as lag from q) select seq, cast(case when lag >= -60 then greatest(lag, 0) end as bigint) as lag_s from l")
 def p18_delivery_lag(spark, sf_dir):
     event = (s.seconds_of(F.col("hms")) + 32400 - F.col("seq") % 200) % 86400
-    whole = F.floor(F.col("recv_wall_ns") / 1_000_000_000) * 1_000_000_000
+    whole = div(F.col("recv_wall_ns"), 1_000_000_000) * 1_000_000_000
     return counted_ticks(spark, sf_dir).select("seq", p.delivery_lag(whole, s.hms_of(event)).cast("long").alias("lag_s"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import div
 from tickloom.operators import audit as a
 from tickloom.operators import repair as r
 from tickloom.plans.auditing import GAPS, TOTALS, loss_totals
@@ -16,12 +17,12 @@ _NUMBERED = f"{GAPS}, ng as (select *, cum_prev as interval_id, recv_prev_ns //
 
 
 def _gaps(spark, sf_dir):
-    second = lambda c: F.floor(F.col(c) / 1_000_000_000)
+    second = lambda c: div(F.col(c), 1_000_000_000)
     return a.counter_gaps(live_ticks(spark, sf_dir)).withColumns({"interval_id": F.col("cum_prev"), "ts_prev": second("recv_prev_ns"), "ts_next": second("recv_next_ns")})
 
 
 def _trades(df):
-    return df.select("symbol", F.floor(F.col("recv_wall_ns") / 1_000_000_000).alias("ts"), "price", F.col("cvolume").alias("volume"), F.col("seq").alias("tape_seq"))
+    return df.select("symbol", div(F.col("recv_wall_ns"), 1_000_000_000).alias("ts"), "price", F.col("cvolume").alias("volume"), F.col("seq").alias("tape_seq"))
 
 
 @register("o8_peer_fill", f"with {_NUMBERED} select c.symbol, g.interval_id, 1 as peer, c.volume as acml, c.price, c.cvolume as qty from counted c join ng g on c.symbol = g.symbol and c.volume > g.acml_prev and c.volume <= g.acml_next_before where c.lost")

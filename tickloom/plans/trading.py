@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case
+from tickloom.functions.scalars import div, first_case
 from tickloom.operators import calendar as c
 from tickloom.operators import control as k
 from tickloom.operators import execution as x
@@ -82,7 +82,7 @@ def _intents(spark, sf_dir):
     s = F.col("seq")
     return counted_ticks(spark, sf_dir).select(
         "seq", "symbol", F.when(s % 2 == 0, "BUY").otherwise("SELL").alias("side"), F.when(s % 5 == 0, "MARKET").otherwise("LIMIT").alias("order_type"), (F.col("cvolume") - 2).alias("qty"),
-        F.when((s % 5 != 0) | (s % 35 == 0), F.col("price")).alias("limit_price"), F.col("price").alias("last"), F.floor(F.col("recv_wall_ns") / 1_000_000_000).alias("at"),
+        F.when((s % 5 != 0) | (s % 35 == 0), F.col("price")).alias("limit_price"), F.col("price").alias("last"), div(F.col("recv_wall_ns"), 1_000_000_000).alias("at"),
     )
 
 
@@ -218,7 +218,7 @@ def x3_outages(spark, sf_dir):
 
 def controller_steps(spark, sf_dir):
     status = first_case([(F.col("cvolume") < 15, F.lit("SILENT")), (F.col("cvolume") < 20, F.lit("DEAD")), (F.col("cvolume") < 25, F.lit("UNKNOWN"))], "HEALTHY")
-    return ticks(spark, sf_dir).select(F.col("vendor").alias("group_id"), F.floor(F.col("recv_wall_ns") / 1_000_000_000).alias("step_s"), status.alias("status")).dropDuplicates(["group_id", "step_s"])
+    return ticks(spark, sf_dir).select(F.col("vendor").alias("group_id"), div(F.col("recv_wall_ns"), 1_000_000_000).alias("step_s"), status.alias("status")).dropDuplicates(["group_id", "step_s"])
 
 
 @register("x6_controller")

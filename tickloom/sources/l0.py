@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The envelope; vendor numbers stay text until decoded.
-SCHEMA = T.StructType.fromDDL("raw string, recv_mono_ns long, recv_wall_ns long, conn_id string, conn_seq long, vendor string, tr_id string, venue string, session string, stream string, symbol string, exchange_event_time string")
+_LONGS = ("recv_mono_ns", "recv_wall_ns", "conn_seq")
+_NAMES = ("raw", "recv_mono_ns", "recv_wall_ns", "conn_id", "conn_seq", "vendor", "tr_id", "venue", "session", "stream", "symbol", "exchange_event_time")
+SCHEMA = T.StructType([T.StructField(n, T.LongType() if n in _LONGS else T.StringType()) for n in _NAMES])
 REQUIRED = ("raw", "recv_mono_ns", "recv_wall_ns", "conn_id", "conn_seq", "vendor", "tr_id")
 #: Fixed: sessions a path may name.
 SESSIONS = ("regular", "premarket", "aftermarket")
