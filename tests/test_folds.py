@@ -124,3 +124,28 @@ def test_windows_that_leave_the_day_are_refused():
 
     with pytest.raises(ValueError):
         windows_for(4 * 3600)
+
+
+def test_bins_do_not_change_the_previous_row(spark):
+    from pyspark.sql import functions as F
+
+    from tickloom.operators.intervals import as_of, points_in, with_previous
+
+    rng = random.Random(5)
+    rows = [(rng.choice("AB") if rng.random() > 0.1 else None, rng.randrange(200), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t long, i long").repartition(3)
+    got = [sorted((r.i, r.previous.i if r.previous else None) for r in with_previous(df, ["k"], "t", ["i"], w, "i").collect()) for w in (1, 7, 10_000)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 300
+    spans = spark.createDataFrame([("A", 5, 60), ("A", 90, 91), ("B", 0, 199)], "k string, lo long, hi long")
+    found = [sorted(r.i for r in points_in(df, spans, ["k"], "t", w).collect()) for w in (3, 50, 1000)]
+    want = sorted(i for k, t, i in rows if (k == "A" and (5 < t <= 60 or t == 91)) or (k == "B" and t > 0))
+    assert found == [want] * 3
+    schedule = df.where("i % 10 = 0 and k is not null").dropDuplicates(["k", "t"]).select("k", F.col("t").alias("since"), F.col("i").alias("v"))
+    import tickloom.operators.intervals as iv
+
+    small = sorted((r.i, r.v) for r in as_of(df.where("k is not null"), schedule, ["k"], "t", "since").collect())
+    iv.SCHEDULE_ROWS, old = 0, iv.SCHEDULE_ROWS
+    try:
+        assert small == sorted((r.i, r.v) for r in as_of(df.where("k is not null"), schedule, ["k"], "t", "since").collect())
+    finally:
+        iv.SCHEDULE_ROWS = old

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import first_case
+from tickloom.operators.intervals import with_previous
 
 INTERVAL_CAP, RESET_FRAMES = 500, 3
+#: Counters of a symbol that one task orders.
+COUNTER_BIN = 1 << 20
 
 
 def counter_gaps(live: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -18,9 +21,8 @@ def counter_gaps(live: DataFrame, keys: list[str] | None = None) -> DataFrame:
     the count shows it. Late, repeated or reset counters need :func:`counter_ledger`.
     """
     keys = keys or ["symbol"]
-    order = Window.partitionBy(*keys).orderBy("cum")
-    before = {n: F.lag(n).over(order) for n in ("cum", "volume", "hms", "recv_wall_ns", "conn_id")}
-    rows = live.withColumns({f"{n}_prev": c for n, c in before.items()})
+    fields = ["cum", "volume", "hms", "recv_wall_ns", "conn_id"]
+    rows = with_previous(live, keys, "cum", fields, COUNTER_BIN).withColumns({f"{n}_prev": F.col(f"previous.{n}") for n in fields})
     missing = F.col("cum") - F.col("cum_prev") - 1
     deficit = F.greatest(F.lit(0), F.col("volume") - F.col("volume_prev") - F.col("cvolume"))
     return rows.where(missing >= 1).select(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.scalars import div
+
 #: How two intervals in order join: they touch, are adjacent whole numbers, or overlap inside.
 RULES = {"touch": lambda lo, hi: lo <= hi, "adjacent": lambda lo, hi: lo <= hi + 1, "open": lambda lo, hi: lo < hi}
 
@@ -38,20 +40,56 @@ def event_holes(seconds: DataFrame, keys: list[str], start: int, end: int, least
     return gaps.select(*keys, (F.col("second") + 1).alias("start"), F.col("next").alias("end"), (F.col("next") - F.col("second") - 1).alias("seconds")).where(F.col("seconds") >= least)
 
 
-def points_in(points: DataFrame, spans: DataFrame, keys: list[str], at: str, low_open: bool = True, high_open: bool = False) -> DataFrame:
-    """Points joined with the spans (lo, hi) of their key that hold them; the key keeps it an equi-join."""
+def points_in(points: DataFrame, spans: DataFrame, keys: list[str], at: str, width: int, low_open: bool = True, high_open: bool = False) -> DataFrame:
+    """Points joined with the spans (lo, hi) of their key that hold them.
+
+    Both sides are cut into bins of ``width``, a span standing in each bin it touches, so the join is on key and bin: a
+    key with many points or spans spreads over tasks, and a point meets only the spans of its bin.
+    """
+    binned = spans.withColumn("_bin", F.explode(F.sequence(div(F.col("lo"), width), div(F.col("hi"), width))))
     above = F.col(at) > F.col("lo") if low_open else F.col(at) >= F.col("lo")
     below = F.col(at) < F.col("hi") if high_open else F.col(at) <= F.col("hi")
-    return points.join(spans, keys).where(above & below)
+    return points.withColumn("_bin", div(F.col(at), width)).join(binned, [*keys, "_bin"]).where(above & below).drop("_bin")
+
+
+def with_previous(df: DataFrame, keys: list[str], at: str, fields: list[str], width: int, tie: str | None = None, name: str = "previous") -> DataFrame:
+    """``name`` holds the fields of the row before in the order of ``at`` within a key.
+
+    A key is cut into bins of ``width``, so one with a third of all rows is the work of many tasks: the first row of a bin
+    gets the last one of the bin before, from a table with a row per bin.
+    """
+    order = [at, *([tie] if tie else [])]
+    row = F.struct(*fields)
+    binned = df.withColumn("_bin", div(F.col(at), width))
+    ends = binned.groupBy(*keys, "_bin").agg(F.max_by(row, F.struct(*order)).alias("_end"))
+    carried = ends.withColumn("_carry", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_bin"))).drop("_end")
+    inside = F.lag(row).over(Window.partitionBy(*keys, "_bin").orderBy(*order))
+    names = {k: f"_k{i}" for i, k in enumerate([*keys, "_bin"])}
+    carried = carried.withColumnsRenamed(names)
+    same = None
+    for k, n in names.items():
+        equal = F.col(k).eqNullSafe(F.col(n))
+        same = equal if same is None else same & equal
+    joined = binned.withColumn("_inside", inside).join(carried, same, "left")
+    return joined.select(*df.columns, F.coalesce("_inside", "_carry").alias(name))
+
+
+#: Schedule rows up to which a schedule is sent to every task.
+SCHEDULE_ROWS = 10_000
 
 
 def as_of(left: DataFrame, schedule: DataFrame, keys: list[str], at: str, since: str) -> DataFrame:
     """Rows of ``left`` with the latest schedule row of their key at or before ``at``; none gives nulls.
 
-    Both sides are put in one order per key and the last schedule row is carried forward: no row is joined with more
-    than one other.
+    A schedule of up to ``SCHEDULE_ROWS`` rows is broadcast as one sorted array per key, so few large keys cost nothing.
+    A longer one is put in one order with the rows and its last row carried forward.
     """
     values = [c for c in schedule.columns if c not in keys]
+    if schedule.limit(SCHEDULE_ROWS + 1).count() <= SCHEDULE_ROWS:
+        rows = schedule.where(F.col(since).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(since).alias("_since"), F.struct(*values).alias("_row")))).alias("_all"))
+        joined = left.join(F.broadcast(rows), keys, "left")
+        held = F.try_element_at(F.filter("_all", lambda x: x["_since"] <= F.col(at)), F.lit(-1))["_row"]
+        return joined.withColumn("_held", held).select(*left.columns, *[F.col(f"_held.{v}").alias(v) for v in values if v not in left.columns])
     marks = schedule.select(*keys, F.col(since).alias("_at"), F.lit(0).alias("_side"), F.struct(*values).alias("_row"))
     rows = left.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))
     both = marks.unionByName(rows, allowMissingColumns=True)

@@ -271,20 +271,20 @@ def o5_clusters(spark, sf_dir):
 @register("j7_trades_in_gaps", f"with {GAPS} select c.symbol, c.seq, g.cum_prev from counted c join gaps g on g.symbol = c.symbol and c.volume > g.acml_prev and c.volume <= g.acml_next_before")
 def j7_trades_in_gaps(spark, sf_dir):
     gaps = a.counter_gaps(live_ticks(spark, sf_dir)).select("symbol", F.col("acml_prev").alias("lo"), F.col("acml_next_before").alias("hi"), "cum_prev")
-    return iv.points_in(counted_ticks(spark, sf_dir).select("symbol", "seq", "volume"), gaps, ["symbol"], "volume").select("symbol", "seq", "cum_prev")
+    return iv.points_in(counted_ticks(spark, sf_dir).select("symbol", "seq", "volume"), gaps, ["symbol"], "volume", 1000).select("symbol", "seq", "cum_prev")
 
 
 @register("j8_received_in_gaps", f"with {GAPS} select distinct c.symbol, c.seq from live c join gaps g on g.symbol = c.symbol and c.recv_wall_ns >= g.recv_prev_ns and c.recv_wall_ns <= g.recv_next_ns")
 def j8_received_in_gaps(spark, sf_dir):
     live = live_ticks(spark, sf_dir)
     spans = iv.merge_intervals(a.counter_gaps(live).select("symbol", F.col("recv_prev_ns").alias("lo"), F.col("recv_next_ns").alias("hi")), ["symbol"])
-    return iv.points_in(live.select("symbol", "seq", "recv_wall_ns"), spans, ["symbol"], "recv_wall_ns", low_open=False).select("symbol", "seq")
+    return iv.points_in(live.select("symbol", "seq", "recv_wall_ns"), spans, ["symbol"], "recv_wall_ns", 86_400_000_000_000, low_open=False).select("symbol", "seq")
 
 
 @register("j9_counters_inside", f"with {GAPS} select c.symbol, c.seq from counted c join gaps g on g.symbol = c.symbol and c.cum > g.cum_prev and c.cum < g.cum_next")
 def j9_counters_inside(spark, sf_dir):
     spans = iv.merge_intervals(a.counter_gaps(live_ticks(spark, sf_dir)).select("symbol", F.col("cum_prev").alias("lo"), F.col("cum_next").alias("hi")), ["symbol"], "open")
-    return iv.points_in(counted_ticks(spark, sf_dir).select("symbol", "seq", "cum"), spans, ["symbol"], "cum", high_open=True).select("symbol", "seq")
+    return iv.points_in(counted_ticks(spark, sf_dir).select("symbol", "seq", "cum"), spans, ["symbol"], "cum", 1000, high_open=True).select("symbol", "seq")
 
 
 @register("j10_multiset_minus", f"with {COUNTED}, l as (select symbol, dt, vendor, seq, row_number() over (partition by symbol, dt, conn_id order by seq) as n, conn_id from counted), h as (select symbol, dt, conn_id, count(*) as have from live group by all) select l.symbol, l.seq from l left join h using (symbol, dt, conn_id) where n > coalesce(have, 0)")
