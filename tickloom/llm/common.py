@@ -76,6 +76,17 @@ def byte_chunks(batch: pa.RecordBatch, name: str, limit: int = 8 << 20):
         lo = hi
 
 
+_HELD: dict = {}
+
+
+def hold(key, make=lambda: None):
+    """What a worker keeps from task to task under ``key``. It keeps one thing only: an operator that starts frees the one before."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import ALNUM, BROADCAST_ROWS, LOWER, byte_chunks, mix, stage, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import ALNUM, BROADCAST_ROWS, LOWER, byte_chunks, hold, mix, stage, text_bytes, word_hashes, word_spans
 
 #: Words of a window, of a k-gram, and k-grams of a window.
 WINDOW, GRAM = 10, 5
@@ -146,9 +146,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     def scan(batches):
         from pyspark import TaskContext
 
+        hold("decontaminate")
         keep, key = np.unpackbits(packed).astype(bool), TaskContext.get().partitionId() << 40
         for whole in batches:
-            for batch in byte_chunks(whole, "t"):
+            for batch in byte_chunks(whole, "t", 2 << 20):
                 words, before = _words(batch)
                 row, place, length, prints, context = _candidates(words, before, short, 2, keep)
                 order = np.argsort(row, kind="stable")

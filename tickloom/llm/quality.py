@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, NON_SPACE, SEGMENT, byte_chunks, crc_text, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import LOWER, NON_SPACE, SEGMENT, byte_chunks, crc_text, hold, text_bytes, word_hashes, word_spans
 from tickloom.llm.labelled import PER_LABEL, sample_of
 
 #: Hashed trigram buckets, buckets of each style measure, and their weight beside the trigrams.
@@ -130,6 +130,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Model:
 
 def _blocks(batch: pa.RecordBatch, name: str):
     """(slice, its features) of at most ``ROWS`` rows."""
+    hold("quality")
     for part in byte_chunks(batch, name, 4 << 20):
         for lo in range(0, len(part), ROWS):
             some = part.slice(lo, ROWS)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, byte_chunks, stage
+from tickloom.llm.common import LOWER, byte_chunks, hold, stage
 from tickloom.llm.components import connected_components
 
 #: Shingles whose bits are counted at once.
@@ -46,6 +46,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, print) of each row, the print as a signed long."""
 
     def run(batches):
+        hold("simhash")
         for whole in batches:
             for batch in byte_chunks(whole, "t"):
                 prints = np.array([fingerprint(t, shingle) for t in batch.column("t").to_pylist()], np.uint64)

@@ -12,9 +12,11 @@ from itertools import chain
 
 import numpy as np
 
+from tickloom.llm.common import byte_chunks, hold
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Units kept per worker; when more are seen the table starts anew.
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 700_000
 #: Texts above this many characters are cut at safe boundaries.
 LONG = 1 << 17
 #: Characters for which Python and the library agree on case, classes and normal form.
@@ -160,19 +162,12 @@ class Pieces:
         return np.concatenate(flat), out
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    """One table per worker and file."""
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    """The worker's table of a tokenizer file."""
+    return hold(("tokens", path), lambda: Pieces(path))
 
 
 def text_groups(batch, name: str = "text", limit: int = 2 << 20):
     """(row range, texts) groups of a batch balanced by bytes."""
-    from tickloom.llm.common import byte_chunks
-
     for part in byte_chunks(batch, name, limit):
         yield part, part.column(name).to_pylist()
