@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import crc_text
 
 #: Bounds of the sample: documents of each label, and bytes of one document; larger ones are scored but not learnt from.
-PER_LABEL, LARGEST = 1500, 1 << 17
+PER_LABEL, LARGEST = 1500, 1 << 15
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_label: int = PER_LABEL, largest: int = LARGEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
