@@ -18,6 +18,8 @@ END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this many bytes are always stored.
 LEAST = 1000
+#: Bytes of a file in which pieces are matched with the records they may belong to.
+BIN = 1 << 18
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> None:
@@ -124,7 +126,10 @@ def reachable(found: DataFrame) -> DataFrame:
 
 def _joined_payloads(spark: SparkSession, path: str, broken: DataFrame, found: DataFrame) -> DataFrame:
     """(file, offset, body_digest) of records whose payload holds the magic: their pieces are put together again."""
-    parts = found.select("file", "split", "place", F.col("offset").alias("piece"), F.col("size").alias("piece_size")).join(broken.select("file", "offset", "body_at", "length", "next"), "file").where((F.col("piece") >= F.col("offset")) & (F.col("piece") < F.col("next") - len(END)))
+    # both sides are cut into bins of the file, so a record meets only pieces near it
+    spans = broken.select("file", "offset", "body_at", "length", "next", F.explode(F.sequence(F.expr(f"offset div {BIN}"), F.expr(f"next div {BIN}"))).alias("bin"))
+    pieces = found.select("file", "split", "place", F.col("offset").alias("piece"), F.col("size").alias("piece_size"), F.expr(f"offset div {BIN}").alias("bin"))
+    parts = pieces.join(spans, ["file", "bin"]).where((F.col("piece") >= F.col("offset")) & (F.col("piece") < F.col("next") - len(END))).drop("bin")
     splits = parts.select("file", "split").distinct()
     texts = _pieces(spark, path).join(splits, ["file", "split"], "left_semi").select("file", "split", "mid", "value")
     texts = texts.withColumn("place", F.row_number().over(Window.partitionBy("file", "split").orderBy("mid")).cast("long") - 1).drop("mid")
