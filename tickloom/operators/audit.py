@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import first_case
-from tickloom.operators.intervals import with_previous
+from tickloom.operators.intervals import event_holes, with_previous
 
 INTERVAL_CAP, RESET_FRAMES = 500, 3
 #: Counters of a symbol that one task orders.
@@ -176,3 +176,26 @@ def longest_holes(holes: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     """A key's longest holes."""
     order = Window.partitionBy(*keys).orderBy(F.col("seconds").desc(), "start")
     return holes.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+
+
+def session_audit(frames: DataFrame, hole_start: int, hole_end: int, least_hole: int) -> dict[str, DataFrame]:
+    """The tables of a session's audit: ``gaps``, ``ledger``, ``totals``, ``latency``, ``holes`` and a one-row ``status``.
+
+    ``frames``: symbol, cum, volume, cvolume, hms, recv_wall_ns, conn_id, stream, minute_kst, latency_s, second, torn. The
+    status is UNAVAILABLE without frames, PARTIAL if a file was torn, else OK.
+    """
+    gaps = counter_gaps(frames)
+    totals = loss_totals(frames, gaps)
+    status = frames.agg(F.count("*").alias("rows"), F.count_if("torn").alias("torn_rows")).withColumn("status", first_case([(F.col("rows") == 0, F.lit("UNAVAILABLE")), (F.col("torn_rows") > 0, F.lit("PARTIAL"))], "OK"))
+    session = totals.agg(F.coalesce(F.sum("trades_observed"), F.lit(0)).alias("trades_observed"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
+    return {"gaps": top_intervals(gaps), "ledger": totals, "totals": session, "latency": merge_connections(latency_minutes(frames)), "holes": event_holes(frames.select("stream", "second"), ["stream"], hole_start, hole_end, least_hole), "status": status}
+
+
+def session_check(totals: DataFrame, outages: DataFrame, expected: DataFrame, max_outage_s: int) -> DataFrame:
+    """A status row per expected (symbol): missing from the totals, too long out, over its loss budget, or fine.
+
+    ``outages``: symbol, seconds; ``totals`` as of :func:`loss_totals`.
+    """
+    rows = expected.join(totals, "symbol", "left").join(outages, "symbol", "left")
+    status = first_case([(F.col("trades_observed").isNull(), F.lit("NO_FRAMES")), (F.coalesce("seconds", F.lit(0)) > max_outage_s, F.lit("OUTAGE")), (F.col("loss_ratio") > 5e-2, F.lit("LOSS"))], "OK")
+    return rows.select("symbol", status.alias("status"))

@@ -141,3 +141,34 @@ def fallback_bars(rows: DataFrame, day: str) -> DataFrame:
     """Quotes (symbol, date, close, diff) as bars of one day: base = close - diff, change in percent, 0 where the base is 0."""
     base = F.col("close") - F.col("diff")
     return rows.where(F.col("date") == day).withColumns({"base_price": base, "daily_change_pct": F.coalesce(F.try_divide(F.col("diff") * 100.0, base), F.lit(0.0))})
+
+
+def append_bars(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, keys=("date", "symbol")) -> DataFrame:
+    """Bars added to a month store: cast to the schema with missing optional columns as nulls, bad rows left out, days of implausible height refused.
+
+    Returns (date, rows, reference, plausible) of the days offered; only plausible ones are stored.
+    """
+    from tickloom.operators.validation import plausible_height, split_invalid
+
+    have = set(rows.columns)
+    cast = rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    valid, _ = split_invalid(cast)
+    try:
+        stored = scan_months(spark, path, schema).groupBy("date").agg(F.count("*").alias("rows"))
+        stored.schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        stored = spark.createDataFrame([], "date date, rows long")
+    offered = valid.groupBy("date").agg(F.count("*").alias("rows"))
+    days = plausible_height(stored.join(offered.select("date"), "date", "left_anti"), offered).checkpoint() if spark.sparkContext.getCheckpointDir() else plausible_height(stored.join(offered.select("date"), "date", "left_anti"), offered).cache()
+    days.count()
+    upsert_months(spark, path, valid.join(days.where("plausible").select("date"), "date", "left_semi").select(*schema.names), list(keys))
+    return days
+
+
+def retention(partitions: DataFrame, cutoff, verified: DataFrame, held: DataFrame) -> DataFrame:
+    """``action`` for partitions (path, bytes, dt): deletable if past the cutoff, verified remotely by path and size, and not held."""
+    rows = partitions.join(verified.select("path", "bytes").distinct().withColumn("_verified", F.lit(True)), ["path", "bytes"], "left").join(held.select("path").distinct().withColumn("_held", F.lit(True)), "path", "left")
+    action = F.when(F.col("dt") >= F.lit(cutoff), "keep").when(F.col("_verified").isNull(), "unverified").when(F.col("_held").isNotNull(), "held").otherwise("delete")
+    return rows.select("path", action.alias("action"))
