@@ -21,7 +21,7 @@ def test_stages(spark):
         out = stage(apply(spark, docs, sf), name)
         assert out.columns == columns
         if name == "near_dedup":
-            groups = near_duplicates(docs).toPandas()
+            groups = near_duplicates(docs, wide=True).toPandas()
             assert sorted(r.doc_id for r in out.collect()) == sorted(groups.component_id.unique())
         if name == "decontamination":
             clean = {r.doc_id for r in decontaminate(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).where("not contaminated").collect()}

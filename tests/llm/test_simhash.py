@@ -82,6 +82,25 @@ def test_every_near_pair_shares_a_block(spark):
 
 
 def test_long_runs_stay_linear():
-    prints = np.array([1 << i for i in range(64)] * 1 + [3 << i for i in range(63)], np.uint64)
+    prints = np.array([1 << i for i in range(64)] + [3 << i for i in range(63)], np.uint64)[:, None]
     found = block_links(np.zeros(len(prints), np.int64), prints, 3)
     assert sum(len(a) for a, _ in found) == len(prints) - 1
+
+
+def test_wide_fingerprints_find_copies_with_more_changes(spark):
+    rng = random.Random(11)
+    docs, groups = [], {}
+    for g in range(25):
+        base = rng.choices([f"w{i}" for i in range(5000)], k=400)
+        for c in range(4):
+            w = list(base)
+            for k in rng.sample(range(400), 3 * c):  # similarities of about 0.93, 0.86, 0.80 with the first
+                w[k] = f"x{rng.randrange(5000)}"
+            docs.append((len(docs), " ".join(w)))
+            groups[len(docs) - 1] = g * 4
+    docs += [(900, None), (901, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, wide=True).collect()}
+    assert all(got[i] in (i, *range(g, g + 4)) for i, g in groups.items())
+    assert sum(got[g + 1] == g for g in set(groups.values())) >= 23
+    assert got[900] == got[901] == 900
