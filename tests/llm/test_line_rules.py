@@ -40,3 +40,46 @@ def test_clean_documents_are_kept(spark):
     total = {r.quality: r["count(1)"] for r in rows}
     assert kept[1]["count"] >= 0.97 * total[1]
     assert kept[0]["count"] <= 0.3 * total[0] if 0 in kept else True
+
+
+def slow(text):
+    """The counts and the verdict, text by text in plain Python."""
+    import re
+
+    from tickloom.llm import line_rules as r
+
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0d]+", text)
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    cover = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(5)}
+    lost = total = dup = 0
+    seen, clean = set(), []
+    for line in text.split("\n"):
+        w = re.findall(r"[^\x20\x09-\x0d]+", line)
+        size = sum(map(len, w))
+        if not size:
+            clean.append(line)
+            continue
+        dup += line in seen
+        seen.add(line)
+        total += size
+        bad = line.count("|") >= r.BARS or line.count("!!") >= r.SHOUTS or 100 * sum(line.count(c) for c in r.SYMBOLS) > r.SYMBOL_PERCENT * size
+        bad = bad or (len(w) >= r.BARE_WORDS and not any(c in line for c in r.PUNCTUATION)) or re.search(r.BOILERPLATE, re.sub("[A-Z]", lambda m: m[0].lower(), line))
+        if bad:
+            lost += size
+        else:
+            clean.append(line)
+    failed = len(words) < 10 or 100 * len(cover) > 20 * len(words)
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in r.SYMBOLS), dup, len(cover), failed, not failed and 100 * lost <= 50 * total, "\n".join(clean)
+
+
+def test_batches_equal_plain_python(spark):
+    import random
+
+    rng = random.Random(7)
+    parts = ["a", "bb", "é", "ñandú", "|", "!!", "!!!", "!", "#", "$%", ".", ",", "\n", "\n\n", " ", "\t", "\x1c", "Click Here", "all rights reserved", "licensed\nunder", "日本", "x y z w v", ""]
+    texts = [None, "", "\n", "!!\n!!", "a!!b\n!!c!!!!d"] + ["".join(rng.choice(parts) + rng.choice([" ", "", "\n", " "]) for _ in range(rng.randrange(60))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: tuple(r)[1:] for r in line_rules(df, with_text=True).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == slow(text), repr(text)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_chunks
+from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, mix, text_bytes, word_hashes, word_spans
+from tickloom.llm.decontaminate import gram_hashes
 
 #: Fixed values of the base counts.
 SYMBOLS = "#*$%&|<>"
@@ -21,68 +20,135 @@ BOILERPLATE = "licensed under|copyright|all rights reserved|spdx-license-identif
 PUNCTUATION = ".!?,;:"
 #: A document goes if over this percentage of its lines' words, in characters, is removed.
 LOST_PERCENT = 50
-_BOILERPLATE = re.compile(BOILERPLATE)
-_SPACE = " \t\n\x0b\x0c\r"
-_NO_SPACE = {ord(c): None for c in _SPACE}
-_NO_SYMBOL = {ord(c): None for c in SYMBOLS}
-_LOWER = {c: c + 32 for c in range(65, 91)}
-_SPLIT = re.compile("[\x20\x09-\x0d]+")
-
-
-def words_of(text: str) -> list[str]:
-    return [w for w in _SPLIT.split(text) if w]
+_PHRASES = [x.encode() for x in BOILERPLATE.split("|")]
+
+
+def _table(chars: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(chars.encode())] = True
+    return table
+
+
+_SYMBOL, _PUNCTUATION, _BAR = _table(SYMBOLS), _table(PUNCTUATION), _table("|")
+#: Bytes that begin a character other than white space.
+_CHARACTER = NON_SPACE & ((np.arange(256) & 0xC0) != 0x80)
+
+
+def _totals(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return sums[ends] - sums[starts]
+
+
+def _distinct(row: np.ndarray, hashes: np.ndarray, rows: int) -> np.ndarray:
+    """Distinct hashes of each row."""
+    order = np.lexsort((hashes, row))
+    r, h = row[order], hashes[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
+    return np.bincount(r[new], minlength=rows)
+
+
+def _repeated(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Words of each row inside ``RUN``-word windows that occur twice or more in the row."""
+    rows, n = len(before) - 1, len(words)
+    row = np.repeat(np.arange(rows), np.diff(before))
+    at = np.flatnonzero(np.repeat(before[1:], np.diff(before)) - np.arange(n) >= RUN)
+    if not len(at):
+        return np.zeros(rows, np.int64)
+    key = mix(gram_hashes(words, RUN)[at] + row[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    starts = at[order[twice]]
+    cover = np.bincount(starts, minlength=n + 1) - np.bincount(starts + RUN, minlength=n + 1)[: n + 1]
+    return np.bincount(row[np.cumsum(cover)[:n] > 0], minlength=rows)
+
+
+def line_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row) of the lines of each row; a row has one line more than line feeds."""
+    feeds = np.flatnonzero(data == 10)
+    row = np.searchsorted(off, feeds, "right") - 1
+    starts = np.concatenate([off[:-1], feeds + 1])
+    ends = np.concatenate([feeds, off[1:]])
+    order = np.lexsort((starts, np.concatenate([np.arange(len(off) - 1), row])))
+    rows = np.sort(np.concatenate([np.arange(len(off) - 1), row]), kind="stable")
+    closing = np.lexsort((ends, np.concatenate([row, np.arange(len(off) - 1)])))
+    return starts[order], ends[closing], rows
+
+
+def failing_lines(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Whether each line, of ``chars`` characters besides white space, is removed."""
+    bang = data == 33
+    fails = _totals(_BAR[data], starts, ends) >= BARS
+    if bang.any():
+        # pairs of exclamation marks: every second mark of a run that no line end cuts
+        edge = bang.copy()
+        edge[1:] &= ~bang[:-1]
+        begins = starts[starts < len(data)]
+        edge[begins] = bang[begins]
+        places = np.flatnonzero(bang)
+        first = np.maximum.accumulate(np.where(edge[places], np.arange(len(places)), 0))
+        second = np.zeros(len(data), bool)
+        second[places] = (np.arange(len(places)) - first) % 2 == 1
+        fails |= _totals(second, starts, ends) >= SHOUTS
+    fails |= 100 * _totals(_SYMBOL[data], starts, ends) > SYMBOL_PERCENT * chars
+    word = NON_SPACE[data]
+    begin = word.copy()
+    begin[1:] &= ~word[:-1]
+    heads = starts[starts < len(data)]
+    begin[heads] = word[heads]
+    fails |= (_totals(begin, starts, ends) >= BARE_WORDS) & (_totals(_PUNCTUATION[data], starts, ends) == 0)
+    low = LOWER[data].tobytes()
+    for phrase in _PHRASES:
+        at = low.find(phrase)
+        while at >= 0:
+            line = int(np.searchsorted(starts, at, "right")) - 1
+            if at + len(phrase) <= ends[line]:
+                fails[line] = True
+            at = low.find(phrase, at + 1)
+    return fails
+
+
+def measure_all(data: np.ndarray, off: np.ndarray):
+    """(columns of counts and flags by row; lines' starts, ends, rows and whether they stay) of texts as bytes."""
+    rows = len(off) - 1
+    starts, ends, before = word_spans(data, off, NON_SPACE)
+    n_words = np.diff(before)
+    repeated = _repeated(word_hashes(data, starts, ends), before)
+    word_chars, symbols = _totals(_CHARACTER[data], off[:-1], off[1:]), _totals(_SYMBOL[data], off[:-1], off[1:])
+    a, b, row = line_spans(data, off)
+    chars = _totals(_CHARACTER[data], a, b)
+    full = chars > 0
+    fails = np.zeros(len(a), bool)
+    fails[full] = failing_lines(data, a, b, chars)[full]
+    lines = np.flatnonzero(full)
+    dup = np.bincount(row[lines], minlength=rows) - _distinct(row[lines], word_hashes(data, a[lines], b[lines]), rows)
+    lost, total = np.bincount(row, chars * fails, rows).astype(np.int64), np.bincount(row, chars, rows).astype(np.int64)
+    failed = (n_words < LEAST_WORDS) | (100 * repeated > REPEAT_PERCENT * n_words)
+    kept = ~failed & (100 * lost <= LOST_PERCENT * total)
+    return (n_words, word_chars, symbols, dup, repeated, failed, kept), (a, b, row, ~fails)
+
+
+def _cleaned(data: np.ndarray, lines, rows: int) -> list[str]:
+    """Each text without its failing lines."""
+    out: list[list[bytes]] = [[] for _ in range(rows)]
+    raw = data.tobytes()
+    for a, b, row, stays in zip(*(x.tolist() for x in lines), strict=True):
+        if stays:
+            out[row].append(raw[a:b])
+    return [b"\n".join(x).decode() for x in out]
+
+
+def measure(text: str | None) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, cleaned text) of one text."""
+    data, off = text_bytes(pa.array([text], pa.string()))
+    columns, lines = measure_all(data, off)
+    return (*(x[0].item() for x in columns), _cleaned(data, lines, 1)[0])
 
 
 def repeated_words(words: list[str]) -> int:
     """Words inside ``RUN``-word windows that occur twice or more."""
-    n = len(words) - RUN + 1
-    if n < 2:
-        return 0
-    ids: dict[str, int] = {}
-    at = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.uint64, len(words))
-    key = np.zeros(n, np.uint64)
-    for j in range(RUN):  # windows get exact ids, one word at a time
-        key = np.unique(key * np.uint64(len(ids) + 1) + at[j : j + n], return_inverse=True)[1].astype(np.uint64)
-    starts = np.flatnonzero(np.bincount(key.astype(np.int64))[key.astype(np.int64)] > 1)
-    cover = np.zeros(len(words) + 1, np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + RUN, -1)
-    return int((np.cumsum(cover) > 0).sum())
-
-
-def line_fails(line: str, words: int, chars: int) -> bool:
-    """Whether a line with ``words`` words of ``chars`` characters is removed."""
-    if line.count("|") >= BARS or line.count("!!") >= SHOUTS:
-        return True
-    symbols = len(line) - len(line.translate(_NO_SYMBOL))
-    if 100 * symbols > SYMBOL_PERCENT * chars:
-        return True
-    if words >= BARE_WORDS and not any(c in line for c in PUNCTUATION):
-        return True
-    return _BOILERPLATE.search(line.translate(_LOWER)) is not None
-
-
-def measure(text: str | None) -> tuple[int, int, int, int, int, bool, bool, str]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, cleaned text)."""
-    text = text or ""
-    words = words_of(text)
-    chars = len(text.translate(_NO_SPACE))
-    seen, dup, lost, total, clean = set(), 0, 0, 0, []
-    for line in text.split("\n"):
-        size = len(line.translate(_NO_SPACE))
-        if not size:
-            clean.append(line)
-            continue
-        dup += line in seen
-        seen.add(line)
-        total += size
-        if line_fails(line, len(words_of(line)), size):
-            lost += size
-        else:
-            clean.append(line)
-    repeated = repeated_words(words)
-    failed = len(words) < LEAST_WORDS or 100 * repeated > REPEAT_PERCENT * len(words)
-    return len(words), chars, len(text) - len(text.translate(_NO_SYMBOL)), dup, repeated, failed, not failed and 100 * lost <= LOST_PERCENT * total, "\n".join(clean)
+    return measure(" ".join(words))[4]
 
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -94,10 +160,11 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         for whole in batches:
-            for batch in byte_chunks(whole, "t"):
-                found = list(zip(*map(measure, batch.column("t").to_pylist()), strict=True)) or [()] * 8
-                fields = [pa.array(x, pa.int64()) for x in found[:5]] + [pa.array(x, pa.bool_()) for x in found[5:7]]
-                yield pa.RecordBatch.from_arrays([batch.column("i"), *fields, *([pa.array(found[7], pa.string())] if with_text else [])], names)
+            for batch in byte_chunks(whole, "t", 2 << 20):
+                data, off = text_bytes(batch.column("t"))
+                columns, lines = measure_all(data, off)
+                fields = [pa.array(x, pa.int64()) for x in columns[:5]] + [pa.array(x) for x in columns[5:]]
+                yield pa.RecordBatch.from_arrays([batch.column("i"), *fields, *([pa.array(_cleaned(data, lines, len(batch)), pa.string())] if with_text else [])], names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *(["text"] if with_text else [])]
     source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
