@@ -47,6 +47,39 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept == {r.doc_id for r in rows if not r.predicted}
 
 
+def test_toxic_words_inside_long_runs():
+    docs, labels = toxic_corpus()
+    rng = random.Random(3)
+    han = [chr(0x4E00 + i) for i in range(400)]
+
+    def runs(n, most):
+        for i in range(n):
+            run = rng.choices(han, k=rng.choice([40, most]))
+            if i % 3 == 0:
+                run[rng.randrange(25, len(run)) : 0] = "毒詞罵"
+            yield "".join(run), int(i % 3 == 0)
+
+    known = list(runs(300, 120))
+    model = t.train([d for _, d in docs] + [d for d, _ in known], np.array([y for _, y, _ in labels] + [y for _, y in known]))
+    new = list(runs(150, 900))
+    got = t.scores(*text_bytes(pa.array([d for d, _ in new])), model) >= 0.5
+    assert np.mean(got == [y == 1 for _, y in new]) > 0.97
+    glue = "".join(c for c in prose(rng, 120) if c.isalpha())[:140]
+    texts = [glue, *[glue[k:100] + w + rest for k in range(6) for w in ("grumflix", "zomblat", "Quibjerk") for rest in ("", glue[100:])]]
+    assert (t.scores(*text_bytes(pa.array(texts)), model) >= 0.5).tolist() == [False] + [True] * 36
+
+
+def test_pieces_hold_every_gram():
+    rng = random.Random(2)
+    sizes = [1, 12, 24, 25, 26, 27, 28, 29, 300, 24, 5]
+    data, off = text_bytes(pa.array(["".join(rng.choices("abcdefgh", k=n)) for n in sizes]))
+    starts, ends, before = t.pieces(off[:-1], off[1:], np.arange(len(off)))
+    for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
+        own = list(zip(starts[before[i] : before[i + 1]].tolist(), ends[before[i] : before[i + 1]].tolist(), strict=True))
+        assert all(any(lo <= k and k + n <= hi for lo, hi in own) for n in t.GRAMS for k in range(a, b - n + 1))
+        assert own[0][0] == a and own[-1][1] == b and (len(own) == 1) == (b - a <= t.LONGEST)
+
+
 def test_without_labels(spark):
     d, y = tables(spark, [(1, "a b"), (2, None)], [])
     assert {r.predicted for r in t.toxicity(d, y).collect()} == {0}

@@ -21,8 +21,9 @@ from tickloom.llm.labelled import PER_LABEL, sample_of
 WINDOW, GRAMS, BUCKETS, WIDTH = 2, (3, 4, 5), 1 << 20, 4
 #: Adam steps, their rate, the factor on a window's mean (the share of one word is small), and the least uses of an n-gram.
 STEPS, RATE, GAIN, LEAST_USES = 36, 0.05, 16.0, 5
-#: Bytes of a word that count; the rest of a longer one is cut off from its n-grams.
-LONGEST = 64
+#: A run of more bytes (scripts without spaces, glued letters) is cut into pieces of so many bytes, so many apart, each a word
+#: of its own. Pieces are short and overlap by more than the longest n-gram, so that a word in a run is not diluted by the rest.
+LONGEST, PIECE, PIECE_STEP = 24, 12, 4
 #: Words whose n-grams are handled at once.
 SLICE = 1 << 15
 #: Letters in lower case and every digit as 0: numbers say nothing, so none is learnt by heart.
@@ -38,10 +39,19 @@ class Model:
     bias: float
 
 
+def pieces(starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, words before each row) with long runs cut into pieces; each n-gram of a run is whole in one of them."""
+    long = ends - starts > LONGEST
+    count = np.where(long, -(-(ends - starts - PIECE) // PIECE_STEP) + 1, 1)
+    first = np.concatenate([[0], np.cumsum(count)])
+    cut = np.repeat(starts, count) + (np.arange(first[-1]) - np.repeat(first[:-1], count)) * PIECE_STEP
+    return cut, np.minimum(cut + np.where(np.repeat(long, count), PIECE, LONGEST), np.repeat(ends, count)), first[before]
+
+
 def words_and_windows(data: np.ndarray, off: np.ndarray):
     """(distinct words' spans, word of each place, windows' first places, windows before each row)."""
     data = PLAIN[data]
-    starts, ends, before = word_spans(data, off, ALNUM)
+    starts, ends, before = pieces(*word_spans(data, off, ALNUM))
     _, first, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
     counts = -(-np.diff(before) // WINDOW)
     windows = np.concatenate([[0], np.cumsum(counts)])
@@ -54,7 +64,7 @@ def gram_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     """(bucket of each n-gram of `<word>`, n-grams before each word); words are taken in slices, so little is held besides."""
     found, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for i in range(0, len(starts), SLICE):
-        a, size = starts[i : i + SLICE], np.minimum(ends[i : i + SLICE] - starts[i : i + SLICE], LONGEST) + 2
+        a, size = starts[i : i + SLICE], ends[i : i + SLICE] - starts[i : i + SLICE] + 2
         off = np.concatenate([[0], np.cumsum(size)])
         text = np.full(off[-1], ord("<"), np.uint64)
         inner = np.ones(off[-1], bool)
@@ -87,8 +97,10 @@ def scores(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
     data, starts, ends, which, heads, windows = words_and_windows(data, off)
     if not len(which):
         return out
-    ids, before = gram_ids(data, starts, ends)
-    word = _means(model.grams[ids].astype(np.float64), before)
+    word = np.empty(len(starts))
+    for i in range(0, len(starts), SLICE):  # bounds the memory of n-grams
+        ids, before = gram_ids(data, starts[i : i + SLICE], ends[i : i + SLICE])
+        word[i : i + SLICE] = _means(model.grams[ids].astype(np.float64), before)
     window = _means(word[which], np.append(heads, len(which))) + model.bias
     full = np.flatnonzero(np.diff(windows) > 0)
     worst = np.maximum.reduceat(window, windows[full])
