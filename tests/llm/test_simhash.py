@@ -104,3 +104,43 @@ def test_wide_fingerprints_find_copies_with_more_changes(spark):
     assert all(got[i] in (i, *range(g, g + 4)) for i, g in groups.items())
     assert sum(got[g + 1] == g for g in set(groups.values())) >= 23
     assert got[900] == got[901] == 900
+
+
+def five_word_sets(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def test_pairs_at_the_similarity_are_found_and_others_are_not(spark):
+    rng = random.Random(17)
+    docs, want = [], {}
+    for changes in (3, 6, 8, 9, 10, 14):  # similarities of about 0.93, 0.86, 0.82, 0.80, 0.78, 0.70
+        for _ in range(60):
+            base = rng.choices([f"w{i}" for i in range(5000)], k=400)
+            w = list(base)
+            for k in rng.sample(range(400), changes):
+                w[k] = f"x{rng.randrange(5000)}"
+            x, y = five_word_sets(" ".join(base)), five_word_sets(" ".join(w))
+            want[len(docs)] = (changes, 5 * len(x & y) >= 4 * len(x | y))
+            docs += [(len(docs), " ".join(base)), (len(docs) + 1, " ".join(w))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, wide=True).collect()}
+    assert all(got[i + 1] == i + 1 for i, (_, near) in want.items() if not near)
+    for changes in (3, 6, 8, 9):
+        linked = [got[i + 1] == i for i, (c, near) in want.items() if near and c == changes]
+        assert np.mean(linked) >= 0.97 and len(linked) > 10, (changes, np.mean(linked))
+
+
+def test_repeated_passages_do_not_link(spark):
+    rng = random.Random(19)
+    line = " ".join(f"line{i}" for i in range(8))
+    docs = [(i, " ".join(rng.choices([f"w{k}" for k in range(5000)], k=(60, 100, 150)[i % 3]) + [line] * 30)) for i in range(60)]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), wide=True).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+
+
+def test_long_runs_of_candidates_keep_unsure_pairs():
+    # a chain: each print is 2 bits from the next; only pairs within 1 are sure
+    prints = np.array([(1 << 2 * i) - 1 for i in range(20)] + [1], np.uint64)[:, None]
+    found = {frozenset(x) for a, b in block_links(np.zeros(21, np.int64), prints, 2, 1) for x in zip(a.tolist(), b.tolist(), strict=True)}
+    assert all(frozenset((i, i + 1)) in found for i in range(1, 19)) and frozenset((0, 20)) in found

@@ -18,10 +18,12 @@ COUNTED = 1 << 15
 #: Six blocks of the 64 bits; pairs within 3 bits agree on at least three of them.
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 DISTANCE = 3
-#: Wide fingerprints: words of their shingles, 64-bit words, bits of a block, and the share of bits in which near copies may
-#: differ. Two sets of equal size with a Jaccard similarity of 0.8 are 27 degrees apart, 0.15 of the bits; they share one of
-#: the 32 blocks with a chance of 0.47, at a similarity of 0.9 with 0.90 and at 0.95 with 0.997.
-WIDE_SHINGLE, WIDE_LANES, WIDE_BLOCK, WIDE_SHARE = 5, 12, 24, 0.16
+#: The similarity search of ``wide``: words of a shingle, and the Jaccard similarity of shingle sets that links (over five).
+#: Candidates share a band of so many minima: at a similarity of 0.8 one of the bands with a chance of 0.998 by formula.
+WIDE_SHINGLE, SIMILAR_FIFTHS, BANDS, BAND = 5, 4, 16, 5
+#: 64-bit words of the wide fingerprint. Sets with a similarity of 0.8 differ in 0.15 of the bits, by about 0.013 more or less;
+#: in long runs of candidates those below ``SURE_SHARE`` link by a spanning forest, others up to ``WIDE_SHARE`` pair by pair.
+WIDE_LANES, SURE_SHARE, WIDE_SHARE = 12, 0.115, 0.25
 #: Fixed: the seed of the shingle hash.
 SEED = 42
 _TO_LOWER = bytes(LOWER)
@@ -47,31 +49,31 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, wide: bool = False) -> DataFrame:
-    """(doc_id, print, wide) of each row: the print as a signed long, and the wide one as bytes if asked for."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, print) of each row, the print as a signed long."""
 
     def run(batches):
         hold("simhash")
         for whole in batches:
             for batch in byte_chunks(whole, "t", 2 << 20):
                 prints = np.array([fingerprint(t, shingle) for t in batch.column("t").to_pylist()], np.uint64)
-                more = [r.tobytes() for r in wide_prints(batch).astype(">u8")] if wide else [b""] * len(batch)
-                yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(prints.view(np.int64)), pa.array(more, pa.binary())], ["doc_id", "print", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
 
     source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long, wide binary")
+    return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long")
 
 
-def block_links(key: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places whose prints (rows of 64-bit words) are within ``distance``, connecting all that such pairs connect in each run of equal keys.
 
     Short runs give every pair; in long ones a breadth-first walk gives a spanning forest, so pairs stay below rows and
-    memory at the run.
+    memory at the run. With ``sure``, where links are confirmed later, the forest is of pairs within ``sure``, and every
+    pair between its trees that is within ``distance`` is given as well.
     """
     out = []
 
-    def close(a, b):
-        return np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64) <= distance
+    def close(a, b, limit=distance):
+        return np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64) <= limit
 
     cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
     starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
@@ -85,28 +87,36 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int) -> list[tupl
         at = at[close(at, at + shift)]
         out.append((at, at + shift))
     for a, b in zip(starts[sizes > 8].tolist(), ends[sizes > 8].tolist(), strict=True):
-        rest = np.arange(a, b)
+        rest, tree = np.arange(a, b), np.arange(a, b)
         while len(rest):
             frontier, rest = [rest[0]], rest[1:]
+            root = frontier[0]
             while frontier and len(rest):
                 one = frontier.pop()
-                near = close(rest, [one])
+                near = close(rest, [one], distance if sure is None else sure)
                 if near.any():
                     found = rest[near]
                     rest = rest[~near]
                     out.append((np.full(len(found), one), found))
                     frontier.extend(found)
+                    tree[found - a] = root
+        if sure is not None and (tree != tree[0]).any():
+            for one in range(a, b - 1):
+                other = np.flatnonzero(tree[one - a + 1 :] != tree[one - a]) + one + 1
+                found = other[close(other, [one])]
+                if len(found):
+                    out.append((np.full(len(found), one), found))
     return out
 
 
-def _verify(rows: DataFrame, distance: int) -> DataFrame:
+def _verify(rows: DataFrame, distance: int, sure: int | None = None) -> DataFrame:
     """Links (a, b) of nodes that share a block and are within ``distance`` bits; ``rows``: block, node, bits.
 
     Rows are dealt and sorted by block; a run that reaches the end of a batch waits for the next.
     """
 
     def links(key, prints, nodes):
-        found = block_links(key, prints, distance) if len(key) > 1 else []
+        found = block_links(key, prints, distance, sure) if len(key) > 1 else []
         if found:
             a, b = (nodes[np.concatenate(x)] for x in zip(*found, strict=True))
             for i in range(0, len(a), 1 << 16):
@@ -145,62 +155,107 @@ def print_links(prints: DataFrame) -> DataFrame:
     return _verify(prints.select(F.explode(F.array(*blocks)).alias("block"), F.col("print").alias("node"), bits.alias("bits")), DISTANCE)
 
 
-def wide_prints(batch: pa.RecordBatch, lanes: int = WIDE_LANES) -> np.ndarray:
-    """(rows, lanes): the wide fingerprint of each text, of its shingles of ``WIDE_SHINGLE`` words; zero without words."""
+def shingle_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's runs of ``WIDE_SHINGLE`` words; a shorter text is one run."""
     data, off = text_bytes(batch.column("t"))
     data = LOWER[data]
     starts, ends, before = word_spans(data, off, NON_SPACE)
     words = word_hashes(data, starts, ends)
     grams = gram_hashes(words, WIDE_SHINGLE)
-    salts = np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    out = np.zeros((len(before) - 1, lanes), np.uint64)
-    for i, (a, b) in enumerate(zip(before[:-1].tolist(), before[1:].tolist(), strict=True)):
-        if a == b:
-            continue
-        own = grams[a : b - WIDE_SHINGLE + 1] if b - a >= WIDE_SHINGLE else gram_hashes(words[a:b], b - a)
-        ones = np.zeros(64 * lanes, np.int64)
-        for j in range(0, len(own), COUNTED >> 3):
-            part = mix(own[j : j + (COUNTED >> 3), None] ^ salts)
-            ones += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(len(part), -1), axis=1).sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits((2 * ones > len(own)).reshape(lanes, 64), axis=1).view(">u8").ravel()
+    out = []
+    for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
+        own = grams[a : b - WIDE_SHINGLE + 1] if b - a >= WIDE_SHINGLE else gram_hashes(words[a:b], max(1, b - a))
+        out.append(np.unique(own))
     return out
 
 
-def wide_links(rows: DataFrame, share: float = WIDE_SHARE) -> DataFrame:
-    """Links (a, b) of prints whose wide fingerprints (``rows``: print, wide) differ in at most ``share`` of their bits.
+_SALTS = np.arange(1, WIDE_LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Odd factors: hashes are mixed already, so products with them order the shingles anew.
+_FACTORS = mix(np.arange(1, BANDS * BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def wide_print(own: np.ndarray) -> np.ndarray:
+    """The wide fingerprint of a set of shingle hashes."""
+    ones = np.zeros(64 * WIDE_LANES, np.int64)
+    for j in range(0, len(own), COUNTED >> 3):
+        part = mix(own[j : j + (COUNTED >> 3), None] ^ _SALTS)
+        ones += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(len(part), -1), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits((2 * ones > len(own)).reshape(WIDE_LANES, 64), axis=1).view(">u8").ravel()
+
 
-    The fingerprint is cut into disjoint blocks; a pair that shares one is compared over the whole width. The closer two
-    texts are, the surer they share a block.
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """A key for each band of minima of a set of shingle hashes, which is not empty."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for j in range(0, len(own), COUNTED >> 3):
+        np.minimum(least, (own[j : j + (COUNTED >> 3), None] * _FACTORS).min(axis=0), out=least)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND).T:
+        key = mix(key ^ column) + column
+    return key
+
+
+def similar_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, print, node, bits, bands, grams) of each row: equal sets of shingles are one node, a text without words is 0."""
+
+    def run(batches):
+        hold("simhash")
+        for whole in batches:
+            for batch in byte_chunks(whole, "t", 2 << 20):
+                prints = np.array([fingerprint(t, shingle) for t in batch.column("t").to_pylist()], np.uint64)
+                sets = shingle_sets(batch)
+                nodes = np.array([int(mix(mix(x) ^ np.uint64(len(x))).sum(dtype=np.uint64)) for x in sets], np.uint64)
+                bits = [wide_print(x).astype(">u8").tobytes() if len(x) else b"" for x in sets]
+                bands = [band_keys(x).view(np.int64) if len(x) else [] for x in sets]
+                grams = [(x >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in sets]
+                fields = [batch.column("i"), pa.array(prints.view(np.int64)), pa.array(nodes.view(np.int64)), pa.array(bits, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(fields, ["doc_id", "print", "node", "bits", "bands", "grams"])
+
+    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long, node long, bits binary, bands array<long>, grams array<int>")
+
+
+def similar_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes whose sets have a Jaccard similarity of at least ``SIMILAR_FIFTHS`` fifths; ``nodes``: node, bits, bands, grams.
+
+    Candidates share a band; each is confirmed on the sets themselves, joined by node.
     """
-    nodes = rows.where(F.rtrim(F.hex("wide"), F.lit("0")) != "").distinct()
-    size = WIDE_BLOCK // 8
-    block = lambda i: F.conv(F.hex(F.substring("wide", size * i + 1, size)), 16, 10).cast("long") + (i << WIDE_BLOCK)
-    keyed = nodes.select(F.explode(F.array(*[block(i) for i in range(WIDE_LANES * 64 // WIDE_BLOCK)])).alias("block"), F.col("print").alias("node"), F.col("wide").alias("bits"))
-    return _verify(keyed, int(share * 64 * WIDE_LANES)).where("a <> b").distinct()
+    keyed = nodes.select(F.explode("bands").alias("block"), "node", "bits")
+    found = _verify(keyed, int(WIDE_SHARE * 64 * WIDE_LANES), int(SURE_SHARE * 64 * WIDE_LANES))
+    pairs = stage(found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+    sets = nodes.select("node", "grams")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(5 * common >= SIMILAR_FIFTHS * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, wide: bool = False) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id linked over any number of steps).
 
-    Fingerprints link at ``DISTANCE`` bits. With ``wide``, texts whose wide fingerprints are close are linked as well,
-    which finds copies with more changes.
+    Fingerprints link at ``DISTANCE`` bits. With ``wide``, texts link by the similarity of their sets of five-word
+    shingles instead, which finds copies with more changes and leaves alone those that share a repeated passage only.
 
-    Equal texts share a fingerprint and are one node, so copies add no pairs. A row without words has fingerprint zero
+    Equal texts share a node, so copies add no pairs. A row without words has fingerprint zero
     and is linked like any other. A null id is no smallest id; a component of null ids only has a null one. Repeated
     rows give a row each; other columns are ignored; an empty table gives no rows.
     """
-    rows = stage(fingerprints(docs, id_col, text_col, shingle, wide), "simhash")
-    nodes = stage(rows.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
-    links = print_links(nodes.select("print"))
     if wide:
-        links = links.unionByName(wide_links(rows.select("print", "wide")))
-    roots = connected_components(links).select(F.col("node").alias("print"), "root")
-    rooted = nodes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+        rows = stage(similar_rows(docs, id_col, text_col, shingle), "simhash")
+        of_node = [F.first(c).alias(c) for c in ("bits", "bands", "grams")]
+    else:
+        rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash").withColumn("node", F.col("print"))
+        of_node = []
+    nodes = stage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *of_node), "simhash-nodes")
+    if wide:
+        links = similar_links(nodes)
+    else:
+        links = print_links(nodes.select(F.col("node").alias("print")))
+    roots = connected_components(links)
+    rooted = nodes.select("node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = stage(rooted.join(least, "root").select("print", "n", "component_id"), "simhash-components")
-    # a print with over a 200th of the rows is hot: there are fewer than 200 of them
-    hot = by_print.where(F.col("n") > max(1000, rows.count() // 200)).select("print", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot"))
-    marked = rows.drop("wide").join(F.broadcast(hot), "print", "left")
-    cold = marked.where(F.col("hot").isNull()).join(by_print.select("print", "component_id"), "print").select("doc_id", "print", "component_id")
+    by_node = stage(rooted.join(least, "root").select("node", "n", "component_id"), "simhash-components")
+    # a node with over a 200th of the rows is hot: there are fewer than 200 of them
+    hot = by_node.where(F.col("n") > max(1000, rows.count() // 200)).select("node", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot"))
+    marked = rows.select("doc_id", "print", "node").join(F.broadcast(hot), "node", "left")
+    cold = marked.where(F.col("hot").isNull()).join(by_node.select("node", "component_id"), "node").select("doc_id", "print", "component_id")
     warm = marked.where("hot").select("doc_id", "print", F.col("hot_id").alias("component_id"))
     return cold.unionByName(warm).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
