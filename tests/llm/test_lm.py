@@ -115,3 +115,54 @@ def test_state_is_carried_over_windows():
         last = int(s)
     both = lm.neural_scores(w, np.concatenate([slots[:40], slots]), np.array([0, 40, 190]))
     assert abs(both[1] - total) < 1e-3
+
+
+def test_scores_by_brute_force(spark, monkeypatch):
+    """Token by token in plain Python from the fitted weights and the counts."""
+    fitted, fit = [], lm.train
+
+    def keep(source, vocabulary):
+        fitted.append((vocabulary, fit(source, vocabulary)))
+        return fitted[-1][1]
+
+    monkeypatch.setattr(lm, "train", keep)
+    monkeypatch.setattr(lm, "HEAD_SHARE", 300)
+    docs = [d for d in corpus(150) if d[0] != 1002] + [(1004, "a1 a2 " * 90 + "unseen")]
+    rows = lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).collect()
+    (v, w), count = fitted[0], Counter(t for i, x in docs if not held(i) for t in tokens(x))
+    slot_of = dict(zip(v.hashes.tolist(), v.slots.tolist(), strict=True))
+    w = {k: x.astype(float) for k, x in w.items()}
+
+    def softmax(z):
+        e = np.exp(z - z.max())
+        return e / e.sum()
+
+    def score(text):
+        state, last, total = np.zeros(lm.HIDDEN), lm.BEGIN, 0.0
+        n = lm.HIDDEN
+        for t in tokens(text):
+            a, b = w["x"][last], state @ w["u"]
+            z, r = (1 / (1 + np.exp(-(a[k : k + n] + b[k : k + n]))) for k in (0, n))
+            new = np.tanh(a[2 * n :] + r * b[2 * n :])
+            state = z * state + (1 - z) * new
+            last = slot_of.get(lm.hash_of(t.encode()), lm.OTHER)
+            total += math.log10(softmax(state @ w["c"] + w["cb"])[last // lm.IN_CLASS])
+            if last == lm.OTHER:
+                total += math.log10((count[t] + 1) / v.other_total)
+            else:
+                k = last // lm.IN_CLASS
+                total += math.log10(softmax(state @ w["w"][k] + w["wb"][k])[last % lm.IN_CLASS])
+        return total
+
+    want = [(i, score(x)) for i, x in docs]
+    assert len(rows) == len(docs)
+    assert all(any(i == r.doc_id and abs(r.score - s) < 0.01 for i, s in want) for r in rows)
+
+
+def test_every_sequence_trains(spark, monkeypatch):
+    """At any size all sequences of the training documents, and no others, reach the network."""
+    monkeypatch.setattr(lm, "GROUP", 16)
+    docs = corpus(200)
+    source = lm._source(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    rows = lm.training_sequences(source, lm.Vocabulary([], 0, 0)).collect()
+    assert len(rows) == sum(-(-len(tokens(x)) // lm.LENGTH) for i, x in docs if not held(i))

@@ -16,9 +16,16 @@ SEGMENT = 1 << 21
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: ``spark.checkpoint.dir``, or one of our own if unset."""
+    """A folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session, as in tests, gets one of its own; on a cluster that folder would be another one on
+    every machine, so it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="llm-shared-")
@@ -49,6 +56,15 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, times: int = 4) -> DataFrame:
+    """``df`` dealt over the cores, ``times`` parts each, where its input is in fewer splits than cores, as one small file is; else as it is.
+
+    Splits of a large input are balanced by bytes already, so it is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(times * cores)
+
+
 def crc_text(col):
     """crc32 of an id as text."""
     from pyspark.sql import functions as F
@@ -132,27 +148,54 @@ ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False
 
 def word_spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words before each row): runs of bytes in ``inside``, never across rows."""
-    m = inside[data]
-    s, e = m.copy(), m.copy()
-    s[1:] &= ~m[:-1]
-    e[:-1] &= ~m[1:]
-    full = off[:-1][np.diff(off) > 0]
-    s[full] = m[full]
-    last = off[1:][np.diff(off) > 0] - 1
-    e[last] = m[last]
-    starts, ends = np.flatnonzero(s), np.flatnonzero(e) + 1
+    heads = off[:-1][np.diff(off) > 0]
+    starts, ends = [], []
+    for lo in range(0, len(data), SEGMENT):  # masks are held for a segment of a long text only
+        hi = min(len(data), lo + SEGMENT)
+        m = inside[data[max(0, lo - 1) : hi + 1]]
+        own = m[1:] if lo else m
+        own, first = own[: hi - lo], np.ones(hi - lo, bool)
+        before = m[: hi - lo] if lo else np.concatenate([[False], m[: hi - 1]])
+        np.logical_not(before, out=first)
+        here = heads[np.searchsorted(heads, lo) : np.searchsorted(heads, hi)] - lo
+        first[here] = True
+        starts.append(np.flatnonzero(own & first) + lo)
+        last = np.ones(hi - lo, bool)
+        after = m[2 if lo else 1 :]
+        last[: len(after)] = ~after
+        cut = heads[np.searchsorted(heads, lo, "right") : np.searchsorted(heads, hi, "right")] - lo - 1
+        last[cut] = True
+        ends.append(np.flatnonzero(own & last) + lo + 1)
+    starts, ends = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (starts, ends))
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word; hashed in segments, so memory is bounded for long texts."""
+def span_totals(flag, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Bytes of each span that ``flag`` (a table of bytes, or a function of a segment's bounds) marks; spans are in order and don't overlap.
+
+    Sums run over a segment at a time, so a long text needs no array of its own size.
+    """
+    out = np.zeros(len(starts), np.int64)
+    for lo in range(0, len(data), SEGMENT):
+        hi = min(len(data), lo + SEGMENT)
+        a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(starts, hi)
+        if a < b:
+            sums = np.zeros(hi - lo + 1, np.int32)
+            np.cumsum(flag(lo, hi) if callable(flag) else flag[data[lo:hi]], out=sums[1:])
+            out[a:b] += sums[np.clip(ends[a:b] - lo, 0, hi - lo)] - sums[np.clip(starts[a:b] - lo, 0, hi - lo)]
+    return out
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each word, its bytes mapped by ``table``; hashed in segments, so memory is bounded for long texts."""
+    values = _BYTE if table is None else _BYTE[table]
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + SEGMENT)))
         lo, hi = int(starts[i]), int(ends[j - 1])
         sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[data[lo:hi]] * _powers(_P, hi - lo)[: hi - lo], out=sums[1:])
+        np.cumsum(values[data[lo:hi]] * _powers(_P, hi - lo)[: hi - lo], out=sums[1:])
         a, b = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = mix((sums[b] - sums[a]) * _powers(_P_INV, hi - lo)[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         i = j

@@ -2,8 +2,9 @@
 
 The most frequent words have outputs of their own, in classes of equal size; all other words form one more class, inside
 which they keep their smoothed share of the corpus's counts. Counts cover every training token. The network is trained by
-truncated backpropagation in the tasks that hold a fixed share of the training windows, averaged after each round; in
-scoring, the state is carried from window to window to the end of the document.
+truncated backpropagation on every training sequence: sequences are dealt by a hash of their words into groups of one
+size, so there are as many groups as the corpus needs; each group trains from the same weights, and the weights of the
+groups of a round are averaged. In scoring, the state is carried from window to window to the end of the document.
 """
 
 from __future__ import annotations
@@ -13,23 +14,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, crc_text, hash_of, stage, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, crc_text, hash_of, hold, mix, spread, stage, text_bytes, word_hashes, word_spans
 
 #: Classes and words in each; their product is the number of words with an output. State width.
-CLASSES, IN_CLASS, HIDDEN = 32, 32, 16
+CLASSES, IN_CLASS, HIDDEN = 64, 128, 16
 WORDS = CLASSES * IN_CLASS
 #: Uses of a word with an output; rarer ones teach the network what other words are like.
 LEAST_COUNT = 5
 OTHER, BEGIN = WORDS, WORDS + 1
-#: Steps of a backpropagation window and windows in a training sequence. One sequence in `1 + tokens // SHARE_TOKENS`
-#: trains, and never fewer than one in ``SHARE``, so what is learnt from grows with the corpus.
-STEPS, SPANS, SHARE, SHARE_TOKENS = 32, 3, 16, 2_000_000
+#: Steps of a backpropagation window and windows in a training sequence.
+STEPS, SPANS = 32, 3
 LENGTH = STEPS * SPANS
-BATCH, ROUNDS, RATE, LEAST_UPDATES, MOST_EPOCHS = 64, 3, 0.01, 100, 8
+#: Sequences of a step and of a group, rounds of averaging, times a group goes over its sequences, and the rate.
+BATCH, GROUP, ROUNDS, EPOCHS, RATE = 128, 8192, 3, 1, 0.02
 #: A word with at least this share of all tokens is known to every task: fewer than 200,000 words, whatever the corpus.
 HEAD_SHARE = 200_000
-#: Tokens that are scored in step.
-BLOCK_TOKENS = 6_000_000
+#: Tokens that are scored in step, and of these the ones whose outputs are held at once.
+BLOCK_TOKENS, SOFTMAX_ROWS = 6_000_000, 1 << 15
+#: Numbers of a piece of the weights, in which they are averaged.
+PIECE = 1 << 15
 #: No word holds a line feed, so this hash is the end's own.
 END = hash_of(b"\n")
 
@@ -44,7 +47,7 @@ def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    rows = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     return rows.withColumn("held", F.coalesce(crc_text("i") % 7 == 2, F.lit(False)))
 
 
@@ -112,7 +115,8 @@ def _sigmoid(v: np.ndarray) -> np.ndarray:
 def advance(w: dict, h: np.ndarray, x: np.ndarray):
     """One step: (new state, update gate, reset gate, candidate, candidate's recurrent part)."""
     a, b = w["x"][x], h @ w["u"]
-    gates = _sigmoid(np.clip(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN], -30, 30))
+    gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+    gates = _sigmoid(np.clip(gates, -30, 30, out=gates))
     z, r, back = gates[:, :HIDDEN], gates[:, HIDDEN:], b[:, 2 * HIDDEN :]
     n = np.tanh(a[:, 2 * HIDDEN :] + r * back)
     return n + z * (h - n), z, r, n, back
@@ -125,7 +129,7 @@ def _log_softmax(v: np.ndarray) -> np.ndarray:
 
 def _by_class(target: np.ndarray):
     """(class, places of its targets) for the classes of words with outputs."""
-    kind = target // IN_CLASS
+    kind = (target // IN_CLASS).astype(np.int16)
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for k in range(CLASSES):
@@ -142,83 +146,127 @@ def log_probabilities(w: dict, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     return out
 
 
-def gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
-    """(gradient of the mean loss, last state) of a window ``x`` -> ``y`` (steps, batch); targets below 0 don't count."""
-    steps, kept = [], []
+def _less_targets(logits: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarray:
+    """The gradient of the loss by its logits, in place: softmax less one at the target, scaled."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= scale / logits.sum(axis=1, keepdims=True)
+    logits[np.arange(len(logits)), target] -= scale
+    return logits
+
+
+def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
+    """(gradient of the mean loss, last state) of a window ``x`` -> ``y`` (steps, batch); targets below 0 don't count.
+
+    Per weight the rows that have a gradient (None: all) and their gradients.
+    """
+    size, kind = (len(x), len(h), HIDDEN), h.dtype
+    kept, z, r, n, rec = (np.empty(size, kind) for _ in range(5))
     for t in range(len(x)):
-        kept.append(h)
-        h, *rest = advance(w, h, x[t])
-        steps.append((h, *rest))
-    states = np.concatenate([s[0] for s in steps])
+        kept[t] = h
+        h, z[t], r[t], n[t], rec[t] = advance(w, h, x[t])
+    states = np.concatenate([kept[1:].reshape(-1, HIDDEN), h])
     target = y.ravel()
     live = np.flatnonzero(target >= 0)
-    g = {k: np.zeros_like(v) for k, v in w.items()}
     if not len(live):
-        return g, h
-    hs, ts, scale = states[live], target[live].astype(np.int64), np.float32(1 / len(live))
-    p = np.exp(_log_softmax(hs @ w["c"] + w["cb"]))
-    p[np.arange(len(live)), ts // IN_CLASS] -= 1
-    p *= scale
-    g["c"], g["cb"] = hs.T @ p, p.sum(axis=0)
+        return {}, h
+    ts, scale = target[live].astype(np.int64), kind.type(1 / len(live))
+    order = np.argsort((ts // IN_CLASS).astype(np.int16), kind="stable")
+    live, ts = live[order], ts[order]
+    hs = states[live]
+    p = _less_targets(hs @ w["c"] + w["cb"], ts // IN_CLASS, scale)
     back = p @ w["c"].T
-    for k, at in _by_class(ts):
-        q = np.exp(_log_softmax(hs[at] @ w["w"][k] + w["wb"][k]))
-        q[np.arange(len(at)), ts[at] % IN_CLASS] -= 1
-        q *= scale
-        g["w"][k], g["wb"][k] = hs[at].T @ q, q.sum(axis=0)
-        back[at] += q @ w["w"][k].T
+    cuts = np.searchsorted(ts, np.arange(CLASSES + 1) * IN_CLASS)
+    kinds = np.flatnonzero(np.diff(cuts))
+    outs, biases = np.empty((len(kinds), HIDDEN, IN_CLASS), kind), np.empty((len(kinds), IN_CLASS), kind)
+    inside = ts % IN_CLASS
+    for i, k in enumerate(kinds.tolist()):
+        a, b = cuts[k], cuts[k + 1]
+        own = hs[a:b]
+        q = _less_targets(own @ w["w"][k] + w["wb"][k], inside[a:b], scale)
+        np.matmul(own.T, q, out=outs[i])
+        q.sum(axis=0, out=biases[i])
+        back[a:b] += q @ w["w"][k].T
     g_out = np.zeros_like(states)
     g_out[live] = back
-    g_out = g_out.reshape(len(x), -1, HIDDEN)
-    carry, g_in = np.zeros_like(h), []
+    g_out = g_out.reshape(size)
+    # what a step's gradient is multiplied by, for all steps at once
+    to_n, to_z, to_r = (1 - z) * (1 - n * n), (kept - n) * z * (1 - z), rec * r * (1 - r)
+    inner, g_n, carry = np.empty((*size[:2], 3 * HIDDEN), kind), np.empty(size, kind), np.zeros_like(h)
+    back_u = np.ascontiguousarray(w["u"].T)
     for t in range(len(x) - 1, -1, -1):
-        _, z, r, n, rec = steps[t]
         d = g_out[t] + carry
-        d_n = d * (1 - z) * (1 - n * n)
-        d_z = d * (kept[t] - n) * z * (1 - z)
-        d_rec = d_n * r
-        d_r = d_n * rec * r * (1 - r)
-        inner = np.concatenate([d_z, d_r, d_rec], axis=1)
-        g["u"] += kept[t].T @ inner
-        carry = d * z + inner @ w["u"].T
-        g_in.append(np.concatenate([d_z, d_r, d_n], axis=1))
-    flat, rows = x[::-1].ravel(), np.concatenate(g_in)
-    order = np.argsort(flat, kind="stable")
-    used, first = np.unique(flat[order], return_index=True)
-    g["x"][used] = np.add.reduceat(rows[order], first, axis=0)
-    return g, h
+        d_n = np.multiply(d, to_n[t], out=g_n[t])
+        np.multiply(d, to_z[t], out=inner[t, :, :HIDDEN])
+        np.multiply(d_n, to_r[t], out=inner[t, :, HIDDEN : 2 * HIDDEN])
+        np.multiply(d_n, r[t], out=inner[t, :, 2 * HIDDEN :])
+        d *= z[t]
+        carry = d + inner[t] @ back_u
+    g_u = kept.reshape(-1, HIDDEN).T @ inner.reshape(-1, 3 * HIDDEN)
+    inner[:, :, 2 * HIDDEN :] = g_n
+    order = np.argsort(x.ravel(), kind="stable")
+    used, first = np.unique(x.ravel()[order], return_index=True)
+    g = {"u": (None, g_u), "c": (None, hs.T @ p), "cb": (None, p.sum(axis=0)), "x": (used, np.add.reduceat(inner.reshape(-1, 3 * HIDDEN)[order], first, axis=0))}
+    return g | ({"w": (kinds, outs), "wb": (kinds, biases)} if len(kinds) else {}), h
+
+
+def gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
+    """:func:`sparse_gradients` with an array of each weight's shape."""
+    found, h = sparse_gradients(w, h, x, y)
+    out = {k: np.zeros_like(v) for k, v in w.items()}
+    for k, (rows, d) in found.items():
+        out[k][slice(None) if rows is None else rows] = d
+    return out, h
 
 
 def train_part(w: dict, sequences: np.ndarray, seed: int) -> dict:
-    """Adam over sequences (rows of ``LENGTH`` + 1 slots), the state carried over each one's windows."""
+    """Adam over sequences (rows of ``LENGTH`` + 1 slots), the state carried over each one's windows.
+
+    Input vectors and class outputs move only in the windows that use them, so a step costs what it reads.
+    """
     w = {k: v.copy() for k, v in w.items()}
     first, second, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
     rng = np.random.default_rng(seed)
-    per_epoch = -(-len(sequences) // BATCH) * SPANS
-    for _ in range(min(MOST_EPOCHS, max(1, LEAST_UPDATES // per_epoch))):
+    for _ in range(EPOCHS):
         order = rng.permutation(len(sequences))
         for i in range(0, len(order), BATCH):
             some = sequences[order[i : i + BATCH]].T.astype(np.int64)
             h = np.zeros((some.shape[1], HIDDEN), np.float32)
             for s in range(0, LENGTH, STEPS):
-                x, y = some[s : s + STEPS], some[s + 1 : s + STEPS + 1]
-                if not (y >= 0).any():
+                alive = some[s + 1] >= 0
+                if not alive.any():
                     break
-                g, h = gradients(w, h, np.where(x < 0, OTHER, x), y)
+                if not alive.all():
+                    some, h = some[:, alive], h[alive]
+                x, y = some[s : s + STEPS], some[s + 1 : s + STEPS + 1]
+                g, h = sparse_gradients(w, h, np.where(x < 0, OTHER, x), y)
                 step += 1
-                for k, v in w.items():
-                    m, q, d = first[k], second[k], np.clip(g[k], -1, 1)
-                    m += 0.1 * (d - m)
-                    q += 0.01 * (d * d - q)
-                    v -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.99**step)) + 1e-6)
+                for k, (rows, d) in g.items():
+                    v, m, q = w[k], first[k], second[k]
+                    np.clip(d, -1, 1, out=d)
+                    at = slice(None) if rows is None else rows
+                    mean, square = m[at], q[at]
+                    mean = mean + 0.1 * (d - mean)
+                    d *= d
+                    square = square + 0.01 * (d - square)
+                    m[at], q[at] = mean, square
+                    square /= 1 - 0.99**step
+                    np.sqrt(square, out=square)
+                    square += 1e-6
+                    mean *= RATE / (1 - 0.9**step)
+                    mean /= square
+                    v[at] -= mean
     return w
 
 
 def training_sequences(source: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(round, slots) of a share of the sequences of all training documents, chosen by a hash of their words."""
-    share = min(SHARE, 1 + vocabulary.tokens // SHARE_TOKENS)
+    """(mark, slots) of the sequences of all training documents; the mark is a hash of some of their words and of their place in the task."""
 
     def run(batches):
+        from pyspark import TaskContext
+
+        hold("lm")
+        salt = np.uint64(TaskContext.get().partitionId() << 32)
         for whole in batches:
             for batch in byte_chunks(whole, "t"):
                 hashes, before = token_hashes(batch)
@@ -227,38 +275,81 @@ def training_sequences(source: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 row = np.repeat(np.arange(len(per_row)), per_row)
                 start = before[row] + (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * LENGTH
                 last = before[row + 1]
-                mark = hashes[start].view(np.uint64) ^ hashes[np.minimum(start + 7, last - 1)].view(np.uint64) ^ hashes[np.minimum(start + 19, last - 1)].view(np.uint64)
-                mark = mark * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-                chosen = np.flatnonzero(mark % np.uint64(share) == 0)
-                at = start[chosen][:, None] + np.arange(-1, LENGTH)
-                values = np.where(at < last[chosen][:, None], slots[np.clip(at, 0, max(0, len(slots) - 1))], np.int16(-1))
-                values[start[chosen] == before[row[chosen]], 0] = BEGIN
-                rounds = (mark[chosen] // np.uint64(share) % np.uint64(ROUNDS)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(rounds), pa.array([v.astype(np.int16).tobytes() for v in values], pa.binary())], ["round", "slots"])
+                mark = mix(hashes[start].view(np.uint64) ^ mix(salt + np.arange(len(start), dtype=np.uint64)))
+                salt += np.uint64(len(start))
+                for lo in range(0, len(start), 1 << 12):
+                    part = slice(lo, lo + (1 << 12))
+                    at = start[part][:, None] + np.arange(-1, LENGTH)
+                    values = np.where(at < last[part][:, None], slots[np.clip(at, 0, max(0, len(slots) - 1))], np.int16(-1)).astype(np.int16)
+                    values[start[part] == before[row[part]], 0] = BEGIN
+                    rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(values), [None, pa.py_buffer(values.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(mark[part].view(np.int64)), rows], ["mark", "slots"])
 
-    return source.where("not held").select("t").mapInArrow(run, "round long, slots binary")
+    return source.where("not held").select("t").mapInArrow(run, "mark long, slots binary")
 
 
 def train(source: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Rounds of training in the tasks, each followed by the weighted mean of their weights, taken by Spark."""
+    """Rounds of training, one group of sequences after another in each task, each round followed by the mean of the groups' weights.
+
+    A group is a share of the marks, so its sequences don't depend on how tasks are run again. Means are taken in pieces by
+    a shuffle: a task adds up the pieces it holds as they come.
+    """
     w = initial(vocabulary)
     names, shapes = list(w), {k: v.shape for k, v in w.items()}
     sequences = stage(training_sequences(source, vocabulary), "lm-sequences")
+    count = sequences.count()
+    if not count:
+        return w
+    groups = ROUNDS * -(-count // (ROUNDS * GROUP))
+    dealt = sequences.withColumn("group", F.pmod("mark", F.lit(groups)))
     for number in range(ROUNDS):
-        start = {k: v.copy() for k, v in w.items()}
-
-        def run(batches, start=start, number=number):
-            parts = [np.frombuffer(b"".join(b.column("slots").to_pylist()), np.int16).reshape(-1, LENGTH + 1) for b in batches if len(b)]
-            if parts:
-                rows = np.concatenate(parts)
-                done = train_part(start, rows, number)
-                flat = np.concatenate([done[k].ravel() for k in names])
-                yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([flat], pa.list_(pa.float32()))], ["n", "w"])
-
-        parts = sequences.where(F.col("round") == number).select("slots").mapInArrow(run, "n long, w array<float>")
-        means = parts.select("n", F.posexplode("w").alias("k", "v")).groupBy("k").agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("v")).toPandas()
-        if len(means):
-            flat, at = means.sort_values("k")["v"].to_numpy(np.float32), 0
+        start = w
+
+        def learn(batches, start=start):
+            hold("lm")
+            held, group, total, weights = [], None, 0, None
+
+            def close():
+                nonlocal total, weights
+                rows = np.concatenate(held)
+                done = train_part(start, rows, int(group))
+                flat = np.concatenate([done[k].ravel() for k in names]).astype(np.float64) * len(rows)
+                weights = flat if weights is None else weights + flat
+                total += len(rows)
+                held.clear()
+
+            for batch in batches:
+                keys = batch.column("group").to_numpy()
+                rows = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.int16).reshape(-1, LENGTH + 1)
+                cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+                for a, b in zip(cuts, cuts[1:]):
+                    if held and keys[a] != group:
+                        close()
+                    if b > a:
+                        group = keys[a]
+                        held.append(rows[a:b])
+            if held:
+                close()
+            if total:
+                parts = [weights[i : i + PIECE].tobytes() for i in range(0, len(weights), PIECE)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array([total] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["piece", "n", "w"])
+
+        def add(batches):
+            sums: dict[int, list] = {}
+            for batch in batches:
+                for piece, n, raw in zip(*(batch.column(c).to_pylist() for c in ("piece", "n", "w")), strict=True):
+                    have = sums.setdefault(piece, [0, 0.0])
+                    have[0] += n
+                    have[1] = have[1] + np.frombuffer(raw, np.float64)
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([(v / n).astype(np.float32).tobytes() for n, v in sums.values()], pa.binary())], ["piece", "w"])
+
+        own = dealt.where(F.col("group") % ROUNDS == number)
+        # sorted by the mark within a group: the order of training does not change when a lost task runs again
+        parts = own.repartition(max(1, groups // ROUNDS), "group").sortWithinPartitions("group", "mark", "slots").mapInArrow(learn, "piece long, n long, w binary")
+        means = parts.repartition("piece").sortWithinPartitions("piece", "n", "w").mapInArrow(add, "piece long, w binary").collect()
+        if means:
+            flat, at, w = np.frombuffer(b"".join(r.w for r in sorted(means, key=lambda r: r.piece)), np.float32), 0, {}
             for k in names:
                 size = int(np.prod(shapes[k]))
                 w[k] = flat[at : at + size].reshape(shapes[k])
@@ -284,8 +375,10 @@ def neural_scores(w: dict, slots: np.ndarray, before: np.ndarray) -> np.ndarray:
             states.append(h)
             targets.append(last)
             owners.append(np.arange(n))
-        p = log_probabilities(w, np.concatenate(states), np.concatenate(targets))
-        out[: len(owners[0])] += np.bincount(np.concatenate(owners), p, len(owners[0]))
+        states, targets, owners = np.concatenate(states), np.concatenate(targets), np.concatenate(owners)
+        for i in range(0, len(states), SOFTMAX_ROWS):
+            part = slice(i, i + SOFTMAX_ROWS)
+            out += np.bincount(owners[part], log_probabilities(w, states[part], targets[part]), len(out))
     result = np.empty(len(order))
     result[order] = out
     return result
@@ -298,6 +391,7 @@ def _score_blocks(source: DataFrame, vocabulary: Vocabulary, w: dict, kind: str)
     def run(batches):
         from pyspark import TaskContext
 
+        hold("lm")
         key, held = TaskContext.get().partitionId() << 40, []
 
         def close():
@@ -348,9 +442,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Words above a ``HEAD_SHARE``-th of all tokens are sent to every task; each document's other words are joined with the
-    counts, a row per document and word, no word of which is hot. A null or empty text is its end alone; a null id is not
-    held out; repeated rows learn and count each for itself; with no training rows every count is 0; other columns are
-    ignored.
+    counts, a row per document and word, no word of which is hot. A null or empty text is its end alone; a long text is
+    scored whole, its state carried on; a null id is not held out; repeated rows learn and count each for itself; with no
+    training rows every count is 0; an empty table gives no rows; other columns are ignored.
     """
     source = _source(docs, id_col, text_col)
     kind = source.schema["i"].dataType.simpleString()
