@@ -1,6 +1,9 @@
 """Quality and toxicity: held-out accuracy on invented text, graded ratings, and edge cases."""
 
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +127,101 @@ def test_features_do_not_depend_on_segments(monkeypatch):
     assert np.allclose(whole, q.features(*text_bytes(texts)))
     one = np.concatenate([q.features(*text_bytes(texts.slice(i, 1))) for i in range(len(texts))])
     assert np.allclose(whole, one)
+
+
+def test_labelled_texts_without_words(spark):
+    assert (t.scores(*text_bytes(pa.array(["...", "", "ab"])), t.train(["...", "!!"], np.array([0, 1]))) < 0.5).all()
+    assert (t.scores(*text_bytes(pa.array(["ab cd"])), t.train(["ab cd", "..."], np.array([1, 0]))) >= 0.5).all()
+    d, y = tables(spark, [(1, "..."), (2, "!!"), (3, None), (4, "words here")], [(i, i % 2, i % 2) for i in range(1, 5)])
+    assert t.toxicity(d, y).count() == 4 == q.quality(d, y).count()
+
+
+def test_sample_is_drawn_from_rows_with_texts(spark):
+    from tickloom.llm.labelled import sample_of
+
+    docs = [(i, None if i % 3 else f"text {i}") for i in range(600)] + [(3, "another text"), (9, "text 9"), (None, "x")]
+    docs += [(3000, "long " * 200_000)]
+    labels = [(i, i % 2, i % 5) for i in range(5000)] + [(3, 0, 0)]
+    d, y = tables(spark, docs, labels)
+    rows = sample_of(d, y, "toxic", 5, 0, per_label=40).collect()
+    assert sorted(r.y for r in rows) == [0] * 40 + [1] * 40
+    every = sample_of(d, y, "toxic", 5, 0).collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    want = {("another text" if i == 3 else f"text {i}", i % 2) for i in range(0, 600, 3) if not held(i)} | ({("long " * 200_000, 0)} if not held(3000) else set())
+    assert {(r.text, r.y) for r in every} == want and len(every) == len(want)
+    assert all(len(r.text) < 100 for r in sample_of(d, y, "toxic", 5, 0, label_bytes=1000).collect())
+    assert sample_of(d, y, "quality", 5, 0, most=50).groupBy("y").count().agg({"count": "max"}).first()[0] <= 10
+    assert sample_of(d.limit(0), y, "toxic", 5, 0).collect() == [] == sample_of(d, y.limit(0), "toxic", 5, 0).collect()
+
+
+def plain_score(text, model):
+    """A text's toxicity word by word: pieces, n-grams, means of windows of two, the worst of them."""
+    low = bytes(48 if 48 <= c <= 57 else c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    words = []
+    for run in re.findall(rb"[0-9a-z\x80-\xff]+", low):
+        if len(run) <= t.LONGEST:
+            words.append(run)
+        else:
+            starts = range(0, -(-(len(run) - t.PIECE) // t.PIECE_STEP) * t.PIECE_STEP + 1, t.PIECE_STEP)
+            words += [run[a : a + t.PIECE] for a in starts]
+    if not words:
+        return 1 / (1 + math.exp(-min(model.bias, 0.0) + 4))
+
+    def bucket(gram):
+        key, mask = len(gram), (1 << 64) - 1
+        for c in gram:
+            key = ((key ^ c) * 0x100000001B3) & mask
+        return ((key * 0x9E3779B97F4A7C15) & mask) >> (64 - t.BUCKETS.bit_length() + 1)
+
+    def word(w):
+        w = b"<" + w + b">"
+        grams = [model.grams[bucket(w[i : i + n])] for n in t.GRAMS for i in range(len(w) - n + 1)]
+        return sum(map(float, grams)) / len(grams)
+
+    values = [word(w) for w in words]
+    windows = [sum(values[i : i + t.WINDOW]) / len(values[i : i + t.WINDOW]) for i in range(0, len(values), t.WINDOW)]
+    return 1 / (1 + math.exp(-max(-50, min(50, max(windows) + model.bias))))
+
+
+def test_toxicity_by_brute_force(spark):
+    docs, labels = toxic_corpus(300)
+    docs += [(5000, None), (5001, ""), (5002, "..."), (None, "grumflix 123"), (5003, "Zo" * 60 + " é日本語" * 9), (0, docs[0][1])]
+    d, y = tables(spark, docs, labels)
+    model = t.fit(d, y)
+    want = sorted(((i, plain_score(x, model)) for i, x in docs), key=str)
+    got = sorted(((r.doc_id, r.score) for r in t.toxicity(d, y).collect()), key=str)
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
+
+
+def plain_quality(text, model, tail_from=1):
+    """A text's tail probability from its trigrams and style measures, one by one."""
+    raw = (text or "").encode()
+    x = np.zeros(q.WIDTH)
+    for i in range(len(raw) - 2):
+        key = ((raw[i] * 0x9E3779B1) ^ (raw[i + 1] * 0x85EBCA6B) ^ (raw[i + 2] * 0xC2B2AE35)) & 0xFFFFFFFF
+        x[(key * 0x27D4EB2F & 0xFFFFFFFF) >> 21] += 1
+    x = np.sqrt(x)
+    x /= np.linalg.norm(x) or 1
+    words = [bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in re.findall(rb"[^\x20\x09-\x0d]+", raw)]
+    n, size = max(len(words), 1), max(len(raw), 1)
+    signs = {*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)}
+    measures = [sum(a == b for a, b in zip(words, words[1:])) / n, len(set(words)) / n, sum(65 <= c <= 90 for c in raw) / size, sum(c in signs for c in raw) / size, min(1, len(raw) / n / 24), min(1, math.log1p(len(words)) / 12)]
+    for k, value in enumerate(measures):
+        x[q.TRIGRAMS + k * q.BINS + min(q.BINS - 1, int(math.sqrt(value) * q.BINS))] = q.STYLE * bool(words)
+    x[-1] = 1
+    score = float(x @ model.weights.astype(float))
+    below = [0.0, *(1 / (1 + math.exp(-(c - score))) for c in model.thresholds), 1.0]
+    return sum(b - a for g, a, b in zip(model.grades, below, below[1:]) if g >= tail_from)
+
+
+def test_quality_by_brute_force(spark):
+    rng = random.Random(5)
+    docs = [(i, prose(rng, 30) if i % 3 else " ".join(prose(rng, 8).split()).upper() + " !! ##") for i in range(300)]
+    labels = [(i, 0, i % 3) for i in range(300)]
+    docs += [(900, None), (901, ""), (None, "One one TWO, é日本"), (902, "the same " * 3000), (7, docs[7][1])]
+    d, y = tables(spark, docs, labels)
+    model = q.fit(d, y)
+    assert len(model.thresholds) == 2
+    want = sorted(((i, plain_quality(x, model)) for i, x in docs), key=str)
+    got = sorted(((r.doc_id, r.tail_probability) for r in q.quality(d, y).collect()), key=str)
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-4)

@@ -2,37 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import crc_text
 
-#: Bounds of the sample: documents of each label, and bytes of one document; larger ones are scored but not learnt from.
-PER_LABEL, LARGEST = 1500, 1 << 15
+#: Bounds of the sample: documents of a label, bytes of their texts, and documents of all labels.
+PER_LABEL, LABEL_BYTES, MOST = 1500, 4 << 20, 6000
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_label: int = PER_LABEL, largest: int = LARGEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, label): labelled documents outside the held-out fold, at most ``per_label`` of each label, chosen by a hash of the id.
+def sample_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_label: int = PER_LABEL, label_bytes: int = LABEL_BYTES, most: int = MOST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text, y): labelled documents outside the held-out fold, drawn by a hash of the id.
 
-    Rows with a null id, label or text are left out; of repeated label rows the largest label counts; the held-out fold
-    is where crc32 of the id as text leaves ``held`` modulo ``folds``.
+    Drawn are rows that have a text, so a sample is full as long as there are such rows: of each label up to ``per_label``
+    documents whose texts are ``label_bytes`` together (one that is more than that alone can't be among them), of all
+    labels up to ``most``, an equal number of each. Rows with a null id, label or text are left out; of repeated label
+    rows the largest label counts, of several texts of one id the least; the held-out fold is where crc32 of the id as
+    text leaves ``held`` modulo ``folds``. Empty tables give an empty sample. Only ids and sizes are shuffled; the ids
+    drawn, ``most`` at the most, are broadcast to the texts.
     """
     rows = labels.select(F.col(id_col).alias("i"), F.col(label).alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.max("y").alias("y"))
     rows = rows.where(crc_text("i") % folds != held)
-    kinds = [r.y for r in rows.select("y").distinct().orderBy("y").limit(65).collect()]
-    if len(kinds) > 64:
-        raise ValueError("a label column has at most 64 values")
-    chosen = None
-    for y in kinds:
-        # twice the bound is drawn, as some may have no text or be too large
-        one = rows.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(2 * per_label)
-        chosen = one if chosen is None else chosen.unionByName(one)
-    if chosen is None:
-        return rows.select(F.lit("").alias("text"), "y").limit(0)
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")).where(F.octet_length("text") <= largest)
-    found = texts.join(F.broadcast(chosen), "i").dropDuplicates(["i"])
-    parts = None
-    for y in kinds:
-        one = found.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(per_label)
-        parts = one if parts is None else parts.unionByName(one)
-    return parts.select("text", "y")
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")).where("i is not null and text is not null")
+    sizes = texts.select("i", F.octet_length("text").cast("long").alias("size")).groupBy("i").agg(F.max("size").alias("size")).where(F.col("size") <= label_bytes)
+    order = Window.partitionBy("y").orderBy("h", "i")
+    drawn = rows.join(sizes, "i").withColumn("h", F.xxhash64("i")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label)
+    fit = drawn.withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= label_bytes)
+    chosen = fit.orderBy("n", "y").limit(most).select("i", "y")
+    return texts.join(F.broadcast(chosen), "i").groupBy("i").agg(F.first("y").alias("y"), F.min("text").alias("text")).select("text", "y")

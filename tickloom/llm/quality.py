@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, NON_SPACE, SEGMENT, byte_chunks, crc_text, hold, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import LOWER, NON_SPACE, SEGMENT, byte_chunks, crc_text, hold, span_totals, spread, text_bytes, word_hashes, word_spans
 from tickloom.llm.labelled import PER_LABEL, sample_of
 
 #: Hashed trigram buckets, buckets of each style measure, and their weight beside the trigrams.
@@ -23,6 +23,10 @@ WIDTH = TRIGRAMS + BINS * MEASURES + 1
 #: Rows whose features are held at once.
 ROWS = 256
 STEPS, RATE, DECAY = 250, 0.05, 1e-5
+#: Bytes of a style measure: capitals, and signs.
+_KINDS = np.zeros(256, np.int8)
+_KINDS[65:91] = 1
+_KINDS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
 
 
 def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -45,27 +49,19 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     starts, ends, before = word_spans(data, off, NON_SPACE)
     words = np.diff(before)
     total = np.maximum(words, 1)
-    hashes = word_hashes(LOWER[data], starts, ends)
+    hashes = word_hashes(data, starts, ends, LOWER)
     row = np.repeat(np.arange(n), words)
     same = np.zeros(len(hashes), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
     order = np.lexsort((hashes, row))
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
-    kinds = np.zeros(256, np.int64)
-    kinds[65:91] = 1
-    kinds[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
-
-    def per_row(flags: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(flags)])
-        return sums[off[1:]] - sums[off[:-1]]
-
     length = np.maximum(sizes, 1)
     measures = [
         np.bincount(row[same], minlength=n) / total,
         np.bincount(row[order][new], minlength=n) / total,
-        per_row(kinds[data] == 1) / length,
-        per_row(kinds[data] == 2) / length,
+        span_totals(_KINDS == 1, data, off[:-1], off[1:]) / length,
+        span_totals(_KINDS == 2, data, off[:-1], off[1:]) / length,
         np.minimum(1, sizes / total / 24),
         np.minimum(1, np.log1p(words) / 12),
     ]
@@ -138,23 +134,33 @@ def _blocks(batch: pa.RecordBatch, name: str):
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, label: str = "quality") -> Model:
-    """Train on a bounded sample of the labelled rows whose crc32 leaves a remainder other than 0 modulo 5; features are made on the executors."""
+    """Train on a bounded sample of the labelled rows whose crc32 leaves a remainder other than 0 modulo 5.
+
+    The sample is bounded, so one task makes its features and trains on all of it; the driver gets the weights.
+    """
 
     def run(batches):
+        parts, grades = [], []
         for batch in batches:
             for some, x in _blocks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([some.column("y"), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
+                parts.append(x)
+                grades += some.column("y").to_pylist()
+        model = train(np.concatenate(parts) if parts else np.zeros((0, WIDTH), np.float32), np.array(grades))
+        yield pa.RecordBatch.from_arrays([pa.array([[float(g) for g in model.grades]], pa.list_(pa.float64())), pa.array([model.weights.astype(np.float32).tobytes()], pa.binary()), pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))], ["grades", "weights", "thresholds"])
 
-    sample = sample_of(docs, labels, label, 5, 0, per_label)
-    rows = sample.mapInArrow(run, f"y {sample.schema['y'].dataType.simpleString()}, x binary").toPandas()
-    return train(np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), WIDTH), rows["y"].to_numpy())
+    # in one order, whatever the partitions, as sums of floats depend on it
+    found = sample_of(docs, labels, label, 5, 0, per_label).repartition(1).sortWithinPartitions("y", "text").mapInArrow(run, "grades array<double>, weights binary, thresholds array<double>").collect()
+    if not found:
+        return train(np.zeros((0, WIDTH), np.float32), np.zeros(0))
+    return Model(found[0].grades, np.frombuffer(found[0].weights, np.float32), np.array(found[0].thresholds))
 
 
 def quality(docs: DataFrame, labels: DataFrame, tail_from=1, least_tail: float = 0.5, per_label: int = PER_LABEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, expected_grade, tail_probability (of a grade of at least ``tail_from``), kept.
 
-    Map only after the fit. A null or empty text is scored by the constant feature; with one grade, or no labels, all
-    rows get the same values; null ids are not held out; repeated rows give a row each; other columns are ignored.
+    Map only after the fit. A null or empty text is scored by the constant feature; a long text is scored whole, in
+    segments; with one grade, or no labels, all rows get the same values; null ids are not held out; repeated rows give a
+    row each; an empty table gives no rows; other columns are ignored.
     """
     model = fit(docs, labels, per_label)
 
@@ -164,13 +170,16 @@ def quality(docs: DataFrame, labels: DataFrame, tail_from=1, least_tail: float =
                 expected, tail = model.predict(x, tail_from)
                 yield pa.RecordBatch.from_arrays([some.column("i"), pa.array(expected.astype(np.float64)), pa.array(tail.astype(np.float64))], ["doc_id", "expected_grade", "tail_probability"])
 
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     rows = source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, expected_grade double, tail_probability double")
     return rows.select("doc_id", F.coalesce(crc_text("doc_id") % 5 == 0, F.lit(False)).alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= least_tail).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, tail_from=1, least_tail: float = 0.5, per_label: int = PER_LABEL, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, whose tail probability is at least ``least_tail``."""
+    """The rows of ``docs``, as they are, whose tail probability is at least ``least_tail``.
+
+    Nulls, empty and long texts are scored as in :func:`quality`; repeated rows stay or go together; an empty table stays empty.
+    """
     model = fit(docs, labels, per_label)
 
     def run(batches):

@@ -1,8 +1,9 @@
 """Toxicity: averaged subword embeddings under a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its hashed byte n-grams, a window the mean of its words, and the softmax of a window
-its probability. A text is as toxic as its worst window, so a long text hides nothing; in training the windows of a text
-are weighted by a softmax of their scores that sharpens step by step.
+A word is the mean of the vectors of its hashed byte n-grams, the bag of a window of words the mean of its words, and the
+softmax of that mean the window's probability. The text's score is not one mean over all of its words but that of its
+worst window, so a long text hides nothing; in training the windows of a text are weighted by a softmax of their scores
+that sharpens step by step.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import ALNUM, LOWER, byte_chunks, crc_text, hold, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import ALNUM, LOWER, byte_chunks, crc_text, hold, spread, text_bytes, word_hashes, word_spans
 from tickloom.llm.labelled import PER_LABEL, sample_of
 
 #: Words of a window, n-gram sizes in bytes, hash buckets and vector width.
@@ -108,15 +109,27 @@ def scores(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
     return out
 
 
+def constant(toxic: bool) -> Model:
+    """A model that says the same of every text with words."""
+    return Model(np.zeros(BUCKETS, np.float32), 20.0 if toxic else -20.0)
+
+
 def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
-    """Fit vectors and softmax weights together by full-batch Adam steps."""
+    """Fit vectors and softmax weights together by full-batch Adam steps.
+
+    Texts without words teach nothing. With labels of one value, or no n-gram that is used often enough, the model is
+    constant, and toxic only if most labels are.
+    """
     labels = np.asarray(labels, np.float64)
     if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(BUCKETS, np.float32), 20.0 if len(labels) and labels[0] else -20.0)
+        return constant(bool(len(labels) and labels[0]))
+    mostly = labels.mean() > 0.5
     data, off = text_bytes(pa.array(texts, pa.string()))
     data, starts, ends, which, heads, windows = words_and_windows(data, off)
     full = np.diff(windows) > 0
     labels, off_w = labels[full], np.concatenate([[0], np.cumsum(np.diff(windows)[full])])
+    if len(set(labels.tolist())) < 2:
+        return constant(bool(labels[0]) if len(labels) else mostly)
     ids, before = gram_ids(data, starts, ends)
     sizes, uses = np.diff(before), np.bincount(which, minlength=len(starts))
     total = np.zeros(BUCKETS)
@@ -126,6 +139,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
     often = total >= LEAST_USES
     kept = often[ids]
     used = np.flatnonzero(often)
+    if not len(used):
+        return constant(mostly)
     slots = np.zeros(BUCKETS, np.int32)
     slots[used] = np.arange(len(used))
     slot = slots[ids[kept]]
@@ -208,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
         yield pa.RecordBatch.from_arrays([pa.array([used.astype(np.int32).tobytes()], pa.binary()), pa.array([model.grams[used].tobytes()], pa.binary()), pa.array([model.bias])], ["used", "scores", "bias"])
 
     sample = sample_of(docs, labels, "toxic", 5, 0, per_label).select("text", F.col("y").cast("long").alias("y"))
-    found = sample.repartition(1).mapInArrow(run, "used binary, scores binary, bias double").collect()
+    found = sample.repartition(1).sortWithinPartitions("y", "text").mapInArrow(run, "used binary, scores binary, bias double").collect()
     if not found:
         return train([], np.zeros(0))
     grams = np.zeros(BUCKETS, np.float32)
@@ -225,22 +240,26 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             for batch in byte_chunks(whole, "t", 2 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(scores(*text_bytes(batch.column("t")), model))], ["doc_id", "score"])
 
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted.
 
-    Map only after the fit. A null or empty text, or one without words, has a low score; with labels of one value, or
-    none, scores are constant; a null id is not held out; repeated rows give a row each; other columns are ignored.
+    Map only after the fit. A null or empty text, or one without words, has a low score; a long text is scored whole, its
+    n-grams in slices; with labels of one value, or none, scores are constant; a null id is not held out; repeated rows
+    give a row each; an empty table gives no rows; other columns are ignored.
     """
     rows = scored(docs, fit(docs, labels, per_label))
     return rows.select("doc_id", F.coalesce(crc_text("doc_id") % 5 == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, that are not predicted toxic."""
+    """The rows of ``docs``, as they are, that are not predicted toxic.
+
+    Nulls, empty and long texts are scored as in :func:`toxicity`; repeated rows stay or go together; an empty table stays empty.
+    """
     model = fit(docs, labels, per_label)
 
     def run(batches):
