@@ -101,3 +101,42 @@ def test_blocks(n):
     for ids in (rng.integers(0, 49408, n), rng.integers(0, 1 << 32, n), np.full(n, 7), np.where(rng.random(n) < 0.05, 1 << 31, rng.integers(5, 9, n))):
         ids = ids.astype(np.uint32)
         assert np.array_equal(decode_blocks(*encode_blocks(ids), n), ids)
+
+
+SCRIPTS = {"Cyrillic": ("абвгдежзиклмнопрстуёЯ", " ", ", ."), "Chinese": ("的一是不了人我在有他這中大來上國", "", "，。、！"), "Arabic": ("ابتثجحخدذرزسشصضطعغفقكلمنهوي", " ", "،؛؟."), "Thai": ("กขคงจฉชซญฐณดตถทนบปผพฟมยรลวสหอ", " ", ""), "Japanese": ("あいうえおかきくけこ日本語カキクケコ", "", "。、「」")}
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_long_texts_of_every_script_are_split(path, script):
+    letters, space, signs = SCRIPTS[script]
+    rng = random.Random(4)
+    text = "".join("".join(rng.choices(letters, k=rng.randrange(2, 9))) + (rng.choice(signs) if signs and rng.random() < 0.3 else "") + (space or "") for _ in range(70_000))
+    assert len(text) > 300_000 and len(text.encode()) > 600_000
+    parts = list(safe_parts(text))
+    assert len(parts) > 1 and "".join(parts) == text and max(map(len, parts)) < 1 << 18
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    p = Pieces(path)
+    assert p.counts([text]).tolist() == [len(want)]
+    ids, sizes = p.encode([text, "x"])
+    assert list(ids[: sizes[0]]) == want
+
+
+def test_cost_balance_of_packing():
+    """Whole documents go to the sequence of lowest cost with room: the spread of costs stays under the largest piece's."""
+    from tickloom.llm.packing import cost
+
+    rng = random.Random(5)
+    sizes = np.array([rng.choice([rng.randrange(1, 60), rng.randrange(100, 400)]) for _ in range(900)])
+    total, largest = {}, {}
+    for _, _, n, s, _ in pack(sizes, 2000):
+        total[s] = total.get(s, 0) + cost(n)
+        largest[s] = max(largest.get(s, 0), n)
+    assert max(total.values()) - min(total.values()) <= cost(max(largest.values()))
+
+
+def test_clashing_names_and_ids_that_are_not_numbers(spark):
+    df = spark.createDataFrame([(1, "a b", 5, "x")], "doc_id long, text string, n_tokens int, i string")
+    assert [tuple(r) for r in token_counts(df, BYTE).collect()] == [(1, 3, 2, False)]
+    with pytest.raises(TypeError):
+        token_files(spark.createDataFrame([("a", "b")], "doc_id string, text string"), WORD)

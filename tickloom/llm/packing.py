@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import spread
 from tickloom.llm.tokens import pieces, text_groups
 
 #: Ids after which a task packs what it has gathered: bounds its memory and the padding, at most one sequence a block.
@@ -76,8 +77,8 @@ def pack(sizes: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int
 def packed_sequences(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048, block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and the ids if asked for).
 
-    Each task packs blocks of about ``block_ids`` ids of the rows it reads: nothing is shuffled, memory is a block, and
-    padding at most one sequence in 512. A null or empty text is the end id alone. Repeated rows are documents of their
+    Each task packs blocks of about ``block_ids`` ids of the rows it reads: only an input of few splits is shuffled, memory
+    is a block, and padding under one sequence a block, of which the last of a task may be small. A null or empty text is the end id alone. Repeated rows are documents of their
     own. Sequence ids are unique in a result: the task's number and the sequence's number in that task. Other columns
     are ignored; an empty table gives no rows.
     """
@@ -118,5 +119,5 @@ def packed_sequences(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity:
         if held:
             yield close()
 
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), 1)
     return source.mapInArrow(run, SCHEMA.format(id=source.schema["i"].dataType.simpleString()) + (", ids array<long>" if with_ids else ""))

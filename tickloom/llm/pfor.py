@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import new_path, stage
 from tickloom.llm.tokens import pieces, text_groups
@@ -112,7 +113,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """Write the ids of all documents under ``path``, in ascending order of the id over the files and in each.
 
     Rows are dealt by ranges of the id, so a hot source spreads; a null id comes first; repeated ids stay in one range.
+    Ids are whole numbers, as the format keeps them in 64 bits. Without ``files`` there are as many as splits of the
+    input, so their size stays that of a split however large the corpus is.
     """
+    kind = docs.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"token files need whole numbers as ids, not {kind.simpleString()}")
 
     def encode(batches):
         from pyspark import TaskContext
@@ -142,7 +148,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield close()
 
     source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    dealt = source.repartitionByRange(files, "i") if files else source.repartitionByRange("i")
+    dealt = source.repartitionByRange(files or max(source.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism), "i")
     images = dealt.sortWithinPartitions("i").mapInArrow(encode, "image binary")
     images.select(F.col("image").cast("string").alias("value")).write.text(path)
 

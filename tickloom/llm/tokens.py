@@ -21,14 +21,22 @@ KEPT_UNITS = 700_000
 LONG = 1 << 17
 #: Characters for which Python and the library agree on case, classes and normal form.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ňŊ-ž]*")
-#: A white space between two plain letters: no piece of either pattern reaches across it.
-_SAFE = re.compile("(?<=[A-Za-z0-9])[ \n](?=[A-Za-z])")
+#: Letters that every version of the character tables has, by script, and punctuation of these scripts that is part of no
+#: contraction, special token or composed character. İ is left out: in lower case it ends in a mark, which joins a sign.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏΑ-ΡΣ-Ωα-ωА-яא-תء-غف-يअ-हก-ฮぁ-ゔァ-ヺ一-龥가-힣"
+_SIGNS = ".,;:!?()،؛؟।。、，！？：；「」"
+#: No piece of either pattern reaches across these places: before one white space between letters, digits or signs, and
+#: where a letter and a sign meet. They are found in every script that writes spaces or signs.
+_SAFE = re.compile(f"(?<=[{_LETTERS}0-9{_SIGNS}])(?=[ \n][{_LETTERS}])|(?<=[{_LETTERS}])(?=[{_SIGNS}])|(?<=[{_SIGNS}])(?=[{_LETTERS}])")
 #: Runs of white space, and white space that a byte-level split may join with its neighbours.
 _RUNS = re.compile(r"\s\s|[\t\r]|^\s|\s\Z")
 
 
 def safe_parts(text: str, limit: int = LONG):
-    """Parts of a text of about ``limit`` characters, cut only where the token sequence is the same; one part if there is no such place."""
+    """Parts of a text of about ``limit`` characters, cut only where the token sequence is the same.
+
+    A run of letters without any space or sign is one piece for the library, so it is one part however long it is.
+    """
     lo = 0
     while len(text) - lo > limit:
         cut = _SAFE.search(text, lo + limit)
@@ -52,10 +60,20 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
+        # ``ends`` has the place after each unit's ids in ``flat``; both grow by doubling
         self.index: dict[str, int] = {}
-        self.sizes = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
+        self.ends = np.zeros(1 << 10, np.int64)
+        self.flat = np.zeros(1 << 12, np.uint32)
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        known = len(self.index)
+        used = int(self.ends[known])
+        while len(self.ends) <= known + len(sizes):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while len(self.flat) < used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[used : used + len(ids)] = ids
+        self.ends[known + 1 : known + 1 + len(sizes)] = used + np.cumsum(sizes)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,11 +107,9 @@ class Pieces:
                 self.clear()
                 new = list(set(units))
             ids, sizes = self._fresh(new)
+            self._append(ids, sizes)
             base = len(self.index)
             self.index.update(zip(new, range(base, base + len(new)), strict=True))
-            self.flat = np.concatenate([self.flat, ids])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.starts = np.cumsum(self.sizes) - self.sizes
         return np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
 
     def _parts(self, texts: list[str | None]) -> tuple[list[list[str]], list[int], list[tuple[int, str]]]:
@@ -117,7 +133,7 @@ class Pieces:
         if plain:
             at = self._known(list(chain.from_iterable(plain)))
             units = np.fromiter(map(len, plain), np.int64, len(plain))
-            sizes = self.sizes[at]
+            sizes = self.ends[at + 1] - self.ends[at]
             if self.spaced:  # a new line is a token; the one before the part's first unit isn't there
                 np.add.at(out, owner, [sum(u[:1] == "\n" for u in x) - 1 for x in plain])
             total = np.concatenate([[0], np.cumsum(sizes)])
@@ -131,8 +147,10 @@ class Pieces:
         """(ids of all texts in order, ids of each text); for vocabularies that drop white space, else through the library."""
         out = np.zeros(len(texts), np.int64)
         if self.spaced:
-            ids = self._encode([t or "" for t in texts])
-            return np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in ids)]), np.fromiter(map(len, ids), np.int64, len(ids))
+            parts = [(i, p) for i, t in enumerate(texts) for p in safe_parts(t or "")]
+            ids = self._encode([p for _, p in parts])
+            np.add.at(out, [i for i, _ in parts], np.fromiter(map(len, ids), np.int64, len(ids)))
+            return np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in ids)]), out
         flat, order = [np.zeros(0, np.uint32)], 0
         run: list[list[str]] = []
         owner: list[int] = []
@@ -140,11 +158,11 @@ class Pieces:
         def close() -> None:
             if run:
                 at = self._known(list(chain.from_iterable(run)))
-                sizes = self.sizes[at]
+                sizes = self.ends[at + 1] - self.ends[at]
                 total = np.concatenate([[0], np.cumsum(sizes)])
                 ends = np.cumsum(np.fromiter(map(len, run), np.int64, len(run)))
                 np.add.at(out, owner, np.diff(total[np.concatenate([[0], ends])]))
-                flat.append(self.flat[np.repeat(self.starts[at] - total[:-1], sizes) + np.arange(total[-1])])
+                flat.append(self.flat[np.repeat(self.ends[at] - total[:-1], sizes) + np.arange(total[-1])])
                 run.clear()
                 owner.clear()
 
