@@ -83,3 +83,28 @@ def test_batches_equal_plain_python(spark):
     got = {r.doc_id: tuple(r)[1:] for r in line_rules(df, with_text=True).collect()}
     for i, text in enumerate(texts):
         assert got[i] == slow(text), repr(text)
+
+
+def test_clean_lines_of_other_scripts_stay():
+    clean = [
+        "هل وصلت الرسالة الأولى إلى المدينة البعيدة؟\nنعم وصلت في الصباح الباكر، وقرأها الجميع بعد الغداء؛ ثم كتبوا ردا طويلا",
+        "今日は 朝から 雨が 降って いました。\n それでも 彼は 遠い 町まで 歩いて いきました。 本当に！",
+        "คน ไทย เขียน ประโยค โดย เว้น วรรค ระหว่าง ประโยค และ ไม่ ใช้ จุด",
+        "यह पहला वाक्य है और इसका अंत दंड से होता है।\nयह दूसरा वाक्य भी है।",
+        "Она пришла домой поздно вечером, когда все уже спали.\nНикто не слышал её шагов.",
+    ]
+    for text in clean:
+        assert measure(text)[5:7] == (False, True) and measure(text)[7] == text, text
+    menu = "Главная › Новости › Спорт\nВсе права защищены\n版权所有 二零二零"
+    assert measure(menu + "\n" + clean[4])[7] == clean[4]
+
+
+def test_segments_change_nothing(monkeypatch):
+    from tickloom.llm import common, line_rules
+
+    text = "Ünï wörd، ab!! cd!! ef!!\nHome | A | B\nплан на день без точки\nClick here please\n" * 5
+    want = measure(text)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(common, "SEGMENT", size)
+        monkeypatch.setattr(line_rules, "SEGMENT", size)
+        assert measure(text) == want

@@ -7,17 +7,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, mix, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import LOWER, NON_SPACE, SEGMENT, byte_chunks, mix, span_totals, spread, text_bytes, word_hashes, word_spans
 from tickloom.llm.decontaminate import gram_hashes
 
 #: Fixed values of the base counts.
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, RUN, REPEAT_PERCENT = 10, 5, 20
-#: Line rules. A line fails if it has this many bars (navigation), doubled exclamation marks, this percentage of symbol
-#: characters, this many words without any sentence punctuation, or a boilerplate phrase.
+#: Line rules. A line fails if it has this many separators (navigation), doubled exclamation marks, this percentage of
+#: symbol characters, this many words without any sentence punctuation, or a boilerplate phrase.
 BARS, SHOUTS, SYMBOL_PERCENT, BARE_WORDS = 2, 3, 20, 4
-BOILERPLATE = "licensed under|copyright|all rights reserved|spdx-license-identifier|terms of use|privacy policy|cookie policy|click here|permission is hereby granted"
-PUNCTUATION = ".!?,;:"
+SEPARATORS = "|›→•"
+#: Phrases of licences, notices, consent banners and page furniture in some languages; only A-Z is compared in lower case, so
+#: those in Cyrillic leave out the first letter.
+BOILERPLATE = (
+    "licensed under|copyright|all rights reserved|spdx-license-identifier|terms of use|privacy policy|cookie policy|click here|permission is hereby granted"
+    "|lorem ipsum|enable javascript|skip to content|tous droits réservés|politique de confidentialité|mentions légales|alle rechte vorbehalten|datenschutzerklärung"
+    "|todos los derechos reservados|política de privacidad|todos os direitos reservados|tutti i diritti riservati|се права защищены|олитика конфиденциальности"
+    "|جميع الحقوق محفوظة|سياسة الخصوصية|版权所有|隐私政策|無断転載を禁じます|プライバシーポリシー"
+)
+#: Sentence punctuation of the scripts that have some.
+PUNCTUATION = ".!?,;:…؟،؛۔।॥。、！？；：，．።፣၊။·՝։"
+#: Scripts that end a sentence by a space, so that their lines need no punctuation: Thai, Lao, Tibetan, Myanmar, Khmer.
+UNPUNCTUATED = (("\u0e00", "\u0fff"), ("\u1000", "\u109f"), ("\u1780", "\u17ff"))
 #: A document goes if over this percentage of its lines' words, in characters, is removed.
 LOST_PERCENT = 50
 _PHRASES = [x.encode() for x in BOILERPLATE.split("|")]
@@ -29,14 +40,38 @@ def _table(chars: str) -> np.ndarray:
     return table
 
 
-_SYMBOL, _PUNCTUATION, _BAR = _table(SYMBOLS), _table(PUNCTUATION), _table("|")
+def _points(chars: str) -> np.ndarray:
+    """A table of the code points below 65,536."""
+    table = np.zeros(1 << 16, bool)
+    table[[ord(c) for c in chars]] = True
+    return table
+
+
+_SYMBOL, _BANG = _table(SYMBOLS), _table("!")
+_BAR, _STOP = _points(SEPARATORS), _points(PUNCTUATION)
+#: A line with one of these is not bare.
+_FREE = _STOP.copy()
+for _a, _b in UNPUNCTUATED:
+    _FREE[ord(_a) : ord(_b) + 1] = True
 #: Bytes that begin a character other than white space.
 _CHARACTER = NON_SPACE & ((np.arange(256) & 0xC0) != 0x80)
 
 
-def _totals(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return sums[ends] - sums[starts]
+def marked(data: np.ndarray, points: np.ndarray):
+    """A function of a segment's bounds: which of its bytes begin a character of ``points``."""
+
+    def flags(lo: int, hi: int) -> np.ndarray:
+        part = data[lo : min(len(data), hi + 2)]
+        out = points[part[: hi - lo].astype(np.uint16)]
+        out[part[: hi - lo] >= 0x80] = False
+        at = np.flatnonzero((part[: hi - lo] >= 0xC2) & (part[: hi - lo] < 0xF0))
+        if len(at):
+            lead, second = part[at].astype(np.int64), part[np.minimum(at + 1, len(part) - 1)].astype(np.int64) & 0x3F
+            third = part[np.minimum(at + 2, len(part) - 1)].astype(np.int64) & 0x3F
+            out[at] = points[np.where(lead < 0xE0, (lead & 0x1F) << 6 | second, (lead & 0x0F) << 12 | second << 6 | third)]
+        return out
+
+    return flags
 
 
 def _distinct(row: np.ndarray, hashes: np.ndarray, rows: int) -> np.ndarray:
@@ -76,36 +111,25 @@ def line_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[order], ends[closing], rows
 
 
-def failing_lines(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: np.ndarray) -> np.ndarray:
-    """Whether each line, of ``chars`` characters besides white space, is removed."""
-    bang = data == 33
-    fails = _totals(_BAR[data], starts, ends) >= BARS
-    if bang.any():
-        # pairs of exclamation marks: every second mark of a run that no line end cuts
-        edge = bang.copy()
-        edge[1:] &= ~bang[:-1]
-        begins = starts[starts < len(data)]
-        edge[begins] = bang[begins]
-        places = np.flatnonzero(bang)
-        first = np.maximum.accumulate(np.where(edge[places], np.arange(len(places)), 0))
-        second = np.zeros(len(data), bool)
-        second[places] = (np.arange(len(places)) - first) % 2 == 1
-        fails |= _totals(second, starts, ends) >= SHOUTS
-    fails |= 100 * _totals(_SYMBOL[data], starts, ends) > SYMBOL_PERCENT * chars
-    word = NON_SPACE[data]
-    begin = word.copy()
-    begin[1:] &= ~word[:-1]
-    heads = starts[starts < len(data)]
-    begin[heads] = word[heads]
-    fails |= (_totals(begin, starts, ends) >= BARE_WORDS) & (_totals(_PUNCTUATION[data], starts, ends) == 0)
-    low = LOWER[data].tobytes()
-    for phrase in _PHRASES:
-        at = low.find(phrase)
-        while at >= 0:
-            line = int(np.searchsorted(starts, at, "right")) - 1
-            if at + len(phrase) <= ends[line]:
-                fails[line] = True
-            at = low.find(phrase, at + 1)
+def failing_lines(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Whether each line, of ``chars`` characters besides white space and so many ``words``, is removed."""
+    fails = span_totals(marked(data, _BAR), data, starts, ends) >= BARS
+    bangs = span_totals(_BANG, data, starts, ends)
+    for line in np.flatnonzero(bangs >= 2 * SHOUTS).tolist():
+        # pairs of exclamation marks, none counted twice
+        fails[line] |= data[starts[line] : ends[line]].tobytes().count(b"!!") >= SHOUTS
+    fails |= 100 * span_totals(_SYMBOL, data, starts, ends) > SYMBOL_PERCENT * chars
+    fails |= (words >= BARE_WORDS) & (span_totals(marked(data, _FREE), data, starts, ends) == 0)
+    most = max(map(len, _PHRASES))
+    for lo in range(0, len(data), SEGMENT):
+        low = LOWER[data[lo : lo + SEGMENT + most]].tobytes()
+        for phrase in _PHRASES:
+            at = low.find(phrase)
+            while at >= 0:
+                line = int(np.searchsorted(starts, lo + at, "right")) - 1
+                if lo + at + len(phrase) <= ends[line]:
+                    fails[line] = True
+                at = low.find(phrase, at + 1)
     return fails
 
 
@@ -115,12 +139,13 @@ def measure_all(data: np.ndarray, off: np.ndarray):
     starts, ends, before = word_spans(data, off, NON_SPACE)
     n_words = np.diff(before)
     repeated = _repeated(word_hashes(data, starts, ends), before)
-    word_chars, symbols = _totals(_CHARACTER[data], off[:-1], off[1:]), _totals(_SYMBOL[data], off[:-1], off[1:])
+    word_chars, symbols = span_totals(_CHARACTER, data, off[:-1], off[1:]), span_totals(_SYMBOL, data, off[:-1], off[1:])
     a, b, row = line_spans(data, off)
-    chars = _totals(_CHARACTER[data], a, b)
+    chars = span_totals(_CHARACTER, data, a, b)
+    words = np.searchsorted(starts, b) - np.searchsorted(starts, a)
     full = chars > 0
     fails = np.zeros(len(a), bool)
-    fails[full] = failing_lines(data, a, b, chars)[full]
+    fails[full] = failing_lines(data, a, b, chars, words)[full]
     lines = np.flatnonzero(full)
     dup = np.bincount(row[lines], minlength=rows) - _distinct(row[lines], word_hashes(data, a[lines], b[lines]), rows)
     lost, total = np.bincount(row, chars * fails, rows).astype(np.int64), np.bincount(row, chars, rows).astype(np.int64)
@@ -154,8 +179,8 @@ def repeated_words(words: list[str]) -> int:
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept (and the cleaned text).
 
-    Map only, one row per input row. A null or empty text has no words and fails; null ids and repeated rows are kept as
-    they are; other columns are ignored.
+    Map only, one row per input row, none for an empty table. A null or empty text has no words and fails; a long text is
+    measured whole, in segments; null ids and repeated rows are kept as they are; other columns are ignored.
     """
 
     def run(batches):
@@ -167,6 +192,6 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([batch.column("i"), *fields, *([pa.array(_cleaned(data, lines, len(batch)), pa.string())] if with_text else [])], names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *(["text"] if with_text else [])]
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     kinds = [source.schema["i"].dataType.simpleString(), *["long"] * 5, "boolean", "boolean", "string"]
     return source.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=False)))

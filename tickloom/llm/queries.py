@@ -108,6 +108,7 @@ def _op8() -> str:
     def count(text: str, chars: str) -> str:
         return f"(length({text}) - length(translate({text}, '{chars}', '')))"
 
+    free = "".join(f"{a}-{b}" for a, b in r.UNPUNCTUATED)
     return f"""
 with t as (select doc_id, coalesce(text, '') as text from documents),
 d as (select doc_id, text, regexp_extract_all(text, {word}) as w from t),
@@ -117,8 +118,8 @@ rc as (select doc_id, count(distinct p) as n from rp group by 1),
 ln as (select doc_id, unnest(string_split(text, chr(10))) as line from d),
 lw as (select doc_id, line, regexp_extract_all(line, {word}) as w from ln),
 ls as (select doc_id, line, len(w) as n, length(array_to_string(w, '')) as chars from lw where len(w) > 0),
-lf as (select *, (length(line) - length(replace(line, '|', ''))) >= {r.BARS} or (length(line) - length(replace(line, '!!', ''))) >= {2 * r.SHOUTS}
-  or 100 * {count("line", r.SYMBOLS)} > {r.SYMBOL_PERCENT} * chars or (n >= {r.BARE_WORDS} and {count("line", r.PUNCTUATION)} = 0)
+lf as (select *, {count("line", r.SEPARATORS)} >= {r.BARS} or (length(line) - length(replace(line, '!!', ''))) >= {2 * r.SHOUTS}
+  or 100 * {count("line", r.SYMBOLS)} > {r.SYMBOL_PERCENT} * chars or (n >= {r.BARE_WORDS} and not regexp_matches(line, '[{r.PUNCTUATION}{free}]'))
   or regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{r.BOILERPLATE}') as fails from ls),
 la as (select doc_id, count(*) - count(distinct line) as dup, coalesce(sum(chars) filter (fails), 0) as lost, sum(chars) as total from lf group by 1),
 b as (select d.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars, {count("text", r.SYMBOLS)}::bigint as n_symbols, coalesce(dup, 0)::bigint as n_dup_lines, coalesce(rc.n, 0)::bigint as n_repeat_words, coalesce(lost, 0) as lost, coalesce(total, 0) as total
