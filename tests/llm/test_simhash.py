@@ -144,3 +144,30 @@ def test_long_runs_of_candidates_keep_unsure_pairs():
     prints = np.array([(1 << 2 * i) - 1 for i in range(20)] + [1], np.uint64)[:, None]
     found = {frozenset(x) for a, b in block_links(np.zeros(21, np.int64), prints, 2, 1) for x in zip(a.tolist(), b.tolist(), strict=True)}
     assert all(frozenset((i, i + 1)) in found for i in range(1, 19)) and frozenset((0, 20)) in found
+
+
+def test_hot_blocks_are_split_without_losing_links(spark, monkeypatch):
+    from tickloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "HOT_RUN", 5)
+    rng = random.Random(8)
+    # one block of equal upper bits, most of its prints a few bits from another
+    base = [rng.getrandbits(31) for _ in range(60)]
+    prints = sorted({(0x5A5A5A5A << 32 | b) ^ sum(1 << k for k in rng.sample(range(31), rng.randrange(4))) for b in base for _ in range(6)})
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    links = {frozenset((r.a, r.b)) for r in simhash.print_links(df).collect()}
+    assert all((a ^ b).bit_count() <= 3 for a, b in map(tuple, links))
+    group = {p: p for p in prints}
+
+    def root(p):
+        while group[p] != p:
+            p = group[p]
+        return p
+
+    for a, b in map(tuple, links):
+        group[root(a)] = root(b)
+    assert all(root(a) == root(b) for a in prints for b in prints if (a ^ b).bit_count() <= 3)
+    # blocks that are left are small, or agree on all but few bits
+    keyed = df.selectExpr("1L as block", "print as node", f"print & {(1 << 32) - 1} as rest")
+    sizes = [r["count"] for r in simhash.split_hot(keyed, 32, 3).groupBy("block").count().collect()]
+    assert max(sizes) < len(prints) / 4

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, hold, mix, stage, text_bytes, word_hashes, word_spans
+from tickloom.llm.common import BROADCAST_ROWS, LOWER, NON_SPACE, byte_chunks, hold, mix, spread, stage, text_bytes, word_hashes, word_spans
 from tickloom.llm.components import connected_components
 from tickloom.llm.decontaminate import gram_hashes
 
@@ -18,6 +18,9 @@ COUNTED = 1 << 15
 #: Six blocks of the 64 bits; pairs within 3 bits agree on at least three of them.
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 DISTANCE = 3
+#: Fingerprints of a block that one task verifies; larger blocks are split again, each time by a quarter of the bits that they
+#: have not in common: pairs within ``DISTANCE`` agree on one of the quarters.
+HOT_RUN, SPLITS = 1 << 14, 3
 #: The similarity search of ``wide``: words of a shingle, and the Jaccard similarity of shingle sets that links (over five).
 #: Candidates share a band of so many minima: at a similarity of 0.8 one of the bands with a chance of 0.998 by formula.
 WIDE_SHINGLE, SIMILAR_FIFTHS, BANDS, BAND = 5, 4, 16, 5
@@ -59,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 prints = np.array([fingerprint(t, shingle) for t in batch.column("t").to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
 
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long")
 
 
@@ -123,36 +126,72 @@ def _verify(rows: DataFrame, distance: int, sure: int | None = None) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(a[i : i + (1 << 16)]), pa.array(b[i : i + (1 << 16)])], ["a", "b"])
 
     def run(batches):
-        held = None
+        held, last = [], None
         for batch in batches:
             if not len(batch):
                 continue
             prints = np.frombuffer(b"".join(batch.column("bits").to_pylist()), ">u8").reshape(len(batch), -1)
             now = [batch.column("block").to_numpy(), prints, batch.column("node").to_numpy()]
-            now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-            whole = int(np.searchsorted(now[0], now[0][-1]))
-            yield from links(*(x[:whole] for x in now))
-            held = [x[whole:] for x in now]
-        if held is not None:
-            yield from links(*held)
+            if held and now[0][-1] == last:
+                held.append(now)
+                continue
+            last = now[0][-1]
+            whole = int(np.searchsorted(now[0], last))
+            yield from links(*(np.concatenate(x) for x in zip(*held, [x[:whole] for x in now], strict=True)))
+            held = [[x[whole:] for x in now]]
+        if held:
+            yield from links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
 
 
-def print_links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) of distinct fingerprints within ``DISTANCE`` bits, enough to connect all that are linked."""
+def _bits(value, start: int, width: int):
+    """``width`` bits of a column from bit ``start``, the lowest being 0."""
+    return F.shiftrightunsigned(value, start).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _joined(fields: list, value):
+    """(bits of several (start, width) fields of a column side by side, their number)."""
+    out = F.lit(0).cast("long")
+    for start, width in fields:
+        out = F.shiftleft(out, width).bitwiseOR(_bits(value, start, width))
+    return out, sum(width for _, width in fields)
+
 
-    def field(start: int, width: int):
-        return F.shiftrightunsigned("print", 64 - start - width).bitwiseAND(F.lit((1 << width) - 1))
+def split_hot(keyed: DataFrame, width: int, splits: int = SPLITS) -> DataFrame:
+    """(block, node) in which blocks of over ``HOT_RUN`` rows are split so that pairs within ``DISTANCE`` still meet.
 
-    blocks = []
-    for number, chosen in enumerate(combinations(BLOCKS, len(BLOCKS) - DISTANCE)):
-        key = F.lit(number).cast("long")
-        for start, width in chosen:
-            key = F.shiftleft(key, width).bitwiseOR(field(start, width))
-        blocks.append(key)
-    bits = F.unhex(F.lpad(F.hex("print"), 16, "0"))
-    return _verify(prints.select(F.explode(F.array(*blocks)).alias("block"), F.col("print").alias("node"), bits.alias("bits")), DISTANCE)
+    ``rest`` has the ``width`` bits in which the rows of a block may differ. Hot blocks are joined by broadcast where they
+    are few, so that their own rows are not gathered to find them.
+    """
+    hot = stage(keyed.groupBy("block").count().where(F.col("count") > HOT_RUN).select("block"), "hot-blocks")
+    n = hot.limit(BROADCAST_ROWS + 1).count()
+    if not n or not splits or width <= DISTANCE:
+        return keyed.select("block", "node")
+    small = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
+    cuts = [width * k // (DISTANCE + 1) for k in range(DISTANCE + 2)]
+    parts = []
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        rest, _ = _joined([(lo, hi - lo) for lo, hi in ((b, width), (0, a)) if hi > lo], F.col("rest"))
+        parts.append(F.struct(F.xxhash64("block", F.lit(k), _bits(F.col("rest"), a, b - a)).alias("block"), rest.alias("rest")))
+    # the quarters differ in width by one bit, so what is left is read at the greatest
+    again = keyed.join(small, "block", "left_semi").select(F.explode(F.array(*parts)).alias("p"), "node").select("p.block", "node", "p.rest")
+    left = width - min(b - a for a, b in zip(cuts, cuts[1:]))
+    return keyed.join(small, "block", "left_anti").select("block", "node").unionByName(split_hot(again, left, splits - 1))
+
+
+def print_links(prints: DataFrame) -> DataFrame:
+    """Links (a, b) of distinct fingerprints within ``DISTANCE`` bits, enough to connect all that are linked."""
+    fields = [(64 - start - width, width) for start, width in BLOCKS]
+    blocks, widest = [], 0
+    for number, chosen in enumerate(combinations(range(len(fields)), len(fields) - DISTANCE)):
+        key, _ = _joined([fields[i] for i in chosen], F.col("print"))
+        rest, width = _joined([f for i, f in enumerate(fields) if i not in chosen], F.col("print"))
+        blocks.append(F.struct(F.shiftleft(F.lit(number).cast("long"), 40).bitwiseOR(key).alias("block"), rest.alias("rest")))
+        widest = max(widest, width)
+    keyed = prints.select(F.explode(F.array(*blocks)).alias("b"), F.col("print").alias("node")).select("b.block", "node", "b.rest")
+    bits = F.unhex(F.lpad(F.hex("node"), 16, "0"))
+    return _verify(split_hot(keyed, widest).withColumn("bits", bits), DISTANCE)
 
 
 def shingle_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -210,7 +249,7 @@ def similar_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 fields = [batch.column("i"), pa.array(prints.view(np.int64)), pa.array(nodes.view(np.int64)), pa.array(bits, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(fields, ["doc_id", "print", "node", "bits", "bands", "grams"])
 
-    source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    source = spread(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")))
     return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long, node long, bits binary, bands array<long>, grams array<int>")
 
 
