@@ -25,8 +25,9 @@ HOT_RUN, SPLITS = 1 << 14, 3
 #: Candidates share a band of so many minima: at a similarity of 0.8 one of the bands with a chance of 0.998 by formula.
 WIDE_SHINGLE, SIMILAR_FIFTHS, BANDS, BAND = 5, 4, 16, 5
 #: 64-bit words of the wide fingerprint. Sets with a similarity of 0.8 differ in 0.15 of the bits, by about 0.013 more or less;
-#: in long runs of candidates those below ``SURE_SHARE`` link by a spanning forest, others up to ``WIDE_SHARE`` pair by pair.
-WIDE_LANES, SURE_SHARE, WIDE_SHARE = 12, 0.115, 0.25
+#: in long runs of candidates those below ``SURE_SHARE`` link by a spanning forest; its trees, up to ``WIDE_SHARE`` apart, by a
+#: second one of the least distances, each of its links with ``SPARE`` others in case that it is not confirmed.
+WIDE_LANES, SURE_SHARE, WIDE_SHARE, SPARE = 12, 0.115, 0.25, 2
 #: Fixed: the seed of the shingle hash.
 SEED = 42
 _TO_LOWER = bytes(LOWER)
@@ -70,8 +71,8 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int |
     """Pairs of places whose prints (rows of 64-bit words) are within ``distance``, connecting all that such pairs connect in each run of equal keys.
 
     Short runs give every pair; in long ones a breadth-first walk gives a spanning forest, so pairs stay below rows and
-    memory at the run. With ``sure``, where links are confirmed later, the forest is of pairs within ``sure``, and every
-    pair between its trees that is within ``distance`` is given as well.
+    memory at the run. With ``sure``, where links are confirmed later, the forest is of pairs within ``sure``, and its trees
+    are joined by :func:`tree_links`.
     """
     out = []
 
@@ -104,11 +105,44 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int |
                     frontier.extend(found)
                     tree[found - a] = root
         if sure is not None and (tree != tree[0]).any():
-            for one in range(a, b - 1):
-                other = np.flatnonzero(tree[one - a + 1 :] != tree[one - a]) + one + 1
-                found = other[close(other, [one])]
-                if len(found):
-                    out.append((np.full(len(found), one), found))
+            out += tree_links(prints[a:b], tree - a, distance, a)
+    return out
+
+
+def tree_links(prints: np.ndarray, tree: np.ndarray, distance: int, first: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links between the trees of a run in ascending order of distance from a growing set (Prim's), up to ``distance``.
+
+    Each tree is reached by its least link and up to ``SPARE`` next ones, so there are at most ``1 + SPARE`` links a tree.
+    """
+    n, far = len(prints), np.iinfo(np.int64).max
+    outside = np.ones(n, bool)
+    best, parent = np.full((1 + SPARE, n), far), np.zeros((1 + SPARE, n), np.int64)
+    members = [np.zeros(0, np.int64)] * n
+    order = np.argsort(tree, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
+        members[tree[part[0]]] = part
+    out = []
+    while outside.any():
+        at = int(np.argmin(np.where(outside, best[0], far)))
+        if not outside[at] or best[0, at] > distance:  # nothing left is near: a new set begins
+            at = int(np.flatnonzero(outside)[0])
+            best[:, outside] = far
+        own = members[tree[at]]
+        near = best[:, own].ravel()
+        least = np.argsort(near, kind="stable")[: 1 + SPARE]
+        least = least[near[least] <= distance]
+        if len(least):
+            out.append((parent[:, own].ravel()[least] + first, np.tile(own, 1 + SPARE)[least] + first))
+        outside[own] = False
+        rest = np.flatnonzero(outside)
+        for one in own.tolist():
+            d = np.bitwise_count(prints[rest] ^ prints[one]).sum(axis=1, dtype=np.int64)
+            who = np.full(len(rest), one)
+            for level in range(1 + SPARE):
+                have, had = best[level, rest], parent[level, rest]
+                take = d < have
+                best[level, rest], parent[level, rest] = np.where(take, d, have), np.where(take, who, had)
+                d, who = np.where(take, have, d), np.where(take, had, who)
     return out
 
 
@@ -233,17 +267,18 @@ def band_keys(own: np.ndarray) -> np.ndarray:
     return key
 
 
-def similar_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, print, node, bits, bands, grams) of each row: equal sets of shingles are one node, a text without words is 0."""
+def similar_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, print, node, bits, bands, grams) of each row: equal sets of shingles are one node, a text without words is 0; the print is the first of the wide fingerprint's words."""
 
     def run(batches):
         hold("simhash")
         for whole in batches:
             for batch in byte_chunks(whole, "t", 2 << 20):
-                prints = np.array([fingerprint(t, shingle) for t in batch.column("t").to_pylist()], np.uint64)
                 sets = shingle_sets(batch)
                 nodes = np.array([int(mix(mix(x) ^ np.uint64(len(x))).sum(dtype=np.uint64)) for x in sets], np.uint64)
-                bits = [wide_print(x).astype(">u8").tobytes() if len(x) else b"" for x in sets]
+                wide = [wide_print(x) if len(x) else np.zeros(0, np.uint64) for x in sets]
+                prints = np.array([int(x[0]) if len(x) else 0 for x in wide], np.uint64)
+                bits = [x.astype(">u8").tobytes() for x in wide]
                 bands = [band_keys(x).view(np.int64) if len(x) else [] for x in sets]
                 grams = [(x >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in sets]
                 fields = [batch.column("i"), pa.array(prints.view(np.int64)), pa.array(nodes.view(np.int64)), pa.array(bits, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int32()))]
@@ -271,14 +306,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id linked over any number of steps).
 
     Fingerprints link at ``DISTANCE`` bits. With ``wide``, texts link by the similarity of their sets of five-word
-    shingles instead, which finds copies with more changes and leaves alone those that share a repeated passage only.
+    shingles instead, which finds copies with more changes and leaves alone those that share a repeated passage only; the
+    fingerprint is then one of these sets.
 
     Equal texts share a node, so copies add no pairs. A row without words has fingerprint zero
     and is linked like any other. A null id is no smallest id; a component of null ids only has a null one. Repeated
     rows give a row each; other columns are ignored; an empty table gives no rows.
     """
     if wide:
-        rows = stage(similar_rows(docs, id_col, text_col, shingle), "simhash")
+        rows = stage(similar_rows(docs, id_col, text_col), "simhash")
         of_node = [F.first(c).alias(c) for c in ("bits", "bands", "grams")]
     else:
         rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash").withColumn("node", F.col("print"))
