@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import LOWER, NON_SPACE, byte_chunks, crc_text, hash_of, hold, mix, spread, stage, text_bytes, word_hashes, word_spans
 
 #: Classes and words in each; their product is the number of words with an output. State width.
-CLASSES, IN_CLASS, HIDDEN = 64, 128, 16
+CLASSES, IN_CLASS, HIDDEN = 64, 64, 16
 WORDS = CLASSES * IN_CLASS
 #: Uses of a word with an output; rarer ones teach the network what other words are like.
 LEAST_COUNT = 5
@@ -26,7 +26,7 @@ OTHER, BEGIN = WORDS, WORDS + 1
 STEPS, SPANS = 32, 3
 LENGTH = STEPS * SPANS
 #: Sequences of a step and of a group, rounds of averaging, times a group goes over its sequences, and the rate.
-BATCH, GROUP, ROUNDS, EPOCHS, RATE = 128, 8192, 3, 1, 0.02
+BATCH, GROUP, ROUNDS, EPOCHS, RATE = 256, 8192, 3, 1, 0.02
 #: A word with at least this share of all tokens is known to every task: fewer than 200,000 words, whatever the corpus.
 HEAD_SHARE = 200_000
 #: Tokens that are scored in step, and of these the ones whose outputs are held at once.
@@ -93,12 +93,12 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     counts = vocabulary.own_counts.reshape(CLASSES, IN_CLASS)
     per_class = np.append(counts.sum(axis=1), vocabulary.other_tokens + 1.0)
-    words = np.where(counts > 0, np.log(np.maximum(counts, 1)), -30.0)
+    words = np.where(counts > 0, np.log(np.maximum(counts, 1) / np.maximum(counts.max(axis=1, keepdims=True), 1)), -30.0)
     w = {
         "x": rng.normal(0, 0.1, (WORDS + 2, 3 * HIDDEN)),
         "u": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)),
         "c": rng.normal(0, 0.05, (HIDDEN, CLASSES + 1)),
-        "cb": np.log(np.maximum(per_class, 1e-6) / per_class.sum()),
+        "cb": np.log(np.maximum(per_class, 1e-6) / per_class.max()),
         "w": rng.normal(0, 0.05, (CLASSES, HIDDEN, IN_CLASS)),
         "wb": words,
     }
@@ -106,25 +106,44 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(v: np.ndarray) -> np.ndarray:
-    np.negative(v, out=v)
-    np.exp(v, out=v)
-    v += 1
-    return np.reciprocal(v, out=v)
+    """In place; far below 0 the exponential is infinite and the result 0."""
+    with np.errstate(over="ignore"):
+        np.negative(v, out=v)
+        np.exp(v, out=v)
+        v += 1
+        return np.reciprocal(v, out=v)
+
+
+def _step(u: np.ndarray, h: np.ndarray, a: np.ndarray):
+    """One step from the inputs' vectors: (new state, update gate, reset gate, candidate, candidate's recurrent part)."""
+    b = h @ u
+    gates = _sigmoid(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
+    z, r, back = gates[:, :HIDDEN], gates[:, HIDDEN:], b[:, 2 * HIDDEN :]
+    n = r * back
+    n += a[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    h = h - n
+    h *= z
+    h += n
+    return h, z, r, n, back
 
 
 def advance(w: dict, h: np.ndarray, x: np.ndarray):
-    """One step: (new state, update gate, reset gate, candidate, candidate's recurrent part)."""
-    a, b = w["x"][x], h @ w["u"]
-    gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
-    gates = _sigmoid(np.clip(gates, -30, 30, out=gates))
-    z, r, back = gates[:, :HIDDEN], gates[:, HIDDEN:], b[:, 2 * HIDDEN :]
-    n = np.tanh(a[:, 2 * HIDDEN :] + r * back)
-    return n + z * (h - n), z, r, n, back
+    """:func:`_step` from the inputs' slots."""
+    return _step(w["u"], h, w["x"][x])
+
+
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials in place, their sum by row); biases have a maximum of 0 and states are within 1, so the bound is no limit in practice."""
+    np.minimum(logits, 80, out=logits)
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
-def _log_softmax(v: np.ndarray) -> np.ndarray:
-    v -= v.max(axis=1, keepdims=True)
-    return v - np.log(np.exp(v).sum(axis=1, keepdims=True))
+def _log_chance(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The log of the softmax at each row's target."""
+    own = logits[np.arange(len(logits)), target]
+    return own - np.log(_exp(logits)[1])
 
 
 def _by_class(target: np.ndarray):
@@ -139,18 +158,16 @@ def _by_class(target: np.ndarray):
 
 def log_probabilities(w: dict, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target's class and, where it has an output, of the word in the class."""
-    kind = (target // IN_CLASS).astype(np.int64)
-    out = _log_softmax(h @ w["c"] + w["cb"])[np.arange(len(h)), kind].astype(np.float64)
+    out = _log_chance(h @ w["c"] + w["cb"], (target // IN_CLASS).astype(np.int64)).astype(np.float64)
     for k, at in _by_class(target):
-        out[at] += _log_softmax(h[at] @ w["w"][k] + w["wb"][k])[np.arange(len(at)), target[at] % IN_CLASS]
+        out[at] += _log_chance(h[at] @ w["w"][k] + w["wb"][k], target[at] % IN_CLASS)
     return out
 
 
 def _less_targets(logits: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarray:
     """The gradient of the loss by its logits, in place: softmax less one at the target, scaled."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits *= scale / logits.sum(axis=1, keepdims=True)
+    logits, total = _exp(logits)
+    logits *= (scale / total)[:, None]
     logits[np.arange(len(logits)), target] -= scale
     return logits
 
@@ -162,9 +179,10 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     """
     size, kind = (len(x), len(h), HIDDEN), h.dtype
     kept, z, r, n, rec = (np.empty(size, kind) for _ in range(5))
+    inputs = w["x"][x]
     for t in range(len(x)):
         kept[t] = h
-        h, z[t], r[t], n[t], rec[t] = advance(w, h, x[t])
+        h, z[t], r[t], n[t], rec[t] = _step(w["u"], h, inputs[t])
     states = np.concatenate([kept[1:].reshape(-1, HIDDEN), h])
     target = y.ravel()
     live = np.flatnonzero(target >= 0)
@@ -185,7 +203,7 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
         own = hs[a:b]
         q = _less_targets(own @ w["w"][k] + w["wb"][k], inside[a:b], scale)
         np.matmul(own.T, q, out=outs[i])
-        q.sum(axis=0, out=biases[i])
+        np.matmul(np.ones(len(q), kind), q, out=biases[i])
         back[a:b] += q @ w["w"][k].T
     g_out = np.zeros_like(states)
     g_out[live] = back
@@ -204,8 +222,11 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
         carry = d + inner[t] @ back_u
     g_u = kept.reshape(-1, HIDDEN).T @ inner.reshape(-1, 3 * HIDDEN)
     inner[:, :, 2 * HIDDEN :] = g_n
-    order = np.argsort(x.ravel(), kind="stable")
-    used, first = np.unique(x.ravel()[order], return_index=True)
+    # whole numbers of 16 bits are sorted by digits
+    flat = x.ravel().astype(np.int16)
+    order = np.argsort(flat, kind="stable")
+    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    used = flat[order[first]]
     g = {"u": (None, g_u), "c": (None, hs.T @ p), "cb": (None, p.sum(axis=0)), "x": (used, np.add.reduceat(inner.reshape(-1, 3 * HIDDEN)[order], first, axis=0))}
     return g | ({"w": (kinds, outs), "wb": (kinds, biases)} if len(kinds) else {}), h
 
