@@ -149,3 +149,111 @@ def test_bins_do_not_change_the_previous_row(spark):
         assert small == sorted((r.i, r.v) for r in as_of(df.where("k is not null"), schedule, ["k"], "t", "since").collect())
     finally:
         iv.SCHEDULE_ROWS = old
+
+
+def test_no_interval_is_left_out(spark):
+    cums = [1 + 2 * i for i in range(701)]
+    gaps, r = ledger(spark, cums)
+    assert len(gaps) == 700 and (r.trades, r.net_missing, r.accepted) == (1401, 700, 701)
+    totals = audit.ledger_totals(audit.counter_ledger(frames(spark, cums))).first()
+    assert (totals.intervals, totals.missing, totals.confirmed_missing, totals.status) == (700, 700, 700, "OK")
+
+
+def plain_ledger(rows):
+    """The stated rules frame by frame: (open gaps, counts); a row is (cum, volume, cvolume, price, hms, conn)."""
+    gaps, top, last, low, conns = {}, None, None, [], set()
+    n = dict.fromkeys(("accepted", "duplicates", "regressions", "resets"), 0)
+
+    def go(a, b):
+        if b[0] - a[0] > 1:
+            gaps[a[0]] = [b[0], b[0] - a[0] - 1]
+
+    for r in rows:
+        if r[:5] == (last or ())[:5] or (low and r[:5] == low[-1][:5]):
+            n["duplicates"] += 1
+            continue
+        around = top is not None and any(a <= r[0] <= g[0] for a, g in gaps.items())
+        if top is not None and ((r[0] <= top[0] and r[5] != top[5] and r[5] in conns) or (r[0] < top[0] and around)):
+            hole = next((a for a, g in gaps.items() if a < r[0] < g[0]), None)
+            n["duplicates" if hole is None else "accepted"] += 1
+            if hole is not None:
+                gaps[hole][1] -= 1
+                if not gaps[hole][1]:
+                    del gaps[hole]
+            continue
+        conns.add(r[5])
+        n["accepted"] += 1
+        if top is not None and r[0] < top[0]:
+            n["regressions"] += 1
+            low = [*low, r][-3:]
+            if len(low) == 3 and low[0][0] <= low[1][0] <= low[2][0]:
+                go(low[0], low[1]), go(low[1], low[2])
+                top = last = low[2]
+                low = []
+                n["resets"] += 1
+            continue
+        low = []
+        if top is not None:
+            go(top, r)
+        top = last = r
+    return {a: tuple(g) for a, g in gaps.items()}, n
+
+
+def test_fold_equals_the_rules_frame_by_frame():
+    import pandas as pd
+
+    rng = random.Random(12)
+    for _ in range(300):
+        cum, rows = 0, []
+        for _ in range(rng.randrange(1, 60)):
+            cum += rng.choice([1, 1, 1, 2, 4])
+            value = cum if rng.random() < 0.8 else max(1, cum - rng.randrange(6))
+            rows.append((value, value * 10, 10, 5, f"{value:06d}", rng.choice("aab")))
+            if rng.random() < 0.1:
+                rows.append(rows[-1])
+        df = pd.DataFrame(rows, columns=["cum", "volume", "cvolume", "price", "hms", "conn_id"]).assign(recv_wall_ns=range(len(rows)), seq=0)
+        got = audit._Segment(df).table()
+        found = {int(r.cum_prev): (int(r.cum_next), int(r.missing_trades)) for r in got.itertuples() if r.kind}
+        assert (found, {k: int(got[k].iloc[0]) for k in ("accepted", "duplicates", "regressions", "resets")}) == plain_ledger(rows), rows
+
+
+def budget(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "symbol string, status string, trades_observed long, confirmed_missing long, loss_ratio double")
+    r = audit.gap_budget(df, **kw).first()
+    return r.status, r.basis, r.reasons
+
+
+def test_gap_budget(spark):
+    row = lambda s, t, c, status="OK": (s, status, t, c, c / t)
+    assert budget(spark, [row("A", 100_000, 5)]) == ("PASS", "ledger", [])
+    assert budget(spark, [row("A", 100_000, 20)]) == ("WARN", "ledger", ["trade_loss_warn:20/100000"])
+    assert budget(spark, [row("A", 100_000, 0), row("B", 200, 20), row("C", 100, 10), row("D", 99, 50)])[2] == ["symbol_loss_exceeded:B:20/200+1"]
+    assert budget(spark, [row("A", 1000, 6), row("B", 1000, 900, "NO_COUNTER")]) == ("FAIL", "ledger", ["trade_loss_exceeded:6/1000"])
+    assert budget(spark, [row("A", 100_000, 0)], tail_silence_s=90.5)[2] == ["tail_silence_exceeded:90s"]
+    assert budget(spark, [row("A", 100_000, 0)], outage_s=100.0) == ("PASS", "ledger", [])
+    assert budget(spark, [row("A", 100_000, 0)], outage_s=100.0, partial=True) == ("FAIL", "ledger+legacy", ["gap_exceeded:100s"])
+    assert budget(spark, [], outage_s=100.0) == ("FAIL", "legacy", ["gap_exceeded:100s"])
+
+
+def test_counts_alone_are_no_loss(spark):
+    live = frames(spark, [1, 2, 5, 9], volumes=[10, 20, 30, 90])
+    r = audit.loss_totals(live, audit.counter_gaps(live)).first()
+    assert (r.trades_observed, r.count_only_missing, r.confirmed_missing, r.loss_ratio) == (9, 2, 3, 3 / 9)
+    still = frames(spark, [4, 4], volumes=[10, 20])
+    assert audit.loss_totals(still, audit.counter_gaps(still)).first().status == "NO_COUNTER"
+
+
+def peers(spark, gap, trades):
+    gaps = spark.createDataFrame([("A", 1, *gap)], "symbol string, interval_id long, missing_trades long, acml_prev long, acml_next_before long")
+    rows = spark.createDataFrame([("A", *t) for t in trades], "symbol string, peer int, acml long, price long, qty long, conflated boolean")
+    return sorted((r.peer, r.acml) for r in repair.peer_fill(gaps, rows).collect())
+
+
+def test_peer_fill(spark):
+    plain, other = [(1, 110, 5, 10, False), (1, 120, 5, 10, False)], (3, 130, 5, 30, True)
+    assert peers(spark, (3, 100, 130), [*plain, other]) == [(1, 110), (1, 120)]
+    assert peers(spark, (3, 100, 130), [*plain, (2, 110, 6, 99, False)]) == [(1, 110), (1, 120)]
+    assert peers(spark, (1, 100, 130), [*plain]) == [] and peers(spark, (2, 100, 115), [*plain]) == [(1, 110)]
+    assert peers(spark, (1, 100, 130), [other, (4, 130, 5, 30, True)]) == [(3, 130)]
+    assert peers(spark, (1, 100, 130), [(2, 130, 5, 20, True), other]) == [(3, 130)]
+    assert peers(spark, (2, 100, 130), [other]) == [] and peers(spark, (1, 100, 130), [(3, 100, 5, 30, True)]) == []

@@ -90,3 +90,84 @@ def test_stream_equals_batch(spark):
 
     sf = str(DATA / "sf0.001")
     assert spark_rows(QUERIES["x6_failover_stream"](spark, sf)) == spark_rows(QUERIES["x6_controller"](spark, sf))
+
+
+def test_guards_hold_whichever_columns_are_read(spark, tmp_path):
+    from tickloom.operators import coverage
+
+    late = spark.createDataFrame([("A", "2024-01-05")], "symbol string, date string").withColumn("date", F.to_date("date"))
+    two = spark.createDataFrame([("c", 1, "a", 0), ("c", 1, "b", 1)], "conn_id string, conn_seq long, raw string, pos int")
+    bad = rows(2)
+    bad[1]["conn_id"] = None
+    l0.write_zstd_frames(str(folder(tmp_path) / "09.jsonl.zst"), [bad])
+    trade = spark.createDataFrame([("A", 1, 5, 3, 1)], "symbol string, at long, buy long, sell long, net long")
+    for df, text in ((universe.check_lookahead(late, F.to_date(F.lit("2024-01-04"))), "lookahead"), (dedup.dedup_l0(two, ["pos"]), "two payloads"), (l0.read_strict(spark, str(tmp_path)), "required"), (coverage.latest_trade(trade, ["symbol"], "at"), "net is not")):
+        with pytest.raises(Exception, match=text):
+            df.count()
+        with pytest.raises(Exception, match=text):
+            df.select(df.columns[0]).collect()
+
+
+def test_log_lines(spark, tmp_path):
+    d = tmp_path / "log"
+    d.mkdir()
+    (d / "a.jsonl").write_text('{"n": 1}\n\n[5]\n{"n": 2}\n{"n": ')
+    (d / "b.jsonl").write_text('{"n": 3}\n')
+    assert sorted(r.n for r in l0.read_log(spark, str(d), "n long").collect()) == [1, 2, 3]
+    (d / "b.jsonl").write_text('{"n": 3}\n{"n": \n')
+    with pytest.raises(ValueError, match="malformed"):
+        l0.read_log(spark, str(d), "n long")
+    (d / "b.jsonl").write_text('{"n": \n{"n": 3}')
+    with pytest.raises(ValueError, match="malformed"):
+        l0.read_log(spark, str(d), "n long")
+    assert sorted(r.n for r in l0.read_log(spark, str(d), "n long", strict=False).collect()) == [1, 2, 3]
+
+
+def test_templates_and_copies(spark):
+    paths = {
+        "l0/kis/dt=2024-01-02/09.jsonl": ("l0/kis/dt=*/{hh}.jsonl", "2024-01-02"),
+        "x/20240105.parquet": ("x/*.parquet", "2024-01-05"),
+        "x/run-2024-03/005930.csv": ("x/run-2024-03/{sym}.csv", None),
+        "x/2024-03/BTCUSDT.csv": ("x/*/{sym}.csv", "2024-03"),
+        "202401.zip": ("*.zip", "2024-01"),
+        "y/day=run_1.gz/deadbeef12": ("y/day=*.gz/*", None),
+    }
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r.path: (r.t, r.d) for r in df.select("path", store.path_template(F.col("path")).alias("t"), store.path_date(F.col("path")).alias("d")).collect()}
+    assert got == paths
+    listing = [("a", 10, None), ("a", 10, None), ("b", 10, "x"), ("b", 10, "x"), ("c", 10, None), ("c", 99, None), ("d", 1, "x")]
+    kinds = {r.name: r.kind for r in store.duplicate_names(spark.createDataFrame(listing, "name string, bytes long, md5 string")).collect()}
+    assert kinds == {"a": "conflicting", "b": "identical", "c": "conflicting"}
+
+
+def test_origins(spark):
+    from tickloom.operators import coverage
+
+    paths = {"snapshot/ohlcv/dt=2026-11-20": "rest_snapshot", "history/tick_tape/dt=2026-11-20": "rest_backfill", "history/minute/dt=2026-11-20": "rest_minute", "kis/krx/regular/H0STCNT0/dt=2026-11-20": "ws_realtime"}
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    assert {r.path: r.o for r in df.select("path", coverage.origin_of_path(F.col("path")).alias("o")).collect()} == paths
+    for p in ("derived/ticks_repaired/dt=2026-11-20", "snapshot", "history/tick_tape", "kis/krx/dt=2026-11-20", "other/a/b/c/d"):
+        with pytest.raises(Exception, match="origin"):
+            spark.createDataFrame([(p,)], "path string").select(coverage.origin_of_path(F.col("path"))).collect()
+
+
+def test_vendor_names_of_quotes(spark):
+    import json
+
+    from tickloom.operators.decode import db_quotes
+
+    body = {"ShrnIscd": "005930", "BsopHour": "101500", "TotalAskprsqn": "1000", "TotalBidprsqn": "900"} | {f"{p}{k}": str(k) for p in ("Askp", "Bidp", "AskpRsqn", "BidpRsqn") for k in range(1, 11)}
+    r = db_quotes(spark.createDataFrame([(json.dumps({"body": body}),)], "raw string")).first()
+    assert (r.shcode, r.hotime, r.totofferrem, r.totbidrem, r.offerho10) == ("005930", 101500, 1000, 900, 10)
+
+
+def test_a_batch_that_runs_again_stores_its_rows_once(spark, tmp_path):
+    from tickloom.streaming import monitors
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(src)
+    stream = lambda: spark.readStream.schema("id long").parquet(src)
+    assert monitors.run_available(stream(), out).count() == 5
+    for f in (tmp_path / "out/state/commits").iterdir():  # as if the driver was lost before the batch was committed
+        f.unlink()
+    assert sorted(r.id for r in monitors.run_available(stream(), out).collect()) == [0, 1, 2, 3, 4]

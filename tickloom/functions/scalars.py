@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed: floors of the price steps, highest first.
@@ -69,5 +69,11 @@ def is_short_code(c: Column) -> Column:
     return F.coalesce(c.rlike("^[0-9A-Za-z]{6}$"), F.lit(False))
 
 
+def require(df: DataFrame, bad: Column, message) -> DataFrame:
+    """The rows of ``df``, failing the query where ``bad`` holds. It is a filter, so it stays whichever columns are read."""
+    text = message if isinstance(message, Column) else F.lit(message)
+    return df.where(F.when(bad, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,88 +45,188 @@ def counter_gaps(live: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
-LEDGER_SCHEMA = "symbol string, phase string, kind string, missing_trades long, volume_deficit long, cum_prev long, cum_next long, chetime_prev string, chetime_next string, recv_prev_ns long, recv_next_ns long, conn_changed boolean, accepted long, duplicates long, regressions long, resets long"
-_FIELDS = ("cum", "volume", "cvolume", "price", "hms")
-
-
-def _fold(frames: pd.DataFrame) -> pd.DataFrame:
-    """The ordered fold of one (symbol, phase): late frames fill intervals, three rising low frames are a reset."""
-    symbol, phase = frames["symbol"].iloc[0], frames["phase"].iloc[0]
-    rows = frames.sort_values(["recv_wall_ns", "seq"])[["cum", "volume", "cvolume", "price", "hms", "recv_wall_ns", "conn_id"]].to_dict("records")
-    gaps: list[dict] = []
-    top = last = None
-    low: list[dict] = []
-    conns: set = set()
-    n = {"accepted": 0, "duplicates": 0, "regressions": 0, "resets": 0}
-
-    def equal(a, b):
-        return all(a[f] == b[f] for f in _FIELDS)
-
-    def rise(frame):
-        nonlocal top
-        missing = frame["cum"] - top["cum"] - 1
-        if missing >= 1:
-            deficit = max(0, frame["volume"] - top["volume"] - frame["cvolume"])
-            gaps.append({"kind": "confirmed" if deficit else "count_only", "missing_trades": missing, "volume_deficit": deficit, "cum_prev": top["cum"], "cum_next": frame["cum"], "chetime_prev": top["hms"], "chetime_next": frame["hms"], "recv_prev_ns": top["recv_wall_ns"], "recv_next_ns": frame["recv_wall_ns"], "conn_changed": frame["conn_id"] != top["conn_id"]})
-            gaps.sort(key=lambda g: (-g["missing_trades"], g["recv_prev_ns"]))
-            del gaps[INTERVAL_CAP:]
-        top = frame
-
-    for frame in rows:
-        if (last is not None and equal(last, frame)) or (low and equal(low[-1], frame)):
-            n["duplicates"] += 1
-            continue
-        late = top is not None and frame["cum"] <= top["cum"] and frame["conn_id"] != top["conn_id"] and frame["conn_id"] in conns
-        inside = top is not None and frame["cum"] < top["cum"] and any(g["cum_prev"] <= frame["cum"] <= g["cum_next"] for g in gaps)
-        if late or inside:
-            hole = next((g for g in gaps if g["cum_prev"] < frame["cum"] < g["cum_next"]), None)
-            if hole is None:
-                n["duplicates"] += 1
+#: Per interval (nulls where a segment has none) and, repeated on each of its rows, what is known of the whole segment.
+_INTERVAL = "kind string, missing_trades long, volume_deficit long, cum_prev long, cum_next long, chetime_prev string, chetime_next string, recv_prev_ns long, recv_next_ns long, conn_changed boolean, acml_prev long, acml_next_before long"
+_SEGMENT = "frames long, accepted long, duplicates long, regressions long, resets long, trades long, net_missing long, varied boolean"
+_COPY_OF = ("cum", "volume", "cvolume", "price", "hms")
+
+
+class _Segment:
+    """The frames of one segment as arrays in order of arrival, and the ledger of what its counter leaves out.
+
+    Most of a feed are stretches in which the counter only rises; those are handled as arrays. What is decided frame by
+    frame is the rest: copies, frames that arrive late, and counters that fall.
+    """
+
+    def __init__(self, frames: pd.DataFrame):
+        rows = frames.sort_values(["recv_wall_ns", "seq"], kind="stable")
+        self.of = {c: rows[c].to_numpy() for c in (*_COPY_OF, "recv_wall_ns", "conn_id")}
+        self.cum = self.of["cum"].astype(np.int64)
+        #: Open intervals by their lower counter, in order, so that a counter finds its own by bisection.
+        self.lows: list[int] = []
+        self.open: dict[int, list] = {}
+        self.closed: list[list] = []
+        self.n = {"accepted": 0, "duplicates": 0, "regressions": 0, "resets": 0}
+        self.spans: list[tuple[int, int]] = []
+        self.before_reset: tuple[int, int] = (0, 0)
+
+    def copies(self, i: int, j: int | None) -> bool:
+        return j is not None and all(self.of[c][i] == self.of[c][j] for c in _COPY_OF)
+
+    def jump(self, i: int, j: int) -> None:
+        """The counter went from row ``i`` to row ``j``."""
+        missing = int(self.cum[j] - self.cum[i]) - 1
+        if missing > 0:
+            low = int(self.cum[i])
+            if low in self.open:  # the counter was reset and passes the same value again
+                self.closed.append(self.open.pop(low))
+                self.lows.remove(low)
+            short = max(0, int(self.of["volume"][j]) - int(self.of["volume"][i]) - int(self.of["cvolume"][j]))
+            insort(self.lows, low)
+            self.open[low] = [i, j, missing, short, short > 0]
+
+    def holding(self, value: int) -> list | None:
+        """The open interval with bounds around ``value``, them included."""
+        for at in (bisect_right(self.lows, value) - 1, bisect_left(self.lows, value) - 1):
+            if at >= 0 and value <= self.cum[self.open[self.lows[at]][1]]:
+                return self.open[self.lows[at]]
+        return None
+
+    def fill(self, i: int, interval: list) -> None:
+        interval[2] -= 1
+        interval[3] = max(0, interval[3] - int(self.of["cvolume"][i]))
+        if not interval[2]:
+            low = int(self.cum[interval[0]])
+            self.lows.remove(low)
+            del self.open[low]
+
+    def run(self) -> None:
+        cum, conns = self.cum, self.of["conn_id"]
+        breaks = np.append(np.flatnonzero(np.diff(cum) <= 0) + 1, len(cum))
+        seen: set = set()
+        head = tail = None  # rows of the highest counter, and of the last one in order
+        fallen: list[int] = []
+        first, extra = None, 0
+        i = 0
+        while i < len(cum):
+            if head is None or cum[i] > cum[head]:
+                # a rising stretch: nothing in it can be late or a copy
+                end = int(breaks[np.searchsorted(breaks, i, "right")])
+                if head is None:
+                    first = i
+                else:
+                    self.jump(head, i)
+                for k in (np.flatnonzero(np.diff(cum[i:end]) > 1) + i).tolist():
+                    self.jump(k, k + 1)
+                seen.update(set(conns[i:end].tolist()))
+                self.n["accepted"] += end - i
+                head = tail = end - 1
+                fallen.clear()
+                i = end
                 continue
-            hole["missing_trades"] -= 1
-            hole["volume_deficit"] = max(0, hole["volume_deficit"] - frame["cvolume"])
-            if not hole["missing_trades"]:
-                gaps.remove(hole)
-            n["accepted"] += 1
-            continue
-        conns.add(frame["conn_id"])
-        n["accepted"] += 1
-        if top is None:
-            top = last = frame
-            continue
-        if frame["cum"] < top["cum"]:
-            n["regressions"] += 1
-            low = [*low, frame][-RESET_FRAMES:]
-            if len(low) == RESET_FRAMES and all(a["cum"] <= b["cum"] for a, b in zip(low, low[1:])):
-                top = low[0]
-                for item in low[1:]:
-                    rise(item)
-                low, last = [], frame
-                n["resets"] += 1
-            continue
-        low = []
-        rise(frame)
-        last = frame
-    empty = {k: None for k in ("kind", "missing_trades", "volume_deficit", "cum_prev", "cum_next", "chetime_prev", "chetime_next", "recv_prev_ns", "recv_next_ns", "conn_changed")}
-    return pd.DataFrame([{"symbol": symbol, "phase": phase, **g, **n} for g in (gaps or [empty])])[[c.split()[0] for c in LEDGER_SCHEMA.split(", ")]]
-
-
-def counter_ledger(frames: DataFrame) -> DataFrame:
-    """The exact ledger of feeds with late frames, regressions and resets: an ordered fold per (symbol, phase).
-
-    One row per interval with the segment's counters, or one without an interval. Copies by (conn_id, conn_seq) are to be
-    dropped before. A group is one symbol's session, the unit whose order matters.
+            interval = self.holding(int(cum[i]))
+            below = cum[i] < cum[head]
+            if self.copies(i, tail) or self.copies(i, fallen[-1] if fallen else None):
+                self.n["duplicates"] += 1
+            elif (conns[i] != conns[head] and conns[i] in seen) or (below and interval is not None):
+                if interval is not None and cum[interval[0]] < cum[i] < cum[interval[1]]:
+                    self.fill(i, interval)
+                    self.n["accepted"] += 1
+                else:
+                    self.n["duplicates"] += 1
+            else:
+                seen.add(conns[i])
+                self.n["accepted"] += 1
+                if below:
+                    self.n["regressions"] += 1
+                    fallen = [*fallen, i][-RESET_FRAMES:]
+                    if len(fallen) == RESET_FRAMES and all(cum[x] <= cum[y] for x, y in zip(fallen, fallen[1:])):
+                        self.spans.append((first, head))
+                        self.n["resets"] += 1
+                        for x, y in zip(fallen, fallen[1:]):
+                            self.jump(x, y)
+                        first, head, tail, fallen = fallen[0], fallen[-1], i, []
+                else:  # the same counter again, with other fields
+                    fallen.clear()
+                    head = tail = i
+            i += 1
+        if first is not None:
+            self.spans.append((first, head))
+
+    def table(self) -> pd.DataFrame:
+        self.run()
+        trades = sum(int(self.cum[b] - self.cum[a]) + 1 for a, b in self.spans)
+        facts = {"frames": len(self.cum), **self.n, "trades": trades, "net_missing": trades - self.n["accepted"], "varied": bool(len(np.unique(self.cum)) > 1)}
+        rows = []
+        for i, j, missing, short, sure in [*self.closed, *self.open.values()]:
+            at = lambda c, k: self.of[c][k]
+            rows.append(("confirmed" if sure else "count_only", missing, short, int(self.cum[i]), int(self.cum[j]), at("hms", i), at("hms", j), int(at("recv_wall_ns", i)), int(at("recv_wall_ns", j)), bool(at("conn_id", i) != at("conn_id", j)), int(at("volume", i)), int(at("volume", j)) - int(at("cvolume", j))))
+        names = [c.split()[0] for c in _INTERVAL.split(", ")]
+        out = pd.DataFrame(rows or [(None,) * len(names)], columns=names)
+        return out.assign(**facts)
+
+
+def counter_ledger(frames: DataFrame, keys: tuple[str, ...] = ("symbol", "phase")) -> DataFrame:
+    """The exact ledger of feeds with late frames, regressions and resets: an ordered fold per segment of ``keys``.
+
+    A late frame fills the interval that holds its counter; three falling frames that rise among themselves are a reset.
+    One row per interval with the segment's counters, or one without an interval; no interval is left out, however many
+    there are. Copies by (conn_id, conn_seq) are to be dropped before. A group is one symbol's session, the unit whose
+    order matters: with several days in a table the day belongs to ``keys``.
     """
-    return frames.groupBy("symbol", "phase").applyInPandas(_fold, LEDGER_SCHEMA)
+    kinds = [f"{k} {frames.schema[k].dataType.simpleString()}" for k in keys]
+
+    def fold(group: pd.DataFrame) -> pd.DataFrame:
+        out = _Segment(group).table()
+        for n, k in enumerate(keys):
+            out.insert(n, k, group[k].iloc[0])
+        return out
+
+    return frames.groupBy(*keys).applyInPandas(fold, ", ".join([*kinds, _INTERVAL, _SEGMENT]))
+
+
+_LOST = ("intervals", "missing", "confirmed_missing", "count_only_missing", "volume_deficit")
+
+
+def _lost(gaps: DataFrame) -> DataFrame:
+    kind = lambda k: F.sum(F.when(F.col("kind") == k, F.col("missing_trades")).otherwise(0))
+    return gaps.groupBy("symbol").agg(F.count("kind").alias("intervals"), F.sum("missing_trades").alias("missing"), kind("confirmed").alias("confirmed_missing"), kind("count_only").alias("count_only_missing"), F.sum("volume_deficit").alias("volume_deficit"))
+
+
+def _ledger(seen: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Per symbol status, trades, losses by kind and the confirmed share; ``seen``: symbol, frames, varied, trades_observed, net_missing."""
+    rows = seen.join(_lost(gaps), "symbol", "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in _LOST})
+    status = F.when((F.col("frames") > 1) & ~F.col("varied"), "NO_COUNTER").otherwise("OK")
+    share = F.coalesce(F.try_divide(F.col("confirmed_missing"), F.col("trades_observed")), F.lit(0.0))
+    return rows.select("symbol", status.alias("status"), "frames", "trades_observed", *_LOST, "net_missing", share.alias("loss_ratio"))
 
 
 def loss_totals(live: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Per symbol: trades observed, missing by kind, deficit, and the share lost."""
-    seen = live.groupBy("symbol").agg(F.count("*").alias("trades_observed"))
-    lost = gaps.groupBy("symbol").agg(F.count("*").alias("intervals"), F.sum("missing_trades").alias("missing"), F.sum(F.when(F.col("kind") == "confirmed", F.col("missing_trades")).otherwise(0)).alias("confirmed_missing"), F.sum("volume_deficit").alias("volume_deficit"))
-    zero = F.lit(0)
-    rows = seen.join(lost, "symbol", "left").select("symbol", "trades_observed", *[F.coalesce(n, zero).alias(n) for n in ("intervals", "missing", "confirmed_missing", "volume_deficit")])
-    return rows.withColumn("loss_ratio", F.coalesce(F.try_divide(F.col("missing"), F.col("missing") + F.col("trades_observed")), F.lit(0.0)))
+    """Per symbol of a feed in counter order: the trades that its counter shows, those missing by kind, and the share of confirmed losses.
+
+    A jump of the count alone is no sure loss, so it has no part in ``loss_ratio``. A counter that never moves is none:
+    the symbol's status is NO_COUNTER, and sessions leave it out.
+    """
+    span = F.max("cum") - F.min("cum")
+    seen = live.groupBy("symbol").agg(F.count("*").alias("frames"), (span > 0).alias("varied"), (span + 1).alias("trades_observed"), (span + 1 - F.count("*")).alias("net_missing"))
+    return _ledger(seen, gaps)
+
+
+def ledger_totals(ledger: DataFrame) -> DataFrame:
+    """:func:`loss_totals` of the exact ledger; its segments' counters are summed once each."""
+    parts = [c for c in ledger.columns if c in ("symbol", "phase", "dt")]
+    segments = ledger.groupBy(*parts).agg(*[F.first(c).alias(c) for c in ("frames", "trades", "net_missing", "varied")])
+    seen = segments.groupBy("symbol").agg(F.sum("frames").alias("frames"), F.max("varied").alias("varied"), F.sum("trades").alias("trades_observed"), F.sum("net_missing").alias("net_missing"))
+    return _ledger(seen, ledger.where("kind is not null"))
+
+
+def session_totals(totals: DataFrame) -> DataFrame:
+    """One row for a session: the sums over symbols with a counter, how many lost trades, how many have no counter."""
+    ok = F.col("status") == "OK"
+    total = lambda c: F.coalesce(F.sum(F.when(ok, c)), F.lit(0))
+    lost = F.col("confirmed_missing") + F.col("count_only_missing") > 0
+    one = totals.agg(F.count_if(ok).alias("symbols"), F.count_if(ok & lost).alias("symbols_with_loss"), F.count_if(~ok).alias("symbols_without_counter"), *[total(F.col(c)).alias(c) for c in ("trades_observed", "confirmed_missing", "count_only_missing", "volume_deficit")], total(F.greatest("net_missing", F.lit(0))).alias("net_missing_positive"))
+    return one.withColumn("loss_ratio", F.coalesce(F.try_divide(F.col("confirmed_missing"), F.col("trades_observed")), F.lit(0.0)))
 
 
 def latency_minutes(frames: DataFrame) -> DataFrame:
@@ -157,13 +260,39 @@ def tail_silence(last_second: DataFrame, auction_second: int) -> DataFrame:
     return last_second.withColumn("tail_silence_s", F.greatest(F.lit(0), F.lit(auction_second) - F.col("second")))
 
 
-def gap_budget(totals: DataFrame, warn: float = 1e-4, fail: float = 5e-3, symbol_fail: float = 5e-2, least_trades: int = 100) -> DataFrame:
-    """One row: the session's loss ratio, its worst symbol, and PASS, WARN or FAIL against the budget."""
-    judged = totals.withColumn("_key", F.when(F.col("trades_observed") + F.col("missing") >= least_trades, F.struct("loss_ratio", "missing", "symbol")))
-    one = judged.agg(F.sum("missing").alias("missing"), F.sum("trades_observed").alias("observed"), F.max("_key").alias("_worst"))
-    ratio = F.coalesce(F.try_divide(F.col("missing"), F.col("missing") + F.col("observed")), F.lit(0.0))
-    one = one.withColumns({"loss_ratio": ratio, "worst_symbol": F.col("_worst.symbol"), "worst_ratio": F.col("_worst.loss_ratio")}).drop("_worst")
-    return one.withColumn("status", first_case([((F.col("loss_ratio") > fail) | (F.col("worst_ratio") > symbol_fail), F.lit("FAIL")), (F.col("loss_ratio") > warn, F.lit("WARN"))], "PASS"))
+def gap_budget(totals: DataFrame, warn: float = 1e-4, fail: float = 5e-3, symbol_fail: float = 5e-2, least_trades: int = 100, tail_silence_s: float = 0.0, most_silence_s: float = 60.0, outage_s: float = 0.0, most_outage_s: float = 60.0, partial: bool = False) -> DataFrame:
+    """One row: the session's confirmed loss, its worst symbol, the reasons, and PASS, WARN or FAIL against the budget.
+
+    Symbols without a counter are left out. A symbol is judged from ``least_trades`` on; of those over ``symbol_fail`` the
+    worst is named and the others counted. A PARTIAL audit also fails by the seconds of outage; without any trades these
+    alone decide, which is the ``legacy`` basis.
+    """
+    ok = totals.where("status = 'OK'")
+    judged = (F.col("trades_observed") >= least_trades) & (F.col("trades_observed") > 0)
+    # the least symbol of equals, so the greatest of its negative place
+    one = ok.withColumn("_breach", judged & (F.col("loss_ratio") > symbol_fail)).agg(
+        F.coalesce(F.sum("confirmed_missing"), F.lit(0)).alias("confirmed"),
+        F.coalesce(F.sum("trades_observed"), F.lit(0)).alias("trades"),
+        F.count_if("_breach").alias("breaching"),
+        F.min(F.when(F.col("_breach"), F.struct((-F.col("loss_ratio")).alias("r"), (-F.col("confirmed_missing")).alias("c"), F.col("symbol").alias("s"), F.col("trades_observed").alias("t")))).alias("_worst"),
+    )
+    one = one.withColumns({"loss_ratio": F.coalesce(F.try_divide(F.col("confirmed"), F.col("trades")), F.lit(0.0)), "worst_symbol": F.col("_worst.s")})
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    late = F.lit(outage_s > most_outage_s)
+    ledger = F.col("trades") > 0
+    others = F.when(F.col("breaching") > 1, text("+", F.col("breaching") - 1)).otherwise("")
+    failing = [
+        (late & (F.lit(partial) | ~ledger), text(f"gap_exceeded:{int(outage_s)}s")),
+        (ledger & (F.col("loss_ratio") > fail), text("trade_loss_exceeded:", F.col("confirmed"), "/", F.col("trades"))),
+        (ledger & (F.col("breaching") > 0), text("symbol_loss_exceeded:", F.col("worst_symbol"), ":", -F.col("_worst.c"), "/", F.col("_worst.t"), others)),
+        (ledger & F.lit(tail_silence_s > most_silence_s), text(f"tail_silence_exceeded:{int(tail_silence_s)}s")),
+    ]
+    one = one.withColumn("_failed", F.array_compact(F.array(*[F.when(c, v) for c, v in failing])))
+    warned = ledger & (F.size("_failed") == 0) & (F.col("loss_ratio") > warn)
+    reasons = F.when(warned, F.array(text("trade_loss_warn:", F.col("confirmed"), "/", F.col("trades")))).otherwise(F.col("_failed"))
+    status = first_case([(F.size("_failed") > 0, F.lit("FAIL")), (warned, F.lit("WARN"))], "PASS")
+    basis = F.when(ledger, "ledger+legacy" if partial else "ledger").otherwise("legacy")
+    return one.select("confirmed", "trades", "loss_ratio", "breaching", "worst_symbol", reasons.alias("reasons"), basis.alias("basis"), status.alias("status"))
 
 
 def top_intervals(gaps: DataFrame, n: int = INTERVAL_CAP) -> DataFrame:
@@ -181,14 +310,15 @@ def longest_holes(holes: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
 def session_audit(frames: DataFrame, hole_start: int, hole_end: int, least_hole: int) -> dict[str, DataFrame]:
     """The tables of a session's audit: ``gaps``, ``ledger``, ``totals``, ``latency``, ``holes`` and a one-row ``status``.
 
-    ``frames``: symbol, cum, volume, cvolume, hms, recv_wall_ns, conn_id, stream, minute_kst, latency_s, second, torn. The
-    status is UNAVAILABLE without frames, PARTIAL if a file was torn, else OK.
+    ``frames``: symbol, phase, cum, volume, cvolume, price, hms, recv_wall_ns, seq, conn_id, stream, minute_kst, latency_s,
+    second, torn. Losses come from the exact ledger. The status is UNAVAILABLE without frames, PARTIAL if a file was torn,
+    else OK.
     """
-    gaps = counter_gaps(frames)
-    totals = loss_totals(frames, gaps)
+    ledger = counter_ledger(frames)
+    totals = ledger_totals(ledger)
     status = frames.agg(F.count("*").alias("rows"), F.count_if("torn").alias("torn_rows")).withColumn("status", first_case([(F.col("rows") == 0, F.lit("UNAVAILABLE")), (F.col("torn_rows") > 0, F.lit("PARTIAL"))], "OK"))
-    session = totals.agg(F.coalesce(F.sum("trades_observed"), F.lit(0)).alias("trades_observed"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
-    return {"gaps": top_intervals(gaps), "ledger": totals, "totals": session, "latency": merge_connections(latency_minutes(frames)), "holes": event_holes(frames.select("stream", "second"), ["stream"], hole_start, hole_end, least_hole), "status": status}
+    gaps = top_intervals(ledger.where("kind is not null").drop(*[c.split()[0] for c in _SEGMENT.split(", ")]))
+    return {"gaps": gaps, "ledger": totals, "totals": session_totals(totals), "latency": merge_connections(latency_minutes(frames)), "holes": event_holes(frames.select("stream", "second"), ["stream"], hole_start, hole_end, least_hole), "status": status}
 
 
 def session_check(totals: DataFrame, outages: DataFrame, expected: DataFrame, max_outage_s: int) -> DataFrame:

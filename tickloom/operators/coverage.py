@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case
+from tickloom.functions.scalars import first_case, require
 
 
 def date_coverage(stored: DataFrame) -> DataFrame:
@@ -111,8 +109,8 @@ def gates(criteria: DataFrame, keys: list[str]) -> DataFrame:
 def latest_trade(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
     """The row of greatest ``at`` of each key, failing the query where net isn't buy minus sell."""
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), at).alias("_row")).select(*keys, "_row.*")
-    good = F.col("net") == F.col("buy") - F.col("sell")
-    return last.withColumn("net", F.when(good, F.col("net")).otherwise(F.raise_error(F.lit("net is not buy minus sell")).cast("long")))
+    good = F.coalesce(F.col("net") == F.col("buy") - F.col("sell"), F.lit(False))
+    return require(last, ~good, "net is not buy minus sell")
 
 
 def certified_days(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -179,15 +177,30 @@ def eod_targets(ranked: DataFrame, barred: DataFrame, base: DataFrame, n: int) -
     return rows.groupBy("symbol").agg(F.min("seen_at").alias("first_seen"), F.min("rank").alias("best_rank")).orderBy("first_seen", "best_rank", "symbol").limit(n)
 
 
-def origin_of_path(path):
-    """Where a stored file's rows come from, by its path."""
-    return first_case([(path.contains("/repaired/"), F.lit("repaired")), (path.contains("/tape/"), F.lit("tape")), (path.contains("/l1/"), F.lit("live"))], "unknown")
+#: Fixed: the origins, the vendors whose folders hold live frames, and the fewest parts of a path below the root of stored frames.
+REALTIME, BACKFILL, MINUTE, SNAPSHOT = "ws_realtime", "rest_backfill", "rest_minute", "rest_snapshot"
+LIVE_VENDORS = ("kis", "ls", "db", "toss", "kiwoom")
+VENDOR_DEPTH, SNAPSHOT_DEPTH, HISTORY_DEPTH = 5, 2, 3
 
 
-def origin_of_source(source):
-    """A repaired row's origin by its source; null stays null."""
-    return F.when(source == "live", "live").when(source.isin("tape", "topup"), "tape").when(source.isNotNull(), "peer")
+def origin_of_path(path):
+    """Where the rows of a stored file come from, by its path below the root; a path of rows of several origins, or of none known, fails the query."""
+    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    deep = lambda n: F.size(parts) >= n
+    top, second = F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
+    fail = lambda text: F.raise_error(F.concat(F.lit(text), path)).cast("string")
+    return first_case(
+        [
+            ((top == "derived") & (second == "ticks_repaired"), fail("rows of several origins: ")),
+            ((top == "snapshot") & deep(SNAPSHOT_DEPTH), F.lit(SNAPSHOT)),
+            ((top == "history") & (second == "tick_tape") & deep(HISTORY_DEPTH), F.lit(BACKFILL)),
+            ((top == "history") & (second == "minute") & deep(HISTORY_DEPTH), F.lit(MINUTE)),
+            (top.isin(*LIVE_VENDORS) & deep(VENDOR_DEPTH), F.lit(REALTIME)),
+            (path.isNotNull(), fail("no known origin: ")),
+        ]
+    )
 
 
-def any_true(*conditions):
-    return reduce(lambda a, b: a | b, conditions)
+def origin_of_source(source):
+    """A repaired row's origin: live rows are realtime, those of any other source backfill; null stays null."""
+    return F.when(source == "live", REALTIME).when(source.isNotNull(), BACKFILL)

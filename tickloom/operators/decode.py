@@ -16,7 +16,7 @@ KIS_TICK_LEAST, KIS_QUOTE_LEAST = 17, 45
 #: Fixed: field names of the two JSON dialects with the common names.
 LS_TICK = {"shcode": "shcode", "price_raw": "price", "cvolume_raw": "cvolume", "volume_raw": "volume", "change_raw": "change", "sign": "sign", "drate_raw": "drate", "mdchecnt_raw": "mdchecnt", "mschecnt_raw": "mschecnt"}
 DB_TICK = {"shcode": "ShrnIscd", "price_raw": "StckPrpr", "cvolume_raw": "CntgVol", "volume_raw": "AcmlVol", "change_raw": "PrdyVrss", "sign": "PrdyVrsssign", "drate_raw": "PrdyCtrt", "mdchecnt_raw": "SelnCntgcsnu", "mschecnt_raw": "ShnuCntgcsnu"}
-DB_QUOTE = {"shcode": "ShrnIscd", "hotime": "BsopHour", "totofferrem": "TotAskpRsqn", "totbidrem": "TotBidpRsqn", "offerho": "Askp", "bidho": "Bidp", "offerrem": "AskpRsqn", "bidrem": "BidpRsqn"}
+DB_QUOTE = {"shcode": "ShrnIscd", "hotime": "BsopHour", "totofferrem": "TotalAskprsqn", "totbidrem": "TotalBidprsqn", "offerho": "Askp", "bidho": "Bidp", "offerrem": "AskpRsqn", "bidrem": "BidpRsqn"}
 
 
 def _strings(names) -> T.StructType:

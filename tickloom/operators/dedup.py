@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import require
+
 
 def first_of_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key in an explicit order; rows have none of their own."""
@@ -21,8 +23,8 @@ def dedup_l0(df: DataFrame, order: list, strict: bool = True) -> DataFrame:
     """One row per (conn_id, conn_seq), the earliest stored. With ``strict`` a key with two payloads fails the query."""
     window = Window.partitionBy("conn_id", "conn_seq")
     if strict:
-        same = F.min("raw").over(window) == F.max("raw").over(window)
-        df = df.withColumn("raw", F.when(same, F.col("raw")).otherwise(F.raise_error(F.concat(F.lit("two payloads for "), "conn_id", F.lit(" "), F.col("conn_seq").cast("string")))))
+        marked = df.withColumn("_two", F.min("raw").over(window) != F.max("raw").over(window))
+        df = require(marked, F.col("_two"), F.concat(F.lit("two payloads for "), "conn_id", F.lit(" "), F.col("conn_seq").cast("string"))).drop("_two")
     return first_of_key(df, ["conn_id", "conn_seq"], order)
 
 

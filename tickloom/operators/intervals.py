@@ -52,6 +52,17 @@ def points_in(points: DataFrame, spans: DataFrame, keys: list[str], at: str, wid
     return points.withColumn("_bin", div(F.col(at), width)).join(binned, [*keys, "_bin"]).where(above & below).drop("_bin")
 
 
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str], width: int, start: str = "start", end: str = "end") -> DataFrame:
+    """Rows of ``left`` (start, end) that share more than a point with a span (lo, hi) of their key; equal rows come once.
+
+    Both sides are cut into bins of ``width`` and meet only in these, so a key with many rows or spans spreads over tasks.
+    """
+    bins = lambda a, b: F.explode(F.sequence(div(F.col(a), width), div(F.col(b), width)))
+    named = left.withColumn("_row", F.struct(*left.columns)).withColumn("_bin", bins(start, end)).select(*keys, "_bin", "_row", F.col(start).alias("_a"), F.col(end).alias("_b"))
+    spans = right.select(*keys, "lo", "hi").withColumn("_bin", bins("lo", "hi"))
+    return named.join(spans, [*keys, "_bin"]).where("_a < hi and lo < _b").select("_row.*").distinct()
+
+
 def with_previous(df: DataFrame, keys: list[str], at: str, fields: list[str], width: int, tie: str | None = None, name: str = "previous") -> DataFrame:
     """``name`` holds the fields of the row before in the order of ``at`` within a key.
 

@@ -8,26 +8,37 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import first_case
 from tickloom.operators.dedup import multiset_minus
-from tickloom.operators.intervals import island_ids
+from tickloom.operators.intervals import island_ids, points_in
 
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+#: Cumulative volume, and seconds of a day, in which trades are matched with the spans they may lie in.
+VOLUME_BIN, SECOND_BIN = 10_000, 3600
+
+
 def peer_fill(gaps: DataFrame, peers: DataFrame) -> DataFrame:
     """Trades of peers inside each gap's span of cumulative volume, where they can be its trades.
 
     ``gaps``: symbol, interval_id, missing_trades, acml_prev, acml_next_before. ``peers``: symbol, peer (rank, first wins),
-    acml, price, qty, conflated. Of peers with a trade at the same cumulative volume the first counts. An interval is
-    refused if the quantities exceed its span or the trades its count; conflated trades count only if both are exact.
+    acml, price, qty, conflated. Plain peers are pooled, the first counting where two have a trade at the same cumulative
+    volume; an interval is refused if their quantities exceed its span or their trades its count. Where no plain peer has
+    a trade, conflated peers are tried one by one, and the first whose trades match count and span exactly is taken.
     """
-    inside = peers.join(gaps, "symbol").where((F.col("acml") > F.col("acml_prev")) & (F.col("acml") <= F.col("acml_next_before")))
-    one = inside.withColumn("_n", F.row_number().over(Window.partitionBy("symbol", "interval_id", "acml").orderBy("conflated", "peer"))).where("_n = 1").drop("_n")
-    group = Window.partitionBy("symbol", "interval_id").rowsBetween(*_ALL)
-    span = F.col("acml_next_before") - F.col("acml_prev")
-    sums = one.withColumns({"_n": F.count("*").over(group), "_qty": F.sum("qty").over(group), "_conflated": F.max(F.col("conflated").cast("int")).over(group)})
-    plain = (F.col("_qty") <= span) & (F.col("_n") <= F.col("missing_trades"))
+    spans = gaps.where("missing_trades > 0 and acml_next_before > acml_prev").select("symbol", "interval_id", "missing_trades", F.col("acml_prev").alias("lo"), F.col("acml_next_before").alias("hi"))
+    inside = points_in(peers, spans, ["symbol"], "acml", VOLUME_BIN)
+    keys, span = ["symbol", "interval_id"], F.col("hi") - F.col("lo")
+    plain = F.max(~F.col("conflated")).over(Window.partitionBy(*keys).rowsBetween(*_ALL))
+    order = Window.partitionBy(*keys, "acml", "conflated").orderBy("peer")
+    marked = inside.withColumns({"_plain": plain, "_n": F.row_number().over(order)}).where(F.col("conflated") != F.col("_plain")).where("conflated or _n = 1")
+    # plain trades are one group, each conflated peer's a group of its own
+    group = Window.partitionBy(*keys, F.when(F.col("conflated"), F.col("peer"))).rowsBetween(*_ALL)
+    sums = marked.withColumns({"_n": F.count("*").over(group), "_qty": F.sum("qty").over(group)})
+    fits = (F.col("_qty") <= span) & (F.col("_n") <= F.col("missing_trades"))
     exact = (F.col("_qty") == span) & (F.col("_n") == F.col("missing_trades"))
-    return sums.where(plain & ((F.col("_conflated") == 0) | exact)).select("symbol", "interval_id", "peer", "acml", "price", "qty")
+    taken = sums.where(F.when(F.col("conflated"), exact).otherwise(fits))
+    first = F.min("peer").over(Window.partitionBy(*keys).rowsBetween(*_ALL))
+    return taken.withColumn("_first", first).where("not conflated or peer = _first").select("symbol", "interval_id", "peer", "acml", "price", "qty")
 
 
 def residual_gaps(gaps: DataFrame, fills: DataFrame) -> DataFrame:
@@ -59,7 +70,7 @@ def tape_fill(gaps: DataFrame, tape: DataFrame, received: DataFrame) -> tuple[Da
     by = ["symbol", "island"]
     spans = clusters.groupBy(*by).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("missing_trades").alias("keep"), F.sum("volume_deficit").alias("deficit"))
     missing = multiset_minus(tape, received, ["symbol", "ts", "price", "volume"], ["tape_seq"])
-    pool = missing.join(spans, "symbol").where((F.col("ts") >= F.col("lo")) & (F.col("ts") <= F.col("hi")))
+    pool = points_in(missing, spans, ["symbol"], "ts", SECOND_BIN, low_open=False)
     sizes = pool.groupBy(*by).agg(F.count("*").alias("pooled"))
     kept = trim_surplus(pool, by).withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy("ts", "tape_seq")))
     order = Window.partitionBy(*by).orderBy("lo", "hi", "interval_id")
@@ -80,11 +91,11 @@ def summarize_fill(outcomes: DataFrame) -> DataFrame:
 
 
 def repaired_loss(gaps: DataFrame, outcomes: DataFrame, totals: DataFrame) -> DataFrame:
-    """Per symbol the confirmed loss left after the fill, and its share of all trades."""
+    """Per symbol the confirmed loss left after the fill, and its share of the trades that the counter shows."""
     sure = gaps.where("kind = 'confirmed'").join(outcomes.select("symbol", "interval_id", "recovered"), ["symbol", "interval_id"], "left")
     left = sure.groupBy("symbol").agg(F.sum(F.col("missing_trades") - F.least(F.coalesce("recovered", F.lit(0)), F.col("missing_trades"))).alias("residual"))
     rows = totals.select("symbol", "trades_observed", "missing").join(left, "symbol", "left").withColumn("residual", F.coalesce("residual", F.lit(0)))
-    return rows.withColumn("residual_ratio", F.coalesce(F.try_divide(F.col("residual"), F.col("trades_observed") + F.col("missing")), F.lit(0.0)))
+    return rows.withColumn("residual_ratio", F.coalesce(F.try_divide(F.col("residual"), F.col("trades_observed")), F.lit(0.0)))
 
 
 def repaired_ticks(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case, reasons
+from tickloom.functions.scalars import first_case, reasons, require
 
 #: Fixed thresholds of the selection policy.
 GUARD_PCT, LIMIT_PCT, SURGE_PCT, VOLSURGE, VOLSURGE_PCT, EXTREME_PCT = 31.0, 29.0, 10.0, 5.0, 5.0, 5.0
@@ -101,8 +101,7 @@ def session_index(df: DataFrame) -> DataFrame:
 
 def check_lookahead(df: DataFrame, decision_date) -> DataFrame:
     """The rows, failing the query if one is dated after the decision."""
-    late = F.col("date") > F.lit(decision_date)
-    return df.withColumn("date", F.when(late, F.raise_error(F.lit("lookahead: a row is dated after the decision")).cast("date")).otherwise(F.col("date")))
+    return require(df, F.col("date") > F.lit(decision_date), "lookahead: a row is dated after the decision")
 
 
 def core_panel(featured: DataFrame, enter_rank: int = 60, exit_rank: int = 75, warmup: int = 20) -> DataFrame:

@@ -150,7 +150,12 @@ def o2_counter_ledger(spark, sf_dir):
     return a.counter_ledger(frames).select("symbol", "kind", "missing_trades", "volume_deficit", "cum_prev", "cum_next", "accepted", "resets")
 
 
-TOTALS = f"{GAPS}, seen as (select symbol, count(*) as trades_observed from live group by 1), lost as (select symbol, count(*) as intervals, cast(sum(missing_trades) as bigint) as missing, cast(coalesce(sum(missing_trades) filter (kind = 'confirmed'), 0) as bigint) as confirmed_missing, cast(sum(volume_deficit) as bigint) as volume_deficit from gaps group by 1), totals as (select symbol, trades_observed, coalesce(intervals, 0) as intervals, coalesce(missing, 0) as missing, coalesce(confirmed_missing, 0) as confirmed_missing, coalesce(volume_deficit, 0) as volume_deficit, coalesce(missing, 0) / (coalesce(missing, 0) + trades_observed)::double as loss_ratio from seen left join lost using (symbol))"
+TOTALS = f"""{GAPS}, seen as (select symbol, count(*) as frames, max(cum) - min(cum) + 1 as trades_observed from live group by 1),
+lost as (select symbol, count(*) as intervals, cast(sum(missing_trades) as bigint) as missing, cast(coalesce(sum(missing_trades) filter (kind = 'confirmed'), 0) as bigint) as confirmed_missing,
+  cast(coalesce(sum(missing_trades) filter (kind = 'count_only'), 0) as bigint) as count_only_missing, cast(sum(volume_deficit) as bigint) as volume_deficit from gaps group by 1),
+totals as (select symbol, case when frames > 1 and trades_observed = 1 then 'NO_COUNTER' else 'OK' end as status, frames, trades_observed, coalesce(intervals, 0) as intervals, coalesce(missing, 0) as missing,
+  coalesce(confirmed_missing, 0) as confirmed_missing, coalesce(count_only_missing, 0) as count_only_missing, coalesce(volume_deficit, 0) as volume_deficit, trades_observed - frames as net_missing,
+  coalesce(confirmed_missing, 0) / trades_observed::double as loss_ratio from seen left join lost using (symbol))"""
 
 
 def loss_totals(spark, sf_dir):
@@ -160,15 +165,35 @@ def loss_totals(spark, sf_dir):
 
 register("a10_loss_totals", f"with {TOTALS} select * from totals")(loss_totals)
 
+_SESSION = """se_tot as (select count(*) filter (status = 'OK') as symbols, count(*) filter (status = 'OK' and confirmed_missing + count_only_missing > 0) as symbols_with_loss, count(*) filter (status <> 'OK') as symbols_without_counter,
+  cast(coalesce(sum(trades_observed) filter (status = 'OK'), 0) as bigint) as trades_observed, cast(coalesce(sum(confirmed_missing) filter (status = 'OK'), 0) as bigint) as confirmed_missing,
+  cast(coalesce(sum(count_only_missing) filter (status = 'OK'), 0) as bigint) as count_only_missing, cast(coalesce(sum(volume_deficit) filter (status = 'OK'), 0) as bigint) as volume_deficit,
+  cast(coalesce(sum(greatest(net_missing, 0)) filter (status = 'OK'), 0) as bigint) as net_missing_positive from totals)"""
 
-@register("a14_gap_budget", f"with {TOTALS}, w as (select max_by(symbol, (loss_ratio, missing, symbol)) as worst_symbol, max(loss_ratio) as worst_ratio from totals where trades_observed + missing >= 10), s as (select cast(sum(missing) as bigint) as missing, cast(sum(trades_observed) as bigint) as observed from totals) select *, missing / (missing + observed)::double as loss_ratio, case when missing / (missing + observed)::double > 0.005 or worst_ratio > 0.05 then 'FAIL' when missing > 0 then 'WARN' else 'PASS' end as status from s, w")
+
+@register("a10_session_totals", f"with {TOTALS}, {_SESSION} select *, confirmed_missing / trades_observed::double as loss_ratio from se_tot")
+def a10_session_totals(spark, sf_dir):
+    return a.session_totals(loss_totals(spark, sf_dir))
+
+
+@register(
+    "a14_gap_budget",
+    f"""with {TOTALS}, ok as (select * from totals where status = 'OK'), s as (select cast(sum(confirmed_missing) as bigint) as confirmed, cast(sum(trades_observed) as bigint) as trades, sum(confirmed_missing) / sum(trades_observed)::double as loss_ratio from ok),
+br as (select *, count(*) over () as n, row_number() over (order by loss_ratio desc, confirmed_missing desc, symbol) as k from ok where trades_observed >= 10 and loss_ratio > 0.05),
+w as (select symbol, confirmed_missing as c, trades_observed as t, n from br where k = 1),
+f as (select confirmed, trades, s.loss_ratio, coalesce(n, 0) as breaching, w.symbol as worst_symbol, list_filter([case when s.loss_ratio > 0.005 then 'trade_loss_exceeded:' || confirmed || '/' || trades end,
+  case when n > 0 then 'symbol_loss_exceeded:' || w.symbol || ':' || c || '/' || t || case when n > 1 then '+' || (n - 1) else '' end end], lambda x: x is not null) as bad from s left join w on true)
+select confirmed, trades, loss_ratio, breaching, worst_symbol, case when len(bad) = 0 and loss_ratio > 0.0001 then ['trade_loss_warn:' || confirmed || '/' || trades] else bad end as reasons, 'ledger' as basis,
+  case when len(bad) > 0 then 'FAIL' when loss_ratio > 0.0001 then 'WARN' else 'PASS' end as status from f""",
+)
 def a14_gap_budget(spark, sf_dir):
     return a.gap_budget(loss_totals(spark, sf_dir), least_trades=10)
 
 
-@register("t12_worst_symbol", f"with {TOTALS} select symbol, loss_ratio from totals order by loss_ratio desc, missing desc, symbol desc limit 1")
+@register("t12_worst_symbol", f"with {TOTALS} select symbol, loss_ratio from totals where status = 'OK' order by loss_ratio desc, confirmed_missing desc, symbol limit 1")
 def t12_worst_symbol(spark, sf_dir):
-    return loss_totals(spark, sf_dir).agg(F.max(F.struct("loss_ratio", "missing", "symbol")).alias("w")).select("w.symbol", "w.loss_ratio")
+    worst = F.min(F.struct((-F.col("loss_ratio")).alias("r"), (-F.col("confirmed_missing")).alias("c"), "symbol")).alias("w")
+    return loss_totals(spark, sf_dir).where("status = 'OK'").agg(worst).select("w.symbol", (-F.col("w.r")).alias("loss_ratio"))
 
 
 @register("t9_top_intervals", f"with {GAPS} select symbol, missing_trades, recv_prev_ns, cast(n as int) as rank from (select *, row_number() over (partition by symbol order by missing_trades desc, recv_prev_ns) as n from gaps) where n <= 3")
@@ -312,11 +337,9 @@ def j11_as_of_rate(spark, sf_dir):
     return iv.as_of(orders, marks, ["market"], "o_orderdate", "since").select("o_orderkey", "rate")
 
 
-@register("j13_outage_kinds", f"with {GAPS}, o as (select symbol, recv_wall_ns as s, recv_wall_ns + 3600000000000 as e, seq from counted where seq % 7 = 0) select o.seq, case when exists (select 1 from gaps g where g.symbol = o.symbol and o.s < g.recv_next_ns and g.recv_prev_ns < o.e) then 'loss' else 'silent' end as kind from o")
+@register("j13_outage_kinds", f"with {GAPS}, o as (select symbol, recv_wall_ns as s, recv_wall_ns + 3600000000000 as e, seq from counted) select o.seq, case when exists (select 1 from gaps g where g.symbol = o.symbol and o.s < g.recv_next_ns and g.recv_prev_ns < o.e) then 'loss' else 'silent' end as kind from o")
 def j13_outage_kinds(spark, sf_dir):
-    from tickloom.operators.intervals import merge_intervals
-
-    spans = merge_intervals(a.counter_gaps(live_ticks(spark, sf_dir)).select("symbol", F.col("recv_prev_ns").alias("lo"), F.col("recv_next_ns").alias("hi")), ["symbol"])
-    outages = counted_ticks(spark, sf_dir).where("seq % 7 = 0").select("symbol", "seq", F.col("recv_wall_ns").alias("s"), (F.col("recv_wall_ns") + 3_600_000_000_000).alias("e"))
-    hit = outages.join(spans, "symbol").where("s < hi and lo < e").select("seq").distinct().withColumn("kind", F.lit("loss"))
+    spans = iv.merge_intervals(a.counter_gaps(live_ticks(spark, sf_dir)).select("symbol", F.col("recv_prev_ns").alias("lo"), F.col("recv_next_ns").alias("hi")), ["symbol"])
+    outages = counted_ticks(spark, sf_dir).select("symbol", "seq", F.col("recv_wall_ns").alias("start"), (F.col("recv_wall_ns") + 3_600_000_000_000).alias("end"))
+    hit = iv.overlapping(outages, spans, ["symbol"], 6 * 3_600_000_000_000).select("seq", F.lit("loss").alias("kind"))
     return outages.select("seq").join(hit, "seq", "left").select("seq", F.coalesce("kind", F.lit("silent")).alias("kind"))

@@ -168,14 +168,15 @@ def t7_common_cap(spark, sf_dir):
     return c.largest_common_cap(venues, 20, 40, 1000)
 
 
-_QUOTA = "qp as (select c_custkey as seq, c_custkey % 4 as block, c_custkey % 3 = 0 as covered from customer where c_custkey < 600 + 100 * (c_custkey % 4)), qd as (select block, count(*) as d, case block when 0 then 200 when 1 then 100 when 2 then 250 else 120 end as q from qp group by all)"
+_QUOTA = "qp as (select c_custkey as seq, c_custkey % 4 as block, c_custkey % 3 = 0 as covered from customer), qn as (select count(*) as n from qp), qd as (select block, count(*) as d, max(case block when 0 then n * 4 // 15 when 1 then n * 2 // 15 when 2 then n * 5 // 15 else n * 4 // 25 end) as q from qp, qn group by block)"
 
 
 @register("t8_quota_order", f"with recursive {_QUOTA}, cr as (select 0::bigint as block, (select q from qd where block = 0)::bigint as room union all select cr.block + 1, (select q from qd where qd.block = cr.block + 1) + greatest(0, cr.room - (select d from qd where qd.block = cr.block)) from cr where cr.block < 3), p as (select *, row_number() over (partition by block order by covered, seq) as place from qp) select p.seq, p.block, cast(place as int) as place, place <= room as taken from p join cr using (block)")
 def t8_quota_order(spark, sf_dir):
     k = F.col("c_custkey")
-    pairs = table(spark, sf_dir, "customer").where(k < 600 + 100 * (k % 4)).select(k.alias("seq"), (k % 4).alias("block"), (k % 3 == 0).alias("covered"))
-    return c.quota_order(pairs, [200, 100, 250, 120]).select("seq", "block", "place", "taken")
+    pairs = table(spark, sf_dir, "customer").select(k.alias("seq"), (k % 4).alias("block"), (k % 3 == 0).alias("covered"))
+    n = pairs.count()
+    return c.quota_order(pairs, [n * 4 // 15, n * 2 // 15, n * 5 // 15, n * 4 // 25]).select("seq", "block", "place", "taken")
 
 
 @register("t13_eod_targets", f"with {TICKS} select symbol, min(recv_wall_ns) as first_seen, min(cvolume) as best_rank from ticks where symbol not in (select symbol from ticks where dt = '2024-01-02') and symbol not like '%5' group by symbol order by 2, 3, 1 limit 25")
@@ -185,9 +186,9 @@ def t13_eod_targets(spark, sf_dir):
     return c.eod_targets(ranked, t.where("dt = '2024-01-02'"), t.where("symbol like '%5'"), 25)
 
 
-@register("p15_origins", f"with {TICKS} select seq, case conn_id when 'c0' then 'repaired' when 'c1' then 'tape' else 'live' end as of_path, case vendor when 'ls' then 'live' when 'kis' then 'tape' when 'db' then 'peer' end as of_source from ticks")
+@register("p15_origins", f"with {TICKS} select seq, case conn_id when 'c0' then 'rest_snapshot' when 'c1' then case when lost then 'rest_minute' else 'rest_backfill' end else 'ws_realtime' end as of_path, case vendor when 'ls' then 'ws_realtime' when 'kis' then 'rest_backfill' when 'db' then 'rest_backfill' end as of_source from ticks")
 def p15_origins(spark, sf_dir):
-    path = F.concat(F.lit("/data/"), F.expr("case conn_id when 'c0' then 'repaired' when 'c1' then 'tape' else 'l1' end"), F.lit("/x"))
+    path = F.concat(F.expr("case conn_id when 'c0' then 'snapshot' when 'c1' then if(lost, 'history/minute', 'history/tick_tape') else concat(vendor, '/krx/regular/trades') end"), F.lit("/dt="), F.col("dt"))
     source = F.expr("case vendor when 'ls' then 'live' when 'kis' then 'topup' when 'db' then 'ls_peer' end")
     return ticks(spark, sf_dir).select("seq", c.origin_of_path(path).alias("of_path"), c.origin_of_source(source).alias("of_source"))
 

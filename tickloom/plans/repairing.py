@@ -71,7 +71,7 @@ def a12_fill_summary(spark, sf_dir):
     return r.summarize_fill(_outcomes(spark, sf_dir))
 
 
-@register("a13_repaired_loss", f"with {TOTALS}, {_BROKEN.replace(GAPS + ', ', '')}, le as (select g.symbol, cast(sum(g.missing_trades - least(oc.recovered, g.missing_trades)) as bigint) as residual from ng g join oc using (symbol, interval_id) where g.kind = 'confirmed' group by 1) select symbol, trades_observed, missing, coalesce(residual, 0) as residual, coalesce(residual, 0) / (trades_observed + missing)::double as residual_ratio from totals left join le using (symbol)")
+@register("a13_repaired_loss", f"with {TOTALS}, {_BROKEN.replace(GAPS + ', ', '')}, le as (select g.symbol, cast(sum(g.missing_trades - least(oc.recovered, g.missing_trades)) as bigint) as residual from ng g join oc using (symbol, interval_id) where g.kind = 'confirmed' group by 1) select symbol, trades_observed, missing, coalesce(residual, 0) as residual, coalesce(residual, 0) / trades_observed::double as residual_ratio from totals left join le using (symbol)")
 def a13_repaired_loss(spark, sf_dir):
     return r.repaired_loss(_gaps(spark, sf_dir), _outcomes(spark, sf_dir), loss_totals(spark, sf_dir))
 

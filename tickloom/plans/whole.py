@@ -42,7 +42,7 @@ def p3_db_quotes(spark, sf_dir):
 
 def _audit(spark, sf_dir):
     live = live_ticks(spark, sf_dir)
-    frames = live.withColumns({"stream": F.col("vendor"), "minute_kst": kst_minute(F.col("recv_wall_ns")), "latency_s": (F.col("seq") % 97) / F.lit(10.0), "second": seconds_of(F.col("hms")).cast("int"), "torn": F.col("seq") % 5000 == 7})
+    frames = live.withColumns({"phase": F.lit("regular"), "stream": F.col("vendor"), "minute_kst": kst_minute(F.col("recv_wall_ns")), "latency_s": (F.col("seq") % 97) / F.lit(10.0), "second": seconds_of(F.col("hms")).cast("int"), "torn": F.col("seq") % 5000 == 7})
     return a.session_audit(frames, 32400, 55200, 600)
 
 
@@ -52,13 +52,28 @@ _SEC = "(cast(substr(hms, 1, 2) as int) * 3600 + cast(substr(hms, 3, 2) as int)
 @register(
     "o1_session_audit",
     f"""with {TOTALS}, se as (select distinct vendor as stream, {_SEC} as s from live where {_SEC} >= 32400 and {_SEC} < 55200), ed as (select stream, s from se union all select distinct stream, 32399 from se union all select distinct stream, 55200 from se), nx as (select stream, s, lead(s) over (partition by stream order by s) as n from ed),
-lm as (select distinct vendor, strftime(make_timestamp(recv_wall_ns // 1000) + interval 9 hour, '%Y-%m-%dT%H:%M') from live)
-select 'gaps' as part, count(*) as rows from gaps union all select 'ledger', count(*) from totals union all select 'totals', 1 union all select 'latency', count(*) from lm union all select 'holes', count(*) from nx where n - s - 1 >= 600 union all select 'status', 1""",
+lt as (select vendor as stream, strftime(make_timestamp(recv_wall_ns // 1000) + interval 9 hour, '%Y-%m-%dT%H:%M') as m, conn_id, symbol, recv_wall_ns from live),
+lc as (select stream, m, conn_id, count(*) as n, min(recv_wall_ns) as f, max(recv_wall_ns) as l, list(distinct symbol) as ss from lt group by all),
+tp as (select *, first_value(f) over w as tf, first_value(l) over w as tl, first_value(ss) over w as ts, first_value(conn_id) over w as tc from lc window w as (partition by stream, m order by n desc, conn_id desc)),
+mg as (select stream, m, cast(sum(n) filter (not (conn_id <> tc and f <= tl and l >= tf and list_has_any(ss, ts))) as bigint) as a, cast(coalesce(sum(n) filter (conn_id <> tc and f <= tl and l >= tf and list_has_any(ss, ts)), 0) as bigint) as b from tp group by all)
+select 'gaps' as part, symbol as key, cum_prev as a, missing_trades as b from gaps union all select 'ledger', symbol, trades_observed, confirmed_missing from totals
+union all select 'totals', null, cast(sum(trades_observed) as bigint), cast(sum(confirmed_missing) as bigint) from totals where status = 'OK'
+union all select 'latency', stream || ' ' || m, a, b from mg union all select 'holes', stream, s + 1, n - s - 1 from nx where n - s - 1 >= 600
+union all select 'status', case when count(*) filter (seq % 5000 = 7) > 0 then 'PARTIAL' else 'OK' end, count(*), count(*) filter (seq % 5000 = 7) from live""",
 )
 def o1_session_audit(spark, sf_dir):
+    values = {
+        "gaps": ("symbol", "cum_prev", "missing_trades"),
+        "ledger": ("symbol", "trades_observed", "confirmed_missing"),
+        "totals": (F.lit(None), "trades_observed", "confirmed_missing"),
+        "latency": (F.concat_ws(" ", "stream", "minute_kst"), "count", "secondary_count"),
+        "holes": ("stream", "start", "seconds"),
+        "status": ("status", "rows", "torn_rows"),
+    }
     out = None
     for name, df in _audit(spark, sf_dir).items():
-        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("part"), "rows")
+        key, first, second = (F.col(c) if isinstance(c, str) else c for c in values[name])
+        one = df.select(F.lit(name).alias("part"), key.cast("string").alias("key"), first.cast("long").alias("a"), second.cast("long").alias("b"))
         out = one if out is None else out.unionByName(one)
     return out
 

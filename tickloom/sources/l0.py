@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.scalars import any_of, require
+
 #: The envelope; vendor numbers stay text until decoded.
 _LONGS = ("recv_mono_ns", "recv_wall_ns", "conn_seq")
 _NAMES = ("raw", "recv_mono_ns", "recv_wall_ns", "conn_id", "conn_seq", "vendor", "tr_id", "venue", "session", "stream", "symbol", "exchange_event_time")
@@ -29,10 +31,7 @@ def route(path, depth: int = 4):
 def fill_defaults(df: DataFrame, path) -> DataFrame:
     """Missing route fields from the path, other missing texts as empty; a null in a required column fails the query."""
     r = route(path)
-    absent = F.lit(False)
-    for n in REQUIRED:
-        absent = absent | F.col(n).isNull()
-    checked = df.withColumn("raw", F.when(absent, F.raise_error(F.lit("null in a required column"))).otherwise(F.col("raw")))
+    checked = require(df, any_of([F.col(n).isNull() for n in REQUIRED]), "null in a required column")
     return checked.withColumns({"venue": F.coalesce("venue", r["venue"]), "session": F.coalesce("session", r["session"]), "stream": F.coalesce("stream", "tr_id", r["stream"]), "symbol": F.coalesce("symbol", F.lit("")), "exchange_event_time": F.coalesce("exchange_event_time", F.lit(""))})
 
 
@@ -82,11 +81,23 @@ def json_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """An append log of JSON lines; malformed lines, as a torn last one, are left out."""
-    fields = T.StructType.fromDDL(schema)
-    df = spark.read.schema(T.StructType([*fields, T.StructField("_corrupt", T.StringType())])).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return df.where("_corrupt is null").drop("_corrupt")
+def read_log(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
+    """An append log of JSON lines; blank lines and values that are no objects are left out.
+
+    A malformed line is left out only if a write was torn there: it is the last of its file and no line feed follows. Any
+    other one raises, after a pass over the files that gives a row per file with such a line. Without ``strict`` all
+    malformed lines are left out.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    bad = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    if strict:
+        placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+        files = placed.groupBy("file", "size").agg(F.count_if(bad).alias("bad"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.max_by(bad, F.struct("block", "at")).alias("last_bad"))
+        torn = F.when(F.col("last_bad") & (F.col("bytes") > F.col("size")), 1).otherwise(0)
+        if (first := files.where(F.col("bad") > torn).first()) is not None:
+            raise ValueError(f"malformed line in {first.file}")
+    rows = lines.where(~bad & F.ltrim("value").startswith("{"))
+    return rows.select(F.from_json("value", T.StructType.fromDDL(schema)).alias("e")).select("e.*")
 
 
 def write_zstd_frames(path: str, groups: list[list[dict]], tear: int = 0) -> None:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.sources.scratch import staged
+
 MONTH = "month"
 #: Writer options of columnar frames: strong compression, dictionaries but for payloads, delta-packed integers.
 FRAME_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20), "parquet.enable.dictionary#raw": "false", "parquet.enable.dictionary#exchange_event_time": "false", "parquet.writer.version": "PARQUET_2_0"}
@@ -18,7 +20,8 @@ def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 def write_months(df: DataFrame, path: str, date_col: str = "date", order=("date", "symbol")) -> None:
     """Write a table by month, replacing only the months it has."""
-    rows = with_month(df, date_col).repartition(MONTH).sortWithinPartitions(MONTH, *order)
+    # ranges, so a month with most of the rows is written by several tasks
+    rows = with_month(df, date_col).repartitionByRange(MONTH, *order).sortWithinPartitions(MONTH, *order)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
@@ -42,6 +45,7 @@ def latest_date(spark: SparkSession, path: str, schema: T.StructType, date_col:
 def upsert_months(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], date_col: str = "date") -> int:
     """Replace stored rows of the given keys and add the others, rewriting only the months touched; returns the number of new keys."""
     fields = T.StructType(rows.schema.fields)
+    rows = staged(rows, "upsert-rows")
     # months are few, a row each
     months = [r[MONTH] for r in with_month(rows, date_col).select(MONTH).distinct().collect()]
     try:
@@ -50,12 +54,11 @@ def upsert_months(spark: SparkSession, path: str, rows: DataFrame, keys: list[st
         if "PATH_NOT_FOUND" not in str(e):
             raise
         stored = spark.createDataFrame([], fields)
-    # the old rows are read while their folders are replaced: both are cut from the files first
+    # the old rows are read while their folders are replaced: what is to be stored is a table of its own first, so a lost
+    # executor or a failed write takes nothing with it
     new_keys = rows.select(*keys).distinct().join(stored.select(*keys), keys, "left_anti").count()
     kept = stored.join(rows.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(rows).checkpoint() if spark.sparkContext.getCheckpointDir() else kept.unionByName(rows).cache()
-    merged.count()
-    write_months(merged, path, date_col)
+    write_months(staged(kept.unionByName(rows), "upsert-merged"), path, date_col)
     return new_keys
 
 
@@ -105,27 +108,61 @@ def merge_news(stored: DataFrame, pages: DataFrame, key: str = "news_id") -> Dat
     return rows.withColumn("_n", first).where("_n = 1").select(*pages.columns)
 
 
-#: Fixed rules that turn names into templates, in order; each needs no look-behind.
-TEMPLATE_RULES = (("[0-9]{4}-[0-9]{2}-[0-9]{2}", "*"), ("(19|20)[0-9]{2}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])", "*"), ("=[^/]*", "=*"), ("/[0-9]{2}\\.", "/{hh}."), ("/[0-9]+", "/{n}"))
+#: Fixed: partition keys whose values are dropped, the rules that turn the parts of a name into templates, in order, and the
+#: size below which an object is small.
+PARTITION_KEY = "^(dt|date|day|session|year|month)=([0-9A-Za-z_-]+)(\\..+)?$"
+TEMPLATE_RULES = (
+    ("(?<!\\d)(\\d{4})-(\\d{2})-(\\d{2})(?!\\d)", "*"),
+    ("(?<!\\d)((?:19|20)\\d{2})(0[1-9]|1[0-2])(0[1-9]|[12]\\d|3[01])(?!\\d)", "*"),
+    ("(?<![\\d-])(\\d{4})-(0[1-9]|1[0-2])(?![\\d-])", "*"),
+    ("^((?:19|20)\\d{2})(0[1-9]|1[0-2])(?=\\.)", "*"),
+    ("(?<![A-Za-z0-9])[A-Z0-9]{2,}USDT(?![A-Za-z0-9])", "{sym}"),
+    ("(?<![A-Za-z0-9])\\d{5}[0-9A-Z](?![A-Za-z0-9])", "{sym}"),
+    ("(?<![0-9a-z])(?=[0-9a-f]*[a-f])[0-9a-f]{6,}(?![0-9a-z])", "*"),
+    ("^\\d{2}(?=(?:\\.s\\d+)?\\.)", "{hh}"),
+)
+SMALL_BYTES = 64 * 1024
+#: Rules that are dates; the first that a part has is its date.
+_DATE_RULES = TEMPLATE_RULES[:4]
+
+
+def _part_template(part):
+    out = part
+    for pattern, to in TEMPLATE_RULES:
+        out = F.regexp_replace(out, pattern, to)
+    return F.when(part.rlike(PARTITION_KEY), F.regexp_replace(part, PARTITION_KEY, "$1=*$3")).otherwise(out)
+
+
+def _part_date(part):
+    value = F.nullif(F.regexp_extract(part, PARTITION_KEY, 2), F.lit(""))
+    found, rest = [], part
+    for number, (pattern, to) in enumerate(_DATE_RULES):
+        groups = 3 if number < 2 else 2
+        texts = [F.regexp_extract(rest, pattern, k) for k in range(1, groups + 1)]
+        found.append(F.when(texts[0] != "", F.concat_ws("-", *texts)))
+        rest = F.regexp_replace(rest, pattern, to)
+    return F.when(value.isNotNull(), F.when(value.rlike("^\\d{4}-\\d{2}(-\\d{2})?$"), value)).otherwise(F.coalesce(*found))
 
 
 def path_template(path):
-    """A path with its dates, partition values and numbers replaced."""
-    for pattern, to in TEMPLATE_RULES:
-        path = F.regexp_replace(path, pattern, to.replace("$", "\\$"))
-    return path
+    """A path whose dates, symbols, hours and hashes are replaced, part by part."""
+    return F.array_join(F.transform(F.split(path, "/"), _part_template), "/")
+
+
+def path_date(path):
+    """The first date that a path's parts carry, as YYYY-MM or YYYY-MM-DD."""
+    return F.get(F.array_compact(F.transform(F.split(path, "/"), _part_date)), F.lit(0))
 
 
-def catalog(listing: DataFrame, small: int = 1 << 20) -> DataFrame:
+def catalog(listing: DataFrame, small: int = SMALL_BYTES) -> DataFrame:
     """Files, bytes, small files and dates by template of a listing (path, bytes)."""
-    day = F.nullif(F.regexp_extract("path", "([0-9]{4}-[0-9]{2}-[0-9]{2})", 1), F.lit(""))
-    return listing.withColumns({"template": path_template(F.col("path")), "_day": day}).groupBy("template").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_if(F.col("bytes") < small).alias("small_files"), F.min("_day").alias("first_date"), F.max("_day").alias("last_date"))
+    return listing.withColumns({"template": path_template(F.col("path")), "_day": path_date(F.col("path"))}).groupBy("template").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_if(F.col("bytes") < small).alias("small_files"), F.min("_day").alias("first_date"), F.max("_day").alias("last_date"))
 
 
 def duplicate_names(listing: DataFrame) -> DataFrame:
-    """Names that occur more than once (name, bytes, md5), as identical or conflicting copies."""
-    groups = listing.groupBy("name").agg(F.count("*").alias("copies"), F.countDistinct("bytes", "md5").alias("versions"))
-    return groups.where("copies > 1").select("name", "copies", F.when(F.col("versions") == 1, "identical").otherwise("conflicting").alias("kind"))
+    """Names that occur more than once (name, bytes, md5): identical if all have one size and one hash, which is known, else conflicting."""
+    groups = listing.groupBy("name").agg(F.count("*").alias("copies"), F.countDistinct(F.struct("bytes", "md5")).alias("versions"), F.count_if(F.col("md5").isNull()).alias("unknown"))
+    return groups.where("copies > 1").select("name", "copies", F.when((F.col("versions") == 1) & (F.col("unknown") == 0), "identical").otherwise("conflicting").alias("kind"))
 
 
 def trading_rows(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -161,8 +198,7 @@ def append_bars(spark: SparkSession, path: str, rows: DataFrame, schema: T.Struc
             raise
         stored = spark.createDataFrame([], "date date, rows long")
     offered = valid.groupBy("date").agg(F.count("*").alias("rows"))
-    days = plausible_height(stored.join(offered.select("date"), "date", "left_anti"), offered).checkpoint() if spark.sparkContext.getCheckpointDir() else plausible_height(stored.join(offered.select("date"), "date", "left_anti"), offered).cache()
-    days.count()
+    days = staged(plausible_height(stored.join(offered.select("date"), "date", "left_anti"), offered), "append-days")
     upsert_months(spark, path, valid.join(days.where("plausible").select("date"), "date", "left_semi").select(*schema.names), list(keys))
     return days
 

@@ -59,12 +59,15 @@ def failover(steps: DataFrame, rules: FailoverRules | None = None) -> DataFrame:
 
 
 def run_available(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all input there is into a table under ``path`` and return it; ``complete`` results replace the table each time."""
+    """Run a stream over all input there is into a table under ``path`` and return it; ``complete`` results replace the table each time.
+
+    A batch has a folder of its own, which it replaces if it runs again after a failure, so no row is stored twice.
+    """
     table = f"{path}/table"
 
-    def put(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(table)
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={0 if mode == 'complete' else number}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(put).start()
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(table)
+    return stream.sparkSession.read.schema(stream.schema).parquet(table).select(*stream.columns)
