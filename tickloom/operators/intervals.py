@@ -85,24 +85,27 @@ def with_previous(df: DataFrame, keys: list[str], at: str, fields: list[str], wi
     return joined.select(*df.columns, F.coalesce("_inside", "_carry").alias(name))
 
 
-#: Schedule rows up to which a schedule is sent to every task.
-SCHEDULE_ROWS = 10_000
+def as_of(left: DataFrame, schedule: DataFrame, keys: list[str], at: str, since: str, width: int | None = None) -> DataFrame:
+    """Rows of ``left`` with the latest schedule row of their key at or before ``at``; none gives nulls, of equal times the greatest row counts.
 
-
-def as_of(left: DataFrame, schedule: DataFrame, keys: list[str], at: str, since: str) -> DataFrame:
-    """Rows of ``left`` with the latest schedule row of their key at or before ``at``; none gives nulls.
-
-    A schedule of up to ``SCHEDULE_ROWS`` rows is broadcast as one sorted array per key, so few large keys cost nothing.
-    A longer one is put in one order with the rows and its last row carried forward.
+    Rows and schedule are put in one order and the last schedule row is carried on. With ``width`` (days of a date,
+    microseconds of a timestamp, else units of the number) a key is cut into bins of time, each the work of one task; what
+    a bin begins with comes from a table with a row per bin.
     """
     values = [c for c in schedule.columns if c not in keys]
-    if schedule.limit(SCHEDULE_ROWS + 1).count() <= SCHEDULE_ROWS:
-        rows = schedule.where(F.col(since).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(since).alias("_since"), F.struct(*values).alias("_row")))).alias("_all"))
-        joined = left.join(F.broadcast(rows), keys, "left")
-        held = F.try_element_at(F.filter("_all", lambda x: x["_since"] <= F.col(at)), F.lit(-1))["_row"]
-        return joined.withColumn("_held", held).select(*left.columns, *[F.col(f"_held.{v}").alias(v) for v in values if v not in left.columns])
-    marks = schedule.select(*keys, F.col(since).alias("_at"), F.lit(0).alias("_side"), F.struct(*values).alias("_row"))
+    kind = left.schema[at].dataType
+    number = {"date": F.unix_date, "timestamp": F.unix_micros, "timestamp_ntz": lambda c: F.unix_date(c.cast("date")).cast("long") * 86_400_000_000}.get(kind.typeName(), lambda c: c.cast("long"))
+    bin_of = lambda c: div(number(c).cast("long"), width) if width else F.lit(0).cast("long")
+    marks = schedule.where(F.col(since).isNotNull()).dropna(subset=keys).select(*keys, F.col(since).cast(kind).alias("_at"), F.lit(0).alias("_side"), F.struct(*values).alias("_row"))
     rows = left.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))
-    both = marks.unionByName(rows, allowMissingColumns=True)
-    held = F.last("_row", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn("_held", held).where("_side = 1").select("_left.*", *[F.col(f"_held.{v}").alias(v) for v in values if v not in left.columns])
+    both = marks.unionByName(rows, allowMissingColumns=True).withColumn("_bin", bin_of(F.col("_at")))
+    inside = Window.partitionBy(*keys, "_bin").orderBy("_at", "_side", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    held = both.withColumn("_held", F.last("_row", ignorenulls=True).over(inside)).where("_side = 1")
+    if width:
+        ends = both.groupBy(*keys, "_bin").agg(F.max(F.when(F.col("_side") == 0, F.struct("_at", "_row"))).alias("_end"))
+        carry = F.last("_end", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+        names = {k: f"_k{n}" for n, k in enumerate([*keys, "_bin"])}
+        carried = ends.withColumn("_carry", carry).drop("_end").where("_carry is not null").withColumnsRenamed(names)
+        same = [F.col(k) == F.col(n) for k, n in names.items()]
+        held = held.join(carried, same, "left").withColumn("_held", F.coalesce("_held", "_carry._row"))
+    return held.select("_left.*", *[F.col(f"_held.{v}").alias(v) for v in values if v not in left.columns])

@@ -71,14 +71,23 @@ def ineligible_symbols(bars: DataFrame) -> DataFrame:
     return last.where((F.col("kind") != ELIGIBLE_KIND) | F.col("section").isin(*EXCLUDED_SECTIONS)).select("symbol")
 
 
-def event_rows(featured: DataFrame, downside: bool = True, liquidity: float = LIQUIDITY) -> DataFrame:
-    """Liquid rows that qualify as events, with their reasons and direction."""
+def event_reasons(downside: bool = True, liquidity: float = LIQUIDITY) -> Column:
+    """The reasons for which a liquid row is an event, null for one that is none; the class is not looked at."""
     change, close, surge = F.col("daily_change_pct"), F.col("close"), F.col("tv_ratio") >= VOLSURGE
     up = [("limit_up", change >= LIMIT_PCT), ("surge10", change >= SURGE_PCT), ("volsurge", surge & (change >= VOLSURGE_PCT)), ("newhigh60", (close >= F.col("close_max_60")) & (change >= EXTREME_PCT))]
     down = [("limit_down", change <= -LIMIT_PCT), ("plunge10", change <= -SURGE_PCT), ("volsurge_down", surge & (change <= -VOLSURGE_PCT)), ("newlow60", (close <= F.col("close_min_60")) & (change <= -EXTREME_PCT))]
-    cases = up + (down if downside else [])
-    rows = featured.where(eligible_class(featured)).withColumn("selection_reasons", reasons(cases))
-    return rows.where((F.size("selection_reasons") > 0) & (F.col("trade_value_100m") >= liquidity)).withColumn("direction", F.when(change > 0, "up").otherwise("down"))
+    found = reasons(up + (down if downside else []))
+    return F.when((F.size(found) > 0) & (F.col("trade_value_100m") >= liquidity), found)
+
+
+def event_direction() -> Column:
+    return F.when(F.col("daily_change_pct") > 0, "up").otherwise("down")
+
+
+def event_rows(featured: DataFrame, downside: bool = True, liquidity: float = LIQUIDITY) -> DataFrame:
+    """Liquid rows that qualify as events, with their reasons and direction."""
+    rows = featured.where(eligible_class(featured)).withColumn("selection_reasons", event_reasons(downside, liquidity))
+    return rows.where("selection_reasons is not null").withColumn("direction", event_direction())
 
 
 def _value_rank(name: str = "trade_value_100m") -> Column:
@@ -134,9 +143,30 @@ def follow_up(featured: DataFrame, sessions: int = 3, downside: bool = True, liq
 def select_tiers(featured: DataFrame, slot_budget: int, enter_rank: int = 60, exit_rank: int = 75, warmup: int = 20, sessions: int = 3, downside: bool = True, liquidity: float = LIQUIDITY) -> DataFrame:
     """Core by rank, then events by value, then follow-ups by age, value and symbol, numbered and cut at the budget, for every date."""
     keys = ["date", "symbol"]
-    events = event_rows(featured, downside, liquidity).select(*keys, "selection_reasons", F.col("direction").alias("event_direction"))
-    followed = follow_up(featured, sessions, downside, liquidity).withColumnRenamed("direction", "follow_direction")
-    rows = core_panel(featured, enter_rank, exit_rank, warmup).join(events, keys, "full").join(followed, keys, "full").join(featured.select(*keys, "daily_change_pct", "trade_value_100m", "tv_ratio"), keys, "left")
+    if not 1 <= enter_rank <= exit_rank or warmup < 1:
+        raise ValueError("ranks must be 1 <= enter <= exit and warmup at least 1")
+    # all of it are columns and windows of the same rows, so these are read once and never joined with themselves
+    rows = featured.where(eligible_class(featured)).join(session_index(featured), "date")
+    ranked = F.col("tv_median_20").isNotNull()
+    place = F.row_number().over(Window.partitionBy("date").orderBy(ranked.desc(), F.col("tv_median_20").desc(), "symbol"))
+    rows = rows.withColumns({"_rank": F.when(ranked, place), "_event": event_reasons(downside, liquidity), "_way": event_direction()})
+    days = Window.partitionBy("symbol").orderBy("day")
+    good = F.coalesce(F.col("_rank") <= exit_rank, F.lit(False))
+    upto, before = days.rowsBetween(Window.unboundedPreceding, 0), days.rowsBetween(Window.unboundedPreceding, -1)
+    past = F.max(F.when(F.col("_event").isNotNull(), F.struct("day", "_way"))).over(before)
+    rows = rows.withColumns({"_run": F.when(good, F.col("day") - F.sum(good.cast("long")).over(upto)), "_past": past})
+    inside = Window.partitionBy("symbol", "_run").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    entered = F.max(F.when(F.col("_rank") <= enter_rank, F.col("day"))).over(inside)
+    age = F.col("day") - F.col("_past.day")
+    rows = rows.withColumns(
+        {
+            "core_rank": F.when(F.col("_run").isNotNull() & (entered > F.col("day") - warmup), F.col("_rank")),
+            "selection_reasons": F.col("_event"),
+            "follow_age": F.when(age <= sessions, age),
+            "event_direction": F.when(F.col("_event").isNotNull(), F.col("_way")),
+            "follow_direction": F.when(age <= sessions, F.col("_past._way")),
+        }
+    ).where("core_rank is not null or selection_reasons is not null or follow_age is not null")
     core, event, follow = F.col("core_rank").isNotNull(), F.col("selection_reasons").isNotNull(), F.col("follow_age").isNotNull()
     label = F.concat(F.lit("follow:"), F.col("follow_age").cast("string"))
     none = F.array().cast("array<string>")

@@ -333,8 +333,10 @@ def j18_conflation(spark, sf_dir):
 @register("j11_as_of_rate", "with s as (select o_orderstatus as market, o_orderdate as since, (o_orderkey % 30) as rate from (select *, row_number() over (partition by o_orderstatus, o_orderdate order by o_orderkey) as n from orders where o_orderkey % 50 = 0) where n = 1) select o.o_orderkey, s.rate from orders o asof left join s on o.o_orderstatus = s.market and o.o_orderdate >= s.since")
 def j11_as_of_rate(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("market"), "o_orderdate")
+    # about a hundred days, in the unit of the column
+    width = 100 if orders.schema["o_orderdate"].dataType.typeName() == "date" else 100 * 86_400_000_000
     marks = dd.first_of_key(orders.where("o_orderkey % 50 = 0"), ["market", "o_orderdate"], ["o_orderkey"]).select("market", F.col("o_orderdate").alias("since"), (F.col("o_orderkey") % 30).alias("rate"))
-    return iv.as_of(orders, marks, ["market"], "o_orderdate", "since").select("o_orderkey", "rate")
+    return iv.as_of(orders, marks, ["market"], "o_orderdate", "since", width).select("o_orderkey", "rate")
 
 
 @register("j13_outage_kinds", f"with {GAPS}, o as (select symbol, recv_wall_ns as s, recv_wall_ns + 3600000000000 as e, seq from counted) select o.seq, case when exists (select 1 from gaps g where g.symbol = o.symbol and o.s < g.recv_next_ns and g.recv_prev_ns < o.e) then 'loss' else 'silent' end as kind from o")
