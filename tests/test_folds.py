@@ -253,3 +253,40 @@ def test_peer_fill(spark):
     assert peers(spark, (1, 100, 130), [other, (4, 130, 5, 30, True)]) == [(3, 130)]
     assert peers(spark, (1, 100, 130), [(2, 130, 5, 20, True), other]) == [(3, 130)]
     assert peers(spark, (2, 100, 130), [other]) == [] and peers(spark, (1, 100, 130), [(3, 100, 5, 30, True)]) == []
+
+
+LIVE, FILLS = "symbol string, cum long, price long, volume long, ts long, recv_wall_ns long", "symbol string, interval_id long, ts long, price long, volume long, tape_seq long"
+
+
+def repair_of(spark, live, fills, gaps):
+    live = spark.createDataFrame([("A", *t) for t in live], LIVE)
+    gaps = spark.createDataFrame([("A", *g) for g in gaps], "symbol string, interval_id long, cum_prev long, cum_next long")
+    placed = repair.place_fills(live, spark.createDataFrame([("A", *f) for f in fills], FILLS), gaps)
+    return live, placed, sorted((r.tape_seq, r.fate, r.cum) for r in placed.collect())
+
+
+def test_late_live_ticks_take_their_twins_off(spark):
+    live = [(1, 5, 1, 10, 1), (2, 5, 1, 11, 2), (6, 5, 1, 13, 3), (4, 7, 2, 12, 4), (4, 7, 2, 12, 5)]
+    fills = [(1, 12, 7, 2, 1), (1, 12, 7, 2, 2), (1, 12, 9, 1, 3), (1, 13, 9, 1, 4)]
+    rows, placed, got = repair_of(spark, live, fills, [(1, 2, 6)])
+    assert got == [(1, "late_live", None), (2, "placed", 3), (3, "placed", 5), (4, "overfill", None)]
+    out = repair.repair_outcome(rows, placed, 5, 4).first()
+    assert (out.live_rows, out.filled_rows, out.deduped_late_live, out.overfill_dropped, out.status, out.reason) == (5, 2, 1, 1, "MISMATCH", "overfill_over_tolerance")
+    assert repair.repair_outcome(rows, placed, 5, 4, tolerance=0.25).first().status == "OK"
+    assert repair.repair_outcome(rows, placed, 9, 4).first().reason == "live_rows_ne_received"
+    assert repair.repair_outcome(rows, placed, 9, 3).first().reason == "gapfill_rows_ne_recovered"
+    assert repair.with_fills(rows, placed).count() == 7
+    # the bounds of a gap are not inside it
+    assert repair_of(spark, [(2, 5, 1, 11, 1), (4, 5, 1, 12, 2)], [(1, 11, 5, 1, 1)], [(1, 2, 4)])[2] == [(1, "placed", 3)]
+
+
+def test_repaired_verdict(spark):
+    def verdict(rows):
+        r = repair.repaired_verdict(spark.createDataFrame([(*x, x[3] / x[2]) for x in rows], "symbol string, status string, trades_observed long, residual long, residual_ratio double")).first()
+        return r.status, r.reasons
+
+    assert verdict([("A", "OK", 100_000, 5)]) == ("PASS", [])
+    assert verdict([("A", "OK", 100_000, 20)]) == ("WARN", ["residual_loss_warn:20/100000"])
+    assert verdict([("A", "OK", 1000, 6), ("B", "NO_COUNTER", 1000, 0)]) == ("FAIL", ["residual_loss_exceeded:6/1000"])
+    assert verdict([("A", "OK", 100_000, 0), ("B", "OK", 200, 20), ("C", "OK", 100, 10), ("D", "OK", 99, 50)]) == ("FAIL", ["residual_symbol_loss_exceeded:B:20/200+1"])
+    assert verdict([]) == ("PASS", [])

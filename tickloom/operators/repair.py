@@ -94,28 +94,88 @@ def repaired_loss(gaps: DataFrame, outcomes: DataFrame, totals: DataFrame) -> Da
     """Per symbol the confirmed loss left after the fill, and its share of the trades that the counter shows."""
     sure = gaps.where("kind = 'confirmed'").join(outcomes.select("symbol", "interval_id", "recovered"), ["symbol", "interval_id"], "left")
     left = sure.groupBy("symbol").agg(F.sum(F.col("missing_trades") - F.least(F.coalesce("recovered", F.lit(0)), F.col("missing_trades"))).alias("residual"))
-    rows = totals.select("symbol", "trades_observed", "missing").join(left, "symbol", "left").withColumn("residual", F.coalesce("residual", F.lit(0)))
+    rows = totals.select("symbol", "status", "trades_observed", "missing").join(left, "symbol", "left").withColumn("residual", F.coalesce("residual", F.lit(0)))
     return rows.withColumn("residual_ratio", F.coalesce(F.try_divide(F.col("residual"), F.col("trades_observed")), F.lit(0.0)))
 
 
-def repaired_ticks(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Live ticks and fills in one table, each fill on a free counter of its gap.
+def repaired_verdict(loss: DataFrame, warn: float = 1e-4, fail: float = 5e-3, symbol_fail: float = 5e-2, least_trades: int = 100) -> DataFrame:
+    """One row: the session's loss after the fill, its reasons, and PASS, WARN or FAIL.
+
+    ``loss``: rows of :func:`repaired_loss`. What is left counts for every symbol, trades only for those with a counter, and
+    only these, from ``least_trades`` on, are judged alone; the worst of them is named and the others counted. A session
+    without trades passes.
+    """
+    ok = F.col("status") == "OK"
+    breach = ok & (F.col("trades_observed") >= least_trades) & (F.col("trades_observed") > 0) & (F.col("residual_ratio") > symbol_fail)
+    worst = F.struct((-F.col("residual_ratio")).alias("r"), (-F.col("residual")).alias("c"), F.col("symbol").alias("s"), F.col("trades_observed").alias("t"))
+    one = loss.agg(F.coalesce(F.sum("residual"), F.lit(0)).alias("residual"), F.coalesce(F.sum(F.when(ok, F.col("trades_observed"))), F.lit(0)).alias("trades"), F.count_if(breach).alias("breaching"), F.min(F.when(breach, worst)).alias("_worst"))
+    one = one.withColumn("loss_ratio", F.coalesce(F.try_divide(F.col("residual"), F.col("trades")), F.lit(0.0)))
+    share = F.concat_ws("/", F.col("residual").cast("string"), F.col("trades").cast("string"))
+    others = F.when(F.col("breaching") > 1, F.concat(F.lit("+"), (F.col("breaching") - 1).cast("string"))).otherwise("")
+    named = F.concat(F.lit("residual_symbol_loss_exceeded:"), F.col("_worst.s"), F.lit(":"), (-F.col("_worst.c")).cast("string"), F.lit("/"), F.col("_worst.t").cast("string"), others)
+    any_trades = F.col("trades") > 0
+    failed = F.array_compact(F.array(F.when(any_trades & (F.col("loss_ratio") > fail), F.concat(F.lit("residual_loss_exceeded:"), share)), F.when(any_trades & (F.col("breaching") > 0), named)))
+    one = one.withColumn("_failed", failed).withColumn("_warned", any_trades & (F.size("_failed") == 0) & (F.col("loss_ratio") > warn))
+    reasons = F.when(F.col("_warned"), F.array(F.concat(F.lit("residual_loss_warn:"), share))).otherwise(F.col("_failed"))
+    status = first_case([(F.size("_failed") > 0, F.lit("FAIL")), (F.col("_warned"), F.lit("WARN"))], "PASS")
+    return one.select("residual", "trades", "loss_ratio", reasons.alias("reasons"), status.alias("status"))
+
+
+#: Counters of a day in which live ticks are matched with gaps.
+COUNTER_BIN = 10_000
+
+
+def place_fills(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:
+    """The fills with ``fate`` and ``cum``: ``placed`` on a free counter of their gap, ``late_live`` or ``overfill`` without one.
 
     ``live``: symbol, cum, price, volume, ts, recv_wall_ns; ``fills``: symbol, interval_id, ts, price, volume, tape_seq;
-    ``gaps``: symbol, interval_id, cum_prev, cum_next, disjoint per symbol. Slots are the gap's counters that no live tick
-    holds; the k-th fill takes the k-th slot and what finds none is dropped.
+    ``gaps``: symbol, interval_id, cum_prev, cum_next, disjoint per symbol. A live tick inside a gap came late: it takes one
+    fill of its second, price and volume off; of live ticks with one counter only the first does. Slots are the gap's
+    counters that no live tick holds; the k-th fill left takes the k-th slot, and what finds none is overfill.
     """
+    first = live.groupBy("symbol", "cum").agg(F.min(F.struct("recv_wall_ns", "ts", "price", "volume")).alias("_first")).select("symbol", "cum", "_first.ts", "_first.price", "_first.volume")
+    spans = gaps.select("symbol", "interval_id", F.col("cum_prev").alias("lo"), F.col("cum_next").alias("hi"))
+    late = points_in(first, spans, ["symbol"], "cum", COUNTER_BIN, high_open=True)
+    twin = ["symbol", "interval_id", "ts", "price", "volume"]
+    numbered = fills.withColumn("_n", F.row_number().over(Window.partitionBy(*twin).orderBy("tape_seq")))
+    marked = numbered.join(late.groupBy(*twin).agg(F.count("*").alias("_have")), twin, "left").withColumn("_late", F.col("_n") <= F.coalesce("_have", F.lit(0)))
     slots = gaps.select("symbol", "interval_id", F.explode(F.sequence(F.col("cum_prev") + 1, F.col("cum_next") - 1)).alias("cum"))
-    free = slots.join(live.select("symbol", "cum"), ["symbol", "cum"], "left_anti")
-    by = Window.partitionBy("symbol", "interval_id")
-    free = free.withColumn("_k", F.row_number().over(by.orderBy("cum")))
-    placed = fills.withColumn("_k", F.row_number().over(by.orderBy("ts", "tape_seq"))).join(free, ["symbol", "interval_id", "_k"])
+    free = slots.join(first.select("symbol", "cum"), ["symbol", "cum"], "left_anti")
+    free = free.withColumn("_k", F.row_number().over(Window.partitionBy("symbol", "interval_id").orderBy("cum"))).withColumn("_late", F.lit(False))
+    order = Window.partitionBy("symbol", "interval_id", "_late").orderBy("ts", "tape_seq")
+    placed = marked.withColumn("_k", F.row_number().over(order)).join(free, ["symbol", "interval_id", "_late", "_k"], "left")
+    fate = first_case([(F.col("_late"), F.lit("late_live")), (F.col("cum").isNull(), F.lit("overfill"))], "placed")
+    return placed.withColumn("fate", fate).select(*fills.columns, "cum", "fate")
+
+
+def with_fills(live: DataFrame, placed: DataFrame) -> DataFrame:
+    """Live ticks and the fills of :func:`place_fills` that have a counter, in one table."""
     none = F.lit(None).cast("long")
     a = live.select("symbol", "cum", "ts", "price", "volume", F.lit("live").alias("source"), none.alias("interval_id"), "recv_wall_ns")
-    b = placed.select("symbol", "cum", "ts", "price", "volume", F.lit("tape").alias("source"), F.col("interval_id").cast("long").alias("interval_id"), none.alias("recv_wall_ns"))
+    b = placed.where("fate = 'placed'").select("symbol", "cum", "ts", "price", "volume", F.lit("tape").alias("source"), F.col("interval_id").cast("long").alias("interval_id"), none.alias("recv_wall_ns"))
     return a.unionByName(b)
 
 
+def repaired_ticks(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Live ticks and fills in one table, each fill on a free counter of its gap; see :func:`place_fills`."""
+    return with_fills(live, place_fills(live, fills, gaps))
+
+
+def repair_outcome(live: DataFrame, placed: DataFrame, received: int, recovered: int, tolerance: float = 0.02) -> DataFrame:
+    """One row: how many rows a repair has, dropped as late or as overfill, and whether it may be used.
+
+    ``placed``: :func:`place_fills`; ``received`` and ``recovered`` are what the session's audit and its fill counted. A
+    repair is a MISMATCH, with the first reason that holds, if either count differs or if more than ``tolerance`` of the
+    fills found no counter.
+    """
+    rows = live.select(F.lit("live").alias("fate")).unionByName(placed.select("fate"))
+    names = {"live": "live_rows", "placed": "filled_rows", "late_live": "deduped_late_live", "overfill": "overfill_dropped"}
+    one = rows.agg(F.count_if(F.col("fate") != "live").alias("fills"), *[F.count_if(F.col("fate") == v).alias(n) for v, n in names.items()])
+    reasons = [(F.col("fills") != recovered, "gapfill_rows_ne_recovered"), (F.col("live_rows") != received, "live_rows_ne_received"), (F.col("overfill_dropped") > tolerance * F.col("fills"), "overfill_over_tolerance")]
+    one = one.withColumn("reason", F.coalesce(*[F.when(c, F.lit(n)) for c, n in reasons]))
+    return one.withColumn("status", F.when(F.col("reason").isNull(), "OK").otherwise("MISMATCH"))
+
+
 def tape_surplus(live_counts: DataFrame, tape_counts: DataFrame, keys: list[str]) -> DataFrame:
     """Keys with more trades on the tape than received, and how many."""
     joined = tape_counts.join(live_counts, keys, "left").withColumn("surplus", F.col("n") - F.coalesce("have", F.lit(0)))

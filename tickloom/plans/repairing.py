@@ -71,11 +71,32 @@ def a12_fill_summary(spark, sf_dir):
     return r.summarize_fill(_outcomes(spark, sf_dir))
 
 
-@register("a13_repaired_loss", f"with {TOTALS}, {_BROKEN.replace(GAPS + ', ', '')}, le as (select g.symbol, cast(sum(g.missing_trades - least(oc.recovered, g.missing_trades)) as bigint) as residual from ng g join oc using (symbol, interval_id) where g.kind = 'confirmed' group by 1) select symbol, trades_observed, missing, coalesce(residual, 0) as residual, coalesce(residual, 0) / trades_observed::double as residual_ratio from totals left join le using (symbol)")
+_LEFT = f"with {TOTALS}, {_BROKEN.replace(GAPS + ', ', '')}, le as (select g.symbol, cast(sum(g.missing_trades - least(oc.recovered, g.missing_trades)) as bigint) as residual from ng g join oc using (symbol, interval_id) where g.kind = 'confirmed' group by 1), rl as (select symbol, status, trades_observed, missing, coalesce(residual, 0) as residual, coalesce(residual, 0) / trades_observed::double as residual_ratio from totals left join le using (symbol))"
+
+
+@register("a13_repaired_loss", f"{_LEFT} select symbol, trades_observed, missing, residual, residual_ratio from rl")
 def a13_repaired_loss(spark, sf_dir):
+    return _repaired_loss(spark, sf_dir).drop("status")
+
+
+def _repaired_loss(spark, sf_dir):
     return r.repaired_loss(_gaps(spark, sf_dir), _outcomes(spark, sf_dir), loss_totals(spark, sf_dir))
 
 
+@register(
+    "a13_repaired_verdict",
+    f"""{_LEFT}, s as (select cast(sum(residual) as bigint) as residual, cast(sum(trades_observed) filter (status = 'OK') as bigint) as trades from rl),
+br as (select *, count(*) over () as n, row_number() over (order by residual_ratio desc, residual desc, symbol) as k from rl where status = 'OK' and trades_observed >= 10 and residual_ratio > 0.05),
+w as (select symbol, residual as c, trades_observed as t, n from br where k = 1),
+f as (select s.residual, trades, s.residual / trades::double as loss_ratio, list_filter([case when s.residual / trades::double > 0.005 then 'residual_loss_exceeded:' || s.residual || '/' || trades end,
+  case when n > 0 then 'residual_symbol_loss_exceeded:' || w.symbol || ':' || c || '/' || t || case when n > 1 then '+' || (n - 1) else '' end end], lambda x: x is not null) as bad from s left join w on true)
+select residual, trades, loss_ratio, case when len(bad) = 0 and loss_ratio > 0.0001 then ['residual_loss_warn:' || residual || '/' || trades] else bad end as reasons,
+  case when len(bad) > 0 then 'FAIL' when loss_ratio > 0.0001 then 'WARN' else 'PASS' end as status from f""",
+)
+def a13_repaired_verdict(spark, sf_dir):
+    return r.repaired_verdict(_repaired_loss(spark, sf_dir), least_trades=10)
+
+
 @register("o10_repaired_ticks", f"with {_FILLED} select symbol, cum, recv_wall_ns // 1000000000 as ts, price, cvolume as volume, 'live' as source, null::bigint as interval_id from live union all select symbol, cum, ts, price, volume, 'tape', interval_id from filled")
 def o10_repaired_ticks(spark, sf_dir):
     live = live_ticks(spark, sf_dir)
