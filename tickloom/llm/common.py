@@ -92,6 +92,12 @@ def byte_chunks(batch: pa.RecordBatch, name: str, limit: int = 8 << 20):
         lo = hi
 
 
+def text_groups_of(batch: pa.RecordBatch, id_name: str, name: str, limit: int = 2 << 20):
+    """(ids, texts) of a batch in groups of about ``limit`` bytes of text."""
+    for part in byte_chunks(batch, name, limit):
+        yield part.column(id_name).to_pylist(), part.column(name).to_pylist()
+
+
 _HELD: dict = {}
 
 

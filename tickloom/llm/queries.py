@@ -85,6 +85,12 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"), digest(F.col("text")).alias("decoded_sha256"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.spelling import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 _OP1 = """
 with p as (select page_id, encode(coalesce(html, '')) as body from pages),
 q as (select page_id, octet_length(body)::bigint as payload_bytes, sha1(body) as payload_digest from p),
@@ -139,5 +145,5 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity, op11_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity, op11_bpe, op12_spelling)}
 ORACLE = {"op1_warc": _OP1, "op3_decontaminate": _OP3, "op8_line_rules": _op8()}
