@@ -91,6 +91,12 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.turn_trie import turn_trie
+
+    return turn_trie(_table(spark, sf_dir, "conversations"))
+
+
 _OP1 = """
 with p as (select page_id, encode(coalesce(html, '')) as body from pages),
 q as (select page_id, octet_length(body)::bigint as payload_bytes, sha1(body) as payload_digest from p),
@@ -145,5 +151,5 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity, op11_bpe, op12_spelling)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity, op11_bpe, op12_spelling, op13_turn_trie)}
 ORACLE = {"op1_warc": _OP1, "op3_decontaminate": _OP3, "op8_line_rules": _op8()}
