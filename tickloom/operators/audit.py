@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import first_case
-from tickloom.operators.intervals import event_holes, with_previous
+from tickloom.functions.scalars import reasons as named_reasons
+from tickloom.operators.intervals import event_holes, merge_intervals, overlapping, with_previous
+from tickloom.sources.scratch import staged
 
 INTERVAL_CAP, RESET_FRAMES = 500, 3
 #: Counters of a symbol that one task orders.
@@ -47,7 +49,7 @@ def counter_gaps(live: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 #: Per interval (nulls where a segment has none) and, repeated on each of its rows, what is known of the whole segment.
 _INTERVAL = "kind string, missing_trades long, volume_deficit long, cum_prev long, cum_next long, chetime_prev string, chetime_next string, recv_prev_ns long, recv_next_ns long, conn_changed boolean, acml_prev long, acml_next_before long"
-_SEGMENT = "frames long, accepted long, duplicates long, regressions long, resets long, trades long, net_missing long, varied boolean"
+_SEGMENT = "frames long, accepted long, duplicates long, regressions long, resets long, trades long, net_missing long, cum_least long, cum_most long"
 _COPY_OF = ("cum", "volume", "cvolume", "price", "hms")
 
 
@@ -156,7 +158,7 @@ class _Segment:
     def table(self) -> pd.DataFrame:
         self.run()
         trades = sum(int(self.cum[b] - self.cum[a]) + 1 for a, b in self.spans)
-        facts = {"frames": len(self.cum), **self.n, "trades": trades, "net_missing": trades - self.n["accepted"], "varied": bool(len(np.unique(self.cum)) > 1)}
+        facts = {"frames": len(self.cum), **self.n, "trades": trades, "net_missing": trades - self.n["accepted"], "cum_least": int(self.cum.min()), "cum_most": int(self.cum.max())}
         rows = []
         for i, j, missing, short, sure in [*self.closed, *self.open.values()]:
             at = lambda c, k: self.of[c][k]
@@ -166,14 +168,20 @@ class _Segment:
         return out.assign(**facts)
 
 
-def counter_ledger(frames: DataFrame, keys: tuple[str, ...] = ("symbol", "phase")) -> DataFrame:
+def _days(df: DataFrame) -> list[str]:
+    """The column of the day, where a table has one."""
+    return [c for c in ("dt",) if c in df.columns]
+
+
+def counter_ledger(frames: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
     """The exact ledger of feeds with late frames, regressions and resets: an ordered fold per segment of ``keys``.
 
     A late frame fills the interval that holds its counter; three falling frames that rise among themselves are a reset.
     One row per interval with the segment's counters, or one without an interval; no interval is left out, however many
-    there are. Copies by (conn_id, conn_seq) are to be dropped before. A group is one symbol's session, the unit whose
-    order matters: with several days in a table the day belongs to ``keys``.
+    there are. Copies by (conn_id, conn_seq) are to be dropped before. A group is one phase of one symbol's session, the unit
+    whose order matters: ``keys`` are symbol, phase and, where ``frames`` has it, the day ``dt``.
     """
+    keys = keys or ("symbol", "phase", *_days(frames))
     kinds = [f"{k} {frames.schema[k].dataType.simpleString()}" for k in keys]
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
@@ -188,17 +196,17 @@ def counter_ledger(frames: DataFrame, keys: tuple[str, ...] = ("symbol", "phase"
 _LOST = ("intervals", "missing", "confirmed_missing", "count_only_missing", "volume_deficit")
 
 
-def _lost(gaps: DataFrame) -> DataFrame:
+def _lost(gaps: DataFrame, by: list[str]) -> DataFrame:
     kind = lambda k: F.sum(F.when(F.col("kind") == k, F.col("missing_trades")).otherwise(0))
-    return gaps.groupBy("symbol").agg(F.count("kind").alias("intervals"), F.sum("missing_trades").alias("missing"), kind("confirmed").alias("confirmed_missing"), kind("count_only").alias("count_only_missing"), F.sum("volume_deficit").alias("volume_deficit"))
+    return gaps.groupBy(*by).agg(F.count("kind").alias("intervals"), F.sum("missing_trades").alias("missing"), kind("confirmed").alias("confirmed_missing"), kind("count_only").alias("count_only_missing"), F.sum("volume_deficit").alias("volume_deficit"))
 
 
-def _ledger(seen: DataFrame, gaps: DataFrame) -> DataFrame:
+def _ledger(seen: DataFrame, gaps: DataFrame, by: list[str], more: tuple[str, ...] = ()) -> DataFrame:
     """Per symbol status, trades, losses by kind and the confirmed share; ``seen``: symbol, frames, varied, trades_observed, net_missing."""
-    rows = seen.join(_lost(gaps), "symbol", "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in _LOST})
-    status = F.when((F.col("frames") > 1) & ~F.col("varied"), "NO_COUNTER").otherwise("OK")
+    rows = seen.join(_lost(gaps, by), by, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in _LOST})
+    status = F.when((F.col("frames") == 0) | ((F.col("frames") > 1) & ~F.col("varied")), "NO_COUNTER").otherwise("OK")
     share = F.coalesce(F.try_divide(F.col("confirmed_missing"), F.col("trades_observed")), F.lit(0.0))
-    return rows.select("symbol", status.alias("status"), "frames", "trades_observed", *_LOST, "net_missing", share.alias("loss_ratio"))
+    return rows.select(*by, status.alias("status"), "frames", "trades_observed", *_LOST, "net_missing", share.alias("loss_ratio"), *more)
 
 
 def loss_totals(live: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -209,23 +217,37 @@ def loss_totals(live: DataFrame, gaps: DataFrame) -> DataFrame:
     """
     span = F.max("cum") - F.min("cum")
     seen = live.groupBy("symbol").agg(F.count("*").alias("frames"), (span > 0).alias("varied"), (span + 1).alias("trades_observed"), (span + 1 - F.count("*")).alias("net_missing"))
-    return _ledger(seen, gaps)
+    return _ledger(seen, gaps, ["symbol"])
+
 
+def ledger_totals(ledger: DataFrame, manifest: DataFrame | None = None, cap: int = INTERVAL_CAP, regular: str = "regular") -> DataFrame:
+    """:func:`loss_totals` of the exact ledger, a row per symbol and, where the ledger has it, day.
 
-def ledger_totals(ledger: DataFrame) -> DataFrame:
-    """:func:`loss_totals` of the exact ledger; its segments' counters are summed once each."""
-    parts = [c for c in ledger.columns if c in ("symbol", "phase", "dt")]
-    segments = ledger.groupBy(*parts).agg(*[F.first(c).alias(c) for c in ("frames", "trades", "net_missing", "varied")])
-    seen = segments.groupBy("symbol").agg(F.sum("frames").alias("frames"), F.max("varied").alias("varied"), F.sum("trades").alias("trades_observed"), F.sum("net_missing").alias("net_missing"))
-    return _ledger(seen, ledger.where("kind is not null"))
+    Trades, losses and deficit are those of the ``regular`` phase; ``frames`` (without copies), ``duplicates``,
+    ``regressions`` and ``resets`` are of all phases, and so are the intervals, of which :func:`top_intervals` names ``cap``:
+    ``intervals_truncated`` is how many it leaves out. A counter that is the same in all phases is none.
+    ``manifest``: symbol (and day), ``manifest_frames``, what the session's manifest counted; null where it names no symbol.
+    """
+    by = [*_days(ledger), "symbol"]
+    counts = ("frames", "accepted", "duplicates", "regressions", "resets", "trades", "net_missing", "cum_least", "cum_most")
+    segments = ledger.groupBy(*by, "phase").agg(*[F.first(c).alias(c) for c in counts], F.count("kind").alias("_all"))
+    open_ = lambda c: F.coalesce(F.sum(F.when(F.col("phase") == regular, F.col(c))), F.lit(0))
+    seen = segments.groupBy(*by).agg(
+        F.sum("accepted").alias("frames"), (F.max("cum_most") > F.min("cum_least")).alias("varied"), open_("trades").alias("trades_observed"), open_("net_missing").alias("net_missing"),
+        *[F.sum(c).alias(c) for c in ("duplicates", "regressions", "resets")], F.greatest(F.lit(0), F.sum("_all") - cap).alias("intervals_truncated"),
+    )
+    more: tuple[str, ...] = ("duplicates", "regressions", "resets", "intervals_truncated")
+    if manifest is not None:
+        seen, more = seen.join(manifest.select(*by, "manifest_frames"), by, "left"), (*more, "manifest_frames")
+    return _ledger(seen, ledger.where((F.col("phase") == regular) & F.col("kind").isNotNull()), by, more)
 
 
 def session_totals(totals: DataFrame) -> DataFrame:
-    """One row for a session: the sums over symbols with a counter, how many lost trades, how many have no counter."""
+    """A row for a session (day): the sums over symbols with a counter, how many lost trades, how many have no counter."""
     ok = F.col("status") == "OK"
     total = lambda c: F.coalesce(F.sum(F.when(ok, c)), F.lit(0))
     lost = F.col("confirmed_missing") + F.col("count_only_missing") > 0
-    one = totals.agg(F.count_if(ok).alias("symbols"), F.count_if(ok & lost).alias("symbols_with_loss"), F.count_if(~ok).alias("symbols_without_counter"), *[total(F.col(c)).alias(c) for c in ("trades_observed", "confirmed_missing", "count_only_missing", "volume_deficit")], total(F.greatest("net_missing", F.lit(0))).alias("net_missing_positive"))
+    one = totals.groupBy(*_days(totals)).agg(F.count_if(ok).alias("symbols"), F.count_if(ok & lost).alias("symbols_with_loss"), F.count_if(~ok).alias("symbols_without_counter"), *[total(F.col(c)).alias(c) for c in ("trades_observed", "confirmed_missing", "count_only_missing", "volume_deficit")], total(F.greatest("net_missing", F.lit(0))).alias("net_missing_positive"))
     return one.withColumn("loss_ratio", F.coalesce(F.try_divide(F.col("confirmed_missing"), F.col("trades_observed")), F.lit(0.0)))
 
 
@@ -260,44 +282,110 @@ def tail_silence(last_second: DataFrame, auction_second: int) -> DataFrame:
     return last_second.withColumn("tail_silence_s", F.greatest(F.lit(0), F.lit(auction_second) - F.col("second")))
 
 
-def gap_budget(totals: DataFrame, warn: float = 1e-4, fail: float = 5e-3, symbol_fail: float = 5e-2, least_trades: int = 100, tail_silence_s: float = 0.0, most_silence_s: float = 60.0, outage_s: float = 0.0, most_outage_s: float = 60.0, partial: bool = False) -> DataFrame:
-    """One row: the session's confirmed loss, its worst symbol, the reasons, and PASS, WARN or FAIL against the budget.
+#: Nanoseconds in which outages meet the ledger's intervals.
+OUTAGE_BIN = 600_000_000_000
+
+
+def outage_split(outages: DataFrame, gaps: DataFrame, bounds: DataFrame, keys: list[str], regular: str = "regular") -> DataFrame:
+    """Per session (``keys``) of ``bounds`` the seconds of its outages, and how they divide into silent ones and such with losses.
+
+    ``outages``: keys, gap_start_ns, gap_end_ns of the manifest; ``bounds``: keys, open_ns, close_ns. Outages are clipped to
+    the session and merged where they touch. One during which the ledger has an interval of the regular phase (``gaps``:
+    keys, phase, recv_prev_ns, recv_next_ns) lost trades, any other was silent. A session without outages has zeros.
+    """
+    clipped = outages.join(bounds, keys).select(*keys, F.greatest("gap_start_ns", "open_ns").alias("lo"), F.least("gap_end_ns", "close_ns").alias("hi")).where("lo < hi")
+    merged = merge_intervals(clipped, keys).select(*keys, F.col("lo").alias("start"), F.col("hi").alias("end"))
+    windows = gaps.where(F.col("phase") == regular).select(*keys, F.least("recv_prev_ns", "recv_next_ns").alias("lo"), F.greatest("recv_prev_ns", "recv_next_ns").alias("hi"))
+    lost = overlapping(merged, windows, keys, OUTAGE_BIN).withColumn("_lost", F.lit(True))
+    seconds = lambda c: F.coalesce(F.sum(F.when(c, F.col("end") - F.col("start"))), F.lit(0)) / 1e9
+    marked = merged.join(lost, [*keys, "start", "end"], "left").withColumn("_lost", F.coalesce("_lost", F.lit(False)))
+    split = marked.groupBy(*keys).agg(seconds(F.lit(True)).alias("outage_s"), seconds(~F.col("_lost")).alias("silent_s"), seconds(F.col("_lost")).alias("loss_s"), F.count_if(~F.col("_lost")).alias("silent_spans"))
+    none = {"outage_s": F.lit(0.0), "silent_s": F.lit(0.0), "loss_s": F.lit(0.0), "silent_spans": F.lit(0)}
+    return bounds.select(*keys).join(split, keys, "left").withColumns({c: F.coalesce(c, v) for c, v in none.items()})
+
+
+def gap_budget(
+    totals: DataFrame, warn: float = 1e-4, fail: float = 5e-3, symbol_fail: float = 5e-2, least_trades: int = 100, tail_silence_s: float = 0.0, most_silence_s: float = 600.0,
+    outage_s: float = 0.0, most_outage_s: float = 600.0, partial: bool = False, sessions: DataFrame | None = None, keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """A row per session: its confirmed loss, its worst symbol, the reasons, and PASS, WARN or FAIL against the budget.
 
     Symbols without a counter are left out. A symbol is judged from ``least_trades`` on; of those over ``symbol_fail`` the
     worst is named and the others counted. A PARTIAL audit also fails by the seconds of outage; without any trades these
-    alone decide, which is the ``legacy`` basis.
+    alone decide, which is the ``legacy`` basis. ``sessions`` has, by ``keys``, what is known besides the totals: outage_s,
+    silent_s, loss_s, silent_spans (see :func:`outage_split`), tail_silence_s and audit_status; an audit that is neither OK
+    nor PARTIAL counts as none. Without it all totals are one session with the seconds given.
     """
+    by = list(keys)
     ok = totals.where("status = 'OK'")
     judged = (F.col("trades_observed") >= least_trades) & (F.col("trades_observed") > 0)
     # the least symbol of equals, so the greatest of its negative place
-    one = ok.withColumn("_breach", judged & (F.col("loss_ratio") > symbol_fail)).agg(
+    one = ok.withColumn("_breach", judged & (F.col("loss_ratio") > symbol_fail)).groupBy(*by).agg(
         F.coalesce(F.sum("confirmed_missing"), F.lit(0)).alias("confirmed"),
         F.coalesce(F.sum("trades_observed"), F.lit(0)).alias("trades"),
         F.count_if("_breach").alias("breaching"),
         F.min(F.when(F.col("_breach"), F.struct((-F.col("loss_ratio")).alias("r"), (-F.col("confirmed_missing")).alias("c"), F.col("symbol").alias("s"), F.col("trades_observed").alias("t")))).alias("_worst"),
     )
-    one = one.withColumns({"loss_ratio": F.coalesce(F.try_divide(F.col("confirmed"), F.col("trades")), F.lit(0.0)), "worst_symbol": F.col("_worst.s")})
+    if sessions is None:
+        one = one.withColumns({"outage_s": F.lit(outage_s), "silent_s": F.lit(0.0), "loss_s": F.lit(outage_s), "silent_spans": F.lit(0), "tail_silence_s": F.lit(tail_silence_s), "audit_status": F.lit("PARTIAL" if partial else "OK")})
+    else:
+        one = sessions.join(one, by, "left") if by else sessions.join(one)
+    matched = F.coalesce(F.col("audit_status").isin("OK", "PARTIAL"), F.lit(False))
+    known = lambda c, none: F.when(matched, F.coalesce(c, F.lit(none))).otherwise(F.lit(none))
+    one = one.withColumns({"confirmed": known("confirmed", 0), "trades": known("trades", 0), "breaching": known("breaching", 0), "_worst": F.when(matched, F.col("_worst")), "tail_silence_s": known("tail_silence_s", 0.0), "silent_s": known("silent_s", 0.0), "silent_spans": known("silent_spans", 0)})
+    one = one.withColumns({"loss_s": F.when(matched, F.col("loss_s")).otherwise(F.col("outage_s")), "loss_ratio": F.coalesce(F.try_divide(F.col("confirmed"), F.col("trades")), F.lit(0.0)), "worst_symbol": F.col("_worst.s")})
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    late = F.lit(outage_s > most_outage_s)
+    whole = lambda c: F.floor(c).cast("long")
+    late, torn = F.col("outage_s") > most_outage_s, F.col("audit_status") == "PARTIAL"
     ledger = F.col("trades") > 0
     others = F.when(F.col("breaching") > 1, text("+", F.col("breaching") - 1)).otherwise("")
     failing = [
-        (late & (F.lit(partial) | ~ledger), text(f"gap_exceeded:{int(outage_s)}s")),
+        (late & (torn | ~ledger), text("gap_exceeded:", whole(F.col("outage_s")), F.lit("s"))),
         (ledger & (F.col("loss_ratio") > fail), text("trade_loss_exceeded:", F.col("confirmed"), "/", F.col("trades"))),
         (ledger & (F.col("breaching") > 0), text("symbol_loss_exceeded:", F.col("worst_symbol"), ":", -F.col("_worst.c"), "/", F.col("_worst.t"), others)),
-        (ledger & F.lit(tail_silence_s > most_silence_s), text(f"tail_silence_exceeded:{int(tail_silence_s)}s")),
+        (ledger & (F.col("tail_silence_s") > most_silence_s), text("tail_silence_exceeded:", whole(F.col("tail_silence_s")), F.lit("s"))),
     ]
     one = one.withColumn("_failed", F.array_compact(F.array(*[F.when(c, v) for c, v in failing])))
     warned = ledger & (F.size("_failed") == 0) & (F.col("loss_ratio") > warn)
     reasons = F.when(warned, F.array(text("trade_loss_warn:", F.col("confirmed"), "/", F.col("trades")))).otherwise(F.col("_failed"))
     status = first_case([(F.size("_failed") > 0, F.lit("FAIL")), (warned, F.lit("WARN"))], "PASS")
-    basis = F.when(ledger, "ledger+legacy" if partial else "ledger").otherwise("legacy")
-    return one.select("confirmed", "trades", "loss_ratio", "breaching", "worst_symbol", reasons.alias("reasons"), basis.alias("basis"), status.alias("status"))
+    basis = F.when(ledger, F.when(torn, "ledger+legacy").otherwise("ledger")).otherwise("legacy")
+    more = ["outage_s", "silent_s", "loss_s", "silent_spans", "tail_silence_s"] if sessions is not None else []
+    return one.select(*by, "confirmed", "trades", "loss_ratio", "breaching", "worst_symbol", reasons.alias("reasons"), basis.alias("basis"), status.alias("status"), *more)
+
+
+def session_reconciliation(sessions: DataFrame, totals: DataFrame, manifests: DataFrame, journals: DataFrame, streams: list[str], keys: list[str], mode: str = "enforce", most_outage_s: float = 600.0, **budget) -> DataFrame:
+    """A row per session: what its collection left out, the verdict of the gap budget, and whether the session holds.
+
+    ``sessions``: as for :func:`gap_budget`, with ``repair_pending``; ``manifests``: keys, readable; ``journals``: keys,
+    stream, of files that are there. Missing and unreadable manifests and missing streams fail a session whatever its
+    losses. With ``mode`` "off", or without a usable audit, the seconds of outage alone decide; "shadow" also says what
+    "enforce" would. A session that fails for lost trades only, with its repair pending, holds as PENDING_REPAIR.
+    """
+    if mode not in ("off", "shadow", "enforce"):
+        raise ValueError(f"mode {mode!r} is not known")
+    # an unreadable manifest has no outages to count
+    there = manifests.groupBy(*keys).agg(F.min(F.coalesce("readable", F.lit(False))).alias("_readable"))
+    have = journals.where(F.col("stream").isin(*streams)).groupBy(*keys).agg(F.collect_set("stream").alias("_streams"))
+    rows = sessions.join(there, keys, "left").withColumn("outage_s", F.when(F.col("_readable"), F.col("outage_s")).otherwise(0.0))
+    verdict = gap_budget(totals, sessions=rows, keys=tuple(keys), most_outage_s=most_outage_s, **budget).withColumnsRenamed({"reasons": "_reasons", "status": "_status"})
+    rows = rows.select(*keys, "_readable", F.coalesce("repair_pending", F.lit(False)).alias("_pending")).join(have, keys, "left").join(verdict, keys)
+    held = F.coalesce("_streams", F.array().cast("array<string>"))
+    structural = [("manifest_missing", F.col("_readable").isNull()), *[(f"journal_missing:{x}", ~F.array_contains(held, x)) for x in streams], ("manifest_unreadable", ~F.col("_readable"))]
+    outage = F.when(F.col("outage_s") > most_outage_s, F.array(F.concat(F.lit("gap_exceeded:"), F.floor("outage_s").cast("string"), F.lit("s")))).otherwise(F.array().cast("array<string>"))
+    legacy = F.lit(mode != "enforce") | (F.col("basis") == "legacy")
+    rows = rows.withColumns({"structural": named_reasons(structural), "reasons": F.when(legacy, outage).otherwise(F.col("_reasons"))})
+    lossy = F.exists("reasons", lambda x: ~(x.startswith("trade_loss_exceeded:") | x.startswith("symbol_loss_exceeded:")))
+    failed = F.when(legacy, F.size("reasons") > 0).otherwise(F.col("_status") == "FAIL")
+    repaired = ~legacy & failed & F.col("_pending") & ~lossy
+    status = first_case([(F.size("structural") > 0, F.lit("FAIL")), (repaired, F.lit("PENDING_REPAIR")), (failed, F.lit("FAIL")), (~legacy & (F.col("_status") == "WARN"), F.lit("WARN"))], "PASS")
+    would = F.when(F.lit(mode == "shadow") & (F.col("basis") != "legacy"), F.col("_status"))
+    return rows.select(*keys, "structural", "reasons", F.when(legacy, "legacy").otherwise(F.col("basis")).alias("basis"), would.alias("would"), status.alias("status"), (status != "FAIL").alias("holds"), "outage_s", "silent_s", "loss_s", "silent_spans")
 
 
 def top_intervals(gaps: DataFrame, n: int = INTERVAL_CAP) -> DataFrame:
-    """A symbol's largest intervals."""
-    order = Window.partitionBy("symbol").orderBy(F.col("missing_trades").desc(), "recv_prev_ns")
+    """A symbol's largest intervals, of a day where ``gaps`` has it."""
+    order = Window.partitionBy(*_days(gaps), "symbol").orderBy(F.col("missing_trades").desc(), "recv_prev_ns")
     return gaps.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
@@ -307,18 +395,24 @@ def longest_holes(holes: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     return holes.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
 
 
-def session_audit(frames: DataFrame, hole_start: int, hole_end: int, least_hole: int) -> dict[str, DataFrame]:
-    """The tables of a session's audit: ``gaps``, ``ledger``, ``totals``, ``latency``, ``holes`` and a one-row ``status``.
+def session_audit(frames: DataFrame, hole_start: int, hole_end: int, least_hole: int, regular: str = "regular", manifest: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of a session's audit: ``gaps``, ``ledger``, ``totals``, ``latency``, ``holes`` and ``status``.
 
     ``frames``: symbol, phase, cum, volume, cvolume, price, hms, recv_wall_ns, seq, conn_id, stream, minute_kst, latency_s,
-    second, torn. Losses come from the exact ledger. The status is UNAVAILABLE without frames, PARTIAL if a file was torn,
-    else OK.
+    second, torn, and ``dt`` where there are several days, each a session. Losses come from the exact ledger, which is
+    written once for all tables that are made of it. The status is UNAVAILABLE without a frame of the regular phase, PARTIAL
+    if a file was torn, else OK, with the reason.
     """
-    ledger = counter_ledger(frames)
-    totals = ledger_totals(ledger)
-    status = frames.agg(F.count("*").alias("rows"), F.count_if("torn").alias("torn_rows")).withColumn("status", first_case([(F.col("rows") == 0, F.lit("UNAVAILABLE")), (F.col("torn_rows") > 0, F.lit("PARTIAL"))], "OK"))
+    days = _days(frames)
+    ledger = staged(counter_ledger(frames), "ledger")
+    totals = staged(ledger_totals(ledger, manifest, regular=regular), "ledger-totals")
+    facts = frames.groupBy(*days).agg(F.count("*").alias("rows"), F.count_if("torn").alias("torn_rows"), F.max(F.when(F.col("phase") == regular, F.col("recv_wall_ns"))).alias("last_regular_tick_recv_ns"))
+    none = F.col("last_regular_tick_recv_ns").isNull()
+    case = lambda a, b, c: first_case([(none, F.lit(a)), (F.col("torn_rows") > 0, F.lit(b))], c)
+    status = facts.withColumns({"status": case("UNAVAILABLE", "PARTIAL", "OK"), "reason": case("no_decodable_records", "truncated", "ok")})
     gaps = top_intervals(ledger.where("kind is not null").drop(*[c.split()[0] for c in _SEGMENT.split(", ")]))
-    return {"gaps": gaps, "ledger": totals, "totals": session_totals(totals), "latency": merge_connections(latency_minutes(frames)), "holes": event_holes(frames.select("stream", "second"), ["stream"], hole_start, hole_end, least_hole), "status": status}
+    holes = event_holes(frames.select(*days, "stream", "second"), [*days, "stream"], hole_start, hole_end, least_hole)
+    return {"gaps": gaps, "ledger": totals, "totals": session_totals(totals), "latency": merge_connections(latency_minutes(frames)), "holes": holes, "status": status}
 
 
 def session_check(totals: DataFrame, outages: DataFrame, expected: DataFrame, max_outage_s: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import div, kst_minute, seconds_of
@@ -144,10 +145,47 @@ def o2_counter_gaps(spark, sf_dir):
     return a.counter_gaps(live_ticks(spark, sf_dir))
 
 
-@register("o2_counter_ledger", f"with {GAPS}, n as (select symbol, count(*) as accepted from live group by 1) select symbol, kind, missing_trades, volume_deficit, cum_prev, cum_next, accepted, 0::bigint as resets from gaps join n using (symbol) union all select symbol, null, null, null, null, null, accepted, 0 from n where symbol not in (select symbol from gaps)")
+#: Phases of a tick's day in the queries, and the ledger of each (day, symbol, phase).
+_PHASE = "case when hms < '090000' then 'pre' when hms < '152000' then 'regular' else 'post' end"
+PHASED = f"""{COUNTED}, ph as (select *, {_PHASE} as phase from live),
+pg as (select *, lag(cum) over w as cp, lag(volume) over w as vp, lag(recv_wall_ns) over w as rp from ph window w as (partition by dt, symbol, phase order by cum)),
+pgaps as (select dt, symbol, phase, case when volume - vp - cvolume > 0 then 'confirmed' else 'count_only' end as kind, cum - cp - 1 as missing_trades,
+  greatest(0, volume - vp - cvolume) as volume_deficit, cp as cum_prev, cum as cum_next, rp as recv_prev_ns, recv_wall_ns as recv_next_ns from pg where cum - cp > 1),
+pseg as (select dt, symbol, phase, count(*) as accepted, max(cum) - min(cum) + 1 as trades, min(cum) as least, max(cum) as most from ph group by all),
+ploss as (select dt, symbol, cast(sum(missing_trades) as bigint) as missing, cast(coalesce(sum(missing_trades) filter (kind = 'confirmed'), 0) as bigint) as confirmed_missing,
+  cast(coalesce(sum(missing_trades) filter (kind = 'count_only'), 0) as bigint) as count_only_missing, cast(sum(volume_deficit) as bigint) as volume_deficit from pgaps where phase = 'regular' group by all),
+psum as (select dt, symbol, cast(sum(accepted) as bigint) as frames, cast(coalesce(sum(trades) filter (phase = 'regular'), 0) as bigint) as trades_observed,
+  cast(coalesce(sum(trades - accepted) filter (phase = 'regular'), 0) as bigint) as net_missing, max(most) > min(least) as varied from pseg group by all),
+ptotals as (select dt, symbol, case when frames > 1 and not varied then 'NO_COUNTER' else 'OK' end as status, frames, trades_observed, coalesce(missing, 0) as missing, coalesce(confirmed_missing, 0) as confirmed_missing,
+  coalesce(count_only_missing, 0) as count_only_missing, coalesce(volume_deficit, 0) as volume_deficit, net_missing,
+  case when trades_observed > 0 then coalesce(confirmed_missing, 0) / trades_observed::double else 0.0 end as loss_ratio from psum left join ploss using (dt, symbol))"""
+
+
+def phased(live):
+    return live.withColumn("phase", F.expr(_PHASE))
+
+
+@register(
+    "o2_counter_ledger",
+    f"with {PHASED}, n as (select dt, symbol, phase, accepted from pseg) select dt, symbol, phase, kind, missing_trades, volume_deficit, cum_prev, cum_next, accepted, 0::bigint as resets from pgaps join n using (dt, symbol, phase) "
+    "union all select dt, symbol, phase, null, null, null, null, null, accepted, 0 from n where (dt, symbol, phase) not in (select (dt, symbol, phase) from pgaps)",
+)
 def o2_counter_ledger(spark, sf_dir):
-    frames = live_ticks(spark, sf_dir).withColumn("phase", F.lit("regular"))
-    return a.counter_ledger(frames).select("symbol", "kind", "missing_trades", "volume_deficit", "cum_prev", "cum_next", "accepted", "resets")
+    return a.counter_ledger(phased(live_ticks(spark, sf_dir))).select("dt", "symbol", "phase", "kind", "missing_trades", "volume_deficit", "cum_prev", "cum_next", "accepted", "resets")
+
+
+def late_and_repeated(live):
+    """A feed in which every thirteenth frame comes after the one that follows it, and every thirty-first twice."""
+    segment = Window.partitionBy("dt", "symbol", "phase").orderBy("cum")
+    late = (F.col("seq") % 13 == 0) & F.lag("cum").over(segment).isNotNull() & F.lead("cum").over(segment).isNotNull()
+    moved = live.withColumns({"_late": late, "_next": F.lead("recv_wall_ns").over(segment)}).withColumn("recv_wall_ns", F.when(F.col("_late"), F.col("_next") + 1).otherwise(F.col("recv_wall_ns")))
+    twice = F.when((F.col("seq") % 31 == 0) & (F.col("seq") % 13 != 0), 2).otherwise(1)
+    return moved.withColumn("_copy", F.explode(F.sequence(F.lit(1), twice))).drop("_late", "_next", "_copy")
+
+
+@register("a10_ledger_totals", f"with {PHASED}, d as (select dt, symbol, count(*) filter (seq % 31 = 0 and seq % 13 <> 0) as duplicates from ph group by all) select *, 0::bigint as regressions, 0::bigint as resets from ptotals join d using (dt, symbol)")
+def a10_ledger_totals(spark, sf_dir):
+    return a.ledger_totals(a.counter_ledger(late_and_repeated(phased(live_ticks(spark, sf_dir))))).drop("intervals", "intervals_truncated")
 
 
 TOTALS = f"""{GAPS}, seen as (select symbol, count(*) as frames, max(cum) - min(cum) + 1 as trades_observed from live group by 1),

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import kst_minute, seconds_of
 from tickloom.operators import audit as a
 from tickloom.operators import decode as d
 from tickloom.operators import universe as u
-from tickloom.plans.auditing import TOTALS, loss_totals
+from tickloom.plans.auditing import PHASED, TOTALS, loss_totals, phased
 from tickloom.plans.decoding import _frames, _json, _with
 from tickloom.plans.registry import BARS, COUNTED, TICKS, register
 from tickloom.plans.universe import FLOOR, _featured, _sql
 from tickloom.sources import store
 from tickloom.sources.adapters import daily_bars, live_ticks, ticks
-from tickloom.sources.scratch import scratch
+from tickloom.sources.scratch import scratch, staged
 
 _SIDES = {"offerho": "price + {k}", "bidho": "price - {k}", "offerrem": "(seq + {k}) % 9", "bidrem": "(seq + 10 + {k}) % 9"}
 _LS_FIELDS = {"shcode": "symbol", "hotime": "hms", "totofferrem": "'40'", "totbidrem": "'90'"} | {f"{p}{k}": f"cast({e.format(k=k)} as string)" for p, e in _SIDES.items() for k in range(1, 11)}
@@ -41,48 +42,101 @@ def p3_db_quotes(spark, sf_dir):
 
 
 def _audit(spark, sf_dir):
-    live = live_ticks(spark, sf_dir)
-    frames = live.withColumns({"phase": F.lit("regular"), "stream": F.col("vendor"), "minute_kst": kst_minute(F.col("recv_wall_ns")), "latency_s": (F.col("seq") % 97) / F.lit(10.0), "second": seconds_of(F.col("hms")).cast("int"), "torn": F.col("seq") % 5000 == 7})
+    live = phased(live_ticks(spark, sf_dir))
+    frames = live.withColumns({"stream": F.col("vendor"), "minute_kst": kst_minute(F.col("recv_wall_ns")), "latency_s": (F.col("seq") % 97) / F.lit(10.0), "second": seconds_of(F.col("hms")).cast("int"), "torn": F.col("seq") % 5000 == 7})
     return a.session_audit(frames, 32400, 55200, 600)
 
 
 _SEC = "(cast(substr(hms, 1, 2) as int) * 3600 + cast(substr(hms, 3, 2) as int) * 60 + cast(substr(hms, 5, 2) as int))"
+_DAYS = "dy as (select dt, count(*) as rows, count(*) filter (seq % 5000 = 7) as torn_rows, max(recv_wall_ns) filter (phase = 'regular') as last_regular_tick_recv_ns from ph group by 1), st as (select *, case when last_regular_tick_recv_ns is null then 'UNAVAILABLE' when torn_rows > 0 then 'PARTIAL' else 'OK' end as status, case when last_regular_tick_recv_ns is null then 'no_decodable_records' when torn_rows > 0 then 'truncated' else 'ok' end as reason from dy)"
 
 
 @register(
     "o1_session_audit",
-    f"""with {TOTALS}, se as (select distinct vendor as stream, {_SEC} as s from live where {_SEC} >= 32400 and {_SEC} < 55200), ed as (select stream, s from se union all select distinct stream, 32399 from se union all select distinct stream, 55200 from se), nx as (select stream, s, lead(s) over (partition by stream order by s) as n from ed),
+    f"""with {PHASED}, {_DAYS}, se as (select distinct dt, vendor as stream, {_SEC} as s from live where {_SEC} >= 32400 and {_SEC} < 55200),
+ed as (select dt, stream, s from se union all select distinct dt, stream, 32399 from se union all select distinct dt, stream, 55200 from se), nx as (select dt, stream, s, lead(s) over (partition by dt, stream order by s) as n from ed),
 lt as (select vendor as stream, strftime(make_timestamp(recv_wall_ns // 1000) + interval 9 hour, '%Y-%m-%dT%H:%M') as m, conn_id, symbol, recv_wall_ns from live),
 lc as (select stream, m, conn_id, count(*) as n, min(recv_wall_ns) as f, max(recv_wall_ns) as l, list(distinct symbol) as ss from lt group by all),
 tp as (select *, first_value(f) over w as tf, first_value(l) over w as tl, first_value(ss) over w as ts, first_value(conn_id) over w as tc from lc window w as (partition by stream, m order by n desc, conn_id desc)),
 mg as (select stream, m, cast(sum(n) filter (not (conn_id <> tc and f <= tl and l >= tf and list_has_any(ss, ts))) as bigint) as a, cast(coalesce(sum(n) filter (conn_id <> tc and f <= tl and l >= tf and list_has_any(ss, ts)), 0) as bigint) as b from tp group by all)
-select 'gaps' as part, symbol as key, cum_prev as a, missing_trades as b from gaps union all select 'ledger', symbol, trades_observed, confirmed_missing from totals
-union all select 'totals', null, cast(sum(trades_observed) as bigint), cast(sum(confirmed_missing) as bigint) from totals where status = 'OK'
-union all select 'latency', stream || ' ' || m, a, b from mg union all select 'holes', stream, s + 1, n - s - 1 from nx where n - s - 1 >= 600
-union all select 'status', case when count(*) filter (seq % 5000 = 7) > 0 then 'PARTIAL' else 'OK' end, count(*), count(*) filter (seq % 5000 = 7) from live""",
+select 'gaps' as part, dt || ' ' || symbol || ' ' || phase as key, cum_prev as a, missing_trades as b from pgaps union all select 'ledger', dt || ' ' || symbol, trades_observed, confirmed_missing from ptotals
+union all select 'totals', dt, cast(coalesce(sum(trades_observed) filter (status = 'OK'), 0) as bigint), cast(coalesce(sum(confirmed_missing) filter (status = 'OK'), 0) as bigint) from ptotals group by dt
+union all select 'latency', stream || ' ' || m, a, b from mg union all select 'holes', dt || ' ' || stream, s + 1, n - s - 1 from nx where n - s - 1 >= 600
+union all select 'status', dt || ' ' || status || ' ' || reason, rows, torn_rows from st""",
 )
 def o1_session_audit(spark, sf_dir):
     values = {
-        "gaps": ("symbol", "cum_prev", "missing_trades"),
-        "ledger": ("symbol", "trades_observed", "confirmed_missing"),
-        "totals": (F.lit(None), "trades_observed", "confirmed_missing"),
-        "latency": (F.concat_ws(" ", "stream", "minute_kst"), "count", "secondary_count"),
-        "holes": ("stream", "start", "seconds"),
-        "status": ("status", "rows", "torn_rows"),
+        "gaps": (("dt", "symbol", "phase"), "cum_prev", "missing_trades"),
+        "ledger": (("dt", "symbol"), "trades_observed", "confirmed_missing"),
+        "totals": (("dt",), "trades_observed", "confirmed_missing"),
+        "latency": (("stream", "minute_kst"), "count", "secondary_count"),
+        "holes": (("dt", "stream"), "start", "seconds"),
+        "status": (("dt", "status", "reason"), "rows", "torn_rows"),
     }
     out = None
     for name, df in _audit(spark, sf_dir).items():
-        key, first, second = (F.col(c) if isinstance(c, str) else c for c in values[name])
-        one = df.select(F.lit(name).alias("part"), key.cast("string").alias("key"), first.cast("long").alias("a"), second.cast("long").alias("b"))
+        key, first, second = values[name]
+        one = df.select(F.lit(name).alias("part"), F.concat_ws(" ", *key).alias("key"), F.col(first).cast("long").alias("a"), F.col(second).cast("long").alias("b"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
-@register("o1_session_status", f"with {TOTALS} select count(*) as rows, count(*) filter (seq % 5000 = 7) as torn_rows, case when count(*) = 0 then 'UNAVAILABLE' when count(*) filter (seq % 5000 = 7) > 0 then 'PARTIAL' else 'OK' end as status from live")
+@register("o1_session_status", f"with {PHASED}, {_DAYS} select * from st")
 def o1_session_status(spark, sf_dir):
     return _audit(spark, sf_dir)["status"]
 
 
+#: Sessions are days, their bounds 09:00 and 15:20; a lost tick is an outage of 200 s from its time on, ten minutes where its seq is a multiple of 4.
+_SESSIONS = f"""{PHASED}, bo as (select distinct dt, epoch_ns(strptime(dt || ' 09:00', '%Y-%m-%d %H:%M')) as o, epoch_ns(strptime(dt || ' 15:20', '%Y-%m-%d %H:%M')) as c from ticks),
+oc as (select dt, greatest(recv_wall_ns, o) as lo, least(recv_wall_ns + case when seq % 4 = 0 then 600000000000 else 200000000000 end, c) as hi from ticks join bo using (dt) where lost),
+oe as (select *, case when lo <= max(hi) over (partition by dt order by lo, hi rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from oc where lo < hi),
+oi as (select *, sum(fresh) over (partition by dt order by lo, hi rows unbounded preceding) as i from oe), om as (select dt, min(lo) as lo, max(hi) as hi from oi group by dt, i),
+ol as (select *, exists (select 1 from pgaps g where g.dt = om.dt and g.phase = 'regular' and om.lo < g.recv_next_ns and g.recv_prev_ns < om.hi) as loss from om),
+ou as (select dt, sum(hi - lo) / 1e9 as outage_s, coalesce(sum(hi - lo) filter (not loss), 0) / 1e9 as silent_s, coalesce(sum(hi - lo) filter (loss), 0) / 1e9 as loss_s, count(*) filter (not loss) as silent_spans from ol group by 1),
+sp as (select bo.dt, coalesce(outage_s, 0) as outage_s, coalesce(silent_s, 0) as silent_s, coalesce(loss_s, 0) as loss_s, coalesce(silent_spans, 0) as silent_spans from bo left join ou using (dt))"""
+
+
+def _split(spark, sf_dir):
+    rows = ticks(spark, sf_dir)
+    at = lambda hms: F.unix_micros(F.to_timestamp(F.concat("dt", F.lit(f" {hms}")))) * 1000
+    bounds = rows.select("dt").distinct().select("dt", at("09:00").alias("open_ns"), at("15:20").alias("close_ns"))
+    outages = rows.where("lost").select("dt", F.col("recv_wall_ns").alias("gap_start_ns"), (F.col("recv_wall_ns") + F.when(F.col("seq") % 4 == 0, 600_000_000_000).otherwise(200_000_000_000)).alias("gap_end_ns"))
+    ledger = staged(a.counter_ledger(phased(live_ticks(spark, sf_dir))), "ledger")
+    return a.outage_split(outages, ledger.where("kind is not null"), bounds, ["dt"]), ledger
+
+
+@register("a14_outage_split", f"with {_SESSIONS} select * from sp")
+def a14_outage_split(spark, sf_dir):
+    return _split(spark, sf_dir)[0]
+
+
+@register(
+    "v6_session_reconciliation",
+    f"""with {_SESSIONS}, n as (select dt, row_number() over (order by dt) as k from bo),
+se as (select sp.*, k, case when k % 9 = 0 then 'UNAVAILABLE' when k % 4 = 0 then 'PARTIAL' else 'OK' end as audit_status, case when k % 9 = 0 then 0.0 else (k % 8) * 100.0 end as tail, case when k % 7 = 0 then null when k % 6 = 0 then false else true end as readable from sp join n using (dt)),
+s2 as (select *, case when readable then outage_s else 0.0 end as outs from se),
+tt as (select dt, sum(confirmed_missing) as c, sum(trades_observed) as t from ptotals where status = 'OK' group by 1),
+br as (select *, count(*) over (partition by dt) as n, row_number() over (partition by dt order by loss_ratio desc, confirmed_missing desc, symbol) as r from ptotals where status = 'OK' and trades_observed >= 5 and loss_ratio > 0.05),
+f as (select s2.*, case when audit_status = 'UNAVAILABLE' then 0 else coalesce(c, 0) end as c, case when audit_status = 'UNAVAILABLE' then 0 else coalesce(t, 0) end as t, w.symbol as ws, w.confirmed_missing as wc, w.trades_observed as wt, coalesce(w.n, 0) as wn from s2 left join tt using (dt) left join (select * from br where r = 1) w using (dt)),
+g as (select *, c / nullif(t, 0)::double as lr, cast(floor(outs) as bigint) as og from f),
+h as (select *, t = 0 as legacy, list_filter([case when readable is null then 'manifest_missing' end, case when k % 5 = 0 then 'journal_missing:book' end, case when not readable then 'manifest_unreadable' end], lambda x: x is not null) as structural,
+  case when t = 0 then list_filter([case when outs > 600 then 'gap_exceeded:' || og || 's' end], lambda x: x is not null) else
+  list_filter([case when outs > 600 and audit_status = 'PARTIAL' then 'gap_exceeded:' || og || 's' end, case when lr > 0.005 then 'trade_loss_exceeded:' || c || '/' || t end,
+    case when wn > 0 then 'symbol_loss_exceeded:' || ws || ':' || wc || '/' || wt || case when wn > 1 then '+' || (wn - 1) else '' end end, case when tail > 600 then 'tail_silence_exceeded:' || cast(tail as bigint) || 's' end], lambda x: x is not null) end as bad from g)
+select dt, structural, case when not legacy and len(bad) = 0 and lr > 0.0001 then ['trade_loss_warn:' || c || '/' || t] else bad end as reasons, case when legacy then 'legacy' when audit_status = 'PARTIAL' then 'ledger+legacy' else 'ledger' end as basis, null::varchar as would,
+  case when len(structural) > 0 then 'FAIL' when not legacy and len(bad) > 0 and k % 2 = 0 and len(list_filter(bad, lambda x: not (starts_with(x, 'trade_loss_exceeded:') or starts_with(x, 'symbol_loss_exceeded:')))) = 0 then 'PENDING_REPAIR' when len(bad) > 0 then 'FAIL' when not legacy and lr > 0.0001 then 'WARN' else 'PASS' end as status from h""",
+)
+def v6_session_reconciliation(spark, sf_dir):
+    split, ledger = _split(spark, sf_dir)
+    days = split.select("dt", F.row_number().over(Window.orderBy("dt")).alias("k"))
+    k = F.col("k")
+    status = F.when(k % 9 == 0, "UNAVAILABLE").when(k % 4 == 0, "PARTIAL").otherwise("OK")
+    sessions = split.join(days, "dt").select(*split.columns, status.alias("audit_status"), ((k % 8) * 100.0).alias("tail_silence_s"), (k % 2 == 0).alias("repair_pending"))
+    manifests = days.where(k % 7 != 0).select("dt", (k % 6 != 0).alias("readable"))
+    journals = days.select("dt", F.explode(F.array(F.lit("tick"), F.when(k % 5 != 0, F.lit("book")))).alias("stream")).where("stream is not null")
+    return a.session_reconciliation(sessions, a.ledger_totals(ledger), manifests, journals, ["tick", "book"], ["dt"], least_trades=5).select("dt", "structural", "reasons", "basis", "would", "status")
+
+
 @register("v6_session_check", f"with {TOTALS}, ou as (select symbol, count(*) * 100 as seconds from ticks where lost group by 1), ex as (select distinct symbol from ticks union select '999999') select ex.symbol, case when trades_observed is null then 'NO_FRAMES' when coalesce(seconds, 0) > 1500 then 'OUTAGE' when loss_ratio > 5e-2 then 'LOSS' else 'OK' end as status from ex left join totals using (symbol) left join ou using (symbol)")
 def v6_session_check(spark, sf_dir):
     t = ticks(spark, sf_dir)
