@@ -54,9 +54,9 @@ def effective_tiers(log: DataFrame, rank: Column, order: str = "seq") -> DataFra
     return first_of_key(rows, ["symbol"], [F.col("_rank").desc(), F.col(order).desc()]).drop("_rank")
 
 
-def multiset_minus(left: DataFrame, right: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Rows of ``left`` beyond as many of ``right`` with the same key; the later ones stay."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+def multiset_minus(left: DataFrame, right: DataFrame, keys: list[str], order: list, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of ``left`` beyond as many of ``right`` with the same key; the later ones stay. Each value of ``apart`` is compared by itself."""
+    n = F.row_number().over(Window.partitionBy(*apart, *keys).orderBy(*order))
     have = right.groupBy(*keys).agg(F.count("*").alias("_have"))
     return left.withColumn("_n", n).join(have, keys, "left").where(F.col("_n") > F.coalesce("_have", F.lit(0))).drop("_n", "_have")
 

@@ -6,8 +6,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case
+from tickloom.functions.scalars import first_case, reasons
 from tickloom.operators.dedup import multiset_minus
+from tickloom.operators.digest import BLOCK_ROWS, table_digest
 from tickloom.operators.intervals import island_ids, points_in
 
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -29,7 +30,7 @@ def peer_fill(gaps: DataFrame, peers: DataFrame) -> DataFrame:
     inside = points_in(peers, spans, ["symbol"], "acml", VOLUME_BIN)
     keys, span = ["symbol", "interval_id"], F.col("hi") - F.col("lo")
     plain = F.max(~F.col("conflated")).over(Window.partitionBy(*keys).rowsBetween(*_ALL))
-    order = Window.partitionBy(*keys, "acml", "conflated").orderBy("peer")
+    order = Window.partitionBy(*keys, "acml", "conflated").orderBy("peer", "price", "qty")
     marked = inside.withColumns({"_plain": plain, "_n": F.row_number().over(order)}).where(F.col("conflated") != F.col("_plain")).where("conflated or _n = 1")
     # plain trades are one group, each conflated peer's a group of its own
     group = Window.partitionBy(*keys, F.when(F.col("conflated"), F.col("peer"))).rowsBetween(*_ALL)
@@ -41,10 +42,12 @@ def peer_fill(gaps: DataFrame, peers: DataFrame) -> DataFrame:
     return taken.withColumn("_first", first).where("not conflated or peer = _first").select("symbol", "interval_id", "peer", "acml", "price", "qty")
 
 
-def residual_gaps(gaps: DataFrame, fills: DataFrame) -> DataFrame:
-    """Gaps with what a first fill has recovered taken off."""
-    got = fills.groupBy("symbol", "interval_id").agg(F.count("*").alias("recovered"))
-    return gaps.join(got, ["symbol", "interval_id"], "left").withColumn("recovered", F.coalesce("recovered", F.lit(0))).withColumn("missing_trades", F.col("missing_trades") - F.col("recovered"))
+def residual_gaps(gaps: DataFrame, fills: DataFrame, quantity: str = "qty") -> DataFrame:
+    """Gaps with what a first fill has recovered taken off: its trades (``prior_recovered``) and their volume."""
+    zero = F.lit(0).cast("long")
+    got = fills.groupBy("symbol", "interval_id").agg(F.count("*").alias("prior_recovered"), F.sum(quantity).alias("_qty"))
+    left = {"prior_recovered": F.coalesce("prior_recovered", zero), "missing_trades": F.greatest(zero, F.col("missing_trades") - F.coalesce("prior_recovered", zero)), "volume_deficit": F.greatest(zero, F.coalesce("volume_deficit", zero) - F.coalesce("_qty", zero))}
+    return gaps.drop("prior_recovered").join(got, ["symbol", "interval_id"], "left").withColumns(left).drop("_qty")
 
 
 def trim_surplus(pool: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,20 +61,30 @@ def trim_surplus(pool: DataFrame, keys: list[str]) -> DataFrame:
     return rows.where(~gone).drop("_size", "_sum", "_drop", "_last", "_small")
 
 
-def tape_fill(gaps: DataFrame, tape: DataFrame, received: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fills, outcomes) of gaps from a tape.
+def tape_fill(gaps: DataFrame, tape: DataFrame, received: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(fills, outcomes) of gaps from the tapes of one or several sources.
 
     ``gaps``: symbol, interval_id, ts_prev, ts_next, missing_trades, volume_deficit; ``tape``: symbol, ts, price, volume,
-    tape_seq; ``received``: symbol, ts, price, volume of the live feed. Gaps whose seconds touch are one cluster: tape
-    trades in its seconds that the feed hasn't received are pooled, trimmed to its missing count, and handed to its gaps
-    in time order by comparing running sums with row numbers.
+    tape_seq, and ``source`` (rank, first wins) where there are several; ``received``: symbol, ts, price, volume of the live
+    feed. Gaps whose seconds touch are one cluster: tape trades in its seconds that the feed hasn't received are pooled, the
+    first source with any supplies them all, they are trimmed to the cluster's missing count, and handed to its gaps in time
+    order by comparing running sums with row numbers. Without ``received`` only seconds strictly inside a cluster are taken,
+    since those at its ends may be held already. ``prior_recovered`` of a gap (see :func:`residual_gaps`) counts as recovered
+    in its outcome; gaps that miss nothing are left out.
     """
-    clusters = island_ids(gaps.withColumns({"lo": F.col("ts_prev"), "hi": F.col("ts_next")}), ["symbol"], tie="interval_id")
+    zero, strict = F.lit(0).cast("long"), received is None
+    prior = F.coalesce("prior_recovered", zero) if "prior_recovered" in gaps.columns else zero
+    rows = gaps.where("missing_trades > 0").withColumns({"lo": F.col("ts_prev"), "hi": F.col("ts_next"), "recovered_prior": prior})
+    clusters = island_ids(rows, ["symbol"], tie="interval_id")
     by = ["symbol", "island"]
     spans = clusters.groupBy(*by).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("missing_trades").alias("keep"), F.sum("volume_deficit").alias("deficit"))
-    missing = multiset_minus(tape, received, ["symbol", "ts", "price", "volume"], ["tape_seq"])
-    pool = points_in(missing, spans, ["symbol"], "ts", SECOND_BIN, low_open=False)
-    sizes = pool.groupBy(*by).agg(F.count("*").alias("pooled"))
+    several = "source" in tape.columns
+    pool = points_in(tape if several else tape.withColumn("source", F.lit(0)), spans, ["symbol"], "ts", SECOND_BIN, low_open=strict, high_open=strict)
+    if received is not None:
+        pool = multiset_minus(pool, received, ["symbol", "ts", "price", "volume"], ["tape_seq"], apart=("source",))
+    first = F.min("source").over(Window.partitionBy(*by))
+    pool = pool.withColumn("_first", first).where("source = _first").drop("_first")
+    sizes = pool.groupBy(*by).agg(F.count("*").alias("pooled"), F.min("source").alias("source"))
     kept = trim_surplus(pool, by).withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy("ts", "tape_seq")))
     order = Window.partitionBy(*by).orderBy("lo", "hi", "interval_id")
     upto = F.sum("missing_trades").over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -80,10 +93,11 @@ def tape_fill(gaps: DataFrame, tape: DataFrame, received: DataFrame) -> tuple[Da
     have = F.least(F.coalesce("pooled", F.lit(0)), F.col("_all"))
     recovered = F.greatest(F.lit(0), F.least(F.col("missing_trades"), have - F.col("_from")))
     surplus = F.when(F.col("_last"), F.greatest(F.lit(0), F.coalesce("pooled", F.lit(0)) - F.col("_all"))).otherwise(0)
-    outcomes = members.withColumns({"recovered": recovered, "surplus": surplus})
+    outcomes = members.withColumns({"recovered": recovered + F.col("recovered_prior"), "surplus": surplus, "missing_trades": F.col("missing_trades") + F.col("recovered_prior")})
     status = first_case([(F.col("surplus") > 0, F.lit("over")), (F.col("recovered") == 0, F.lit("none")), (F.col("recovered") < F.col("missing_trades"), F.lit("partial"))], "full")
-    outcomes = outcomes.withColumns({"residual": F.col("missing_trades") - F.col("recovered"), "status": status})
-    return fills.select("symbol", "interval_id", "ts", "price", "volume", "tape_seq"), outcomes.select("symbol", "interval_id", "missing_trades", "recovered", "residual", "surplus", "status")
+    outcomes = outcomes.withColumns({"residual": F.greatest(F.lit(0), F.col("missing_trades") - F.col("recovered")), "status": status})
+    more = [*(["recovered_prior"] if "prior_recovered" in gaps.columns else []), *(["source"] if several else [])]
+    return fills.select("symbol", "interval_id", "ts", "price", "volume", "tape_seq", *(["source"] if several else [])), outcomes.select("symbol", "interval_id", "missing_trades", "recovered", "residual", "surplus", "status", *more)
 
 
 def summarize_fill(outcomes: DataFrame) -> DataFrame:
@@ -125,13 +139,40 @@ def repaired_verdict(loss: DataFrame, warn: float = 1e-4, fail: float = 5e-3, sy
 COUNTER_BIN = 10_000
 
 
+def _next_free(rows: pd.DataFrame) -> pd.DataFrame:
+    """Fills of overlapping gaps in time order: each takes the least counter of its gap that is still free.
+
+    ``_taken`` rows are counters of live ticks. A taken counter points at the one after it, so a run of them is passed once.
+    """
+    after = {int(c): int(c) + 1 for c in rows.loc[rows["_taken"], "cum"]}
+
+    def free(slot: int) -> int:
+        passed = []
+        while slot in after:
+            passed.append(slot)
+            slot = after[slot]
+        for p in passed:
+            after[p] = slot
+        return slot
+
+    fills = rows[~rows["_taken"]].sort_values(["ts", "tape_seq", "interval_id"], kind="stable")
+    found = []
+    for lo, hi in zip(fills["_lo"].astype(int), fills["_hi"].astype(int), strict=True):
+        slot = free(lo + 1)
+        found.append(slot if slot < hi else None)
+        if slot < hi:
+            after[slot] = slot + 1
+    return fills.assign(cum=pd.array(found, dtype="Int64")).drop(columns=["_taken", "_lo", "_hi", "island"])
+
+
 def place_fills(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:
     """The fills with ``fate`` and ``cum``: ``placed`` on a free counter of their gap, ``late_live`` or ``overfill`` without one.
 
     ``live``: symbol, cum, price, volume, ts, recv_wall_ns; ``fills``: symbol, interval_id, ts, price, volume, tape_seq;
-    ``gaps``: symbol, interval_id, cum_prev, cum_next, disjoint per symbol. A live tick inside a gap came late: it takes one
-    fill of its second, price and volume off; of live ticks with one counter only the first does. Slots are the gap's
-    counters that no live tick holds; the k-th fill left takes the k-th slot, and what finds none is overfill.
+    ``gaps``: symbol, interval_id, cum_prev, cum_next. A live tick inside a gap came late: it takes one fill of its second,
+    price and volume off; of live ticks with one counter only the first does. Free are the gap's counters that no live tick
+    holds. Of a gap that overlaps no other, the k-th fill left takes the k-th of them; gaps that overlap draw from one pool,
+    their fills in time order each taking the least counter of its own gap that no fill before has. What finds none is overfill.
     """
     first = live.groupBy("symbol", "cum").agg(F.min(F.struct("recv_wall_ns", "ts", "price", "volume")).alias("_first")).select("symbol", "cum", "_first.ts", "_first.price", "_first.volume")
     spans = gaps.select("symbol", "interval_id", F.col("cum_prev").alias("lo"), F.col("cum_next").alias("hi"))
@@ -139,13 +180,27 @@ def place_fills(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame
     twin = ["symbol", "interval_id", "ts", "price", "volume"]
     numbered = fills.withColumn("_n", F.row_number().over(Window.partitionBy(*twin).orderBy("tape_seq")))
     marked = numbered.join(late.groupBy(*twin).agg(F.count("*").alias("_have")), twin, "left").withColumn("_late", F.col("_n") <= F.coalesce("_have", F.lit(0)))
-    slots = gaps.select("symbol", "interval_id", F.explode(F.sequence(F.col("cum_prev") + 1, F.col("cum_next") - 1)).alias("cum"))
+    islands = island_ids(spans.join(fills.select("symbol", "interval_id").distinct(), ["symbol", "interval_id"]), ["symbol"], "open", tie="interval_id")
+    islands = islands.withColumn("_alone", F.count("*").over(Window.partitionBy("symbol", "island")) == 1)
+    marked = marked.join(islands.withColumnsRenamed({"lo": "_lo", "hi": "_hi"}), ["symbol", "interval_id"], "left")
+    alone = F.col("_late") | F.coalesce("_alone", F.lit(True))
+
+    # gaps that overlap none: rows are numbered on both sides
+    slots = islands.where("_alone").select("symbol", "interval_id", F.explode(F.when(F.col("hi") - F.col("lo") > 1, F.sequence(F.col("lo") + 1, F.col("hi") - 1))).alias("cum"))
     free = slots.join(first.select("symbol", "cum"), ["symbol", "cum"], "left_anti")
     free = free.withColumn("_k", F.row_number().over(Window.partitionBy("symbol", "interval_id").orderBy("cum"))).withColumn("_late", F.lit(False))
     order = Window.partitionBy("symbol", "interval_id", "_late").orderBy("ts", "tape_seq")
-    placed = marked.withColumn("_k", F.row_number().over(order)).join(free, ["symbol", "interval_id", "_late", "_k"], "left")
+    placed = marked.where(alone).withColumn("_k", F.row_number().over(order)).join(free, ["symbol", "interval_id", "_late", "_k"], "left").select(*fills.columns, "cum", "_late")
+
+    # gaps that overlap: a group is one union of them
+    pools = islands.where("not _alone").groupBy("symbol", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    taken = points_in(first.select("symbol", "cum"), pools, ["symbol"], "cum", COUNTER_BIN, high_open=True).select("symbol", "island", "cum", F.lit(True).alias("_taken"))
+    open_ = marked.where(~alone).select(*fills.columns, "island", "_lo", "_hi", F.lit(False).alias("_taken")).unionByName(taken, allowMissingColumns=True)
+    kinds = ", ".join([*[f"{c} {open_.schema[c].dataType.simpleString()}" for c in fills.columns], "cum long"])
+    shared = open_.select(*fills.columns, "island", "_lo", "_hi", "_taken", "cum").groupBy("symbol", "island").applyInPandas(_next_free, kinds).withColumn("_late", F.lit(False))
+    both = placed.unionByName(shared)
     fate = first_case([(F.col("_late"), F.lit("late_live")), (F.col("cum").isNull(), F.lit("overfill"))], "placed")
-    return placed.withColumn("fate", fate).select(*fills.columns, "cum", "fate")
+    return both.withColumn("fate", fate).select(*fills.columns, "cum", "fate")
 
 
 def with_fills(live: DataFrame, placed: DataFrame) -> DataFrame:
@@ -176,6 +231,24 @@ def repair_outcome(live: DataFrame, placed: DataFrame, received: int, recovered:
     return one.withColumn("status", F.when(F.col("reason").isNull(), "OK").otherwise("MISMATCH"))
 
 
+def repair_valid(repaired: DataFrame, summary: DataFrame, audit: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row: whether a repaired table may be used, with what is against it.
+
+    ``summary``: one row of status, live_rows, filled_rows, topup_rows, audit_trades_received and audit_digest, the
+    :func:`tickloom.operators.digest.table_digest` of the audit that the repair was made from; ``audit`` is that table as it
+    is now. A changed audit, a row too few or too many, and live rows that the audit did not count make it invalid.
+    """
+    have = repaired.agg(F.count("*").alias("rows"))
+    one = summary.join(have).join(table_digest(audit, block_rows).select("digest"))
+    against = [
+        ("status", F.coalesce(F.col("status") != "OK", F.lit(True))),
+        ("live_rows", F.coalesce((F.col("live_rows") < 0) | (F.col("live_rows") != F.col("audit_trades_received")), F.lit(True))),
+        ("rows", F.coalesce(F.col("rows") != F.col("live_rows") + F.col("filled_rows") + F.coalesce("topup_rows", F.lit(0)), F.lit(True))),
+        ("audit", F.coalesce(F.col("audit_digest") != F.col("digest"), F.lit(True))),
+    ]
+    return one.withColumn("against", reasons(against)).select("rows", "live_rows", "filled_rows", "against", (F.size("against") == 0).alias("valid"))
+
+
 def tape_surplus(live_counts: DataFrame, tape_counts: DataFrame, keys: list[str]) -> DataFrame:
     """Keys with more trades on the tape than received, and how many."""
     joined = tape_counts.join(live_counts, keys, "left").withColumn("surplus", F.col("n") - F.coalesce("have", F.lit(0)))
