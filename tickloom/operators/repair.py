@@ -286,41 +286,56 @@ def day_repair_state(units: DataFrame) -> DataFrame:
     return units.withColumn("state", state)
 
 
-def select_minutes(frames: DataFrame, primary: str, demoted: DataFrame | None = None, min_frames: int = 1, advantage: int = 5, conflated=(), mixed=(), windows: DataFrame | None = None) -> DataFrame:
+def select_minutes(frames: DataFrame, primary: str | dict[str, str], demoted: DataFrame | None = None, min_frames: int = 1, advantage: int = 5, conflated=(), mixed=(), windows: DataFrame | None = None, at: str = "minute") -> DataFrame:
     """One source per (symbol, minute): the primary, unless it is demoted or a secondary has a clear advantage.
 
-    ``frames``: symbol, minute, vendor, frames. ``demoted``: symbol, demoted_at (a minute). ``windows``: vendor, symbol,
-    start, end; a vendor named there is eligible inside its windows only. Conflated sources count only without a
-    lossless one, mixed-venue sources only without another; ties go to the first name.
+    ``frames``: symbol, minute, vendor, frames, and any of dt, venue, session and kind, by which it is also kept apart;
+    ``primary`` may be by venue. ``demoted``: symbol, demoted_at. ``windows``: vendor, symbol, start, end; a vendor named there
+    is eligible inside its windows only. Both are compared with the column ``at`` and may have ``dt``. Conflated sources
+    count only without a lossless one, in books as any other; mixed-venue sources only without another, in books never; ties
+    go to the first name.
     """
-    keys = ["symbol", "minute"]
+    days = [c for c in ("dt",) if c in frames.columns]
+    keys = [*days, *[c for c in ("venue", "session", "kind") if c in frames.columns], "symbol", "minute"]
     rows = frames.where("frames > 0")
-    rows = rows.withColumn("_primary", F.col("vendor") == primary)
+    if isinstance(primary, str):
+        named = F.lit(primary)
+    else:
+        named = F.coalesce(*[F.when(F.col("venue") == v, F.lit(p)) for v, p in primary.items()], F.lit(None).cast("string"))
+        rows = rows.where(F.col("venue").isin(*primary))
+    rows = rows.withColumn("_primary", F.col("vendor") == named)
     if windows is not None:
-        managed = windows.select("vendor").distinct().withColumn("_managed", F.lit(True))
-        spans = windows.join(rows.select("vendor", *keys).distinct(), ["vendor", "symbol"]).where("minute >= start and minute < end").select("vendor", *keys).distinct().withColumn("_open", F.lit(True))
-        rows = rows.join(F.broadcast(managed), "vendor", "left").join(spans, ["vendor", *keys], "left")
+        by = [c for c in days if c in windows.columns]
+        managed = windows.select(*by, "vendor").distinct().withColumn("_managed", F.lit(True))
+        asked = rows.select("vendor", *keys, *([at] if at not in keys else [])).distinct()
+        spans = windows.join(asked, [*by, "vendor", "symbol"]).where((F.col(at) >= F.col("start")) & (F.col(at) < F.col("end"))).select("vendor", *keys).distinct().withColumn("_open", F.lit(True))
+        rows = rows.join(managed, [*by, "vendor"], "left").join(spans, ["vendor", *keys], "left")
         eligible = F.col("_primary") | F.col("_managed").isNull() | F.col("_open").isNotNull()
     else:
         eligible = F.lit(True)
     group = Window.partitionBy(*keys).rowsBetween(*_ALL)
-    rows = rows.withColumns({"_eligible": eligible, "_mixed": F.col("vendor").isin(*mixed) if mixed else F.lit(False), "_conflated": F.col("vendor").isin(*conflated) if conflated else F.lit(False)})
+    tick = F.col("kind") == "tick" if "kind" in keys else F.lit(True)
+    rows = rows.withColumns({"_mixed": F.col("vendor").isin(*mixed) if mixed else F.lit(False), "_conflated": tick & F.col("vendor").isin(*conflated) if conflated else F.lit(False)})
+    rows = rows.withColumn("_eligible", eligible & (F.col("_primary") | tick | ~F.col("_mixed")))
     rows = rows.withColumn("_single", F.max(F.col("_eligible") & ~F.col("_mixed")).over(group)).withColumn("_eligible", F.col("_eligible") & (F.col("_primary") | ~F.col("_mixed") | ~F.col("_single")))
     rows = rows.withColumn("_lossless", F.max(F.col("_eligible") & ~F.col("_conflated")).over(group)).withColumn("_eligible", F.col("_eligible") & (F.col("_primary") | ~F.col("_conflated") | ~F.col("_lossless")))
     order = Window.partitionBy(*keys).orderBy(F.when(F.col("_eligible") & ~F.col("_primary"), F.col("frames")).desc_nulls_last(), "vendor")
     best = rows.withColumn("_n", F.row_number().over(order)).groupBy(*keys).agg(
         F.coalesce(F.max(F.when(F.col("_primary"), F.col("frames"))), F.lit(0)).alias("frames_primary"),
         F.max(F.when((F.col("_n") == 1) & F.col("_eligible") & ~F.col("_primary"), F.struct("frames", "vendor"))).alias("_best"),
+        *([F.first(at).alias("_at")] if at not in keys else []),
     )
     if demoted is not None:
-        best = best.join(demoted, "symbol", "left")
-    down = F.coalesce(F.col("minute") >= F.col("demoted_at"), F.lit(False)) if demoted is not None else F.lit(False)
+        best = best.join(demoted, [*[c for c in days if c in demoted.columns], "symbol"], "left")
+    moment = F.col("_at" if at not in keys else at)
+    down = F.coalesce(moment >= F.col("demoted_at"), F.lit(False)) if demoted is not None else F.lit(False)
     frames_best = F.col("_best.frames")
     forced = F.coalesce(F.col("_best").isNotNull() & down & (frames_best >= min_frames), F.lit(False))
     better = F.coalesce(frames_best >= F.col("frames_primary") + advantage, F.lit(False))
     reason = first_case([(forced, F.lit("demoted")), (better & (F.col("frames_primary") == 0), F.lit("secondary_only")), (better, F.lit("primary_gap")), (F.col("frames_primary") >= min_frames, F.lit("primary_ok"))], "no_better_source")
-    chosen = F.when(forced | better, F.col("_best.vendor")).otherwise(F.lit(primary))
-    return best.select(*keys, chosen.alias("selected_vendor"), F.lit(primary).alias("primary_vendor"), reason.alias("reason"), "frames_primary", F.when(forced | better, frames_best).otherwise(F.col("frames_primary")).alias("frames_selected"))
+    chosen = F.when(forced | better, F.col("_best.vendor")).otherwise(named)
+    crossed = tick & chosen.isin(*mixed) if mixed else F.lit(False)
+    return best.select(*keys, chosen.alias("selected_vendor"), named.alias("primary_vendor"), reason.alias("reason"), "frames_primary", F.when(forced | better, frames_best).otherwise(F.col("frames_primary")).alias("frames_selected"), crossed.alias("mixed_venue"))
 
 
 def feed_quality(days: DataFrame, session_minutes: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import div
 from tickloom.operators import audit as a
+from tickloom.operators import feeds as f
 from tickloom.operators import repair as r
 from tickloom.operators.digest import table_digest
 from tickloom.operators.intervals import points_in
@@ -259,7 +260,7 @@ se as (select fr.symbol, fr.minute, vendor, frames from fr join ks using (symbol
 be as (select symbol, minute, max(frames) as bf, min(vendor) as bv from (select *, row_number() over (partition by symbol, minute order by frames desc, vendor) as n from se) where n = 1 group by all),
 dm as (select symbol, '2024-01-10' as demoted_at from ticks where symbol like '%4' group by 1),
 de as (select symbol, minute, fp, bf, bv, coalesce(bv is not null and minute >= demoted_at and bf >= 1, false) as forced, coalesce(bf >= fp + 2, false) as better from ks left join be using (symbol, minute) left join dm using (symbol)),
-sel as (select symbol, minute, case when forced or better then bv else 'ls' end as selected_vendor, 'ls' as primary_vendor, case when forced then 'demoted' when better and fp = 0 then 'secondary_only' when better then 'primary_gap' when fp >= 1 then 'primary_ok' else 'no_better_source' end as reason, fp as frames_primary, case when forced or better then bf else fp end as frames_selected from de)"""
+sel as (select symbol, minute, case when forced or better then bv else 'ls' end as selected_vendor, 'ls' as primary_vendor, case when forced then 'demoted' when better and fp = 0 then 'secondary_only' when better then 'primary_gap' when fp >= 1 then 'primary_ok' else 'no_better_source' end as reason, fp as frames_primary, case when forced or better then bf else fp end as frames_selected, coalesce((forced or better) and bv = 'kiwoom', false) as mixed_venue from de)"""
 
 
 def _selected(spark, sf_dir):
@@ -278,9 +279,84 @@ def o16_selection_summary(spark, sf_dir):
     return _selected(spark, sf_dir).groupBy("selected_vendor", "reason").agg(F.count("*").alias("minutes"), F.sum("frames_selected").alias("frames"), F.countDistinct("symbol").alias("symbols"))
 
 
-@register("o14_demotions", f"with {TICKS} select symbol, min(recv_wall_ns) as demoted_ns from ticks where lost group by symbol")
+#: A controller's log made of ticks: plans, demotions and admissions of four groups of symbols, which change from plan to plan.
+_LOG = f"""{TICKS}, sy as (select distinct symbol from ticks),
+lg as (select dt, seq, case when seq % 5 = 0 then 'group_plan' when seq % 29 = 1 then 'TRANSITION' when seq % 17 = 2 then 'ADMIT' else 'OTHER' end as kind, recv_wall_ns as wall, 'g' || (seq % 4)::varchar as "group", seq % 3 as turn,
+  case when seq % 58 = 1 then 'DAY_DEMOTED' else 'RECOVERING' end as new, case when seq % 34 = 2 then 'active' else 'shadow' end as mode, case when seq % 7 = 0 then null else vendor || '-nxt:' || seq::varchar end as feed from ticks),
+mem as (select "group", turn, s.symbol from (select distinct "group", turn from lg) join sy s on s.symbol::bigint % 4 = substr("group", 2)::bigint or s.symbol::bigint % 9 = turn),
+pl as (select dt, "group", wall, seq, turn from lg where kind = 'group_plan'), tr as (select dt, "group", wall, seq from lg where kind = 'TRANSITION' and new = 'DAY_DEMOTED'),
+pk as (select t.dt, t."group", t.wall, p.turn, row_number() over (partition by t.dt, t."group", t.seq order by p.wall <= t.wall desc, p.wall desc, p.seq) as k from tr t join pl p using (dt, "group")),
+dem as (select dt, symbol, min(wall) as demoted_at from pk join mem using ("group", turn) where k = 1 group by all),
+win as (select distinct l.dt, regexp_replace(split_part(feed, ':', 1), '-nxt$', '') as vendor, symbol, wall as start, epoch_ns(strptime(l.dt || ' 15:20', '%Y-%m-%d %H:%M')) as "end" from lg l join mem using ("group", turn) where kind = 'ADMIT' and mode = 'active' and feed is not null)"""
+
+
+def _controller_log(spark, sf_dir):
+    rows, seq = ticks(spark, sf_dir), F.col("seq")
+    named = rows.select("symbol").distinct().select("symbol", F.col("symbol").cast("long").alias("n"))
+    turns = spark.range(12).select((F.col("id") % 4).alias("g"), F.floor(F.col("id") / 4).alias("turn"))
+    members = named.join(turns, (F.col("n") % 4 == F.col("g")) | (F.col("n") % 9 == F.col("turn"))).groupBy("g", "turn").agg(F.collect_list("symbol").alias("symbols"))
+    kind = F.when(seq % 5 == 0, "group_plan").when(seq % 29 == 1, "TRANSITION").when(seq % 17 == 2, "ADMIT").otherwise("OTHER")
+    log = rows.select("dt", "seq", kind.alias("kind"), F.col("recv_wall_ns").alias("wall"), (seq % 4).alias("g"), (seq % 3).alias("turn"), F.when(seq % 58 == 1, "DAY_DEMOTED").otherwise("RECOVERING").alias("new"), F.when(seq % 34 == 2, "active").otherwise("shadow").alias("mode"), F.when(seq % 7 != 0, F.concat("vendor", F.lit("-nxt:"), seq.cast("string"))).alias("feed"))
+    log = log.join(members, ["g", "turn"], "left").withColumn("group", F.concat(F.lit("g"), F.col("g").cast("string")))
+    closes = rows.select("dt").distinct().withColumn("close_wall", F.unix_micros(F.to_timestamp(F.concat("dt", F.lit(" 15:20")))) * 1000)
+    return log, closes
+
+
+@register("o14_demotions", f"with {_LOG} select * from dem")
 def o14_demotions(spark, sf_dir):
-    return ticks(spark, sf_dir).where("lost").groupBy("symbol").agg(F.min("recv_wall_ns").alias("demoted_ns"))
+    return f.controller_windows(*_controller_log(spark, sf_dir))[0]
+
+
+@register("o14_admission_windows", f"with {_LOG} select * from win")
+def o14_admission_windows(spark, sf_dir):
+    return f.controller_windows(*_controller_log(spark, sf_dir))[1].distinct()
+
+
+#: Frames by hour on two venues and kinds; toss conflates, kiwoom mixes venues and has no books.
+_FEEDS = f"""{_LOG}, mi as (select dt, substr(hms, 1, 2) as minute, epoch_ns(strptime(dt || ' ' || substr(hms, 1, 2), '%Y-%m-%d %H')) as moment, symbol, vendor, case when seq % 3 = 0 then 'nxt' else 'krx' end as venue, case when seq % 2 = 0 then 'book' else 'tick' end as kind from ticks),
+fr as (select dt, venue, kind, symbol, minute, moment, vendor, count(*) as frames from mi where vendor <> 'kiwoom' group by all), un as (select dt, symbol, minute, moment, vendor, count(*) as frames from mi where vendor = 'kiwoom' group by all),
+pr as (select * from (values ('krx', 'ls'), ('nxt', 'kis')) t(venue, primary_vendor)),
+ca as (select * from fr union all select dt, venue, 'tick', symbol, minute, moment, vendor, frames from un, pr), ro as (select distinct dt, venue, kind from fr join pr using (venue) where vendor = primary_vendor),
+rw as (select ca.*, primary_vendor, vendor = primary_vendor as own, (dt, vendor) not in (select (dt, vendor) from win) or exists (select 1 from win w where w.dt = ca.dt and w.vendor = ca.vendor and w.symbol = ca.symbol and ca.moment >= w.start and ca.moment < w."end") as inside from ca join pr using (venue) join ro using (dt, venue, kind)),
+e1 as (select *, max((own or inside) and vendor <> 'kiwoom') over k as single from rw window k as (partition by dt, venue, kind, symbol, minute)), e2 as (select *, (own or inside) and (own or vendor <> 'kiwoom' or not single) as ok from e1),
+e3 as (select *, max(ok and (kind <> 'tick' or vendor <> 'toss')) over k as lossless from e2 window k as (partition by dt, venue, kind, symbol, minute)),
+e4 as (select *, ok and not own and (kind <> 'tick' or vendor <> 'toss' or not lossless) as can from e3),
+be as (select dt, venue, kind, symbol, minute, min(moment) as moment, min(primary_vendor) as primary_vendor, coalesce(max(frames) filter (own), 0) as fp, max(frames) filter (can) as bf from e4 group by all),
+bv as (select be.*, min(e4.vendor) as bv from be left join e4 on e4.dt = be.dt and e4.venue = be.venue and e4.kind = be.kind and e4.symbol = be.symbol and e4.minute = be.minute and can and frames = bf group by all),
+de as (select bv.*, coalesce(bv is not null and moment >= demoted_at and bf >= 1, false) as forced, coalesce(bf >= fp + 2, false) as better from bv left join dem using (dt, symbol)),
+sel as (select dt, venue, kind, symbol, minute, case when forced or better then bv else primary_vendor end as selected_vendor, primary_vendor, case when forced then 'demoted' when better and fp = 0 then 'secondary_only' when better then 'primary_gap' when fp >= 1 then 'primary_ok' else 'no_better_source' end as reason,
+  fp as frames_primary, case when forced or better then bf else fp end as frames_selected, coalesce(kind = 'tick' and (forced or better) and bv = 'kiwoom', false) as mixed_venue from de)"""
+_PRIMARY = {"krx": "ls", "nxt": "kis"}
+
+
+def _feeds(spark, sf_dir):
+    seq = F.col("seq")
+    rows = ticks(spark, sf_dir).withColumns({"minute": F.substring("hms", 1, 2), "venue": F.when(seq % 3 == 0, "nxt").otherwise("krx"), "kind": F.when(seq % 2 == 0, "book").otherwise("tick")})
+    rows = rows.withColumn("moment", F.unix_micros(F.to_timestamp(F.concat("dt", F.lit(" "), "minute"), "yyyy-MM-dd HH")) * 1000)
+    count = F.count("*").alias("frames")
+    frames = staged(rows.where("vendor <> 'kiwoom'").groupBy("dt", "venue", "kind", "symbol", "minute", "moment", "vendor").agg(count), "frames")
+    unified = staged(rows.where("vendor = 'kiwoom'").groupBy("dt", "symbol", "minute", "moment", "vendor").agg(count), "unified")
+    return frames, unified, f.feed_selection(frames, unified, *_controller_log(spark, sf_dir), _PRIMARY, "moment", ("toss",), ("kiwoom",), 1, 2)
+
+
+@register("o16_feed_selection", f"with {_FEEDS} select * from sel")
+def o16_feed_selection(spark, sf_dir):
+    return _feeds(spark, sf_dir)[2]
+
+
+@register("o16_reasons", f"with {_FEEDS}, d as (select dt, count(*) as rows, count(distinct symbol) filter (reason <> 'primary_ok') as symbols_affected from sel group by 1) select dt, reason, count(*) as minutes, rows, symbols_affected from sel join d using (dt) group by all")
+def o16_reasons(spark, sf_dir):
+    return f.selection_summary(_feeds(spark, sf_dir)[2])
+
+
+@register(
+    "o16_vendor_stats",
+    f"""with {_FEEDS}, b as (select dt, vendor, kind, minute, frames from fr union all select dt, vendor, 'tick', minute, frames from un), s as (select dt, selected_vendor as vendor, count(*) filter (kind = 'tick' and selected_vendor = 'toss') as c, count(*) filter (mixed_venue) as m from sel group by all)
+select dt, vendor, cast(coalesce(sum(frames) filter (kind = 'tick'), 0) as bigint) as tick_frames, cast(coalesce(sum(frames) filter (kind = 'book'), 0) as bigint) as book_frames, count(distinct minute) as minutes_with_frames, coalesce(any_value(c), 0) as conflated_selected_minutes, coalesce(any_value(m), 0) as mixed_selected_minutes from b left join s using (dt, vendor) group by dt, vendor""",
+)
+def o16_vendor_stats(spark, sf_dir):
+    frames, unified, selected = _feeds(spark, sf_dir)
+    return f.vendor_stats(frames, unified, selected, ("toss",))
 
 
 _AV = f"{TICKS}, av as (select dt, vendor, count(distinct substr(hms, 1, 4)) as minutes, count(*) filter (lost) as disconnects, max(cvolume) as lag_max from ticks group by all), fq as (select *, round_even(least(1.0, minutes / 90::double), 4) as availability from av)"
