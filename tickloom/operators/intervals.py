@@ -85,6 +85,18 @@ def with_previous(df: DataFrame, keys: list[str], at: str, fields: list[str], wi
     return joined.select(*df.columns, F.coalesce("_inside", "_carry").alias(name))
 
 
+def numbered(df: DataFrame, keys: list[str], at: str, width: int, tie: str, name: str = "n") -> DataFrame:
+    """``name`` is the place of a row in the order of ``at`` and ``tie`` within its key, from 1.
+
+    A key is cut into bins of ``width``; a row counts those of its bin and, from a table with a row per bin, all before it.
+    """
+    binned = df.withColumn("_bin", div(F.col(at), width))
+    sizes = binned.groupBy(*keys, "_bin").agg(F.count("*").alias("_size"))
+    before = sizes.withColumn("_before", F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))).drop("_size")
+    inside = F.row_number().over(Window.partitionBy(*keys, "_bin").orderBy(at, tie))
+    return binned.withColumn("_inside", inside).join(before, [*keys, "_bin"]).select(*df.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias(name))
+
+
 def as_of(left: DataFrame, schedule: DataFrame, keys: list[str], at: str, since: str, width: int | None = None) -> DataFrame:
     """Rows of ``left`` with the latest schedule row of their key at or before ``at``; none gives nulls, of equal times the greatest row counts.
 

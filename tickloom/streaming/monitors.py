@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import pickle
 from dataclasses import asdict
 
 import pandas as pd
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom.operators.control import STEP_SCHEMA, Failover, FailoverRules, advance_group
+from tickloom.operators.monitoring import SNAPSHOT, Health, Lag, Silence
 
 
 def with_time(frames: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -58,6 +61,81 @@ def failover(steps: DataFrame, rules: FailoverRules | None = None) -> DataFrame:
     return steps.groupBy("group_id").applyInPandasWithState(advance, STEP_SCHEMA, kinds, "append", GroupStateTimeout.NoTimeout)
 
 
+def silence(frames: DataFrame, windows: list[tuple[int, int]], limit: int) -> DataFrame:
+    """Alarms of :func:`tickloom.operators.monitoring.silence_alarms` while the frames (feed, at, ts with a watermark) come, times in microseconds.
+
+    ``windows`` are the sessions in which feeds are watched, in order. An alarm is told once the watermark has passed it, by
+    a frame or by a timer of event time, so frames that come out of order within the watermark raise none. A feed's state is
+    the runs of its frames behind which none can change: as many as limits fit into the watermark's delay, and one more.
+    """
+
+    def watch(key, batches, state: GroupState):
+        machine = Silence(windows, limit, *(json.loads(state.get[0]) if state.exists else ()))
+        for rows in batches:
+            machine.add(rows["at"].tolist())
+        passed = state.getCurrentWatermarkMs() * 1000
+        found = machine.alarms(passed) if passed > 0 else []
+        state.update((json.dumps([machine.runs, machine.done]),))
+        due = machine.next_alarm()
+        if due is not None:
+            state.setTimeoutTimestamp(max(due, passed) // 1000 + 1)
+        if found:
+            yield pd.DataFrame([(key[0], *x) for x in found], columns=["feed", "alarm_at", "silent_since"])
+
+    return frames.groupBy("feed").applyInPandasWithState(watch, "feed string, alarm_at long, silent_since long", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _in_order(batches, by: list[str]):
+    """A group's rows of one trigger in order; how many there can be is bounded by the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``."""
+    return pd.concat(list(batches)).sort_values(by, kind="stable")
+
+
+def lag_alerts(frames: DataFrame, threshold: float, window_ns: int, least: int = 5) -> DataFrame:
+    """Turns of each stream's lag as its frames (stream, recv_wall_ns, seq, conn_id, symbol, lag_s) come, triggers in order of time.
+
+    A stream's state is its counters and the samples of its open window.
+    """
+
+    def observe(key, batches, state: GroupState):
+        machine = pickle.loads(state.get[0]) if state.exists else Lag(threshold, window_ns, least)  # noqa: S301  its own state
+        rows = _in_order(batches, ["recv_wall_ns", "seq"])
+        lags = [None if pd.isna(x) else float(x) for x in rows["lag_s"]]
+        turns = [(key[0], *t) for t in (machine.observe(*x) for x in zip(rows["recv_wall_ns"].tolist(), rows["conn_id"].tolist(), rows["symbol"].tolist(), lags, strict=True)) if t]
+        state.update((pickle.dumps(machine),))
+        if turns:
+            yield pd.DataFrame(turns, columns=["stream", "window", "status", "p50_s", "max_s", "samples"])
+
+    return frames.groupBy("stream").applyInPandasWithState(observe, "stream string, window long, status string, p50_s double, max_s double, samples long", "held binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def health_snapshots(events: DataFrame, **settings) -> DataFrame:
+    """Snapshots of each feed's health as its events come, triggers in order of time.
+
+    ``events``: feed, at (nanoseconds), seq, kind (frame, connected, disconnected, acks, snapshot), lag_s, reason, planned,
+    accepted, rejected. A feed's state holds a count for each second of the window and a bounded number of sampled lags.
+    """
+
+    def follow(key, batches, state: GroupState):
+        machine = pickle.loads(state.get[0]) if state.exists else Health(**settings)  # noqa: S301  its own state
+        out = []
+        for e in _in_order(batches, ["at", "seq"]).itertuples():
+            if e.kind == "frame":
+                machine.frame(int(e.at), None if pd.isna(e.lag_s) else float(e.lag_s))
+            elif e.kind == "connected":
+                machine.connect()
+            elif e.kind == "disconnected":
+                machine.disconnect(e.reason)
+            elif e.kind == "acks":
+                machine.acks(int(e.at), *(0 if pd.isna(x) else int(x) for x in (e.planned, e.accepted, e.rejected)))
+            elif e.kind == "snapshot":
+                out.append((key[0], *machine.snapshot(int(e.at))))
+        state.update((pickle.dumps(machine),))
+        if out:
+            yield pd.DataFrame(out, columns=["feed", *[c.split()[0] for c in SNAPSHOT.split(", ")]])
+
+    return events.groupBy("feed").applyInPandasWithState(follow, f"feed string, {SNAPSHOT}", "held binary", "append", GroupStateTimeout.NoTimeout)
+
+
 def run_available(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     """Run a stream over all input there is into a table under ``path`` and return it; ``complete`` results replace the table each time.
 
