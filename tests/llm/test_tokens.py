@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from tickloom.llm.packing import pack, packed_sequences
 from tickloom.llm.pfor import decode_blocks, encode_blocks, token_files
 from tickloom.llm.token_counts import token_counts
-from tickloom.llm.tokens import Pieces, safe_parts
+from tickloom.llm.tokens import LONG, Pieces
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", None, "a<|endoftext|> b", "don't I'll 'd 'S 'RE", "ΣΑΣ İx", "x \x85 y z", "héllo  \n\n wör ld 12 3½", "ﬁ é ẛ", "日本語 text", "\x1c a\x1db", "ŉa ſ µ ª º ²³", "a\xadb \x01 c", "x" * 200_000, ("ab cd\n" * 40_000) + "日本", "ab, é 12 " * 30_000, " lead", "trail ", "\n", "a\n\nb", "tab\tb\r\nc", "a b\n c"]
@@ -29,9 +29,51 @@ def test_pieces_equal_the_library(path):
     assert list(sizes) == list(map(len, want)) and list(ids) == [i for x in want for i in x]
 
 
-def test_safe_parts_join_to_the_text():
-    text = "word one\ntwo " * 50_000
-    assert "".join(safe_parts(text, 1000)) == text and max(map(len, safe_parts(text, 1000))) < 1100
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_parts_join_to_the_text(path):
+    text, cut = "word one\ntwo " * 50_000, Pieces(path).parts
+    assert "".join(cut(text, 1000)) == text and max(map(len, cut(text, 1000))) < 1100
+
+
+def _letters(first, last, space=" "):
+    rng = random.Random(first)
+    letters = [chr(c) for c in range(first, last + 1) if chr(c).isprintable() and not chr(c).isspace()]
+    return lambda n: space.join("".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(n // 6))[:n]
+
+
+#: Texts of a script or form, by number of characters; blocks of Unicode stand for scripts.
+FORMS = {
+    "Bengali": _letters(0x0985, 0x09B9), "Bengali with marks": _letters(0x0980, 0x09FE), "Tamil": _letters(0x0B80, 0x0BFA), "Georgian": _letters(0x10D0, 0x10FF), "Armenian": _letters(0x0531, 0x0587),
+    "Amharic": _letters(0x1200, 0x137C), "Khmer": _letters(0x1780, 0x17E9, ""), "Devanagari": _letters(0x0900, 0x097F), "Hangul parts": _letters(0x1100, 0x11FF), "Greek": _letters(0x0370, 0x03FF), "marks": _letters(0x0300, 0x036F),
+    "digits": lambda n: ("123 456 " * (n // 8)), "digits alone": lambda n: "1234567890" * (n // 10), "csv": lambda n: "".join(f"{i % 977},{i % 31}\r\n" for i in range(n // 8)), "tabs": lambda n: "wort\tund\tweiß\t" * (n // 14),
+    "emoji": lambda n: "😀 👍🏽\t" * (n // 5), "emoji alone": lambda n: "".join(random.Random(3).choices("😀👍🏽🎉🚀🌍", k=n)), "contractions": lambda n: "a'swordsword12words'll" * (n // 21), "special": lambda n: "x<|endoftext|>é1" * (n // 16),
+}
+#: Runs that are one piece for the tokenizer, in which any tokens may meet.
+WHOLE = {WORD: {"emoji alone", "marks"}, BYTE: {"digits alone"}}
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@pytest.mark.parametrize("form", FORMS)
+def test_long_texts_of_every_form_are_cut(path, form):
+    text, p = FORMS[form](1 << 20), Pieces(path)
+    parts = list(p.parts(text))
+    assert "".join(parts) == text
+    if form not in WHOLE[path]:
+        assert max(map(len, parts)) < 2 * LONG
+    some = FORMS[form](20_000)
+    assert [i for x in p._encode(list(p.parts(some, 500))) for i in x] == p._encode([some])[0]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_cuts_at_every_pair_are_safe(path):
+    """Random texts of hard characters cut at every place that is said to be safe."""
+    p, rng = Pieces(path), random.Random(9)
+    chars = [*"aZ1 \t\n'’.,<|>_-", "é", "e\u0301", "\u0301", "ß", "İ", "ſ", "中", "あ", "が", "か\u3099", "한", "\u1112", "\u1161", "\u11ab", "ก", "ำ", "क", "ि", "\u093c", "\u09c7", "\u09be", "😀", "🏽", "\u200d", "\xa0", "\x85", "\x1c", "²", "½", "Ⅷ", "<|endoftext|>"]
+    for _ in range(1500):
+        text = "".join(rng.choices(chars, k=rng.randrange(2, 40)))
+        parts = list(p.parts(text, 2))
+        assert "".join(parts) == text
+        assert [i for x in p._encode(parts) for i in x] == p._encode([text])[0], (text, parts)
 
 
 def frame(spark):
@@ -113,7 +155,7 @@ def test_long_texts_of_every_script_are_split(path, script):
     rng = random.Random(4)
     text = "".join("".join(rng.choices(letters, k=rng.randrange(2, 9))) + (rng.choice(signs) if signs and rng.random() < 0.3 else "") + (space or "") for _ in range(70_000))
     assert len(text) > 300_000 and len(text.encode()) > 600_000
-    parts = list(safe_parts(text))
+    parts = list(Pieces(path).parts(text))
     assert len(parts) > 1 and "".join(parts) == text and max(map(len, parts)) < 1 << 18
     want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
     p = Pieces(path)

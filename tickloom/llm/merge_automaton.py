@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import hold, spread
-from tickloom.llm.tokens import Pieces, text_groups
+from tickloom.llm.tokens import Pieces, byte_of, text_groups
 
 #: Bits of a label in a key of two.
 SHIFT = 20
@@ -262,13 +262,6 @@ def labels_of(tokenizer: str) -> tuple[pa.Array, bool]:
     return pa.array(labels, pa.string()), kind == "ByteLevel"
 
 
-def _byte_of() -> dict[str, int]:
-    """The byte that each character of a byte-level label stands for: printable ones are themselves, the others follow from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
-
-
 def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, text): each row's ids and the text that the labels of its arcs spell.
 
@@ -281,9 +274,9 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_c
 
     def run(batches):
         labels, in_bytes = hold(("labels", tokenizer), lambda: labels_of(tokenizer))
-        byte_of = _byte_of() if in_bytes else {}
+        bytes_ = byte_of() if in_bytes else {}
         space = b"" if in_bytes else b" "
-        data = pa.array([None if x is None else bytes(byte_of[c] for c in x) if all(c in byte_of for c in x) else x.encode() for x in labels.to_pylist()], pa.binary()) if in_bytes else labels.cast(pa.binary())
+        data = pa.array([None if x is None else bytes(bytes_[c] for c in x) if all(c in bytes_ for c in x) else x.encode() for x in labels.to_pylist()], pa.binary()) if in_bytes else labels.cast(pa.binary())
         for whole in batches:
             ids = whole.column("x")
             sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)

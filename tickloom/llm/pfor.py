@@ -149,7 +149,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     source = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     dealt = source.repartitionByRange(files or max(source.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism), "i")
-    images = dealt.sortWithinPartitions("i").mapInArrow(encode, "image binary")
+    images = dealt.sortWithinPartitions("i", "t").mapInArrow(encode, "image binary")
     images.select(F.col("image").cast("string").alias("value")).write.text(path)
 
 
@@ -179,7 +179,8 @@ def read_token_files(spark, path: str) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None, files: int | None = None) -> DataFrame:
     """Write token files, read them back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    A null or empty text is the end id alone; a null id is kept and comes first; repeated ids follow each other; other
+    A null or empty text is the end id alone; a null id is kept and comes first; rows of one id follow each other in the order
+    of their texts, a null first; long texts are cut where no token reaches across; other
     columns are ignored; an empty table gives no rows. Only one row per file is ordered over all files.
     """
     spark = docs.sparkSession

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -21,30 +22,30 @@ KEPT_UNITS = 700_000
 LONG = 1 << 17
 #: Characters for which Python and the library agree on case, classes and normal form.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ňŊ-ž]*")
-#: Letters that every version of the character tables has, by script, and punctuation of these scripts that is part of no
-#: contraction, special token or composed character. İ is left out: in lower case it ends in a mark, which joins a sign.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏΑ-ΡΣ-Ωα-ωА-яא-תء-غف-يअ-हก-ฮぁ-ゔァ-ヺ一-龥가-힣"
-_SIGNS = ".,;:!?()،؛؟।。、，！？：；「」"
-#: No piece of either pattern reaches across these places: before one white space between letters, digits or signs, and
-#: where a letter and a sign meet. They are found in every script that writes spaces or signs.
-_SAFE = re.compile(f"(?<=[{_LETTERS}0-9{_SIGNS}])(?=[ \n][{_LETTERS}])|(?<=[{_LETTERS}])(?=[{_SIGNS}])|(?<=[{_SIGNS}])(?=[{_LETTERS}])")
+#: Before white space that follows anything else: no piece of either pattern goes on there. Characters that one library or the
+#: other may take for white space don't count as anything else.
+_BREAK = re.compile("(?<=[^\\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2028-\u202f\u205f-\u2064\ufeff])(?=[ \t\n\r])")
+#: Characters next to which a text is not cut: parts of contractions and of added tokens.
+_JOINING = frozenset("'<|>")
 #: Runs of white space, and white space that a byte-level split may join with its neighbours.
 _RUNS = re.compile(r"\s\s|[\t\r]|^\s|\s\Z")
 
 
-def safe_parts(text: str, limit: int = LONG):
-    """Parts of a text of about ``limit`` characters, cut only where the token sequence is the same.
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level label stands for: printable ones are themselves, the others follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
-    A run of letters without any space or sign is one piece for the library, so it is one part however long it is.
-    """
-    lo = 0
-    while len(text) - lo > limit:
-        cut = _SAFE.search(text, lo + limit)
-        if not cut:
-            break
-        yield text[lo : cut.start()]
-        lo = cut.start()
-    yield text[lo:]
+
+def touching_bytes(vocab) -> np.ndarray:
+    """Which bytes stand side by side in some token of a byte-level vocabulary."""
+    out, bytes_ = np.zeros((256, 256), bool), byte_of()
+    for label in vocab:
+        if all(c in bytes_ for c in label):
+            data = [bytes_[c] for c in label]
+            out[data[:-1], data[1:]] = True
+    return out
 
 
 class Pieces:
@@ -55,6 +56,8 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = self.tokenizer.pre_tokenizer.__class__.__name__ == "ByteLevel"
+        if self.spaced:
+            self.touching = touching_bytes(self.tokenizer.get_vocab())
         self.joint = "\n" if self.spaced else " \x01 "
         (self.mark,) = self._encode([self.joint])[0]
         self.clear()
@@ -65,6 +68,49 @@ class Pieces:
         self.ends = np.zeros(1 << 10, np.int64)
         self.flat = np.zeros(1 << 12, np.uint32)
 
+        #: Pairs of characters that have been asked for, see :meth:`_apart`.
+        self.pairs: dict[str, bool] = {}
+
+    def _apart(self, pair: str) -> bool:
+        """Whether no token reaches across two characters wherever they stand next to each other.
+
+        Either the library's own split puts them into two pieces, its normaliser leaving each as it is; or, where pieces are
+        bytes without an end mark, no token of the vocabulary has the bytes that meet there side by side.
+        """
+        found = self.pairs.get(pair)
+        if found is None:
+            if len(self.pairs) > 1 << 20:
+                self.pairs.clear()
+            x, y = pair
+            found = not (x.isspace() or y.isspace() or x in _JOINING or y in _JOINING or unicodedata.combining(x) or unicodedata.combining(y))
+            if found and self.spaced:
+                found = not self.touching[x.encode("utf-8", "replace")[-1], y.encode("utf-8", "replace")[0]] or len(self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + pair)) - len(self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + x)) == 1
+            elif found:
+                normal = self.tokenizer.normalizer.normalize_str
+                found = normal(pair) == normal(x) + normal(y) and len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal(pair))) == len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal(x))) + len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal(y))) > 1
+            self.pairs[pair] = found
+        return found
+
+    def parts(self, text: str, limit: int = LONG):
+        """Parts of a text of about ``limit`` characters, cut only where no token reaches across, in any script.
+
+        Texts are cut before white space, else between characters that :meth:`_apart` says; what has neither, as a long run of
+        letters for a tokenizer with end marks, is one piece for the library too and stays whole.
+        """
+        lo, at = 0, limit
+        while len(text) - lo > limit and at < len(text):
+            found = _BREAK.search(text, at, at + limit // 2)
+            cut = found.start() if found else None
+            if cut is None:
+                # a contraction may reach three characters back
+                cut = next((i for i in range(at, min(len(text), at + limit // 2)) if self._apart(text[i - 1 : i + 1]) and "'" not in text[max(0, i - 4) : i + 3]), None)
+            if cut is None:
+                at += limit // 2
+                continue
+            yield text[lo:cut]
+            lo, at = cut, cut + limit
+        yield text[lo:]
+
     def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         known = len(self.index)
         used = int(self.ends[known])
@@ -118,7 +164,7 @@ class Pieces:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            for part in safe_parts(text) if len(text) > LONG else (text,):
+            for part in self.parts(text) if len(text) > LONG else (text,):
                 if (units := self._units(part)) is None:
                     other.append((i, part))
                 else:
@@ -147,7 +193,7 @@ class Pieces:
         """(ids of all texts in order, ids of each text); for vocabularies that drop white space, else through the library."""
         out = np.zeros(len(texts), np.int64)
         if self.spaced:
-            parts = [(i, p) for i, t in enumerate(texts) for p in safe_parts(t or "")]
+            parts = [(i, p) for i, t in enumerate(texts) for p in self.parts(t or "")]
             ids = self._encode([p for _, p in parts])
             np.add.at(out, [i for i, _ in parts], np.fromiter(map(len, ids), np.int64, len(ids)))
             return np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in ids)]), out
@@ -167,7 +213,7 @@ class Pieces:
                 owner.clear()
 
         for i, text in enumerate(texts):
-            for part in safe_parts(text) if text else ():
+            for part in self.parts(text) if text else ():
                 if (units := self._units(part)) is None:
                     close()
                     ids = np.array(self._encode([part])[0], np.uint32)
