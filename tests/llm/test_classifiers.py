@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
 from tickloom.llm import quality as q
 from tickloom.llm import toxicity as t
 from tickloom.llm.common import text_bytes
@@ -149,7 +150,33 @@ def test_sample_is_drawn_from_rows_with_texts(spark):
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
     want = {("another text" if i == 3 else f"text {i}", i % 2) for i in range(0, 600, 3) if not held(i)} | ({("long " * 200_000, 0)} if not held(3000) else set())
     assert {(r.text, r.y) for r in every} == want and len(every) == len(want)
-    assert all(len(r.text) < 100 for r in sample_of(d, y, "toxic", 5, 0, label_bytes=1000).collect())
+    short = sample_of(d, y, "toxic", 5, 0, label_chars=1000).collect()  # texts are as many, none is longer than its share or a slice
+    assert len(short) == len(want) and max(len(r.text) for r in short) <= 1000
+
+
+def test_long_texts_neither_starve_the_sample_nor_are_left_out(spark):
+    from tickloom.llm.labelled import sample_of
+
+    def parts(n, text, label, **kw):
+        ids = spark.range(n).withColumnRenamed("id", "doc_id")
+        out = {0: [], 1: []}
+        for r in sample_of(ids.withColumn("text", F.expr(text)), ids.withColumn("toxic", F.expr(label)), "toxic", 5, 0, **kw).collect():
+            out[r.y].append(r.text)
+        return out
+
+    fifth = parts(400, "repeat(concat(doc_id, ' '), if(doc_id % 5 = 0, 500000, 20))", "doc_id % 2")
+    assert min(len(x) for x in fifth.values()) >= 100
+    for texts in fifth.values():
+        assert sum(map(len, texts)) < 5 << 20 and sum(len(t) > 10_000 for t in texts) >= 20
+    one = parts(300, "if(doc_id = 7, concat(repeat('a', 5000000), repeat('z', 5000000)), repeat('clean ', 20))", "if(doc_id = 7, 1, doc_id % 2)", label_chars=100_000)
+    (long,) = [t for t in one[1] if "a" * 100 in t]
+    assert 50_000 < len(long) <= 100_000 and abs(long.count("a") - long.count("z")) < 2000
+
+
+def test_sample_by_grade(spark):
+    from tickloom.llm.labelled import sample_of
+
+    d, y = tables(spark, [(i, f"text {i}") for i in range(600)], [(i, i % 2, i % 5) for i in range(5000)])
     assert sample_of(d, y, "quality", 5, 0, most=50).groupBy("y").count().agg({"count": "max"}).first()[0] <= 10
     assert sample_of(d.limit(0), y, "toxic", 5, 0).collect() == [] == sample_of(d, y.limit(0), "toxic", 5, 0).collect()
 
