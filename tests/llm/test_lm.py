@@ -166,3 +166,22 @@ def test_every_sequence_trains(spark, monkeypatch):
     source = lm._source(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
     rows = lm.training_sequences(source, lm.Vocabulary([], 0, 0)).collect()
     assert len(rows) == sum(-(-len(tokens(x)) // lm.LENGTH) for i, x in docs if not held(i))
+
+
+def test_the_layout_of_the_input_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP", 32)
+    docs = spark.createDataFrame(corpus(200), "doc_id long, text string")
+    two, nine = ({(r.doc_id, r.n_tokens): r.score for r in lm.lm_scores(docs.repartition(n, "doc_id")).collect()} for n in (2, 9))
+    assert two.keys() == nine.keys() and max(abs(two[k] - nine[k]) for k in two) < 1e-3
+
+
+def test_steps_of_a_replica_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP", 8)
+    seen = {}
+    for n in (60, 240):
+        source = lm._source(spark.createDataFrame(corpus(n), "doc_id long, text string"), "doc_id", "text")
+        sequences = lm.training_sequences(source, lm.Vocabulary([], 0, 0)).count()
+        groups = -(-sequences // (lm.ROUNDS * lm.GROUP))
+        seen[n] = (groups, lm.replicas_of(groups), -(-groups // lm.replicas_of(groups)))
+    assert seen[240][1] > seen[60][1] and seen[240][2] > seen[60][2]
+    assert [lm.replicas_of(g) for g in (1, 2, 4, 5, 9, 10, 100, 10**6)] == [1, 2, 2, 3, 3, 4, 10, 1000]

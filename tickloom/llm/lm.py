@@ -2,13 +2,16 @@
 
 The most frequent words have outputs of their own, in classes of equal size; all other words form one more class, inside
 which they keep their smoothed share of the corpus's counts. Counts cover every training token. The network is trained by
-truncated backpropagation on every training sequence: sequences are dealt by a hash of their words into groups of one
-size, so there are as many groups as the corpus needs; each group trains from the same weights, and the weights of the
-groups of a round are averaged. In scoring, the state is carried from window to window to the end of the document.
+truncated backpropagation on every training sequence: sequences are dealt by a hash of their document and place into groups
+of one size, so there are as many groups as the corpus needs. A round has about the root of its groups as replicas; each goes
+through as many groups one after another, and the replicas' weights are averaged: both the steps that weights take and the
+tasks that take them grow with the corpus. In scoring, the state is carried from window to window to the document's end.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -240,64 +243,75 @@ def gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     return out, h
 
 
-def train_part(w: dict, sequences: np.ndarray, seed: int) -> dict:
-    """Adam over sequences (rows of ``LENGTH`` + 1 slots), the state carried over each one's windows.
+class Replica:
+    """Weights in training by Adam, group after group of sequences (rows of ``LENGTH`` + 1 slots), the state carried over each sequence's windows.
 
     Input vectors and class outputs move only in the windows that use them, so a step costs what it reads.
     """
-    w = {k: v.copy() for k, v in w.items()}
-    first, second, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
-    rng = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(sequences))
-        for i in range(0, len(order), BATCH):
-            some = sequences[order[i : i + BATCH]].T.astype(np.int64)
-            h = np.zeros((some.shape[1], HIDDEN), np.float32)
-            for s in range(0, LENGTH, STEPS):
-                alive = some[s + 1] >= 0
-                if not alive.any():
-                    break
-                if not alive.all():
-                    some, h = some[:, alive], h[alive]
-                x, y = some[s : s + STEPS], some[s + 1 : s + STEPS + 1]
-                g, h = sparse_gradients(w, h, np.where(x < 0, OTHER, x), y)
-                step += 1
-                for k, (rows, d) in g.items():
-                    v, m, q = w[k], first[k], second[k]
-                    np.clip(d, -1, 1, out=d)
-                    at = slice(None) if rows is None else rows
-                    mean, square = m[at], q[at]
-                    mean = mean + 0.1 * (d - mean)
-                    d *= d
-                    square = square + 0.01 * (d - square)
-                    m[at], q[at] = mean, square
-                    square /= 1 - 0.99**step
-                    np.sqrt(square, out=square)
-                    square += 1e-6
-                    mean *= RATE / (1 - 0.9**step)
-                    mean /= square
-                    v[at] -= mean
-    return w
+
+    def __init__(self, w: dict):
+        self.w = {k: v.copy() for k, v in w.items()}
+        self.first, self.second, self.step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
+
+    def train(self, sequences: np.ndarray, seed: int) -> None:
+        w, first, second = self.w, self.first, self.second
+        rng = np.random.default_rng(seed)
+        for _ in range(EPOCHS):
+            order = rng.permutation(len(sequences))
+            for i in range(0, len(order), BATCH):
+                some = sequences[order[i : i + BATCH]].T.astype(np.int64)
+                h = np.zeros((some.shape[1], HIDDEN), np.float32)
+                for s in range(0, LENGTH, STEPS):
+                    alive = some[s + 1] >= 0
+                    if not alive.any():
+                        break
+                    if not alive.all():
+                        some, h = some[:, alive], h[alive]
+                    x, y = some[s : s + STEPS], some[s + 1 : s + STEPS + 1]
+                    g, h = sparse_gradients(w, h, np.where(x < 0, OTHER, x), y)
+                    self.step += 1
+                    for k, (rows, d) in g.items():
+                        v, m, q = w[k], first[k], second[k]
+                        np.clip(d, -1, 1, out=d)
+                        at = slice(None) if rows is None else rows
+                        mean, square = m[at], q[at]
+                        mean = mean + 0.1 * (d - mean)
+                        d *= d
+                        square = square + 0.01 * (d - square)
+                        m[at], q[at] = mean, square
+                        square /= 1 - 0.99**self.step
+                        np.sqrt(square, out=square)
+                        square += 1e-6
+                        mean *= RATE / (1 - 0.9**self.step)
+                        mean /= square
+                        v[at] -= mean
+
+
+def train_part(w: dict, sequences: np.ndarray, seed: int) -> dict:
+    """Weights after one group."""
+    replica = Replica(w)
+    replica.train(sequences, seed)
+    return replica.w
 
 
 def training_sequences(source: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(mark, slots) of the sequences of all training documents; the mark is a hash of some of their words and of their place in the task."""
+    """(mark, slots) of the sequences of all training documents; the mark is a hash of the document's id and of their place in it.
 
-    def run(batches):
-        from pyspark import TaskContext
+    So neither files nor tasks decide which group a sequence is in, and copies under different ids are dealt apart.
+    """
 
+    def run(batches):
         hold("lm")
-        salt = np.uint64(TaskContext.get().partitionId() << 32)
         for whole in batches:
             for batch in byte_chunks(whole, "t"):
                 hashes, before = token_hashes(batch)
                 slots = vocabulary.find(hashes)[0]
                 per_row = -(-np.diff(before) // LENGTH)
                 row = np.repeat(np.arange(len(per_row)), per_row)
-                start = before[row] + (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * LENGTH
+                place = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+                start = before[row] + place * LENGTH
                 last = before[row + 1]
-                mark = mix(hashes[start].view(np.uint64) ^ mix(salt + np.arange(len(start), dtype=np.uint64)))
-                salt += np.uint64(len(start))
+                mark = mix(batch.column("k").to_numpy().view(np.uint64)[row] ^ mix(place.astype(np.uint64)))
                 for lo in range(0, len(start), 1 << 12):
                     part = slice(lo, lo + (1 << 12))
                     at = start[part][:, None] + np.arange(-1, LENGTH)
@@ -306,14 +320,21 @@ def training_sequences(source: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(values), [None, pa.py_buffer(values.tobytes())]).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(mark[part].view(np.int64)), rows], ["mark", "slots"])
 
-    return source.where("not held").select("t").mapInArrow(run, "mark long, slots binary")
+    return source.where("not held").select("t", F.xxhash64(F.col("i").cast("string")).alias("k")).mapInArrow(run, "mark long, slots binary")
+
+
+def replicas_of(groups: int) -> int:
+    """Replicas of a round of so many groups: the root, rounded up."""
+    return math.isqrt(groups - 1) + 1
 
 
 def train(source: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Rounds of training, one group of sequences after another in each task, each round followed by the mean of the groups' weights.
+    """Rounds of training, each followed by the mean of its replicas' weights.
 
-    A group is a share of the marks, so its sequences don't depend on how tasks are run again. Means are taken in pieces by
-    a shuffle: a task adds up the pieces it holds as they come.
+    A group is a share of the marks and a replica a share of the groups, in order, so what is learnt depends neither on the
+    input's files nor on the cluster or on tasks that run again. A round of g groups has the root of g replicas, rounded up:
+    with four times the corpus each replica takes twice the steps, and twice as many tasks do so. Means are taken in pieces
+    by a shuffle; replicas being few, so are the rows of a piece.
     """
     w = initial(vocabulary)
     names, shapes = list(w), {k: v.shape for k, v in w.items()}
@@ -322,35 +343,50 @@ def train(source: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     if not count:
         return w
     groups = ROUNDS * -(-count // (ROUNDS * GROUP))
-    dealt = sequences.withColumn("group", F.pmod("mark", F.lit(groups)))
+    replicas = replicas_of(groups // ROUNDS)
+    dealt = sequences.withColumn("group", F.pmod("mark", F.lit(groups))).withColumn("replica", F.expr(f"(group div {ROUNDS}) % {replicas}"))
     for number in range(ROUNDS):
         start = w
 
         def learn(batches, start=start):
             hold("lm")
-            held, group, total, weights = [], None, 0, None
+            held, group, owner = [], None, None
+            replica, seen, total, weights = None, 0, 0, None
 
             def close():
-                nonlocal total, weights
+                """The group that is held has come to its end."""
+                nonlocal seen
                 rows = np.concatenate(held)
-                done = train_part(start, rows, int(group))
-                flat = np.concatenate([done[k].ravel() for k in names]).astype(np.float64) * len(rows)
-                weights = flat if weights is None else weights + flat
-                total += len(rows)
+                replica.train(rows, int(group))
+                seen += len(rows)
                 held.clear()
 
+            def finish():
+                """The replica has come to its end."""
+                nonlocal weights, total, seen
+                flat = np.concatenate([replica.w[k].ravel() for k in names]).astype(np.float64) * seen
+                weights = flat if weights is None else weights + flat
+                total, seen = total + seen, 0
+
             for batch in batches:
-                keys = batch.column("group").to_numpy()
+                if not len(batch):
+                    continue
+                keys, owners = batch.column("group").to_numpy(), batch.column("replica").to_numpy()
                 rows = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.int16).reshape(-1, LENGTH + 1)
                 cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
                 for a, b in zip(cuts, cuts[1:]):
                     if held and keys[a] != group:
                         close()
-                    if b > a:
-                        group = keys[a]
-                        held.append(rows[a:b])
+                    if owners[a] != owner:
+                        if replica is not None:
+                            finish()
+                        replica, owner = Replica(start), owners[a]
+                    group = keys[a]
+                    held.append(rows[a:b])
             if held:
                 close()
+            if replica is not None:
+                finish()
             if total:
                 parts = [weights[i : i + PIECE].tobytes() for i in range(0, len(weights), PIECE)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array([total] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["piece", "n", "w"])
@@ -367,7 +403,7 @@ def train(source: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
 
         own = dealt.where(F.col("group") % ROUNDS == number)
         # sorted by the mark within a group: the order of training does not change when a lost task runs again
-        parts = own.repartition(max(1, groups // ROUNDS), "group").sortWithinPartitions("group", "mark", "slots").mapInArrow(learn, "piece long, n long, w binary")
+        parts = own.repartition(replicas, "replica").sortWithinPartitions("replica", "group", "mark", "slots").mapInArrow(learn, "piece long, n long, w binary")
         means = parts.repartition("piece").sortWithinPartitions("piece", "n", "w").mapInArrow(add, "piece long, w binary").collect()
         if means:
             flat, at, w = np.frombuffer(b"".join(r.w for r in sorted(means, key=lambda r: r.piece)), np.float32), 0, {}
