@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from tickloom.llm.simhash import block_links, near_duplicates
@@ -139,11 +140,16 @@ def test_repeated_passages_do_not_link(spark):
     assert all(r.component_id == r.doc_id for r in got)
 
 
-def test_long_runs_of_candidates_keep_unsure_pairs():
-    # a chain: each print is 2 bits from the next; only pairs within 1 are sure
-    prints = np.array([(1 << 2 * i) - 1 for i in range(20)] + [1], np.uint64)[:, None]
-    found = {frozenset(x) for a, b in block_links(np.zeros(21, np.int64), prints, 2, 1) for x in zip(a.tolist(), b.tolist(), strict=True)}
-    assert all(frozenset((i, i + 1)) in found for i in range(1, 19)) and frozenset((0, 20)) in found
+def test_cross_links_join_what_is_apart_and_similar():
+    from tickloom.llm.simhash import cross_links
+
+    sets = [np.arange(k, k + 50, dtype=np.uint32) for k in (0, 2, 4, 30, 33, 500)] + [np.zeros(0, np.uint32)]
+    prints, label = np.zeros((7, 12), np.uint64), np.arange(7)
+    assert cross_links(prints, sets, label, np.zeros(7)) == [(0, 1), (0, 2), (3, 4)]  # 46 of 54 and 47 of 53 are over four fifths
+    assert cross_links(prints, sets, np.array([0, 0, 0, 1, 1, 2, 3]), np.zeros(7)) == []
+    assert cross_links(prints, sets, label, np.array([0, 0, 1, 1, 1, 0, 0])) == [(0, 2), (1, 2)]
+    prints[1] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    assert cross_links(prints, sets, label, np.zeros(7)) == [(0, 2), (3, 4)]
 
 
 def test_hot_blocks_are_split_without_losing_links(spark, monkeypatch):
@@ -171,3 +177,47 @@ def test_hot_blocks_are_split_without_losing_links(spark, monkeypatch):
     keyed = df.selectExpr("1L as block", "print as node", f"print & {(1 << 32) - 1} as rest")
     sizes = [r["count"] for r in simhash.split_hot(keyed, 32, 3).groupBy("block").count().collect()]
     assert max(sizes) < len(prints) / 4
+
+
+@pytest.mark.parametrize("part", [1 << 13, 60])
+def test_long_runs_lose_no_link(spark, monkeypatch, part):
+    """A group of graded copies: components equal those of all pairs that share a band, whatever the length of its runs."""
+    import pyarrow as pa
+
+    from tickloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "RUN_PART", part)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(260)]
+    texts = []
+    for i in range(420):
+        words = list(base if i < 40 or not texts else rng.choice(texts))
+        for _ in range(rng.choice([0, 1, 2, 4, 7, 9, 12])):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        texts.append(words)
+    lines = sorted({" ".join(t) for t in texts})
+    sets = simhash.shingle_sets(pa.RecordBatch.from_arrays([pa.array(lines)], ["t"]))
+    bands, prints = [set(simhash.band_keys(x).tolist()) for x in sets], np.array([simhash.wide_print(x) for x in sets])
+    short = [np.unique((x >> np.uint64(32)).astype(np.uint32)) for x in sets]
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(lines)):
+        for j in range(i + 1, len(lines)):
+            if bands[i] & bands[j]:
+                common = len(np.intersect1d(short[i], short[j], assume_unique=True))
+                if 5 * common >= 4 * (len(short[i]) + len(short[j]) - common):
+                    root[find(j)] = find(i)
+    want = {}
+    for i in range(len(lines)):
+        want.setdefault(find(i), set()).add(i)
+    assert 5 < len(want) < len(lines) - 50
+    got = {}
+    for r in near_duplicates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), wide=True).collect():
+        got.setdefault(r.component_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert prints.shape[1] == simhash.WIDE_LANES

@@ -24,10 +24,11 @@ HOT_RUN, SPLITS = 1 << 14, 3
 #: The similarity search of ``wide``: words of a shingle, and the Jaccard similarity of shingle sets that links (over five).
 #: Candidates share a band of so many minima: at a similarity of 0.8 one of the bands with a chance of 0.998 by formula.
 WIDE_SHINGLE, SIMILAR_FIFTHS, BANDS, BAND = 5, 4, 16, 5
-#: 64-bit words of the wide fingerprint. Sets with a similarity of 0.8 differ in 0.15 of the bits, by about 0.013 more or less;
-#: in long runs of candidates those below ``SURE_SHARE`` link by a spanning forest; its trees, up to ``WIDE_SHARE`` apart, by a
-#: second one of the least distances, each of its links with ``SPARE`` others in case that it is not confirmed.
-WIDE_LANES, SURE_SHARE, WIDE_SHARE, SPARE = 12, 0.115, 0.25, 2
+#: 64-bit words of the wide fingerprint. Sets with a similarity of 0.8 differ in 0.15 of the bits, by about 0.013 more or less:
+#: candidates further apart than ``WIDE_SHARE`` are not compared. In long runs those within ``SURE_SHARE`` are linked first.
+WIDE_LANES, SURE_SHARE, WIDE_SHARE = 12, 0.115, 0.25
+#: Rows of a run that meet in one task when what the first links left apart is compared; longer runs are dealt in pairs of such parts.
+RUN_PART = 1 << 13
 #: Fixed: the seed of the shingle hash.
 SEED = 42
 _TO_LOWER = bytes(LOWER)
@@ -71,8 +72,8 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int |
     """Pairs of places whose prints (rows of 64-bit words) are within ``distance``, connecting all that such pairs connect in each run of equal keys.
 
     Short runs give every pair; in long ones a breadth-first walk gives a spanning forest, so pairs stay below rows and
-    memory at the run. With ``sure``, where links are confirmed later, the forest is of pairs within ``sure``, and its trees
-    are joined by :func:`tree_links`.
+    memory at the run. With ``sure``, where links are confirmed and the rest is searched later, the forest is of pairs within
+    ``sure``.
     """
     out = []
 
@@ -91,10 +92,9 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int |
         at = at[close(at, at + shift)]
         out.append((at, at + shift))
     for a, b in zip(starts[sizes > 8].tolist(), ends[sizes > 8].tolist(), strict=True):
-        rest, tree = np.arange(a, b), np.arange(a, b)
+        rest = np.arange(a, b)
         while len(rest):
             frontier, rest = [rest[0]], rest[1:]
-            root = frontier[0]
             while frontier and len(rest):
                 one = frontier.pop()
                 near = close(rest, [one], distance if sure is None else sure)
@@ -103,46 +103,6 @@ def block_links(key: np.ndarray, prints: np.ndarray, distance: int, sure: int |
                     rest = rest[~near]
                     out.append((np.full(len(found), one), found))
                     frontier.extend(found)
-                    tree[found - a] = root
-        if sure is not None and (tree != tree[0]).any():
-            out += tree_links(prints[a:b], tree - a, distance, a)
-    return out
-
-
-def tree_links(prints: np.ndarray, tree: np.ndarray, distance: int, first: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links between the trees of a run in ascending order of distance from a growing set (Prim's), up to ``distance``.
-
-    Each tree is reached by its least link and up to ``SPARE`` next ones, so there are at most ``1 + SPARE`` links a tree.
-    """
-    n, far = len(prints), np.iinfo(np.int64).max
-    outside = np.ones(n, bool)
-    best, parent = np.full((1 + SPARE, n), far), np.zeros((1 + SPARE, n), np.int64)
-    members = [np.zeros(0, np.int64)] * n
-    order = np.argsort(tree, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
-        members[tree[part[0]]] = part
-    out = []
-    while outside.any():
-        at = int(np.argmin(np.where(outside, best[0], far)))
-        if not outside[at] or best[0, at] > distance:  # nothing left is near: a new set begins
-            at = int(np.flatnonzero(outside)[0])
-            best[:, outside] = far
-        own = members[tree[at]]
-        near = best[:, own].ravel()
-        least = np.argsort(near, kind="stable")[: 1 + SPARE]
-        least = least[near[least] <= distance]
-        if len(least):
-            out.append((parent[:, own].ravel()[least] + first, np.tile(own, 1 + SPARE)[least] + first))
-        outside[own] = False
-        rest = np.flatnonzero(outside)
-        for one in own.tolist():
-            d = np.bitwise_count(prints[rest] ^ prints[one]).sum(axis=1, dtype=np.int64)
-            who = np.full(len(rest), one)
-            for level in range(1 + SPARE):
-                have, had = best[level, rest], parent[level, rest]
-                take = d < have
-                best[level, rest], parent[level, rest] = np.where(take, d, have), np.where(take, who, had)
-                d, who = np.where(take, have, d), np.where(take, had, who)
     return out
 
 
@@ -288,10 +248,82 @@ def similar_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(run, f"doc_id {source.schema['i'].dataType.simpleString()}, print long, node long, bits binary, bands array<long>, grams array<int>")
 
 
-def similar_links(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) of nodes whose sets have a Jaccard similarity of at least ``SIMILAR_FIFTHS`` fifths; ``nodes``: node, bits, bands, grams.
+def cross_links(prints: np.ndarray, sets: list[np.ndarray], label: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+    """Links (places) between rows of a run that are not connected yet, enough to connect all whose sets are similar.
 
-    Candidates share a band; each is confirmed on the sets themselves, joined by node.
+    ``label`` names what is connected already; with two ``part`` numbers only rows of different parts are compared, as those
+    of one part meet elsewhere. Sets are compared themselves where their fingerprints are not too far apart.
+    """
+    label, two = label.copy(), part.min() != part.max()
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    far, out = int(WIDE_SHARE * 64 * WIDE_LANES), []
+    for i in range(len(sets)):
+        apart = label[i + 1 :] != label[i]
+        if two:
+            apart &= part[i + 1 :] != part[i]
+        rest = np.flatnonzero(apart) + i + 1
+        # sets of which one is less than four fifths of the other can't be similar
+        rest = rest[5 * np.minimum(sizes[rest], sizes[i]) >= SIMILAR_FIFTHS * np.maximum(sizes[rest], sizes[i])]
+        rest = rest[np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1, dtype=np.int64) <= far]
+        for lo in range(0, len(rest), 512):
+            some = rest[lo : lo + 512]
+            if not sizes[i]:
+                break
+            flat = np.concatenate([sets[j] for j in some])
+            at = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+            common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes[some])[:-1]]))
+            for j in some[5 * common >= SIMILAR_FIFTHS * (sizes[i] + sizes[some] - common)].tolist():
+                if label[j] != label[i]:
+                    out.append((i, j))
+                    label[label == label[j]] = label[i]
+    return out
+
+
+def _cross(rows: DataFrame) -> DataFrame:
+    """:func:`cross_links` of each run; ``rows``: run, part, node, root, bits, grams."""
+
+    def links(held):
+        run = [np.concatenate(x) for x in zip(*[h[:4] for h in held], strict=True)]
+        sets = [s for h in held for s in h[4]]
+        cuts = np.flatnonzero(np.diff(run[0])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sets)]):
+            if b - a > 1:
+                found = cross_links(run[3][a:b], sets[a:b], np.unique(run[2][a:b], return_inverse=True)[1], run[1][a:b])
+                if found:
+                    i, j = (run[2][a:b][list(x)] for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j)], ["a", "b"])
+
+    def search(batches):
+        held = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            grams = batch.column("grams")
+            flat, ends = grams.flatten().to_numpy().view(np.uint32), grams.offsets.to_numpy() - grams.offsets[0].as_py()
+            sets = [np.sort(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            now = [batch.column("run").to_numpy(), batch.column("part").to_numpy(), batch.column("root").to_numpy(), np.frombuffer(b"".join(batch.column("bits").to_pylist()), ">u8").reshape(len(batch), -1), sets]
+            whole = int(np.searchsorted(now[0], now[0][-1]))
+            if held and held[-1][0][-1] != now[0][-1]:
+                yield from links([*held, [x[:whole] for x in now]])
+                held = [[x[whole:] for x in now]]
+            elif held:
+                held.append(now)
+            else:
+                if whole:
+                    yield from links([[x[:whole] for x in now]])
+                held = [[x[whole:] for x in now]]
+        if held:
+            yield from links(held)
+
+    return rows.repartition("run").sortWithinPartitions("run", "node").mapInArrow(search, "a long, b long")
+
+
+def similar_roots(nodes: DataFrame) -> DataFrame:
+    """(node, root) of nodes linked by a Jaccard similarity of sets of at least ``SIMILAR_FIFTHS`` fifths; ``nodes``: node, bits, bands, grams.
+
+    Candidates share a band. First the links of a forest of close fingerprints in each run of a band are confirmed on the
+    sets, joined by node; these connect most copies. Then runs that still hold nodes of different components get the sets
+    and compare, in the task, whatever is not connected yet, so no link is lost by the length of a run.
     """
     keyed = nodes.select(F.explode("bands").alias("block"), "node", "bits")
     found = _verify(keyed, int(WIDE_SHARE * 64 * WIDE_LANES), int(SURE_SHARE * 64 * WIDE_LANES))
@@ -299,7 +331,20 @@ def similar_links(nodes: DataFrame) -> DataFrame:
     sets = nodes.select("node", "grams")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(5 * common >= SIMILAR_FIFTHS * (F.size("x") + F.size("y") - common)).select("a", "b")
+    roots = connected_components(both.where(5 * common >= SIMILAR_FIFTHS * (F.size("x") + F.size("y") - common)).select("a", "b"))
+
+    # what is left: runs of several components, a component of which may stand in several
+    rooted = keyed.select("block", "node").join(roots, "node", "left").select("block", "node", F.coalesce("root", "node").alias("root"))
+    mixed = stage(rooted.groupBy("block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("block", F.expr(f"(n - 1) div {RUN_PART} + 1").alias("parts")), "similar-runs")
+    dealt = rooted.join(mixed, "block").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    other = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: F.struct(F.least("part", q).alias("p"), F.greatest("part", q).alias("q"))))
+    runs = dealt.withColumn("pair", other).select(F.xxhash64("block", "pair").alias("run"), "part", "node", "root")
+    more = _cross(runs.join(nodes.select("node", "bits", "grams"), "node"))
+    # links between components; a component is its root
+    joined = connected_components(stage(more, "similar-more"))
+    merged = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = joined.join(roots.select("node"), "node", "left_anti")
+    return stage(merged.unionByName(alone), "similar-roots")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, wide: bool = False) -> DataFrame:
@@ -320,11 +365,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash").withColumn("node", F.col("print"))
         of_node = []
     nodes = stage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *of_node), "simhash-nodes")
-    if wide:
-        links = similar_links(nodes)
-    else:
-        links = print_links(nodes.select(F.col("node").alias("print")))
-    roots = connected_components(links)
+    roots = similar_roots(nodes) if wide else connected_components(print_links(nodes.select(F.col("node").alias("print"))))
     rooted = nodes.select("node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = stage(rooted.join(least, "root").select("node", "n", "component_id"), "simhash-components")
