@@ -9,6 +9,7 @@ from tickloom.operators import monitoring as mo
 from tickloom.plans.registry import TICKS, register
 from tickloom.sources.adapters import VENDOR_OF, ticks
 from tickloom.sources.scratch import scratch
+from tickloom.streaming import late
 from tickloom.streaming import monitors as m
 
 
@@ -129,6 +130,21 @@ def x1_tracker(spark, sf_dir):
     return m.run_available(m.health_snapshots(events, window_s=172_800), scratch(spark, "x1t")).drop("pairs_pending_since_ns")
 
 
+@register("x8_late_windows", f"with {_TS}, w as (select vendor as feed, epoch_us(ts) // 21600000000 * 21600000000 as start_us, cvolume from ev) select feed, start_us, count(*) as frames, cast(sum(cvolume) as bigint) as volume from w where start_us + 21600000000 <= (select max(epoch_us(ts)) from ev) // 1000 * 1000 - 43200000000 group by all")
+def x8_late_windows(spark, sf_dir):
+    """Every fiftieth tick comes when all others have: the stream's windows lack it, the repair of the touched ones has it."""
+    path, kept = scratch(spark, "late"), scratch(spark, "kept")
+    rows = ticks(spark, sf_dir).select("vendor", "cvolume", "seq", F.timestamp_micros(div(F.col("recv_wall_ns"), 1000)).alias("ts")).withColumnRenamed("vendor", "feed")
+    rows.where("seq % 50 <> 0").repartitionByRange(4, "ts").write.parquet(f"{path}/a")
+    rows.where("seq % 50 = 0").coalesce(1).write.parquet(f"{path}/b")
+    stream = lambda: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+    sums = (F.count("*").alias("frames"), F.sum("cvolume").alias("volume"))
+    told = m.run_available(late.closed_windows(stream(), ["feed"], "6 hours", "12 hours", *sums), scratch(spark, "x8"))
+    frames = late.keep_frames(stream(), kept, 21_600_000_000, 43_200_000_000)
+    windows, _ = late.repaired_windows(told, frames, lambda df: df.groupBy("feed", "start").agg(*sums))
+    return windows.select("feed", F.unix_micros("start").alias("start_us"), "frames", "volume")
+
+
 @register("x6_failover_stream")
 def x6_failover_stream(spark, sf_dir):
     from tickloom.plans.trading import controller_steps
