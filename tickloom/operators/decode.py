@@ -117,15 +117,23 @@ NO_CUMULATIVE = ("toss",)
 
 
 def decode(df: DataFrame, decoders=None) -> DataFrame:
-    """Rows of all vendors through their decoders; a null vendor is ``ls``; an unknown one fails the query."""
+    """Rows of all vendors through their decoders, in one pass; a null vendor is ``ls``; an unknown one fails the query.
+
+    Each decoder sees the payloads of its own vendor and nulls for the others, and a row takes the fields of its vendor's.
+    """
     decoders = decoders or TICK_DECODERS
     vendor = F.coalesce("vendor", F.lit("ls"))
-    known = df.withColumn("vendor", F.when(vendor.isin(*decoders), vendor).otherwise(F.raise_error(F.concat(F.lit("unsupported vendor "), vendor))))
-    parts = [f(known.where(F.col("vendor") == name)).withColumn("cum_applicable", F.lit(name not in NO_CUMULATIVE)) for name, f in decoders.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = df.withColumns({"vendor": F.when(vendor.isin(*decoders), vendor).otherwise(F.raise_error(F.concat(F.lit("unsupported vendor "), vendor))), "_raw": F.col("raw")})
+    fields: list[str] = []
+    for name, f in decoders.items():
+        had = rows.columns
+        out = f(rows.withColumn("raw", F.when(F.col("vendor") == name, F.col("_raw"))))
+        own = [c for c in out.columns if c not in had]
+        fields += [c for c in own if c not in fields]
+        rows = out.select(*had, F.struct(*own).alias(f"_of_{name}"))
+    picked = {c: F.coalesce(*[F.when(F.col("vendor") == n, F.col(f"_of_{n}.{c}")) for n in decoders]) for c in fields}
+    kept = {c: F.col("_raw") if c == "raw" else F.col(c) for c in df.columns}
+    return rows.select(*[v.alias(c) for c, v in kept.items()], *[v.alias(c) for c, v in picked.items()], (~F.col("vendor").isin(*NO_CUMULATIVE)).alias("cum_applicable"))
 
 
 def kis_envelope(df: DataFrame, fields: int) -> DataFrame:
