@@ -9,7 +9,7 @@ from tickloom.operators.dedup import first_of_key
 from tickloom.plans.registry import BARS, TICKS, register, table
 from tickloom.sources import l0, store
 from tickloom.sources.adapters import daily_bars, ticks
-from tickloom.sources.scratch import scratch
+from tickloom.sources.scratch import scratch, staged
 
 _FRAMES = f"{TICKS}, fr as (select 'P' || price::varchar as raw, recv_wall_ns, recv_wall_ns as recv_mono_ns, conn_id, seq as conn_seq, vendor, case when seq % 4 = 0 then null else symbol end as symbol, case when vendor = 'toss' then 'nxt' else 'krx' end as venue, 'H0STCNT0' as stream, dt from ticks)"
 
@@ -89,12 +89,29 @@ def s9_migrate(spark, sf_dir):
     return moved.agg(F.count("*").alias("rows")).join(sides[0]).join(sides[1])
 
 
-@register("s15_reencode", "select 0::bigint as only_left, 0::bigint as only_right")
-def s15_reencode(spark, sf_dir):
+@register("s14_footers", "select c as \"column\", 'ZSTD' as codec, c not in ('raw', 'exchange_event_time') as dictionary, 'v2' as encoding from (select unnest(['raw', 'exchange_event_time', 'vendor', 'conn_id']) as c)")
+def s14_footers(spark, sf_dir):
     path = scratch(spark, "frames")
-    rows = _frames(spark, sf_dir)
-    rows.write.options(**store.FRAME_OPTIONS).parquet(path)
-    return store.same_rows(rows, spark.read.schema(rows.schema).parquet(path))
+    frames = ticks(spark, sf_dir).select(F.to_json(F.struct("symbol", "price")).alias("raw"), F.col("hms").alias("exchange_event_time"), "vendor", "conn_id")
+    store.write_frames(frames.repartition(2), path)
+    return store.footers(spark, path).groupBy("column").agg(F.min("codec").alias("codec"), F.max("dictionary").alias("dictionary"), F.min("encoding").alias("encoding"))
+
+
+@register("s15_reencode", f"with {TICKS}, n as (select count(*) as n from ticks where not lost) select 'first' as run, 3::bigint as rewritten, false as skipped, n as rows, 'reencoded' as status from n union all select 'second', 0, true, 0, 'already_v2' union all select 'one more', 1, true, n, 'reencoded' from n")
+def s15_reencode(spark, sf_dir):
+    """Three plain files are rewritten, a second run rewrites none of the new ones, and a plain file beside them alone."""
+    plain, coded, again = (scratch(spark, n) for n in ("plain", "coded", "again"))
+    rows = ticks(spark, sf_dir).where("not lost").withColumn("raw", F.to_json(F.struct("symbol", "price")))
+    rows.repartition(3).write.parquet(plain)
+    first = staged(store.reencode(spark, plain, coded), "first")
+    second = store.reencode(spark, coded, again)
+    rows.coalesce(1).write.mode("append").parquet(coded)
+    runs = {"first": first, "second": second, "one more": store.reencode(spark, coded, again)}
+    out = None
+    for name, df in runs.items():
+        row = df.select(F.lit(name).alias("run"), "rewritten", (F.col("already") > 0).alias("skipped"), "rows", "status")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("s12_append_snapshot", "with c as (select conv_id, turn, role, length(text) as n, conv_id * 100 + turn as seq from conversations), s as (select *, 0 as o from c where turn % 2 = 0), b as (select conv_id, turn - turn % 2 as turn, role, n, seq, 1 as o from c where n >= 40), r as (select *, row_number() over (partition by conv_id, turn order by o, seq) as k from (select * from s union all select * from b)) select conv_id, turn, role, n, seq from r where k = 1")

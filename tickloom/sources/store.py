@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.digest import table_digest
 from tickloom.sources.scratch import staged
 
 MONTH = "month"
@@ -14,6 +15,66 @@ MONTH = "month"
 FRAME_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20), "parquet.enable.dictionary#raw": "false", "parquet.enable.dictionary#exchange_event_time": "false", "parquet.writer.version": "PARQUET_2_0"}
 
 
+#: Where a frame file says how it was written: metadata of its first column, which the footer keeps.
+ENCODING_KEY, ENCODING = "frame_encoding", "v2"
+
+
+def write_frames(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write frames with ``FRAME_OPTIONS`` and the mark of their encoding."""
+    first, *rest = df.columns
+    df.select(F.col(f"`{first}`").alias(first, metadata={ENCODING_KEY: ENCODING}), *[F.col(f"`{c}`") for c in rest]).write.mode(mode).options(**FRAME_OPTIONS).parquet(path)
+
+
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """A row per Parquet file under ``path`` and column: file, rows, row_groups, encoding (its mark, null without), column, codec, dictionary.
+
+    Footers are read in tasks, a file each; files are read as Spark's binary source does, so one is to be below 2 GB.
+    """
+    fields = "file string, rows long, row_groups long, encoding string, column string, codec string, dictionary boolean"
+
+    def read(batches):
+        import io
+        import json
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        names = [f.split()[0] for f in fields.split(", ")]
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                meta = pq.ParquetFile(io.BytesIO(content.as_py())).metadata
+                kept = json.loads((meta.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b'{"fields": []}'))["fields"]
+                mark = next((f["metadata"].get(ENCODING_KEY) for f in kept[:1]), None)
+                chunks = [meta.row_group(g).column(c) for g in range(meta.num_row_groups) for c in range(meta.num_columns)]
+                seen: dict[str, list] = {meta.schema.column(c).path: ["", False] for c in range(meta.num_columns)}
+                for chunk in chunks:
+                    seen[chunk.path_in_schema] = [chunk.compression, seen[chunk.path_in_schema][1] or chunk.has_dictionary_page]
+                rows = [(file, meta.num_rows, meta.num_row_groups, mark, c, codec, used) for c, (codec, used) in seen.items()]
+                yield pa.RecordBatch.from_arrays([pa.array(x) if n != "encoding" else pa.array(x, pa.string()) for n, x in zip(names, zip(*rows, strict=True), strict=True)], names)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(read, fields)
+
+
+def reencode(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Write the frames of all files under ``path`` that are not marked to ``target``; one row: files, already, rewritten, rows, status.
+
+    Files with the mark are skipped, so a second run rewrites none. The new files are read again and must hold the same rows,
+    by the digest of both tables, else the status is verify_failed; it is already_v2 where nothing was to do.
+    """
+    seen = footers(spark, path).select("file", F.col("encoding").eqNullSafe(ENCODING).alias("marked")).distinct().collect()  # a row per file, as a listing has
+    todo = sorted(r.file for r in seen if not r.marked)
+    facts = {"files": len(seen), "already": len(seen) - len(todo), "rewritten": len(todo)}
+    one = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in facts.items()])
+    if not todo:
+        return one.select("*", F.lit(0).cast("long").alias("rows"), F.lit("already_v2").alias("status"))
+    old = spark.read.parquet(*todo)
+    write_frames(old, target, "append")
+    new = table_digest(spark.read.schema(old.schema).parquet(target))
+    both = table_digest(old).join(new.withColumnsRenamed({"rows": "_rows", "digest": "_digest"}))
+    return one.join(both).select(*facts, "rows", F.when(F.col("digest") == F.col("_digest"), "reencoded").otherwise("verify_failed").alias("status"))
+
+
 def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.withColumn(MONTH, F.date_format(date_col, "yyyy-MM"))
 
