@@ -61,11 +61,16 @@ def p17_rename_legacy(spark, sf_dir):
     return v.rename_legacy(ticks(spark, sf_dir).select("seq", "price"), {"price": "last_price", "absent": "other"})
 
 
-@register("v5_schedule_faults", "select * from (values ('A', 'uncovered_start'), ('B', 'not_increasing'), ('C', 'negative_rate')) t(market, fault)")
+@register(
+    "v5_schedule_faults",
+    """with r as (select o_custkey::varchar as market, cast(o_orderdate as date) as d, o_orderkey % 101 - 1 as t, o_orderkey % 89 - 1 as u, o_orderkey as seq from orders), l as (select *, lag(d) over (partition by market order by seq) as before from r)
+select market, 'uncovered_start' as fault from r group by 1 having min(d) > date '1994-01-01' union all select distinct market, 'not_increasing' from l where d <= before union all select distinct market, 'negative_rate' from r where t < 0 or u < 0""",
+)
 def v5_schedule_faults(spark, sf_dir):
-    bad = spark.createDataFrame([("A", "2024-01-01", 1, 1, 1), ("B", "2023-01-01", 1, 1, 1), ("B", "2023-01-01", 2, 2, 2), ("C", "2023-01-01", -1, 1, 1)], "market string, effective_from string, transaction_bps int, rural_bps int, seq int")
-    good = c.sell_tax_schedule(spark).withColumn("seq", F.row_number().over(Window.partitionBy("market").orderBy("effective_from"))).drop("total_bps")
-    return v.schedule_faults(bad.withColumn("effective_from", F.to_date("effective_from")).unionByName(good), F.to_date(F.lit("2023-01-01")))
+    """Orders as a schedule of rates by customer, in the order of their keys."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("market"), F.to_date("o_orderdate").alias("effective_from"), (key % 101 - 1).alias("transaction_bps"), (key % 89 - 1).alias("rural_bps"), key.alias("seq"))
+    return v.schedule_faults(rows, F.to_date(F.lit("1994-01-01")))
 
 
 @register("s11_plausible_height", f"with {BARS}, d as (select date, count(*) as rows from bars group by 1), s as (select * from d where day(date) % 2 = 0), i as (select * from d where day(date) % 2 = 1) select i.date, i.rows, coalesce((select arg_max(s.rows, s.date) from s where s.date < i.date), (select arg_min(s.rows, s.date) from s where s.date > i.date)) as reference, i.rows >= 0.9 * coalesce((select arg_max(s.rows, s.date) from s where s.date < i.date), (select arg_min(s.rows, s.date) from s where s.date > i.date)) as plausible from i")
@@ -137,10 +142,13 @@ _STATES = ["PENDING_SUBMIT", "UNKNOWN", "ACCEPTED", "PARTIALLY_FILLED", "FILLED"
 _MOVES = ", ".join(f"('{a}', '{b}')" for a, bs in x.TRANSITIONS.items() for b in bs)
 
 
-@register("x11_transitions", f"with s as (select unnest({_STATES}) as a), p as (select s.a, t.a as b from s, s t) select a, b, a = b or (a, b) in (select (m1, m2) from (values {_MOVES}) m(m1, m2)) as allowed from p")
+@register("x11_transitions", f"with {TICKS}, s as (select seq, {_STATES}[1 + cvolume % {len(_STATES)}] as b, {_STATES}[1 + (lag(cvolume) over (partition by symbol order by recv_wall_ns, seq)) % {len(_STATES)}] as a from ticks) select seq, a, b, a = b or (a, b) in (select (m1, m2) from (values {_MOVES}) m(m1, m2)) as allowed from s where a is not null")
 def x11_transitions(spark, sf_dir):
-    pairs = spark.createDataFrame([(a, b) for a in _STATES for b in _STATES], "a string, b string")
-    return pairs.select("a", "b", x.transition_allowed(F.col("a"), F.col("b")).alias("allowed"))
+    """Each tick's volume as a state of its symbol's order, against the one before."""
+    state = F.get(F.array(*map(F.lit, _STATES)), (F.col("cvolume") % len(_STATES)).cast("int"))
+    rows = ticks(spark, sf_dir).withColumn("b", state)
+    moves = rows.withColumn("a", F.lag("b").over(Window.partitionBy("symbol").orderBy("recv_wall_ns", "seq"))).where("a is not null")
+    return moves.select("seq", "a", "b", x.transition_allowed(F.col("a"), F.col("b")).alias("allowed"))
 
 
 @register("j14_reconcile", "with a as (select l_suppkey as symbol, cast(sum(cast(l_quantity as bigint)) as bigint) as q from lineitem where l_linenumber < 7 group by 1), b as (select l_suppkey as symbol, cast(sum(cast(l_quantity as bigint)) as bigint) as q from lineitem where l_orderkey % 100 > 0 and l_suppkey % 5 > 0 group by 1) select coalesce(a.symbol, b.symbol) as symbol, coalesce(a.q, 0) as ledger_qty, coalesce(b.q, 0) as broker_qty from a full join b on a.symbol = b.symbol where coalesce(a.q, 0) <> coalesce(b.q, 0)")
