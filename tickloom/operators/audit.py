@@ -269,7 +269,7 @@ def merge_connections(minutes: DataFrame) -> DataFrame:
     second = (F.col("conn_id") != F.col("_top.conn_id")) & overlaps
     rows = rows.withColumn("_second", second)
     judged = lambda c: F.when(~F.col("_second"), F.col(c))
-    return rows.groupBy(*by).agg(F.sum(judged("count")).alias("count"), F.max(F.when(F.col("conn_id") == F.col("_top.conn_id"), F.col("p50_s"))).alias("p50_s"), F.max(judged("max_s")).alias("max_s"), F.min(judged("min_s")).alias("min_s"), F.coalesce(F.sum(F.when(F.col("_second"), F.col("count"))), F.lit(0)).alias("secondary_count"))
+    return rows.groupBy(*by).agg(F.sum(judged("count")).alias("count"), F.max(F.when(F.col("conn_id") == F.col("_top.conn_id"), F.col("p50_s"))).alias("p50_s"), F.max(judged("max_s")).alias("max_s"), F.min(judged("min_s")).alias("min_s"), F.coalesce(F.sum(F.when(F.col("_second"), F.col("count"))), F.lit(0)).alias("secondary_count"), F.max(F.when(F.col("_second"), F.col("max_s"))).alias("secondary_max_s"))
 
 
 def latency_breaches(minutes: DataFrame, start: str, end: str, threshold: float) -> DataFrame:

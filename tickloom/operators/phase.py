@@ -114,6 +114,12 @@ def session_state(time: Column) -> Column:
     return F.when(valid_hms(time), first_case([(time >= start, F.lit(name)) for start, name in reversed(STATES)])).otherwise("unknown")
 
 
+def event_stamp(given: Column, raw: Column) -> Column:
+    """The event time of a frame as HHMMSS: what the frame says, or, where that has no six digits, the trade or book time inside its payload; else null."""
+    inside = F.regexp_extract(raw, '"(?:chetime|hotime)"\\s*:\\s*"([0-9]{6})"', 1)
+    return F.when(given.rlike("^[0-9]{6}$"), given).otherwise(F.nullif(inside, F.lit("")))
+
+
 def delivery_lag(recv_wall_ns: Column, hms: Column) -> Column:
     """Receive minus event time in seconds, on the receive day in Korea: under -60 is no lag, other negatives are 0."""
     lag = (recv_wall_ns / 1e9 + 9 * 3600) % 86400 - seconds_of(hms)

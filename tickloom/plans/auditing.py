@@ -253,7 +253,7 @@ def a7_latency_minutes(spark, sf_dir):
     return _latency(spark, sf_dir).select("stream", "minute_kst", "conn_id", "count", "p50_s", "min_s", "max_s")
 
 
-_MERGED = f"{_LAT}, tp as (select *, first_value(f) over w as tf, first_value(l) over w as tl, first_value(symbols) over w as ts, first_value(conn_id) over w as tc from lm window w as (partition by stream, minute_kst order by count desc, conn_id desc)), sc as (select *, conn_id <> tc and f <= tl and l >= tf and list_has_any(symbols, ts) as sec from tp), mg as (select stream, minute_kst, cast(sum(count) filter (not sec) as bigint) as count, max(p50_s) filter (conn_id = tc) as p50_s, max(max_s) filter (not sec) as max_s, min(min_s) filter (not sec) as min_s, cast(coalesce(sum(count) filter (sec), 0) as bigint) as secondary_count from sc group by all)"
+_MERGED = f"{_LAT}, tp as (select *, first_value(f) over w as tf, first_value(l) over w as tl, first_value(symbols) over w as ts, first_value(conn_id) over w as tc from lm window w as (partition by stream, minute_kst order by count desc, conn_id desc)), sc as (select *, conn_id <> tc and f <= tl and l >= tf and list_has_any(symbols, ts) as sec from tp), mg as (select stream, minute_kst, cast(sum(count) filter (not sec) as bigint) as count, max(p50_s) filter (conn_id = tc) as p50_s, max(max_s) filter (not sec) as max_s, min(min_s) filter (not sec) as min_s, cast(coalesce(sum(count) filter (sec), 0) as bigint) as secondary_count, max(max_s) filter (sec) as secondary_max_s from sc group by all)"
 
 
 @register("a8_merge_connections", f"with {_MERGED} select * from mg")
