@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.sql import OP12, OP13
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -152,4 +154,4 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_token_counts, op3_decontaminate, op4_lm_scores, op5_simhash, op6_quality, op7_packing, op8_line_rules, op9_token_files, op10_toxicity, op11_bpe, op12_spelling, op13_turn_trie)}
-ORACLE = {"op1_warc": _OP1, "op3_decontaminate": _OP3, "op8_line_rules": _op8()}
+ORACLE = {"op1_warc": _OP1, "op3_decontaminate": _OP3, "op8_line_rules": _op8(), "op12_spelling": OP12, "op13_turn_trie": OP13}
