@@ -10,6 +10,7 @@ from tickloom.operators import calendar as c
 from tickloom.operators import control as k
 from tickloom.operators import execution as x
 from tickloom.operators import validation as v
+from tickloom.operators.admission import admit
 from tickloom.plans.registry import BARS, COUNTED, TICKS, register, table
 from tickloom.sources.adapters import counted_ticks, daily_bars, ticks
 
@@ -232,3 +233,23 @@ def controller_steps(spark, sf_dir):
 @register("x6_controller")
 def x6_controller(spark, sf_dir):
     return k.run_controller(controller_steps(spark, sf_dir))
+
+
+#: Days are steps, vendors groups of the symbols they trade, of two feeds with few free pairs; a symbol needs two pairs.
+_ADMIT = f"""{TICKS}, mb as (select dt as step, vendor as group_id, symbol, min(seq) as place from ticks group by all), pr as (select *, case group_id when 'ls' then 1 when 'kis' then 2 when 'db' then 2 else 3 end as priority from mb),
+c as (select step, 6 + 2 * (row_number() over (order by step) % 5) as a, 4 + 2 * (row_number() over (order by step) % 3) as b, row_number() over (order by step) % 4 <> 0 as up from (select distinct step from mb)),
+fa as (select *, row_number() over (partition by step order by priority, group_id, place, symbol) as r from pr where symbol::bigint % 5 <> 0), ga as (select step, 'f1' as feed, group_id, symbol from fa join c using (step) where up and 2 * r <= a),
+fb as (select *, row_number() over (partition by step order by priority, group_id, place, symbol) as r from pr where group_id <> 'toss' and (step, group_id, symbol) not in (select (step, group_id, symbol) from ga)), gb as (select step, 'f2' as feed, group_id, symbol from fb join c using (step) where 2 * r <= b)"""
+
+
+@register("x6_admission", f"with {_ADMIT} select * from ga union all select * from gb")
+def x6_admission(spark, sf_dir):
+    rows = ticks(spark, sf_dir).groupBy(F.col("dt").alias("step"), F.col("vendor").alias("group_id"), "symbol").agg(F.min("seq").alias("place"))
+    group = F.col("group_id")
+    members = rows.withColumns({"priority": F.when(group == "ls", 1).when(group.isin("kis", "db"), 2).otherwise(3), "width": F.lit(2), "secondaries": F.when(group == "toss", F.array(F.lit("f1"))).otherwise(F.array(F.lit("f1"), F.lit("f2")))})
+    day = F.row_number().over(Window.orderBy("step"))
+    held = rows.where("cast(symbol as long) % 5 = 0").groupBy("step").agg(F.collect_set("symbol").alias("held"))
+    days = rows.select("step").distinct().withColumn("k", day)
+    one = days.select("step", F.lit("f1").alias("feed"), (6 + 2 * (F.col("k") % 5)).alias("free"), (F.col("k") % 4 != 0).alias("healthy")).join(held, "step", "left")
+    two = days.select("step", F.lit("f2").alias("feed"), (4 + 2 * (F.col("k") % 3)).alias("free"), F.lit(True).alias("healthy"), F.lit(None).cast("array<string>").alias("held"))
+    return admit(members, one.unionByName(two), ["f1", "f2"])
