@@ -27,6 +27,8 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ňŊ-ž]*")
 _BREAK = re.compile("(?<=[^\\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2028-\u202f\u205f-\u2064\ufeff])(?=[ \t\n\r])")
 #: Characters next to which a text is not cut: parts of contractions and of added tokens.
 _JOINING = frozenset("'<|>")
+#: A sign that ends a word is a piece of its own, so the word is one unit with and without it.
+_SIGN = re.compile("(?<=[a-z0-9])([.,])(?=\\s|\\Z)")
 #: Runs of white space, and white space that a byte-level split may join with its neighbours.
 _RUNS = re.compile(r"\s\s|[\t\r]|^\s|\s\Z")
 
@@ -129,7 +131,7 @@ class Pieces:
         if not _PLAIN.fullmatch(part) or "<|" in part:
             return None
         if not self.spaced:
-            return part.lower().split()
+            return _SIGN.sub(r" \1", part.lower()).split()
         if _RUNS.search(part):
             return None
         first, *rest = part.replace("\n", " \n").split(" ")
