@@ -349,3 +349,33 @@ def test_repaired_verdict(spark):
     assert verdict([("A", "OK", 1000, 6), ("B", "NO_COUNTER", 1000, 0)]) == ("FAIL", ["residual_loss_exceeded:6/1000"])
     assert verdict([("A", "OK", 100_000, 0), ("B", "OK", 200, 20), ("C", "OK", 100, 10), ("D", "OK", 99, 50)]) == ("FAIL", ["residual_symbol_loss_exceeded:B:20/200+1"])
     assert verdict([]) == ("PASS", [])
+
+
+def test_ledger_of_many_small_segments_is_that_of_each(spark):
+    """Segments, clean or not, that share a batch or reach over several; a null key is a segment too."""
+    import pandas as pd
+
+    rng, rows = random.Random(21), []
+    for n in range(300):
+        cum, day, symbol = 0, f"d{n % 3}" if n % 50 else None, f"s{n // 3}"
+        for k in range(rng.choice([1, 1, 2, 3, 40])):
+            cum += rng.choice([1, 1, 2, 3])
+            value = cum if n % 2 or rng.random() < 0.8 else max(1, cum - rng.randrange(4))
+            rows.append((day, symbol, "regular", value, value * 10, 10, 5, f"{value:06d}", k, 0, rng.choice("ab")))
+    kind = "dt string, " + COLUMNS
+    names = [c.split()[0] for c in kind.split(", ")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame(rows, kind)
+        ledger = audit.counter_ledger(df)
+        plan = ledger._jdf.queryExecution().executedPlan().toString()
+        got = ledger.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for (day, symbol), one in pd.DataFrame(rows, columns=names).groupby(["dt", "symbol"], dropna=False):
+        for r in audit._Segment(one.drop(columns=["dt", "symbol", "phase"])).table().itertuples():
+            want.append((None if pd.isna(day) else day, symbol, r.kind, None if r.kind is None else int(r.cum_prev), int(r.accepted), int(r.duplicates), int(r.resets)))
+    key = lambda r: tuple(map(str, r))
+    assert sorted([(r.dt, r.symbol, r.kind, r.cum_prev, r.accepted, r.duplicates, r.resets) for r in got], key=key) == sorted(want, key=key)
+    assert "FlatMapGroups" not in plan  # no call of Python by segment
