@@ -286,12 +286,13 @@ def day_repair_state(units: DataFrame) -> DataFrame:
     return units.withColumn("state", state)
 
 
-def select_minutes(frames: DataFrame, primary: str | dict[str, str], demoted: DataFrame | None = None, min_frames: int = 1, advantage: int = 5, conflated=(), mixed=(), windows: DataFrame | None = None, at: str = "minute") -> DataFrame:
+def select_minutes(frames: DataFrame, primary: str | dict[str, str], demoted: DataFrame | None = None, min_frames: int = 1, advantage: int = 5, conflated=(), mixed=(), windows: DataFrame | None = None, at: str = "minute", inside: str | None = None) -> DataFrame:
     """One source per (symbol, minute): the primary, unless it is demoted or a secondary has a clear advantage.
 
     ``frames``: symbol, minute, vendor, frames, and any of dt, venue, session and kind, by which it is also kept apart;
     ``primary`` may be by venue. ``demoted``: symbol, demoted_at. ``windows``: vendor, symbol, start, end; a vendor named there
-    is eligible inside its windows only. Both are compared with the column ``at`` and may have ``dt``. Conflated sources
+    is eligible inside its windows only. Both are compared with the column ``at`` and may have ``dt``. ``inside`` instead names
+    a column of ``frames`` that says whether a row is eligible by its windows. Conflated sources
     count only without a lossless one, in books as any other; mixed-venue sources only without another, in books never; ties
     go to the first name.
     """
@@ -312,7 +313,7 @@ def select_minutes(frames: DataFrame, primary: str | dict[str, str], demoted: Da
         rows = rows.join(managed, [*by, "vendor"], "left").join(spans, ["vendor", *keys], "left")
         eligible = F.col("_primary") | F.col("_managed").isNull() | F.col("_open").isNotNull()
     else:
-        eligible = F.lit(True)
+        eligible = F.col("_primary") | F.col(inside) if inside else F.lit(True)
     group = Window.partitionBy(*keys).rowsBetween(*_ALL)
     tick = F.col("kind") == "tick" if "kind" in keys else F.lit(True)
     rows = rows.withColumns({"_mixed": F.col("vendor").isin(*mixed) if mixed else F.lit(False), "_conflated": tick & F.col("vendor").isin(*conflated) if conflated else F.lit(False)})
