@@ -171,3 +171,12 @@ def test_a_batch_that_runs_again_stores_its_rows_once(spark, tmp_path):
     for f in (tmp_path / "out/state/commits").iterdir():  # as if the driver was lost before the batch was committed
         f.unlink()
     assert sorted(r.id for r in monitors.run_available(stream(), out).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_part_keys_of_over_six_digits_are_rows_of_their_own(spark, tmp_path):
+    from tests.oracle import compare
+    from tickloom import plans
+
+    parts = [(k, 1 + k % 7, 900.0 + k % 5) for k in [*range(999_990, 1_000_060), 3, 100_000]]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    assert compare(spark, plans.QUERIES["s20_trading_rows"], plans.ORACLE["s20_trading_rows"], str(tmp_path)) == len(parts)

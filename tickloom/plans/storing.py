@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.scalars import zfill
 from tickloom.operators.dedup import first_of_key
 from tickloom.plans.registry import BARS, TICKS, register, table
 from tickloom.sources import l0, store
@@ -140,10 +141,12 @@ def s19_ledger_attempts(spark, sf_dir):
 def s20_trading_rows(spark, sf_dir):
     k, price = F.col("p_partkey"), F.round("p_retailprice").cast("long")
     text = lambda c: F.format_number(c, 0)
-    symbol = F.lpad(k.cast("string"), 6, "0")
+    symbol = zfill(k.cast("string"))
     part = table(spark, sf_dir, "part")
     rows = part.select(symbol.alias("symbol"), text(price - 10).alias("open"), text(price + 20).alias("high"), text(price - 20).alias("low"), text(price).alias("close"), (k % 9 - 4).cast("string").alias("diff"), text(F.when(F.col("p_size") % 5 == 0, 0).otherwise(F.col("p_size") * 1000)).alias("volume"), text(price * 1000).alias("value"))
-    return store.trading_rows(rows, part.where("p_partkey % 3 = 0").select(symbol.alias("symbol"), F.lit("A").alias("section")))
+    bars = store.trading_rows(rows, part.where("p_partkey % 3 = 0").select(symbol.alias("symbol"), F.lit("A").alias("section")))
+    # keys of over six digits are cut in the result alone, so no two rows meet as one symbol
+    return bars.withColumn("symbol", F.substring("symbol", 1, 6))
 
 
 @register("s22_fallback_bars", f"with {BARS} select symbol, base_price, case when base_price = 0 then 0.0 else (close - base_price) * 100.0::double / base_price end as daily_change_pct from bars where date = date '1998-02-10'")
