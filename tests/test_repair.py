@@ -120,3 +120,14 @@ def test_repair_valid(spark):
     check = lambda rows=7, **kw: r.repair_valid(spark.range(rows), one(**kw), audit).first()
     assert check().valid and check(6).against == ["rows"] and check(audit_digest="0").against == ["audit"]
     assert check(status=None, live_rows=5, audit_digest=None).against == ["status", "live_rows", "rows", "audit"]
+
+
+def test_digest_of_more_blocks_than_three_digits_name(spark):
+    import hashlib
+    from itertools import groupby
+
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    n = 16**3 + 100  # blocks of one row
+    rows = sorted(sha(f"{len(str(k))}:{k}") for k in range(n))
+    blocks = [f"{key}:{sha(','.join(f'{h}:1' for h in of))}" for key, of in groupby(rows, lambda h: h[:4])]
+    assert table_digest(spark.range(n).selectExpr("id as k"), 1).first().digest == sha(",".join(blocks))

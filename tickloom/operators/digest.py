@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,24 +16,32 @@ def row_text(df: DataFrame):
     return F.concat_ws(",", *[one(F.col(f"`{c}`").cast("string")) for c in sorted(df.columns)])
 
 
+def _hashed(batches):
+    """The hash of the blocks' hashes in order; one block is its own."""
+    import hashlib
+
+    text, only = hashlib.sha256(), None
+    for rows in batches:
+        for digits, key, one in zip(rows["digits"], rows["key"], rows["hash"]):
+            text.update(f"{'' if only is None else ','}{key}:{one}".encode())
+            only = one if not digits else ""
+    if only is not None:
+        yield pd.DataFrame({"entry": [only or text.hexdigest()]})
+
+
 def table_digest(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row: ``rows`` and ``digest``, SHA-256 in hex of the table's rows as a multiset.
 
     Rows are hashed; equal ones are counted, so copies are one entry. Hashes are dealt by their first digits, as many as give
-    blocks of about ``block_rows``, sorted and hashed again; blocks are put together in the same way until one is left, so
-    no task holds more than some thousand hashes. How many digits follows from the number of different rows, so equal tables
-    have equal digests. An empty table has the hash of the empty text. Columns must have a text form (no maps).
+    blocks of about ``block_rows``, sorted and hashed again; the hashes of the blocks, in order, are hashed once more as they
+    pass, so no task holds more than a block or a batch. How many digits follows from the number of different rows, so equal
+    tables have equal digests. An empty table has the hash of the empty text. Columns must have a text form (no maps).
     """
     counted = df.select(F.sha2(row_text(df), 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
     facts = counted.agg(F.count("*").alias("different"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
-    # digits of the blocks, 0 to 12; three fewer from one round to the next, since 16 ** 3 blocks make one
     digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.greatest(F.lit(1.0), F.col("different") / F.lit(float(block_rows)))))).cast("int")
     sized = facts.select("rows", digits.alias("digits"))
-    level = counted.join(F.broadcast(sized)).select("digits", F.lit(False).alias("done"), F.expr("substring(h, 1, digits)").alias("key"), F.concat_ws(":", "h", F.col("n").cast("string")).alias("entry"))
-    for _ in range(5):  # 12 digits are done after five rounds
-        joined = level.groupBy("digits", "done", "key").agg(F.array_join(F.sort_array(F.collect_list("entry")), ",").alias("all"))
-        one = F.col("done") | (F.col("digits") == 0)
-        whole = F.when(F.col("done"), F.col("all")).otherwise(F.sha2("all", 256))
-        fewer = F.expr("greatest(0, digits - 3)")
-        level = joined.select(fewer.alias("digits"), one.alias("done"), F.when(one, "").otherwise(F.expr("substring(key, 1, greatest(0, digits - 3))")).alias("key"), F.when(one, whole).otherwise(F.concat_ws(":", "key", whole)).alias("entry"))
-    return sized.join(F.broadcast(level.select("entry")), how="left").select("rows", F.coalesce("entry", F.sha2(F.lit(""), 256)).alias("digest"))
+    entries = counted.join(F.broadcast(sized)).select("digits", F.expr("substring(h, 1, digits)").alias("key"), F.concat_ws(":", "h", F.col("n").cast("string")).alias("entry"))
+    blocks = entries.groupBy("digits", "key").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("entry")), ","), 256).alias("hash"))
+    whole = blocks.repartition(1).sortWithinPartitions("key").mapInPandas(_hashed, "entry string")
+    return sized.join(F.broadcast(whole), how="left").select("rows", F.coalesce("entry", F.sha2(F.lit(""), 256)).alias("digest"))
