@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalars import first_case, reasons
 from tickloom.operators.dedup import multiset_minus
 from tickloom.operators.digest import BLOCK_ROWS, table_digest
+from tickloom.operators.groups import begins, whole_groups
 from tickloom.operators.intervals import island_ids, points_in
 
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -139,30 +141,35 @@ def repaired_verdict(loss: DataFrame, warn: float = 1e-4, fail: float = 5e-3, sy
 COUNTER_BIN = 10_000
 
 
-def _next_free(rows: pd.DataFrame) -> pd.DataFrame:
+def _next_free(batches):
     """Fills of overlapping gaps in time order: each takes the least counter of its gap that is still free.
 
-    ``_taken`` rows are counters of live ticks. A taken counter points at the one after it, so a run of them is passed once.
+    A group's ``_taken`` rows, counters of live ticks, come before its fills. A taken counter points at the one after it, so
+    a run of them is passed once.
     """
-    after = {int(c): int(c) + 1 for c in rows.loc[rows["_taken"], "cum"]}
-
-    def free(slot: int) -> int:
-        passed = []
-        while slot in after:
-            passed.append(slot)
-            slot = after[slot]
-        for p in passed:
-            after[p] = slot
-        return slot
-
-    fills = rows[~rows["_taken"]].sort_values(["ts", "tape_seq", "interval_id"], kind="stable")
-    found = []
-    for lo, hi in zip(fills["_lo"].astype(int), fills["_hi"].astype(int), strict=True):
-        slot = free(lo + 1)
-        found.append(slot if slot < hi else None)
-        if slot < hi:
-            after[slot] = slot + 1
-    return fills.assign(cum=pd.array(found, dtype="Int64")).drop(columns=["_taken", "_lo", "_hi", "island"])
+    by = ["symbol", "island"]
+    for rows in whole_groups(batches, by):
+        new = np.zeros(len(rows), dtype=bool)
+        new[begins(rows, by)] = True
+        after: dict[int, int] = {}
+        fills = ~rows["_taken"].to_numpy(dtype=bool)
+        found: list[int | None] = []
+        for first, fill, cum, lo, hi in zip(new.tolist(), fills.tolist(), *(rows[c].fillna(0).astype("int64").tolist() for c in ("cum", "_lo", "_hi")), strict=True):
+            if first:
+                after = {}
+            if not fill:
+                after[cum] = cum + 1
+                continue
+            slot, passed = lo + 1, []
+            while slot in after:
+                passed.append(slot)
+                slot = after[slot]
+            for p in passed:
+                after[p] = slot
+            found.append(slot if slot < hi else None)
+            if slot < hi:
+                after[slot] = slot + 1
+        yield rows[fills].assign(cum=pd.array(found, dtype="Int64")).drop(columns=["_taken", "_lo", "_hi", "island"])
 
 
 def place_fills(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -197,7 +204,8 @@ def place_fills(live: DataFrame, fills: DataFrame, gaps: DataFrame) -> DataFrame
     taken = points_in(first.select("symbol", "cum"), pools, ["symbol"], "cum", COUNTER_BIN, high_open=True).select("symbol", "island", "cum", F.lit(True).alias("_taken"))
     open_ = marked.where(~alone).select(*fills.columns, "island", "_lo", "_hi", F.lit(False).alias("_taken")).unionByName(taken, allowMissingColumns=True)
     kinds = ", ".join([*[f"{c} {open_.schema[c].dataType.simpleString()}" for c in fills.columns], "cum long"])
-    shared = open_.select(*fills.columns, "island", "_lo", "_hi", "_taken", "cum").groupBy("symbol", "island").applyInPandas(_next_free, kinds).withColumn("_late", F.lit(False))
+    ordered = open_.select(*fills.columns, "island", "_lo", "_hi", "_taken", "cum").repartition("symbol", "island").sortWithinPartitions("symbol", "island", F.col("_taken").desc(), "ts", "tape_seq", "interval_id")
+    shared = ordered.mapInPandas(_next_free, kinds).withColumn("_late", F.lit(False))
     both = placed.unionByName(shared)
     fate = first_case([(F.col("_late"), F.lit("late_live")), (F.col("cum").isNull(), F.lit("overfill"))], "placed")
     return both.withColumn("fate", fate).select(*fills.columns, "cum", "fate")
