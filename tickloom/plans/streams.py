@@ -8,7 +8,7 @@ from tickloom.functions.scalars import div
 from tickloom.operators import monitoring as mo
 from tickloom.plans.registry import TICKS, register
 from tickloom.sources.adapters import VENDOR_OF, ticks
-from tickloom.sources.scratch import scratch
+from tickloom.sources.scratch import scratch, staged
 from tickloom.streaming import late
 from tickloom.streaming import monitors as m
 
@@ -21,6 +21,34 @@ def _stream(spark, sf_dir, delay="60 days"):
     return m.with_time(spark.readStream.schema(rows.schema).parquet(path), delay)
 
 
+#: Rows of a slice of :func:`_sliced`.
+SLICE_ROWS = 1_000_000
+
+
+def _sliced(rows, at, tag, most=None):
+    """``rows`` as a file stream in slices of ``at``, one a trigger, so no trigger has more than about ``most`` rows."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, tag)
+    parts = -(-rows.count() // (most or SLICE_ROWS))
+    bounds = sorted(set(rows.approxQuantile(at, [k / parts for k in range(1, parts)], 0.001))) if parts > 1 else []
+    read = spark.readStream.schema(rows.schema)
+    if not bounds:
+        rows.repartitionByRange(3, at).write.parquet(path)
+        return read.parquet(path)
+    kept = scratch(spark, tag)
+    place = sum((F.when(F.col(at) >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
+    rows.withColumn("_slice", place).write.partitionBy("_slice").parquet(kept)
+    # files are read in the order in which they are written
+    for k in range(len(bounds) + 1):
+        spark.read.schema(rows.schema).parquet(f"{kept}/_slice={k}").coalesce(1).write.mode("append").parquet(path)
+    return read.option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _timed(spark, sf_dir):
+    """As :func:`_stream`, in slices."""
+    rows = ticks(spark, sf_dir).withColumn("ts", F.timestamp_micros(div(F.col("recv_wall_ns"), 1000)))
+    return m.with_time(_sliced(rows, "recv_wall_ns", "stream"), "60 days")
+
+
 _TS = f"{TICKS}, ev as (select *, make_timestamp(recv_wall_ns // 1000) as ts from ticks)"
 _START = "epoch_us(time_bucket(interval '{w}', ts)) as start_us"
 
@@ -105,7 +133,7 @@ def x2_lag_episodes(spark, sf_dir):
 
 @register("x2_lag_stream", f"with {_LAGS} select * from ep")
 def x2_lag_stream(spark, sf_dir):
-    return m.run_available(m.lag_alerts(_late(_stream(spark, sf_dir)), 6.0, _DAY, 2), scratch(spark, "x2a"))
+    return m.run_available(m.lag_alerts(_late(_timed(spark, sf_dir)), 6.0, _DAY, 2), scratch(spark, "x2a"))
 
 
 _KIND = "case when seq % 10 = 9 then 'snapshot' when seq % 23 = 0 then 'acks' when seq % 31 = 0 then 'connected' when seq % 37 = 0 then 'disconnected' else 'frame' end"
@@ -126,7 +154,7 @@ def x1_tracker(spark, sf_dir):
     seq = F.col("seq")
     kind = F.expr(_KIND)
     acks = {c: F.when(kind == "acks", seq % n) for c, n in (("planned", 4), ("accepted", 3), ("rejected", 2))}
-    events = _stream(spark, sf_dir).select(F.col("vendor").alias("feed"), F.col("recv_wall_ns").alias("at"), "seq", kind.alias("kind"), F.when(seq % 13 != 0, F.col("cvolume") / F.lit(4.0)).alias("lag_s"), F.when(kind == "disconnected", F.concat(F.lit("r"), seq.cast("string"))).alias("reason"), *[v.alias(c) for c, v in acks.items()])
+    events = _timed(spark, sf_dir).select(F.col("vendor").alias("feed"), F.col("recv_wall_ns").alias("at"), "seq", kind.alias("kind"), F.when(seq % 13 != 0, F.col("cvolume") / F.lit(4.0)).alias("lag_s"), F.when(kind == "disconnected", F.concat(F.lit("r"), seq.cast("string"))).alias("reason"), *[v.alias(c) for c, v in acks.items()])
     return m.run_available(m.health_snapshots(events, window_s=172_800), scratch(spark, "x1t")).drop("pairs_pending_since_ns")
 
 
@@ -149,7 +177,5 @@ def x8_late_windows(spark, sf_dir):
 def x6_failover_stream(spark, sf_dir):
     from tickloom.plans.trading import controller_steps
 
-    path = scratch(spark, "steps")
-    steps = controller_steps(spark, sf_dir)
-    steps.repartitionByRange(3, "step_s").write.parquet(path)
-    return m.run_available(m.failover(spark.readStream.schema(steps.schema).parquet(path)), scratch(spark, "x6"))
+    steps = staged(controller_steps(spark, sf_dir), "steps")
+    return m.run_available(m.failover(_sliced(steps, "step_s", "steps")), scratch(spark, "x6"))
