@@ -34,23 +34,28 @@ def _unsigned(c: Column) -> Column:
     return F.regexp_replace(c, "^-", "")
 
 
+def _with_parts(df: DataFrame, least: int) -> DataFrame:
+    """``_parts``: the caret-separated fields of a payload, null if too few. A column of its own, so a row is split once for all its fields."""
+    parts = F.split("raw", "\\^")
+    return df.withColumn("_parts", F.when(F.size(parts) >= least, parts))
+
+
 def kis_ticks(df: DataFrame) -> DataFrame:
     """Caret-separated trades; too few fields give nulls; one minus is taken off the change."""
-    parts = F.split("raw", "\\^")
-    fields = {n: F.when(F.size(parts) >= KIS_TICK_LEAST, F.get(parts, F.lit(i))) for n, i in KIS_TICK.items()}
+    fields = {n: F.get("_parts", F.lit(i)) for n, i in KIS_TICK.items()}
     fields["change_raw"] = _unsigned(fields["change_raw"])
-    return df.withColumns({n: fields[n] for n in TICK_FIELDS})
+    return _with_parts(df, KIS_TICK_LEAST).withColumns({n: fields[n] for n in TICK_FIELDS}).drop("_parts")
 
 
 def kis_quotes(df: DataFrame) -> DataFrame:
-    parts = F.split("raw", "\\^")
+    """Caret-separated books; too few fields give nulls, as a field that is no whole number does."""
 
     def at(i: int) -> Column:
-        return F.when(F.size(parts) >= KIS_QUOTE_LEAST, F.get(parts, F.lit(i)))
+        return F.get("_parts", F.lit(i))
 
     out = {"shcode": at(0)} | {n: at(KIS_QUOTE[n]).try_cast("int") for n in ("hotime", "totofferrem", "totbidrem")}
     out |= {f"{p}{k}": at(KIS_QUOTE[p] + k - 1).try_cast("int") for p in ("offerho", "bidho", "offerrem", "bidrem") for k in range(1, LEVELS + 1)}
-    return df.withColumns({n: out[n] for n in QUOTE_FIELDS})
+    return _with_parts(df, KIS_QUOTE_LEAST).withColumns({n: out[n] for n in QUOTE_FIELDS}).drop("_parts")
 
 
 def ls_ticks(df: DataFrame) -> DataFrame:
