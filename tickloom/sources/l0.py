@@ -20,19 +20,27 @@ REQUIRED = ("raw", "recv_mono_ns", "recv_wall_ns", "conn_id", "conn_seq", "vendo
 SESSIONS = ("regular", "premarket", "aftermarket")
 
 
-def route(path, depth: int = 4):
+def _folders(path):
+    """The four folders above the first `dt=...` that has as many. The pattern starts where a folder's name does: tried from
+    every character it takes time with the square of the path's length."""
+    return F.split(F.regexp_extract(path, "(?<![^/])([^/]+/[^/]+/[^/]+/[^/]+)/dt=[^/]+/", 1), "/")
+
+
+def route(path, folders=None):
     """(vendor, venue, session, stream) of `vendor/venue/session/stream/dt=...`; without a known session it is krx and regular."""
-    part = lambda i: F.regexp_extract(path, "([^/]+)/([^/]+)/([^/]+)/([^/]+)/dt=[^/]+/", i)
+    folders = _folders(path) if folders is None else folders
+    part = lambda i: F.get(folders, F.lit(i - 1))
     known = part(3).isin(*SESSIONS)
-    legacy = F.regexp_extract(path, "([^/]+)/dt=[^/]+/", 1)
+    legacy = F.regexp_extract(path, "(?<![^/])([^/]+)/dt=[^/]+/", 1)
     return {"vendor": F.when(known, part(1)), "venue": F.when(known, part(2)).otherwise("krx"), "session": F.when(known, part(3)).otherwise("regular"), "stream": F.when(known, part(4)).otherwise(F.nullif(legacy, F.lit("")))}
 
 
 def fill_defaults(df: DataFrame, path) -> DataFrame:
     """Missing route fields from the path, other missing texts as empty; a null in a required column fails the query."""
-    r = route(path)
     checked = require(df, any_of([F.col(n).isNull() for n in REQUIRED]), "null in a required column")
-    return checked.withColumns({"venue": F.coalesce("venue", r["venue"]), "session": F.coalesce("session", r["session"]), "stream": F.coalesce("stream", "tr_id", r["stream"]), "symbol": F.coalesce("symbol", F.lit("")), "exchange_event_time": F.coalesce("exchange_event_time", F.lit(""))})
+    # a column of its own, so a row's path is matched once for all fields
+    placed, r = checked.withColumn("_folders", _folders(path)), route(path, F.col("_folders"))
+    return placed.withColumns({"venue": F.coalesce("venue", r["venue"]), "session": F.coalesce("session", r["session"]), "stream": F.coalesce("stream", "tr_id", r["stream"]), "symbol": F.coalesce("symbol", F.lit("")), "exchange_event_time": F.coalesce("exchange_event_time", F.lit(""))}).drop("_folders")
 
 
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
