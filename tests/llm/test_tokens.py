@@ -182,3 +182,23 @@ def test_clashing_names_and_ids_that_are_not_numbers(spark):
     assert [tuple(r) for r in token_counts(df, BYTE).collect()] == [(1, 3, 2, False)]
     with pytest.raises(TypeError):
         token_files(spark.createDataFrame([("a", "b")], "doc_id string, text string"), WORD)
+
+
+def test_words_of_a_group_are_looked_up_once_each_and_equal_the_units_of_every_part():
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    p = Pieces(WORD)
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab9Éžx.,,. \t\n\r!'é-"), rng.integers(0, 40))) for _ in range(500)] + ["", ".", " ", ". ", "a.", "a.\n", ",a.", "Ā. b", "x..", "A, b."]
+    words, counts = p._words(texts)
+    units = [p._units(t) for t in texts]
+    assert (words.to_pylist(), counts.tolist()) == ([u for x in units for u in x], [len(x) for x in units])
+    p.index = Counting(p.index)
+    ids, sizes = p.encode(["One word, two words. "] * 3000)
+    assert Counting.asked <= 6 and sizes.tolist() == [6] * 3000
+    assert ids.tolist() == p.tokenizer.encode("One word, two words. ", add_special_tokens=False).ids * 3000
