@@ -5,7 +5,7 @@ from itertools import product
 import pytest
 from tokenizers import Tokenizer
 
-from tickloom.llm.merge_automaton import MergeAutomaton, bpe_decode, bpe_encode
+from tickloom.llm.merge_automaton import AutomatonPieces, MergeAutomaton, bpe_decode, bpe_encode
 from tickloom.llm.queries import QUERIES
 
 public = pytest.importorskip("public_tokenizers")
@@ -99,6 +99,16 @@ def test_equals_the_library(spark, name):
         assert row.text == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_plain_and_other_texts_in_one_group(name):
+    """Plain texts take their words from the bytes of a group, others are normalised and split one by one."""
+    path, texts = public.path(name), ["The words, and the signs.", None, "", "plain é again the words,", "日本語 and <|endoftext|> there", "x", "The last. "]
+    library = Tokenizer.from_file(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    ids, sizes = AutomatonPieces(path).encode(texts)
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+
 def test_decode_of_odd_rows(spark):
     path = public.path("word_bpe_49k.json")
     rows = spark.createDataFrame([(1, None), (2, []), (3, [320, None, 10**6, -5, 49407])], "doc_id long, ids array<int>")

@@ -184,7 +184,7 @@ class AutomatonPieces(Pieces):
 
         return re.split("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")", text) if self.added else [text]
 
-    def _words(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+    def _split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         if self.tokenizer.normalizer is not None:
             text = self.tokenizer.normalizer.normalize_str(text)
         return self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
@@ -197,7 +197,7 @@ class AutomatonPieces(Pieces):
                 if n % 2:
                     ids.append(self.added[run])
                 elif run:
-                    for word, _ in self._words(run):
+                    for word, _ in self._split(run):
                         ids += self.automaton.path(word)
             out.append(ids)
         return out
