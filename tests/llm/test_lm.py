@@ -185,3 +185,36 @@ def test_steps_of_a_replica_grow_with_the_corpus(spark, monkeypatch):
         seen[n] = (groups, lm.replicas_of(groups), -(-groups // lm.replicas_of(groups)))
     assert seen[240][1] > seen[60][1] and seen[240][2] > seen[60][2]
     assert [lm.replicas_of(g) for g in (1, 2, 4, 5, 9, 10, 100, 10**6)] == [1, 2, 2, 3, 3, 4, 10, 1000]
+
+
+def test_head_words_are_found_among_neighbours():
+    """Words whose hashes share their first bits, at both ends of the range, and others beside them."""
+    base = [-(1 << 63), -1, 0, 12345 << 44, (1 << 63) - 4]
+    head = [(h + k, 9 + k) for h in base for k in range(4) if h + k < 1 << 63 and (h, k) != (-1, 1)][:20]
+    head = list({h: n for h, n in head}.items())
+    v = lm.Vocabulary(list(head), 1000, len(head))
+    asked = np.array([h for h, _ in head] + [h + 5 for h in base[:-1]] + [7 << 50], np.int64)
+    want = dict(head)
+    assert v.find(asked)[1].tolist() == [want.get(int(h), -1) for h in asked]
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(3)
+    for sizes in ([1], [1, 1, 2], [lm.LONG_RUN, 1, lm.LONG_RUN - 1, 3 * lm.LONG_RUN, 2]):
+        rows = rng.normal(size=(sum(sizes), 5))
+        first = np.cumsum(sizes) - sizes
+        assert np.allclose(lm._sums_of_runs(rows, first), np.add.reduceat(rows, first, axis=0))
+
+
+def test_outputs_in_blocks(monkeypatch):
+    """Chances and scores don't depend on how many rows are taken at once, and logits over the limit are cut."""
+    v, w = small()
+    rng = np.random.default_rng(5)
+    h, target = rng.uniform(-1, 1, (50, lm.HIDDEN)).astype(np.float32), rng.integers(0, lm.WORDS + 1, 50)
+    slots, before = rng.integers(0, 70, 400).astype(np.int16), np.array([0, 0, 7, 300, 400])
+    whole, scores = lm.log_probabilities(w, h, target), lm.neural_scores(w, slots, before)
+    monkeypatch.setattr(lm, "CACHED_ROWS", 3)
+    monkeypatch.setattr(lm, "SOFTMAX_ROWS", 5)
+    assert np.allclose(lm.log_probabilities(w, h, target), whole, atol=1e-4) and np.allclose(lm.neural_scores(w, slots, before), scores, atol=1e-3)
+    w["c"] *= 1e4
+    assert np.isfinite(lm.log_probabilities(w, h, np.zeros(50, np.int64))[0])

@@ -32,8 +32,10 @@ LENGTH = STEPS * SPANS
 BATCH, GROUP, ROUNDS, EPOCHS, RATE = 256, 8192, 3, 1, 0.02
 #: A word with at least this share of all tokens is known to every task: fewer than 200,000 words, whatever the corpus.
 HEAD_SHARE = 200_000
-#: Tokens that are scored in step, and of these the ones whose outputs are held at once.
-BLOCK_TOKENS, SOFTMAX_ROWS = 6_000_000, 1 << 15
+#: Tokens that are scored in step, of these the ones whose outputs are found at once, and rows of outputs that a core's cache holds.
+BLOCK_TOKENS, SOFTMAX_ROWS, CACHED_ROWS = 6_000_000, 1 << 15, 1 << 11
+#: Uses of a word in a window from which their gradients are added up by a product.
+LONG_RUN = 16
 #: Numbers of a piece of the weights, in which they are averaged.
 PIECE = 1 << 15
 #: No word holds a line feed, so this hash is the end's own.
@@ -78,6 +80,10 @@ class Vocabulary:
         self.hashes = np.array([x[0] for x in ordered], np.int64)
         self.counts = np.array([x[1] for x in ordered], np.int64)
         self.slots = np.array([x[2] for x in ordered], np.int16)
+        # where the words of each run of first bits start; hashes are spread evenly, so few runs of these many have two words
+        self.bits = len(head).bit_length() + 2
+        half = 1 << self.bits - 1
+        self.runs = np.append(np.searchsorted(self.hashes, np.arange(-half, half) << 64 - self.bits), len(head)).astype(np.int32)
         self.other_tokens = tokens - int(self.own_counts.sum())
         self.other_distinct = distinct - len(own)
         self.base_total, self.other_total = float(tokens + distinct + 1), float(self.other_tokens + self.other_distinct + 1)
@@ -86,9 +92,17 @@ class Vocabulary:
         """(slot, count) of each token; the count is -1 for words outside the head."""
         if not len(self.hashes):
             return np.full(len(hashes), OTHER, np.int16), np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        hit = self.hashes[at] == hashes
-        return np.where(hit, self.slots[at], np.int16(OTHER)), np.where(hit, self.counts[at], -1)
+        run = (hashes >> 64 - self.bits) + (1 << self.bits - 1)
+        at, end = self.runs.take(run), self.runs.take(run + 1)
+        np.minimum(at, len(self.hashes) - 1, out=at)
+        hit = self.hashes.take(at) == hashes
+        left = np.flatnonzero(~hit & (at + 1 < end))
+        while len(left):
+            at[left] += 1
+            found = self.hashes[at[left]] == hashes[left]
+            hit[left[found]] = True
+            left = left[~found & (at[left] + 1 < end[left])]
+        return np.where(hit, self.slots.take(at), np.int16(OTHER)), np.where(hit, self.counts.take(at), -1)
 
 
 def initial(vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
@@ -109,12 +123,11 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(v: np.ndarray) -> np.ndarray:
-    """In place; far below 0 the exponential is infinite and the result 0."""
-    with np.errstate(over="ignore"):
-        np.negative(v, out=v)
-        np.exp(v, out=v)
-        v += 1
-        return np.reciprocal(v, out=v)
+    """In place; far below 0 the exponential is infinite and the result 0, so callers let it overflow."""
+    np.negative(v, out=v)
+    np.exp(v, out=v)
+    v += 1
+    return np.reciprocal(v, out=v)
 
 
 def _step(u: np.ndarray, h: np.ndarray, a: np.ndarray):
@@ -133,48 +146,100 @@ def _step(u: np.ndarray, h: np.ndarray, a: np.ndarray):
 
 def advance(w: dict, h: np.ndarray, x: np.ndarray):
     """:func:`_step` from the inputs' slots."""
-    return _step(w["u"], h, w["x"][x])
+    return _step(w["u"], h, w["x"].take(x, axis=0))
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights with their bias as a last row: a state with a 1 behind it gives its logits by one product."""
+    return np.concatenate([weights, bias[..., None, :]], axis=-2)
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    out = np.empty((len(h), h.shape[1] + 1), h.dtype)
+    out[:, :-1], out[:, -1] = h, 1
+    return out
+
+
+def _reach(weights: np.ndarray) -> tuple[float, float]:
+    """(largest sum of a logit's weights, largest bias); ``weights`` have their bias."""
+    return float(np.abs(weights[..., :-1, :]).sum(axis=-2).max()), float(weights[..., -1, :].max())
+
+
+def _capped(reach: tuple[float, float], h: np.ndarray) -> bool:
+    """Whether some logit of the states could be over 80, where exponentials are cut; in practice none can."""
+    return not reach[0] * max(1.0, float(np.abs(h).max(initial=0))) + reach[1] <= 80
 
 
-def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(exponentials in place, their sum by row); biases have a maximum of 0 and states are within 1, so the bound is no limit in practice."""
-    np.minimum(logits, 80, out=logits)
+def _exp(logits: np.ndarray, capped: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials in place, their sum by row); biases have a maximum of 0."""
+    if capped:
+        np.minimum(logits, 80, out=logits)
     np.exp(logits, out=logits)
     return logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
-def _log_chance(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The log of the softmax at each row's target."""
-    own = logits[np.arange(len(logits)), target]
-    return own - np.log(_exp(logits)[1])
+def _log_chance(h: np.ndarray, weights: np.ndarray, target: np.ndarray, capped: bool) -> np.ndarray:
+    """The log of the softmax at each row's target; ``h`` has ones and ``weights`` their bias."""
+    out = np.empty(len(h), h.dtype)
+    for lo in range(0, len(h), CACHED_ROWS):
+        part = slice(lo, lo + CACHED_ROWS)
+        logits, at = h[part] @ weights, target[part]
+        own = logits[np.arange(len(at)), at]
+        np.subtract(own, np.log(_exp(logits, capped)[1]), out=out[part])
+    return out
+
 
+class Outputs:
+    """The outputs of fixed weights."""
 
-def _by_class(target: np.ndarray):
-    """(class, places of its targets) for the classes of words with outputs."""
-    kind = (target // IN_CLASS).astype(np.int16)
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if cuts[k] < cuts[k + 1]:
-            yield k, order[cuts[k] : cuts[k + 1]]
+    def __init__(self, w: dict):
+        self.c, self.w = _with_bias(w["c"], w["cb"]), _with_bias(w["w"], w["wb"])
+        self.reach = _reach(self.c), _reach(self.w)
+
+    def log_probabilities(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural log probability of each target's class and, where it has an output, of the word in the class."""
+        capped = any(_capped(x, h) for x in self.reach)
+        kind, inside = np.divmod(target.astype(np.int64), IN_CLASS)
+        order = np.argsort(kind.astype(np.int16), kind="stable")
+        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        h = _with_one(h.take(order, axis=0))
+        kind, inside = kind[order], inside[order]
+        found = _log_chance(h, self.c, kind, capped).astype(np.float64)
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = cuts[k], cuts[k + 1]
+            found[a:b] += _log_chance(h[a:b], self.w[k], inside[a:b], capped)
+        out = np.empty(len(found))
+        out[order] = found
+        return out
 
 
 def log_probabilities(w: dict, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log probability of each target's class and, where it has an output, of the word in the class."""
-    out = _log_chance(h @ w["c"] + w["cb"], (target // IN_CLASS).astype(np.int64)).astype(np.float64)
-    for k, at in _by_class(target):
-        out[at] += _log_chance(h[at] @ w["w"][k] + w["wb"][k], target[at] % IN_CLASS)
-    return out
+    """:meth:`Outputs.log_probabilities` of weights that are used once."""
+    return Outputs(w).log_probabilities(h, target)
 
 
-def _less_targets(logits: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarray:
+def _less_targets(logits: np.ndarray, target: np.ndarray, scale: np.float32, capped: bool) -> np.ndarray:
     """The gradient of the loss by its logits, in place: softmax less one at the target, scaled."""
-    logits, total = _exp(logits)
-    logits *= (scale / total)[:, None]
-    logits[np.arange(len(logits)), target] -= scale
+    for lo in range(0, len(logits), CACHED_ROWS):
+        some = logits[lo : lo + CACHED_ROWS]
+        some, total = _exp(some, capped)
+        some *= (scale / total)[:, None]
+        some[np.arange(len(some)), target[lo : lo + CACHED_ROWS]] -= scale
     return logits
 
 
+def _sums_of_runs(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each run of rows, from where each starts; most runs are one row, and a few hold most rows."""
+    sizes = np.diff(first, append=len(rows))
+    out = rows.take(first, axis=0)
+    some = (sizes > 1) & (sizes < LONG_RUN)
+    if some.any():
+        out[some] = np.add.reduceat(rows[np.repeat(some, sizes)], np.cumsum(sizes[some]) - sizes[some], axis=0)
+    for i in np.flatnonzero(sizes >= LONG_RUN).tolist():
+        np.matmul(np.ones(sizes[i], rows.dtype), rows[first[i] : first[i] + sizes[i]], out=out[i])
+    return out
+
+
 def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     """(gradient of the mean loss, last state) of a window ``x`` -> ``y`` (steps, batch); targets below 0 don't count.
 
@@ -182,10 +247,11 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     """
     size, kind = (len(x), len(h), HIDDEN), h.dtype
     kept, z, r, n, rec = (np.empty(size, kind) for _ in range(5))
-    inputs = w["x"][x]
-    for t in range(len(x)):
-        kept[t] = h
-        h, z[t], r[t], n[t], rec[t] = _step(w["u"], h, inputs[t])
+    inputs = w["x"].take(x, axis=0)
+    with np.errstate(over="ignore"):
+        for t in range(len(x)):
+            kept[t] = h
+            h, z[t], r[t], n[t], rec[t] = _step(w["u"], h, inputs[t])
     states = np.concatenate([kept[1:].reshape(-1, HIDDEN), h])
     target = y.ravel()
     live = np.flatnonzero(target >= 0)
@@ -194,20 +260,22 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     ts, scale = target[live].astype(np.int64), kind.type(1 / len(live))
     order = np.argsort((ts // IN_CLASS).astype(np.int16), kind="stable")
     live, ts = live[order], ts[order]
-    hs = states[live]
-    p = _less_targets(hs @ w["c"] + w["cb"], ts // IN_CLASS, scale)
-    back = p @ w["c"].T
+    hs = _with_one(states.take(live, axis=0))
+    by_class, by_word = _with_bias(w["c"], w["cb"]), _with_bias(w["w"], w["wb"])
+    capped = any(_capped(_reach(v), h) for v in (by_class, by_word))
+    kind_of, inside = np.divmod(ts, IN_CLASS)
+    p = _less_targets(hs @ by_class, kind_of, scale, capped)
+    back, g_class = p @ w["c"].T, hs.T @ p
     cuts = np.searchsorted(ts, np.arange(CLASSES + 1) * IN_CLASS)
     kinds = np.flatnonzero(np.diff(cuts))
-    outs, biases = np.empty((len(kinds), HIDDEN, IN_CLASS), kind), np.empty((len(kinds), IN_CLASS), kind)
-    inside = ts % IN_CLASS
-    for i, k in enumerate(kinds.tolist()):
-        a, b = cuts[k], cuts[k + 1]
-        own = hs[a:b]
-        q = _less_targets(own @ w["w"][k] + w["wb"][k], inside[a:b], scale)
-        np.matmul(own.T, q, out=outs[i])
-        np.matmul(np.ones(len(q), kind), q, out=biases[i])
-        back[a:b] += q @ w["w"][k].T
+    outs, q = np.empty((len(kinds), HIDDEN + 1, IN_CLASS), kind), np.empty((cuts[-1], IN_CLASS), kind)
+    spans = list(zip(kinds.tolist(), cuts[kinds].tolist(), cuts[kinds + 1].tolist(), strict=True))
+    for k, a, b in spans:
+        np.matmul(hs[a:b], by_word[k], out=q[a:b])
+    _less_targets(q, inside[: cuts[-1]], scale, capped)
+    for i, (k, a, b) in enumerate(spans):
+        np.matmul(hs[a:b].T, q[a:b], out=outs[i])
+        back[a:b] += q[a:b] @ w["w"][k].T
     g_out = np.zeros_like(states)
     g_out[live] = back
     g_out = g_out.reshape(size)
@@ -230,8 +298,8 @@ def sparse_gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
     used = flat[order[first]]
-    g = {"u": (None, g_u), "c": (None, hs.T @ p), "cb": (None, p.sum(axis=0)), "x": (used, np.add.reduceat(inner.reshape(-1, 3 * HIDDEN)[order], first, axis=0))}
-    return g | ({"w": (kinds, outs), "wb": (kinds, biases)} if len(kinds) else {}), h
+    g = {"u": (None, g_u), "c": (None, g_class[:-1]), "cb": (None, g_class[-1]), "x": (used, _sums_of_runs(inner.reshape(-1, 3 * HIDDEN).take(order, axis=0), first))}
+    return g | ({"w": (kinds, outs[:, :-1]), "wb": (kinds, outs[:, -1])} if len(kinds) else {}), h
 
 
 def gradients(w: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray):
@@ -422,20 +490,23 @@ def neural_scores(w: dict, slots: np.ndarray, before: np.ndarray) -> np.ndarray:
     h = np.zeros((len(order), HIDDEN), np.float32)
     last = np.full(len(order), BEGIN, np.int64)
     active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")  # rows longer than t
-    for t0 in range(0, len(active), STEPS):
-        states, targets, owners = [], [], []
-        for t in range(t0, min(len(active), t0 + STEPS)):
-            n = active[t]
+    outputs = Outputs(w)
+    states, targets, owners, held = [], [], [], 0
+    with np.errstate(over="ignore"):
+        for t, n in enumerate(active.tolist()):
             h, last = h[:n], last[:n]
             h = advance(w, h, last)[0]
-            last = slots[starts[:n] + t].astype(np.int64)
+            last = slots.take(starts[:n] + t).astype(np.int64)
             states.append(h)
             targets.append(last)
             owners.append(np.arange(n))
-        states, targets, owners = np.concatenate(states), np.concatenate(targets), np.concatenate(owners)
-        for i in range(0, len(states), SOFTMAX_ROWS):
-            part = slice(i, i + SOFTMAX_ROWS)
-            out += np.bincount(owners[part], log_probabilities(w, states[part], targets[part]), len(out))
+            held += n
+            if held >= SOFTMAX_ROWS or t + 1 == len(active):
+                own, all_states, all_targets = np.concatenate(owners), np.concatenate(states), np.concatenate(targets)
+                for i in range(0, held, SOFTMAX_ROWS):
+                    part = slice(i, i + SOFTMAX_ROWS)
+                    out += np.bincount(own[part], outputs.log_probabilities(all_states[part], all_targets[part]), len(out))
+                states, targets, owners, held = [], [], [], 0
     result = np.empty(len(order))
     result[order] = out
     return result
