@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case, reasons, require
+from tickloom.functions.scalars import first_case, product_error, reasons, require
 
 #: Fixed thresholds of the selection policy.
 GUARD_PCT, LIMIT_PCT, SURGE_PCT, VOLSURGE, VOLSURGE_PCT, EXTREME_PCT = 31.0, 29.0, 10.0, 5.0, 5.0, 5.0
@@ -41,7 +41,12 @@ def selection_features(bars: DataFrame) -> DataFrame:
     ratio = F.when(F.col("_before") > 0, F.coalesce(F.col("_given"), F.col("_implied")) / F.col("_before"))
     ratio = F.coalesce(ratio, F.lit(1.0))
     snapped = F.when(F.col("_given").isNull() & F.col("_implied").isNotNull() & (F.abs(ratio - 1.0) <= IMPLIED_TOLERANCE), F.lit(1.0)).otherwise(ratio)
-    clean = clean.withColumn("_ratio", snapped).withColumn("_moved", F.product("_ratio").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    clean = clean.withColumn("_ratio", snapped).withColumn("_moved", F.product("_ratio").over(so_far))
+    if "base_price" not in bars.columns:  # nearly every row is a factor then; what the product's roundings lost is put back
+        lost = product_error(F.coalesce(F.lag("_moved").over(order), F.lit(1.0)), F.col("_ratio"), F.col("_moved"))
+        clean = clean.withColumn("_lost", F.nanvl(F.try_divide(lost, F.col("_moved")), F.lit(0.0)))
+        clean = clean.withColumn("_moved", F.col("_moved") + F.col("_moved") * F.sum("_lost").over(so_far))
     clean = clean.withColumn("_norm", F.col("close") / F.col("_moved"))
     before = order.rowsBetween(-(EXTREME_WINDOW - 1), -1)
     enough = F.count("*").over(before) == EXTREME_WINDOW - 1
@@ -52,7 +57,7 @@ def selection_features(bars: DataFrame) -> DataFrame:
             "tv_ratio": F.when(F.col("tv_median_20") > 0, F.col("trade_value_100m") / F.col("tv_median_20")),
         }
     )
-    return clean.drop("_before", "_given", "_implied", "_ratio", "_moved", "_norm")
+    return clean.drop("_before", "_given", "_implied", "_ratio", "_lost", "_moved", "_norm")
 
 
 def eligible_class(df: DataFrame) -> Column:
