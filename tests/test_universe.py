@@ -27,3 +27,24 @@ def test_extremes_do_not_lose_what_a_long_product_rounds(spark):
     got = {(r.symbol, r.date): (r.close_max_60, r.close_min_60) for r in selection_features(bars).where("close_max_60 is not null").collect()}
     assert got.keys() == want.keys()
     assert max(abs(Fraction(a) / b - 1) for k in want for a, b in zip(got[k], want[k], strict=True)) <= 4.5e-16
+
+
+def test_extremes_over_given_bases_are_the_nearest_doubles(spark):
+    """However many ratios a base has gone through, the extremes of 60 closes are the exact ones, rounded once."""
+    rnd, rows, want = random.Random(12), [], {}
+    for symbol in map(str, range(12)):
+        moved, closes, before = [Fraction(1)], [], None
+        for n in range(110):
+            close = float(rnd.randrange(50_000, 9_000_000))
+            base = float(rnd.randrange(50_000, 9_000_000)) if rnd.random() < 0.5 else before or close
+            day = date(2000, 1, 1) + timedelta(days=n)
+            rows.append((symbol, day, close, base, 10, 1.0, 0.0))
+            moved.append(moved[-1] * Fraction(1.0 if before is None else base / before))
+            closes.append(close)
+            before = close
+            if n >= EXTREME_WINDOW - 1:
+                past = [Fraction(closes[k]) / moved[k + 1] for k in range(n - EXTREME_WINDOW + 1, n)]
+                want[symbol, day] = float(max(moved[-1] * max(past), Fraction(close))), float(min(moved[-1] * min(past), Fraction(close)))
+    bars = spark.createDataFrame(rows, "symbol string, date date, close double, base_price double, volume long, trade_value_100m double, daily_change_pct double")
+    got = {(r.symbol, r.date): (r.close_max_60, r.close_min_60) for r in selection_features(bars).where("close_max_60 is not null").collect()}
+    assert got == want

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import first_case, product_error, reasons, require
+from tickloom.functions.scalars import first_case, product_error, reasons, require, two_sum
 
 #: Fixed thresholds of the selection policy.
 GUARD_PCT, LIMIT_PCT, SURGE_PCT, VOLSURGE, VOLSURGE_PCT, EXTREME_PCT = 31.0, 29.0, 10.0, 5.0, 5.0, 5.0
@@ -43,21 +43,30 @@ def selection_features(bars: DataFrame) -> DataFrame:
     snapped = F.when(F.col("_given").isNull() & F.col("_implied").isNotNull() & (F.abs(ratio - 1.0) <= IMPLIED_TOLERANCE), F.lit(1.0)).otherwise(ratio)
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     clean = clean.withColumn("_ratio", snapped).withColumn("_moved", F.product("_ratio").over(so_far))
-    if "base_price" not in bars.columns:  # nearly every row is a factor then; what the product's roundings lost is put back
-        lost = product_error(F.coalesce(F.lag("_moved").over(order), F.lit(1.0)), F.col("_ratio"), F.col("_moved"))
-        clean = clean.withColumn("_lost", F.nanvl(F.try_divide(lost, F.col("_moved")), F.lit(0.0)))
-        clean = clean.withColumn("_moved", F.col("_moved") + F.col("_moved") * F.sum("_lost").over(so_far))
+    # what the roundings of the product and of the closes divided by it lose is carried along, else values near a half are rounded to the wrong side
+    lost = product_error(F.coalesce(F.lag("_moved").over(order), F.lit(1.0)), F.col("_ratio"), F.col("_moved"))
+    clean = clean.withColumn("_lost", F.nanvl(F.try_divide(lost, F.col("_moved")), F.lit(0.0))).withColumn("_lost", F.sum("_lost").over(so_far))
     clean = clean.withColumn("_norm", F.col("close") / F.col("_moved"))
+    again = F.col("_norm") * F.col("_moved")
+    lost = ((F.col("close") - again) - product_error(F.col("_norm"), F.col("_moved"), again)) / F.col("close") - F.col("_lost")
+    clean = clean.withColumn("_norm", two_sum(F.col("_norm"), F.nanvl(F.col("_norm") * lost, F.lit(0.0))))
+
+    def at_now(norm):
+        value = F.col("_moved") * norm["high"]
+        rest = product_error(F.col("_moved"), norm["high"], value) + F.col("_moved") * norm["low"] + value * F.col("_lost")
+        return value + F.nanvl(rest, F.lit(0.0))
+
     before = order.rowsBetween(-(EXTREME_WINDOW - 1), -1)
     enough = F.count("*").over(before) == EXTREME_WINDOW - 1
+    clean = clean.withColumns({"_top": F.when(enough, F.max("_norm").over(before)), "_low": F.when(enough, F.min("_norm").over(before))})
     clean = clean.withColumns(
         {
-            "close_max_60": F.when(enough, F.greatest(F.col("_moved") * F.max("_norm").over(before), F.col("close"))),
-            "close_min_60": F.when(enough, F.least(F.col("_moved") * F.min("_norm").over(before), F.col("close"))),
+            "close_max_60": F.when(F.col("_top").isNotNull(), F.greatest(at_now(F.col("_top")), F.col("close"))),
+            "close_min_60": F.when(F.col("_low").isNotNull(), F.least(at_now(F.col("_low")), F.col("close"))),
             "tv_ratio": F.when(F.col("tv_median_20") > 0, F.col("trade_value_100m") / F.col("tv_median_20")),
         }
     )
-    return clean.drop("_before", "_given", "_implied", "_ratio", "_lost", "_moved", "_norm")
+    return clean.drop("_before", "_given", "_implied", "_ratio", "_lost", "_moved", "_norm", "_top", "_low")
 
 
 def eligible_class(df: DataFrame) -> Column:
