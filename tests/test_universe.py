@@ -48,3 +48,26 @@ def test_extremes_over_given_bases_are_the_nearest_doubles(spark):
     bars = spark.createDataFrame(rows, "symbol string, date date, close double, base_price double, volume long, trade_value_100m double, daily_change_pct double")
     got = {(r.symbol, r.date): (r.close_max_60, r.close_min_60) for r in selection_features(bars).where("close_max_60 is not null").collect()}
     assert got == want
+
+
+def test_extremes_over_implied_bases_are_the_nearest_doubles(spark):
+    rnd, rows, want = random.Random(21), [], {}
+    for symbol in map(str, range(12)):
+        ratios, closes = [], []
+        for n in range(110):
+            close, pct = float(rnd.randrange(50_000, 9_000_000)), rnd.randrange(-3100, 3101) / 100.0
+            day = date(2000, 1, 1) + timedelta(days=n)
+            rows.append((symbol, day, close, 10, 1.0, pct))
+            ratio = close / (1.0 + pct / 100.0) / closes[-1] if closes else 1.0
+            ratios.append(Fraction(1 if abs(ratio - 1.0) <= IMPLIED_TOLERANCE else ratio))
+            closes.append(close)
+            if n >= EXTREME_WINDOW - 1:
+                now = Fraction(1)
+                past = [Fraction(close)]
+                for k in range(n, n - EXTREME_WINDOW + 1, -1):
+                    now *= ratios[k]
+                    past.append(now * Fraction(closes[k - 1]))
+                want[symbol, day] = float(max(past)), float(min(past))
+    bars = spark.createDataFrame(rows, "symbol string, date date, close double, volume long, trade_value_100m double, daily_change_pct double")
+    got = {(r.symbol, r.date): (r.close_max_60, r.close_min_60) for r in selection_features(bars).where("close_max_60 is not null").collect()}
+    assert got == want
